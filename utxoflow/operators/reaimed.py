@@ -55,9 +55,11 @@ def pattern_mix(tx: DataFrame) -> DataFrame:
 def pattern_scan(docs: DataFrame, id_col: str, text_col: str,
                  patterns: list[str] | None = None) -> DataFrame:
     """One row per (document, pattern) whose case-insensitive regex
-    matches anywhere in the whole text.  The pattern list is a literal array
-    evaluated per row (no join, no pattern-side shuffle)."""
+    matches anywhere in the whole text.  Each pattern is a literal ``rlike``
+    (compiled once per task, inside codegen); the hits of a row are gathered
+    in one array and exploded -- no join, no pattern-side shuffle."""
     pats = list(patterns or SUSPICIOUS_PATTERNS)
-    arr = F.array(*[F.lit(p) for p in pats])
-    hits = F.filter(arr, lambda p: F.col(text_col).rlike(F.concat(F.lit("(?i)"), p)))
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(hits).alias("pattern"))
+    text = F.col(text_col)
+    hits = F.array(*[F.when(text.rlike("(?i)" + p), F.lit(p)) for p in pats])
+    return docs.select(F.col(id_col).alias("doc_id"),
+                       F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("pattern"))

@@ -224,17 +224,21 @@ def _raw_json_b(spark, sf) -> DataFrame:
     """FX-B as JSON text: every 97th record cut short, every 101st timestamp
     written as a string."""
     tx = fx_b(spark, sf, None, FXB_OPTIONS)
-    ts = F.when(F.pmod("seq", F.lit(101)) == 0, F.col("timestamp").cast("string")).otherwise(F.col("timestamp"))
-    body = F.to_json(F.struct(
-        "tx_id", ts.alias("timestamp"),
-        F.transform("inputs", lambda x: F.struct(
-            x["address"].alias("address"), x["value"].cast("double").alias("value"),
-            x["prev_tx_id"].alias("prev_tx_id"), x["prev_output_index"].alias("prev_output_index"))).alias("inputs"),
-        F.transform("outputs", lambda y: F.struct(
-            y["address"].alias("address"), y["value"].cast("double").alias("value"),
-            y["output_index"].alias("output_index"))).alias("outputs"),
-        "source", "ingest_time"))
-    value = F.when(F.pmod("seq", F.lit(97)) == 0, F.substring(body, 1, 25)).otherwise(body)
+
+    def body(ts):
+        return F.to_json(F.struct(
+            "tx_id", ts.alias("timestamp"),
+            F.transform("inputs", lambda x: F.struct(
+                x["address"].alias("address"), x["value"].cast("double").alias("value"),
+                x["prev_tx_id"].alias("prev_tx_id"), x["prev_output_index"].alias("prev_output_index"))).alias("inputs"),
+            F.transform("outputs", lambda y: F.struct(
+                y["address"].alias("address"), y["value"].cast("double").alias("value"),
+                y["output_index"].alias("output_index"))).alias("outputs"),
+            "source", "ingest_time"))
+
+    text = F.when(F.pmod("seq", F.lit(101)) == 0, body(F.col("timestamp").cast("string"))) \
+        .otherwise(body(F.col("timestamp")))
+    value = F.when(F.pmod("seq", F.lit(97)) == 0, F.substring(text, 1, 25)).otherwise(text)
     return tx.select(value.alias("value"), "arrival_ms", F.col("seq").alias("offset"))
 
 
