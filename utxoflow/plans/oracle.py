@@ -309,4 +309,9 @@ SELECT metric_type, tx_id, timestamp, ingest_time, source, input_count, output_c
 FROM fxb_metrics WHERE CAST(tx_id AS BIGINT) % 97 <> 0"""
     q["quarantine"] = """
 SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id % 97 = 0"""
+    q["stream_balances"] = q["balance_updates"]
+    q["stream_alerts"] = _with(FXB) + """
+SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring"""
+    q["stream_tx_volume"] = _with(FXB) + """
+SELECT timestamp - timestamp % 60000 AS minute, count(*) AS txs FROM fxb_tx GROUP BY 1"""
     return q

@@ -291,3 +291,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": quarantine,
 }
 
+
+def _register_streams() -> None:
+    from utxoflow.plans.stream_queries import STREAM_QUERIES
+
+    QUERIES.update(STREAM_QUERIES)
+
+
+_register_streams()
+

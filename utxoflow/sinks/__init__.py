@@ -42,9 +42,10 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         parts.append("batch_id")
-    out = out.repartition(*[F.col(p) for p in parts])
-    if sort_cols:
-        out = out.sortWithinPartitions(*sort_cols)
+    # No repartition by the partition columns: one day of data must not land
+    # in one writer task.  Sorting within tasks keeps one open file per
+    # partition per task.
+    out = out.sortWithinPartitions(*parts, *sort_cols)
     (out.write.mode("overwrite" if batch_id is not None else "append")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path))
