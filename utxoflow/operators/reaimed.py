@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from utxoflow.operators.scan import prefix_scan, with_buckets
 from utxoflow.options import DEFAULT, LedgerOptions
+from utxoflow.schema import MONEY_SUM
 
 # The eight suspicious-text patterns of the reference's scanner
 # (matched case-insensitively, as PowerShell's -match does).
@@ -33,12 +34,13 @@ def select_coins(utxos: DataFrame, targets: DataFrame, opts: LedgerOptions = DEF
     u = utxos.join(targets, "address").withColumn("_neg", -F.col("value"))
     b = with_buckets(u, ["address"], "_neg", opts)
     order = ["_neg", "tx_id", "output_index"]
-    run = prefix_scan(b, ["address"], order, sums={"running": F.col("value").cast("double")})
+    run = prefix_scan(b, ["address"], order, sums={"running": F.col("value").cast(MONEY_SUM)})
     total = run.groupBy("address").agg(F.sum("value").alias("_total"))
     # A row is needed iff the sum *before* it is still short of the target.
     return (run.join(total, "address")
                .filter((F.col("_total") >= F.col("target")) & (F.col("running") - F.col("value") < F.col("target")))
-               .select("address", "tx_id", "output_index", "value", "running", "target"))
+               .select("address", "tx_id", "output_index", "value", F.col("running").cast("double").alias("running"),
+                       "target"))
 
 
 def pattern_mix(tx: DataFrame) -> DataFrame:

@@ -86,8 +86,12 @@ def prefix_scan(df: DataFrame, by: list[str], order: list[str | Column],
     )
     out = local.join(prefix, on=[*by, BUCKET], how="left")
     for name, expr in sums.items():
-        zero = F.lit(0).cast(df.select(expr.alias("x")).schema["x"].dataType)
-        out = out.withColumn(name, F.coalesce(F.col(f"_p_{name}"), zero) + F.coalesce(F.col(f"_l_{name}"), zero))
+        # Back to the input type before adding: sum() widens decimals, and two
+        # widened decimals added together would lose scale.
+        dtype = df.select(expr.alias("x")).schema["x"].dataType
+        zero = F.lit(0).cast(dtype)
+        out = out.withColumn(name, (F.coalesce(F.col(f"_p_{name}").cast(dtype), zero)
+                                    + F.coalesce(F.col(f"_l_{name}").cast(dtype), zero)).cast(dtype))
     for name in maxes:
         out = out.withColumn(name, F.greatest(F.col(f"_p_{name}"), F.col(f"_l_{name}")))
     drop = [f"_{p}_{n}" for p in ("l", "p") for n in [*sums, *maxes]]

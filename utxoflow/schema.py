@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 8)
-MONEY_SUM = T.DecimalType(38, 8)
+# Accumulator for money sums: 20 integer digits.  Not 38: adding two
+# decimal(38,8) values needs 39 digits and Spark would drop a digit of scale.
+MONEY_SUM = T.DecimalType(28, 8)
 
 INPUT = T.StructType([
     T.StructField("address", T.StringType()),
