@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from utxoflow.operators import activity, alerts, ledger, reaimed, transactions, updates
 from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.plans import dashboard
-from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_a, fx_b, fx_b_labeled, table
+from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
+from utxoflow.plans.tables import analytic_tables, fx_a_table, fx_b_table
 from utxoflow.plans.pipeline import run_batch
 from utxoflow.sinks import archive_blocks
 from utxoflow.sources import parse_transactions
@@ -25,7 +26,7 @@ COIN_TARGET = 500.0
 # ----------------------------------------------------------- shared pieces
 
 def _wtx_b(spark, sf, variant=None):
-    return with_arrival_watermark(fx_b(spark, sf, variant, FXB_OPTIONS), FXB_OPTIONS)
+    return with_arrival_watermark(fx_b_table(spark, sf, variant), FXB_OPTIONS)
 
 
 def _upd_b(spark, sf, variant=None):
@@ -36,23 +37,20 @@ def _led_b(spark, sf, variant=None):
     return ledger.ledger(_upd_b(spark, sf, variant), FXB_OPTIONS)
 
 
-def _bal_b(spark, sf):
-    return ledger.balance_rows(_led_b(spark, sf))
+def _table(spark, sf, name):
+    """An analytic table written by the batch pipeline (S5 scan)."""
+    return spark.read.parquet(analytic_tables(spark, sf)[name])
 
 
 def _alerts_b(spark, sf):
-    return run_batch(fx_b(spark, sf, None, FXB_OPTIONS), FXB_OPTIONS).alerts
-
-
-def _txrows_b(spark, sf):
-    return transactions.tx_rows(_wtx_b(spark, sf))
+    return run_batch(fx_b_table(spark, sf), FXB_OPTIONS).alerts
 
 
 # ----------------------------------------------------------- stateless
 
 def normalize_transactions(spark, sf):
     """P1 on FX-A given as raw events (float money, attributes map)."""
-    tx = fx_a(spark, sf, FXA_OPTIONS)
+    tx = fx_a_table(spark, sf)
     raw = tx.select(
         "tx_id", "timestamp", "source", "arrival_ms", "seq",
         F.transform("inputs", lambda x: F.struct(
@@ -70,7 +68,7 @@ def tx_metrics(spark, sf):
 
 
 def tx_rows(spark, sf):
-    return transactions.tx_rows(with_arrival_watermark(fx_a(spark, sf, FXA_OPTIONS), FXA_OPTIONS))
+    return transactions.tx_rows(with_arrival_watermark(fx_a_table(spark, sf), FXA_OPTIONS))
 
 
 def address_updates(spark, sf):
@@ -78,11 +76,11 @@ def address_updates(spark, sf):
 
 
 def alerts_fan_out(spark, sf):
-    return alerts.fan_out_alerts(fx_a(spark, sf, FXA_OPTIONS), FXA_OPTIONS)
+    return alerts.fan_out_alerts(fx_a_table(spark, sf), FXA_OPTIONS)
 
 
 def alerts_whale(spark, sf):
-    return alerts.whale_alerts(fx_a(spark, sf, FXA_OPTIONS), FXA_OPTIONS)
+    return alerts.whale_alerts(fx_a_table(spark, sf), FXA_OPTIONS)
 
 
 def metrics_table(spark, sf):
@@ -134,47 +132,47 @@ def alerts_all(spark, sf):
 # ----------------------------------------------------------- dashboard
 
 def tps_last_minute(spark, sf):
-    return dashboard.tps(_txrows_b(spark, sf), span_ms=60_000)
+    return dashboard.tps(_table(spark, sf, "transactions"), span_ms=60_000)
 
 
 def tps_last_day(spark, sf):
-    return dashboard.tps(_txrows_b(spark, sf), span_ms=86_400_000)
+    return dashboard.tps(_table(spark, sf, "transactions"), span_ms=86_400_000)
 
 
 def alerts_last_hour(spark, sf):
-    return dashboard.alerts_in(_alerts_b(spark, sf), span_ms=3_600_000)
+    return dashboard.alerts_in(_table(spark, sf, "alerts"), span_ms=3_600_000)
 
 
 def tx_volume_per_minute(spark, sf):
-    return dashboard.tx_volume(_txrows_b(spark, sf), span_ms=3_600_000)
+    return dashboard.tx_volume(_table(spark, sf, "transactions"), span_ms=3_600_000)
 
 
 def tx_volume_last_day(spark, sf):
-    return dashboard.tx_volume(_txrows_b(spark, sf), span_ms=86_400_000)
+    return dashboard.tx_volume(_table(spark, sf, "transactions"), span_ms=86_400_000)
 
 
 def top_addresses(spark, sf):
-    return dashboard.top_addresses(_bal_b(spark, sf), 10)
+    return dashboard.top_addresses(_table(spark, sf, "balance_updates"), 10)
 
 
 def balance_distribution(spark, sf):
-    return dashboard.balance_distribution(_bal_b(spark, sf), 30)
+    return dashboard.balance_distribution(_table(spark, sf, "balance_updates"), 30)
 
 
 def balance_histogram(spark, sf):
-    return dashboard.balance_histogram(_bal_b(spark, sf), 30)
+    return dashboard.balance_histogram(_table(spark, sf, "balance_updates"), 30)
 
 
 def alert_rates(spark, sf):
-    return dashboard.alert_rates(_alerts_b(spark, sf), span_ms=3_600_000)
+    return dashboard.alert_rates(_table(spark, sf, "alerts"), span_ms=3_600_000)
 
 
 def alert_rates_last_day(spark, sf):
-    return dashboard.alert_rates(_alerts_b(spark, sf), span_ms=86_400_000)
+    return dashboard.alert_rates(_table(spark, sf, "alerts"), span_ms=86_400_000)
 
 
 def balance_updates_final(spark, sf):
-    return dashboard.balance_updates_final(_bal_b(spark, sf)).select(
+    return dashboard.balance_updates_final(_table(spark, sf, "balance_updates")).select(
         "address", "timestamp_ms", "source", "balance", "utxo_count")
 
 
@@ -223,7 +221,7 @@ def archive_rejected(spark, sf):
 def _raw_json_b(spark, sf) -> DataFrame:
     """FX-B as JSON text: every 97th record cut short, every 101st timestamp
     written as a string."""
-    tx = fx_b(spark, sf, None, FXB_OPTIONS)
+    tx = fx_b_table(spark, sf)
 
     def body(ts):
         return F.to_json(F.struct(

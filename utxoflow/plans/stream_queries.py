@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utxoflow.operators.scan import quantile_bounds, range_bucket
-from utxoflow.plans.fixtures import FXB_OPTIONS, fx_b
+from utxoflow.plans.fixtures import FXB_OPTIONS
+from utxoflow.plans.tables import fx_b_table
 from utxoflow.session import checkpoint_dir
 from utxoflow.streaming.pipeline import (drain, read_transaction_files, read_volume,
                                          start_addr_query, start_volume_query)
@@ -26,7 +27,7 @@ TRIGGER = {"processingTime": "200 milliseconds"}
 def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES) -> str:
     """Write FX-B in arrival order as ``batches`` files; return the run folder."""
     run = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    tx = fx_b(spark, sf_dir, None, FXB_OPTIONS)
+    tx = fx_b_table(spark, sf_dir)
     bounds = quantile_bounds(tx, "arrival_ms", batches)
     staged = f"{run}/staged"
     (tx.withColumn("_b", range_bucket(F.col("arrival_ms"), bounds))
