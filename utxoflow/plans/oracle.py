@@ -310,6 +310,7 @@ FROM fxb_metrics WHERE CAST(tx_id AS BIGINT) % 97 <> 0"""
     q["quarantine"] = """
 SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id % 97 = 0"""
     q["stream_balances"] = q["balance_updates"]
+    q["stream_latest_balance"] = q["latest_balance"]
     q["stream_alerts"] = _with(FXB) + """
 SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring"""
     q["stream_tx_volume"] = _with(FXB) + """

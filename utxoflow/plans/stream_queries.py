@@ -17,6 +17,7 @@ from utxoflow.operators.scan import quantile_bounds, range_bucket
 from utxoflow.plans.fixtures import FXB_OPTIONS
 from utxoflow.plans.tables import fx_b_table
 from utxoflow.session import checkpoint_dir
+from utxoflow.sinks import read_latest
 from utxoflow.streaming.pipeline import (drain, read_transaction_files, read_volume,
                                          start_addr_query, start_volume_query)
 
@@ -70,7 +71,14 @@ def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_volume(spark, f"{run}/out")
 
 
+def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 in streaming form: the latest-balance change log read back."""
+    run = _run_addr(spark, sf_dir)
+    return read_latest(spark, f"{run}/out/latest_changes")
+
+
 STREAM_QUERIES = {
+    "stream_latest_balance": stream_latest_balance,
     "stream_balances": stream_balances,
     "stream_alerts": stream_alerts,
     "stream_tx_volume": stream_tx_volume,

@@ -61,20 +61,25 @@ def table_writer(path: str, sort_cols: tuple[str, ...] = ()):
 # ------------------------------------------------------ Latest balance (K9)
 
 
-def upsert_latest(changes: DataFrame, snapshot_path: str, version: int) -> None:
-    """K9 (streaming): merge the addresses changed in a micro-batch into a
-    versioned snapshot (last arrival wins).  Version ``v`` = previous snapshot
-    anti-joined with the changed addresses + the changes; written to a new
-    folder so a replayed batch rewrites the same version."""
-    spark = changes.sparkSession
-    latest = changes
-    prev_path = f"{snapshot_path}/v={version - 1}"
-    try:
-        prev = spark.read.parquet(prev_path)
-        latest = prev.join(changes.select("address"), "address", "left_anti").unionByName(changes)
-    except Exception:  # first version: no previous snapshot
-        pass
-    latest.write.mode("overwrite").parquet(f"{snapshot_path}/v={version}")
+def write_latest_changes(balances: DataFrame, path: str, batch_id: int) -> None:
+    """K9 (streaming): the last *arrived* balance of every address changed in
+    a micro-batch, appended as partition ``batch_id`` (dynamic overwrite, so a
+    replayed batch rewrites itself).  Work per batch is proportional to the
+    batch, never to the number of addresses ever seen."""
+    rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
+    (balances.groupBy("address")
+             .agg(F.max_by(rec, F.struct("arrival_ms", "seq", "pos")).alias("r"))
+             .select("address", "r.*", F.lit(int(batch_id)).cast("long").alias("batch_id"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+
+
+def read_latest(spark, path: str) -> DataFrame:
+    """K9 read side: latest change per address across batches (map-side
+    combinable ``max_by``; a periodic compaction can rewrite the log)."""
+    rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
+    return (spark.read.parquet(path).groupBy("address")
+                 .agg(F.max_by(rec, "batch_id").alias("r")).select("address", "r.*"))
 
 
 # -------------------------------------------------------- Block archive

@@ -27,7 +27,7 @@ from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_watermark
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import TRANSACTION
-from utxoflow.sinks import write_table
+from utxoflow.sinks import write_latest_changes, write_table
 from utxoflow.streaming.processor import OUTPUT_SCHEMA, LedgerProcessor
 
 UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "value", "prev_tx_id",
@@ -73,6 +73,7 @@ def _addr_writer(out_path: str):
             balances, alerts = split_output(batch)
             write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id)
             write_table(alerts, f"{out_path}/alerts", batch_id=batch_id)
+            write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
         finally:
             batch.unpersist()
     return write
