@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utxoflow.operators.scan import prefix_scan, with_buckets
+from utxoflow.operators.scan import hot_keys, prefix_scan, with_buckets
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import MONEY, MONEY_SUM
 
@@ -54,10 +54,11 @@ def with_deltas(upd: DataFrame) -> DataFrame:
 def ledger(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     """Every update with the address's ``balance`` and ``utxo_count``
     after it, plus ``max_ts`` (running max event time, used by L5)."""
-    d = with_deltas(upd)
-    b = with_buckets(d, ["address"], "arrival_ms", opts)
+    # Hot-key statistics on the raw updates (a pruned scan), not after the window.
+    hot = hot_keys(upd, "address", "arrival_ms", opts)
+    b, hot = with_buckets(with_deltas(upd), "address", "arrival_ms", opts, hot)
     out = prefix_scan(
-        b, ["address"], ORDER,
+        b, "address", ORDER, hot,
         sums={"balance": F.col("d_balance").cast(MONEY_SUM), "utxo_count": F.col("d_count").cast("long")},
         maxes={"max_ts": F.col("timestamp")},
     )

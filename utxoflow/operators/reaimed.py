@@ -32,9 +32,9 @@ def select_coins(utxos: DataFrame, targets: DataFrame, opts: LedgerOptions = DEF
     ``utxos``: address, tx_id, output_index, value.  ``targets``: address, target.
     The running sum is the skew-safe two-level scan (bucket on -value)."""
     u = utxos.join(targets, "address").withColumn("_neg", -F.col("value"))
-    b = with_buckets(u, ["address"], "_neg", opts)
+    b, hot = with_buckets(u, "address", "_neg", opts)
     order = ["_neg", "tx_id", "output_index"]
-    run = prefix_scan(b, ["address"], order, sums={"running": F.col("value").cast(MONEY_SUM)})
+    run = prefix_scan(b, "address", order, hot, sums={"running": F.col("value").cast(MONEY_SUM)})
     total = run.groupBy("address").agg(F.sum("value").alias("_total"))
     # A row is needed iff the sum *before* it is still short of the target.
     return (run.join(total, "address")

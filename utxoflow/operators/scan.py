@@ -5,12 +5,13 @@ task.  With one address holding a third of all rows that task is the whole
 job.  The scans here are two level:
 
 1. ``hot_keys`` finds keys with at least ``hot_key_rows`` rows (at most
-   ``max_hot_keys`` of them, so the broadcast list has a proven bound) and a
-   bucket width on the leading order column giving about ``rows_per_bucket``
-   rows per bucket.  All other keys keep a single bucket 0.
+   ``max_hot_keys`` of them, so the list has a proven bound) and a bucket
+   width on the leading order column giving about ``rows_per_bucket`` rows
+   per bucket.  All other keys keep a single bucket 0.
 2. The running aggregate is computed inside ``(key, bucket)``; bucket totals
    of hot keys are prefix-scanned (a tiny window per key over its buckets) and
-   joined back (AQE broadcasts that side at runtime when it is small).
+   joined back (AQE broadcasts that side at runtime when it is small).  With
+   no hot key the plan is a single window.
 
 The bucket must be monotone in the order, which holds because it is a floor
 of the leading order column.
@@ -26,65 +27,76 @@ from utxoflow.options import DEFAULT, LedgerOptions
 BUCKET = "_bkt"
 
 
-def hot_keys(df: DataFrame, by: list[str], lead: str, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    """Keys that need splitting, with their bucket width on ``lead``.
+def hot_keys(df: DataFrame, by: str, lead: str, opts: LedgerOptions = DEFAULT) -> dict:
+    """Keys that need splitting -> bucket width on ``lead``.
 
-    Bounded: ``limit(max_hot_keys)`` of the keys by row count (TakeOrdered),
-    so the result can be broadcast whatever the data size."""
-    stats = df.groupBy(*by).agg(
+    One aggregation job (partial aggregation, then a TakeOrdered of at most
+    ``max_hot_keys`` rows): the driver receives a list with a proven bound.
+    The keys go back into the plan as a literal set, which Catalyst pushes
+    below windows partitioned by the key."""
+    stats = df.groupBy(by).agg(
         F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
     width = F.greatest(
         F.lit(1).cast("long"),
         F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(opts.rows_per_bucket) / F.col("_n")).cast("long"))
-    return (stats.filter(F.col("_n") >= F.lit(opts.hot_key_rows))
+    rows = (stats.filter(F.col("_n") >= F.lit(opts.hot_key_rows))
                  .orderBy(F.desc("_n"))
                  .limit(opts.max_hot_keys)
-                 .select(*by, width.alias("_width")))
+                 .select(by, width.alias("_width"))
+                 .collect())
+    return {r[0]: int(r[1]) for r in rows if r[0] is not None}
 
 
-def with_buckets(df: DataFrame, by: list[str], lead: str, opts: LedgerOptions = DEFAULT,
-                 hot: DataFrame | None = None) -> DataFrame:
+def with_buckets(df: DataFrame, by: str, lead: str, opts: LedgerOptions = DEFAULT,
+                 hot: dict | None = None) -> tuple[DataFrame, dict]:
     """Add ``_bkt`` (0 for ordinary keys, ``floor(lead / width)`` for hot ones)
-    and ``_hot`` (bool)."""
+    and ``_hot`` (bool); returns the frame and the hot-key widths."""
     if hot is None:
         hot = hot_keys(df, by, lead, opts)
-    joined = df.join(F.broadcast(hot), on=by, how="left")
-    return (joined
-            .withColumn("_hot", F.col("_width").isNotNull())
-            .withColumn(BUCKET, F.when(F.col("_hot"), F.floor(F.col(lead) / F.col("_width")))
-                                 .otherwise(F.lit(0)).cast("long"))
-            .drop("_width"))
+    if not hot:
+        return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0).cast("long")), hot
+    is_hot = F.col(by).isin(list(hot))
+    widths = F.create_map(*[x for k, w in hot.items() for x in (F.lit(k), F.lit(w).cast("long"))])
+    bucket = F.when(is_hot, F.floor(F.col(lead) / F.element_at(widths, F.col(by)))).otherwise(F.lit(0))
+    return df.withColumn("_hot", is_hot).withColumn(BUCKET, bucket.cast("long")), hot
 
 
-def prefix_scan(df: DataFrame, by: list[str], order: list[str | Column],
+def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
                 sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None,
                 exclusive: bool = False) -> DataFrame:
     """Running ``sum``/``max`` per ``by`` in ``order`` over a bucketed frame.
 
-    ``df`` must carry ``_bkt`` and ``_hot`` (see ``with_buckets``).  With
-    ``exclusive`` the current row is left out (a lag for a max of a struct
-    whose first field is the order)."""
+    ``df`` must carry ``_bkt`` (see ``with_buckets``).  Ordinary keys have a
+    single bucket, so only hot keys need the bucket-total prefix; with no hot
+    key the plan is one window.  With ``exclusive`` the current row is left
+    out (a lag, for a max of a struct whose first field is the order)."""
     sums = sums or {}
     maxes = maxes or {}
     end = -1 if exclusive else Window.currentRow
-    frame = Window.partitionBy(*by, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = df
+    frame = Window.partitionBy(by, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    out = df
     for name, expr in sums.items():
-        local = local.withColumn(f"_l_{name}", F.sum(expr).over(frame))
+        out = out.withColumn(f"_l_{name}", F.sum(expr).over(frame))
     for name, expr in maxes.items():
-        local = local.withColumn(f"_l_{name}", F.max(expr).over(frame))
-
-    # Bucket totals only for hot keys: ordinary keys have one bucket, prefix 0.
-    aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()] + \
-           [F.max(e).alias(f"_t_{n}") for n, e in maxes.items()]
-    totals = df.filter(F.col("_hot")).groupBy(*by, BUCKET).agg(*aggs)
-    before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(
-        *by, BUCKET,
-        *[F.sum(f"_t_{n}").over(before).alias(f"_p_{n}") for n in sums],
-        *[F.max(f"_t_{n}").over(before).alias(f"_p_{n}") for n in maxes],
-    )
-    out = local.join(prefix, on=[*by, BUCKET], how="left")
+        out = out.withColumn(f"_l_{name}", F.max(expr).over(frame))
+
+    if hot:
+        # Bucket totals of hot keys only (the key filter is pushed below any
+        # upstream window partitioned by the key), prefix-scanned per key over
+        # its buckets -- at most (hot keys x buckets) rows.
+        aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()] + \
+               [F.max(e).alias(f"_t_{n}") for n, e in maxes.items()]
+        totals = df.filter(F.col(by).isin(list(hot))).groupBy(by, BUCKET).agg(*aggs)
+        before = Window.partitionBy(by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        prefix = totals.select(
+            by, BUCKET,
+            *[F.sum(f"_t_{n}").over(before).alias(f"_p_{n}") for n in sums],
+            *[F.max(f"_t_{n}").over(before).alias(f"_p_{n}") for n in maxes],
+        )
+        out = out.join(prefix, on=[by, BUCKET], how="left")
+    else:
+        for n in [*sums, *maxes]:
+            out = out.withColumn(f"_p_{n}", F.lit(None))
     for name, expr in sums.items():
         # Back to the input type before adding: sum() widens decimals, and two
         # widened decimals added together would lose scale.
@@ -93,7 +105,8 @@ def prefix_scan(df: DataFrame, by: list[str], order: list[str | Column],
         out = out.withColumn(name, (F.coalesce(F.col(f"_p_{name}").cast(dtype), zero)
                                     + F.coalesce(F.col(f"_l_{name}").cast(dtype), zero)).cast(dtype))
     for name in maxes:
-        out = out.withColumn(name, F.greatest(F.col(f"_p_{name}"), F.col(f"_l_{name}")))
+        out = out.withColumn(name, F.coalesce(F.greatest(F.col(f"_p_{name}"), F.col(f"_l_{name}")),
+                                              F.col(f"_l_{name}")))
     drop = [f"_{p}_{n}" for p in ("l", "p") for n in [*sums, *maxes]]
     return out.drop(*drop)
 

@@ -27,12 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _lag(df: DataFrame, by: list[str], order: list[str], value: str, name: str,
+def _lag(df: DataFrame, by: str, order: list[str], value: str, name: str,
          opts: LedgerOptions) -> DataFrame:
     """Previous ``value`` per ``by`` in ``order`` (skew-safe: two-level scan)."""
-    b = with_buckets(df, by, order[0], opts)
+    b, hot = with_buckets(df, by, order[0], opts)
     key = F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))
-    out = prefix_scan(b, by, order, maxes={"_prev": key}, exclusive=True)
+    out = prefix_scan(b, by, order, hot, maxes={"_prev": key}, exclusive=True)
     return out.withColumn(name, F.col("_prev._v")).drop("_prev", "_bkt", "_hot")
 
 
@@ -41,7 +41,7 @@ def fx_a(spark: SparkSession, sf_dir: str, opts: LedgerOptions = DEFAULT) -> Dat
     the customer's previous order (none for the first: coinbase)."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", epoch_ms("o_orderdate").alias("ts"))
-    orders = _lag(orders, ["o_custkey"], ["ts", "o_orderkey"], "o_orderkey", "prev_key", opts)
+    orders = _lag(orders, "o_custkey", ["ts", "o_orderkey"], "o_orderkey", "prev_key", opts)
     items = (table(spark, sf_dir, "lineitem")
              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
              .groupBy("l_orderkey")
@@ -74,7 +74,7 @@ def _events(spark: SparkSession, sf_dir: str, opts: LedgerOptions) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", epoch_ms("ts").alias("tms"))
     ev = ev.withColumn("address", F.concat(F.lit("u"), F.col("user_id").cast("string")))
-    ev = _lag(ev, ["address"], ["tms", "event_id"], "event_id", "prev_id", opts)
+    ev = _lag(ev, "address", ["tms", "event_id"], "event_id", "prev_id", opts)
     arr = (F.col("tms") + F.pmod(F.col("event_id") * 7919, F.lit(86_400_000))
            + F.when(F.pmod("event_id", F.lit(10)) == 0, F.lit(400_000_000)).otherwise(F.lit(0)))
     return ev.withColumn("arr", arr.cast("long"))
