@@ -9,12 +9,13 @@ of buffer rows with ``t_i - t_j <= wv``; structuring counts the outputs with
 ``value <= ceiling`` and ``t_i - t_j <= ws``.
 
 Counting "rows in a range with a per-row threshold" is not a window function,
-so this is the one grouped pandas step of the batch ledger.  Groups are
-bounded: an ordinary address is one group; an address with at least
-``hot_key_rows`` updates is cut into chunks of ``M`` at least ``W`` wide, each
-chunk carrying the previous chunk as read-only context (all rows it can see).
-Inside a group, in-order data is counted with ``searchsorted`` and prefix sums
-(vectorized, O(n log n)); only out-of-order groups fall back to per-row slices.
+so this is the one pandas step of the batch ledger (``mapInPandas`` over
+sorted partitions, many addresses per Arrow batch).  Groups are bounded: an
+ordinary address is one group; an address with at least ``hot_key_rows``
+updates is cut into chunks of ``M`` at least ``W`` wide, each chunk carrying
+the previous chunk as read-only context (all rows it can see).  In-order data
+is counted with ``searchsorted`` and prefix sums (vectorized, O(n log n));
+only out-of-order groups fall back to per-row slices.
 """
 
 from __future__ import annotations
@@ -40,48 +41,94 @@ COUNT_SCHEMA = T.StructType([
 ])
 
 
-def window_counts(ts: np.ndarray, m: np.ndarray, small: np.ndarray,
+def window_counts(seg: np.ndarray, ts: np.ndarray, m: np.ndarray, small: np.ndarray,
                   w: int, wv: int, ws: int) -> tuple[np.ndarray, np.ndarray]:
-    """Velocity and structuring counts for rows already in arrival order."""
+    """Velocity and structuring counts for rows sorted by (group, arrival).
+
+    ``seg`` numbers the groups (non-decreasing).  Groups are laid side by side
+    on one number line (offset ``seg * span``), so a single ``searchsorted``
+    finds every row's buffer start inside its own group.  Groups whose event
+    times are non-decreasing are counted with prefix sums; only out-of-order
+    groups fall back to per-row slices."""
     n = len(ts)
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     idx = np.arange(n)
-    start = np.searchsorted(m, m - w, side="left")
-    if n == 0 or np.all(ts[1:] >= ts[:-1]):
-        lo_v = np.maximum(start, np.searchsorted(ts, ts - wv, side="left"))
-        vel = idx - lo_v + 1
-        cs = np.concatenate([[0], np.cumsum(small.astype(np.int64))])
-        lo_s = np.maximum(start, np.searchsorted(ts, ts - ws, side="left"))
-        st = cs[idx + 1] - cs[lo_s]
-        return vel.astype(np.int64), st.astype(np.int64)
-    vel = np.empty(n, dtype=np.int64)
-    st = np.empty(n, dtype=np.int64)
-    for i in range(n):
+    lo_t = min(int(ts.min()), int(m.min()))
+    span = max(int(ts.max()), int(m.max())) - lo_t + 2 * w + 2
+    if int(seg.max()) * span > 2 ** 62:  # keep the offsets inside int64
+        out_v, out_s = np.empty(n, np.int64), np.empty(n, np.int64)
+        for g in np.unique(seg):
+            sel = np.flatnonzero(seg == g)
+            out_v[sel], out_s[sel] = window_counts(np.zeros(len(sel), np.int64), ts[sel], m[sel],
+                                                   small[sel], w, wv, ws)
+        return out_v, out_s
+    base = seg.astype(np.int64) * span - lo_t
+    km = base + m
+    start = np.searchsorted(km, km - w, side="left")
+    same = seg[1:] == seg[:-1]
+    bad_seg = np.unique(seg[1:][same & (ts[1:] < ts[:-1])])
+    bad = np.isin(seg, bad_seg) if len(bad_seg) else np.zeros(n, bool)
+    kt = base + np.where(bad, m, ts)  # sorted: in-order groups by ts, the others by m
+    lo_v = np.maximum(start, np.searchsorted(kt, kt - wv, side="left"))
+    vel = idx - lo_v + 1
+    cs = np.concatenate([[0], np.cumsum(small.astype(np.int64))])
+    lo_s = np.maximum(start, np.searchsorted(kt, kt - ws, side="left"))
+    st = cs[idx + 1] - cs[lo_s]
+    for i in np.flatnonzero(bad):
         seg_t = ts[start[i]:i + 1]
         vel[i] = np.count_nonzero(seg_t >= ts[i] - wv)
         st[i] = np.count_nonzero(small[start[i]:i + 1] & (seg_t >= ts[i] - ws))
-    return vel, st
+    return vel.astype(np.int64), st.astype(np.int64)
+
+
+_OUT = ["address", "tx_id", "timestamp", "arrival_ms", "seq", "pos"]
 
 
 def _counter(opts: LedgerOptions):
     w, wv, ws = opts.activity_window_ms, opts.velocity_window_ms, opts.structuring_window_ms
     nv, ns = opts.velocity_count, opts.structuring_count
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["arrival_ms", "seq", "pos"], kind="mergesort")
-        vel, st = window_counts(pdf["timestamp"].to_numpy(np.int64), pdf["max_ts"].to_numpy(np.int64),
+    def process(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = pdf["address"].astype(str) + "\x00" + pdf["_chunk"].astype(str)
+        seg = np.cumsum(np.concatenate([[0], (key.to_numpy()[1:] != key.to_numpy()[:-1]).astype(np.int64)]))
+        vel, st = window_counts(seg, pdf["timestamp"].to_numpy(np.int64), pdf["max_ts"].to_numpy(np.int64),
                                 pdf["small"].to_numpy(bool), w, wv, ws)
         keep = pdf["is_query"].to_numpy(bool) & ((vel >= nv) | (st >= ns))
-        out = pdf.loc[keep, ["address", "tx_id", "timestamp", "arrival_ms", "seq", "pos"]].copy()
+        out = pdf.loc[keep, _OUT].copy()
         out["velocity_count"] = vel[keep]
         out["structuring_count"] = st[keep]
         return out
 
+    def run(batches):
+        # Rows arrive sorted by (address, chunk, arrival order); a group may
+        # straddle Arrow batches, so the last group of a batch is carried over.
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            addr, chunk = pdf["address"].to_numpy(), pdf["_chunk"].to_numpy()
+            tail = (addr == addr[-1]) & (chunk == chunk[-1])
+            cut = len(pdf) - int(np.argmin(tail[::-1])) if not tail.all() else 0
+            carry = pdf.iloc[cut:]
+            if cut:
+                yield process(pdf.iloc[:cut].reset_index(drop=True))
+        if carry is not None and len(carry):
+            yield process(carry.reset_index(drop=True))
+
     return run
 
 
 def activity_counts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     """Rows of ``ledger(...)`` whose velocity or structuring count reaches its
-    threshold, with both counts.  ``led`` needs ``max_ts``, ``_hot``."""
+    threshold, with both counts.  ``led`` needs ``max_ts`` and ``_hot``.
+
+    Groups: (address, chunk) -- one chunk for an ordinary address, chunks of
+    ``max_ts`` at least ``W`` wide for a hot one, each with the previous chunk
+    as read-only context.  One hash shuffle on the group, a sort inside each
+    task, then ``mapInPandas`` over many groups per Arrow batch."""
     w = opts.activity_window_ms
     small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))
     base = led.select("address", "tx_id", "timestamp", "arrival_ms", "seq", "pos", "max_ts", "_hot",
@@ -89,13 +136,13 @@ def activity_counts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     chunk_w = F.lit(int(max(w, 1)))
     chunk = F.when(F.col("_hot"), F.floor(F.col("max_ts") / chunk_w)).otherwise(F.lit(0)).cast("long")
     rows = base.withColumn("_chunk", chunk).withColumn("is_query", F.lit(True))
-    # A hot chunk also needs the previous chunk as context (C >= W).
     context = (rows.filter(F.col("_hot"))
                    .withColumn("_chunk", F.col("_chunk") + 1)
                    .withColumn("is_query", F.lit(False)))
-    return (rows.unionByName(context).drop("_hot")
-                .groupBy("address", "_chunk")
-                .applyInPandas(_counter(opts), schema=COUNT_SCHEMA))
+    grouped = (rows.unionByName(context).drop("_hot")
+                   .repartition("address", "_chunk")
+                   .sortWithinPartitions("address", "_chunk", "arrival_ms", "seq", "pos"))
+    return grouped.mapInPandas(_counter(opts), schema=COUNT_SCHEMA)
 
 
 def velocity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
