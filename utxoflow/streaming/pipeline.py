@@ -147,7 +147,7 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0, poll_s: float = 0.5)
             status = query.status
             if progress and progress[-1]["numInputRows"] == 0 and not status["isDataAvailable"]:
                 # Stop between triggers so no state commit is interrupted.
-                settle = time.time() + 10
+                settle = time.time() + 1.5
                 while query.status["isTriggerActive"] and time.time() < settle:
                     time.sleep(0.05)
                 return

@@ -3,11 +3,15 @@ per address key, run by ``transformWithStateInPandas`` on RocksDB state.
 
 State layout (point reads/writes instead of rewriting whole lists):
 
-* ``totals``  ValueState  (balance decimal(18,8), utxo_count bigint)
+* ``totals``  ValueState  (balance decimal(18,8), utxo_count, pending_count)
 * ``utxos``   MapState    (tx_id, output_index) -> (value, timestamp)
 * ``pending`` MapState    (tx_id, output_index) -> seen flag
 * ``recent``  ListState   activity buffer in arrival order (timestamp, small)
 
+State traffic per key and micro-batch: when the batch brings many rows for a
+key compared with the size of its maps, each map is read once in bulk;
+otherwise entries are read point-wise.  Writes are coalesced and flushed once.
+
 Within a micro-batch the rows of a key are gathered, sorted by the arrival
 order ``(arrival_ms, seq, pos)`` and applied one by one, exactly as the
 sequential rules of the reference.  The watermark is Spark's (per
@@ -54,12 +58,44 @@ def _dumps(d: dict) -> str:
     return json.dumps(d, separators=(",", ":"))
 
 
+class _MapView:
+    """Read-through / write-back view of a ``MapState`` for one key."""
+
+    def __init__(self, state, bulk: bool) -> None:
+        self.state = state
+        self.cache = {tuple(k): tuple(v) for k, v in state.iterator()} if bulk else None
+        self.seen: dict = {}
+        self.dirty: dict = {}
+
+    def get(self, key):
+        if key in self.dirty:
+            return self.dirty[key]
+        if self.cache is not None:
+            return self.cache.get(key)
+        if key not in self.seen:
+            self.seen[key] = tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
+        return self.seen[key]
+
+    def put(self, key, value) -> None:
+        self.dirty[key] = value
+
+    def remove(self, key) -> None:
+        self.dirty[key] = None
+
+    def flush(self) -> None:
+        for key, value in self.dirty.items():
+            if value is None:
+                self.state.removeKey(key)
+            else:
+                self.state.updateValue(key, value)
+
+
 class LedgerProcessor(StatefulProcessor):
     def __init__(self, opts: LedgerOptions = DEFAULT) -> None:
         self.opts = opts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "balance decimal(18,8), utxo_count long")
+        self.totals = handle.getValueState("totals", "balance decimal(18,8), utxo_count long, pending_count long")
         self.utxos = handle.getMapState("utxos", "tx_id string, output_index int",
                                         "value decimal(18,8), timestamp long")
         self.pending = handle.getMapState("pending", "tx_id string, output_index int", "seen boolean")
@@ -73,11 +109,12 @@ class LedgerProcessor(StatefulProcessor):
         watermark = int(timerValues.getCurrentWatermarkInMs())
 
         if self.totals.exists():
-            balance, count = self.totals.get()
-            balance = Decimal(balance)
-            count = int(count)
+            balance, count, n_pending = self.totals.get()
+            balance, count, n_pending = Decimal(balance), int(count), int(n_pending)
         else:
-            balance, count = Decimal(0), 0
+            balance, count, n_pending = Decimal(0), 0, 0
+        utxos = _MapView(self.utxos, bulk=len(batch) * 2 >= count and count > 0)
+        pending = _MapView(self.pending, bulk=len(batch) * 2 >= n_pending and n_pending > 0)
         history = [(int(t), bool(s)) for t, s in self.recent.get()] if self.recent.exists() else []
         ceiling = Decimal(str(o.structuring_ceiling))
         window = o.activity_window_ms
@@ -88,21 +125,23 @@ class LedgerProcessor(StatefulProcessor):
             value = Decimal(r.value).quantize(_Q8)
             if r.kind == "input":
                 ref = (r.prev_tx_id, int(r.prev_output_index))
-                if self.utxos.containsKey(ref):
-                    spent_value, _t = self.utxos.getValue(ref)
-                    self.utxos.removeKey(ref)
-                    balance -= Decimal(spent_value)
+                item = utxos.get(ref)
+                if item is not None:
+                    utxos.remove(ref)
+                    balance -= Decimal(item[0])
                     count -= 1
-                else:
-                    self.pending.updateValue(ref, (True,))
+                elif pending.get(ref) is None:
+                    pending.put(ref, (True,))
+                    n_pending += 1
             else:
                 ref = (r.tx_id, int(r.output_index))
-                if self.pending.containsKey(ref):
-                    self.pending.removeKey(ref)
+                if pending.get(ref) is not None:
+                    pending.remove(ref)
+                    n_pending -= 1
                 else:
-                    if not self.utxos.containsKey(ref):
+                    if utxos.get(ref) is None:
                         count += 1
-                    self.utxos.updateValue(ref, (value, ts))
+                    utxos.put(ref, (value, ts))
                     balance += value
 
             small = r.kind == "output" and value <= ceiling
@@ -135,7 +174,9 @@ class LedgerProcessor(StatefulProcessor):
                             "alert_type": "late_event", "severity": "low",
                             "details_json": _dumps({"watermark": watermark, "lateness_ms": watermark - ts})})
 
-        self.totals.update((balance, count))
+        utxos.flush()
+        pending.flush()
+        self.totals.update((balance, count, n_pending))
         self.recent.clear()
         if history:
             self.recent.put(history)
