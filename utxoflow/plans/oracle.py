@@ -165,6 +165,18 @@ fxb_metrics AS (
 """
 
 
+FXA_FAN_OUT = """
+SELECT tx_id || ':fanout' AS alert_id, 'fan_out' AS alert_type, 'medium' AS severity, timestamp AS timestamp_ms,
+       tx_id, coalesce(first_in, 'coinbase') AS address,
+       to_json({'output_count': output_count, 'total_output': CAST(total_output AS DOUBLE)}) AS details_json
+FROM fxa_tx WHERE output_count >= 8"""
+FXA_WHALE = """
+SELECT tx_id || ':whale' AS alert_id, 'whale_transaction' AS alert_type, 'high' AS severity,
+       timestamp AS timestamp_ms, tx_id, coalesce(first_out, 'unknown') AS address,
+       to_json({'total_output': CAST(total_output AS DOUBLE)}) AS details_json
+FROM fxa_tx WHERE total_output >= 400000"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip().rstrip(",") for p in parts) + "\n"
 
@@ -199,16 +211,8 @@ FROM fxa_tx"""
 SELECT address, tx_id, timestamp, kind, pos, CAST(value AS DOUBLE) AS value, prev_tx_id, prev_output_index,
        output_index, source, coalesce(watermark_ms, -1) AS watermark
 FROM fxb_upd"""
-    q["alerts_fan_out"] = _with(FXA) + """
-SELECT tx_id || ':fanout' AS alert_id, 'fan_out' AS alert_type, 'medium' AS severity, timestamp AS timestamp_ms,
-       tx_id, coalesce(first_in, 'coinbase') AS address,
-       to_json({'output_count': output_count, 'total_output': CAST(total_output AS DOUBLE)}) AS details_json
-FROM fxa_tx WHERE output_count >= 8"""
-    q["alerts_whale"] = _with(FXA) + """
-SELECT tx_id || ':whale' AS alert_id, 'whale_transaction' AS alert_type, 'high' AS severity,
-       timestamp AS timestamp_ms, tx_id, coalesce(first_out, 'unknown') AS address,
-       to_json({'total_output': CAST(total_output AS DOUBLE)}) AS details_json
-FROM fxa_tx WHERE total_output >= 400000"""
+    q["alerts_fan_out"] = _with(FXA) + FXA_FAN_OUT
+    q["alerts_whale"] = _with(FXA) + FXA_WHALE
     q["metrics_table"] = _with(FXB) + """
 SELECT metric_type, timestamp AS timestamp_ms, source, tx_id, '' AS address,
        to_json({'metric_type': metric_type, 'tx_id': tx_id, 'timestamp': timestamp, 'ingest_time': ingest_time,
@@ -311,6 +315,7 @@ FROM fxb_metrics WHERE CAST(tx_id AS BIGINT) % 97 <> 0"""
 SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id % 97 = 0"""
     q["stream_balances"] = q["balance_updates"]
     q["stream_latest_balance"] = q["latest_balance"]
+    q["stream_tx_alerts"] = _with(FXA) + FXA_FAN_OUT + "\nUNION ALL\n" + FXA_WHALE
     q["stream_alerts"] = _with(FXB) + """
 SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring"""
     q["stream_tx_volume"] = _with(FXB) + """

@@ -14,21 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utxoflow.operators.scan import quantile_bounds, range_bucket
-from utxoflow.plans.fixtures import FXB_OPTIONS
-from utxoflow.plans.tables import fx_b_table
+from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS
+from utxoflow.plans.tables import fx_a_table, fx_b_table
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import read_latest
 from utxoflow.streaming.pipeline import (drain, read_transaction_files, read_volume,
-                                         start_addr_query, start_volume_query)
+                                         start_addr_query, start_tx_query, start_volume_query)
 
 STREAM_BATCHES = 4
 TRIGGER = {"processingTime": "200 milliseconds"}
 
 
-def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES) -> str:
-    """Write FX-B in arrival order as ``batches`` files; return the run folder."""
+def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES,
+                   tx: DataFrame | None = None) -> str:
+    """Write canonical transactions (FX-B by default) in arrival order as
+    ``batches`` files, one per quantile range of ``arrival_ms``; return the
+    run folder."""
     run = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    tx = fx_b_table(spark, sf_dir)
+    tx = fx_b_table(spark, sf_dir) if tx is None else tx
     bounds = quantile_bounds(tx, "arrival_ms", batches)
     staged = f"{run}/staged"
     (tx.withColumn("_b", range_bucket(F.col("arrival_ms"), bounds))
@@ -71,6 +74,17 @@ def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_volume(spark, f"{run}/out")
 
 
+def stream_tx_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-tx over FX-A delivered as files: the fan-out and whale alerts it
+    writes (stateless, so identical to the batch rules)."""
+    run = stream_fixture(spark, sf_dir, tx=fx_a_table(spark, sf_dir))
+    q = start_tx_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt",
+                       FXA_OPTIONS, trigger=TRIGGER)
+    drain(q)
+    return (spark.read.parquet(f"{run}/out/alerts_tx")
+                 .select("alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"))
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 in streaming form: the latest-balance change log read back."""
     run = _run_addr(spark, sf_dir)
@@ -79,6 +93,7 @@ def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_latest_balance": stream_latest_balance,
+    "stream_tx_alerts": stream_tx_alerts,
     "stream_balances": stream_balances,
     "stream_alerts": stream_alerts,
     "stream_tx_volume": stream_tx_volume,

@@ -34,21 +34,21 @@ def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tx_i
 
 def write_table(df: DataFrame, path: str, batch_id: int | None = None,
                 time_col: str = "timestamp_ms", sort_cols: tuple[str, ...] = ()) -> None:
-    """K4-K8: append to a Parquet table partitioned by ``event_date`` (and by
-    ``batch_id`` when given).  Dynamic partition overwrite makes a replayed
-    micro-batch replace exactly its own partitions: idempotent delivery."""
+    """K4-K8: Parquet table partitioned by ``event_date``.
+
+    With ``batch_id`` (streaming, K8) each micro-batch owns the folder
+    ``batch_id=N`` and overwrites it as a whole: a replayed batch replaces
+    exactly its own rows, and readers see ``batch_id`` as a partition column.
+    Without it the rows are appended."""
     out = df.withColumn("event_date", F.to_date(F.timestamp_millis(F.col(time_col))))
-    parts = ["event_date"]
-    if batch_id is not None:
-        out = out.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        parts.append("batch_id")
-    # No repartition by the partition columns: one day of data must not land
-    # in one writer task.  Sorting within tasks keeps one open file per
-    # partition per task.
-    out = out.sortWithinPartitions(*parts, *sort_cols)
-    (out.write.mode("overwrite" if batch_id is not None else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts).parquet(path))
+    # REBALANCE on the partition column: AQE gathers each day into a few
+    # right-sized files (no tasks x days file explosion) and splits a skewed
+    # day over several tasks instead of one writer.
+    out = out.hint("rebalance", "event_date").sortWithinPartitions("event_date", *sort_cols)
+    if batch_id is None:
+        out.write.mode("append").partitionBy("event_date").parquet(path)
+    else:
+        out.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={int(batch_id)}")
 
 
 def table_writer(path: str, sort_cols: tuple[str, ...] = ()):
