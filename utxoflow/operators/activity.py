@@ -145,23 +145,37 @@ def activity_counts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     return grouped.mapInPandas(_counter(opts), schema=COUNT_SCHEMA)
 
 
-def velocity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    a = alert_struct(
+def _velocity(opts: LedgerOptions):
+    return alert_struct(
         F.concat_ws(":", "tx_id", "address", F.lit("velocity")), "velocity_spike", "medium",
         F.col("timestamp"), F.col("tx_id"), F.col("address"),
         F.struct(F.col("velocity_count").alias("events_in_window"),
                  F.lit(int(opts.velocity_window_ms)).cast("long").alias("window_ms")))
-    return counts.filter(F.col("velocity_count") >= opts.velocity_count).select(a.alias("a")).select("a.*")
 
 
-def structuring_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    a = alert_struct(
+def _structuring(opts: LedgerOptions):
+    return alert_struct(
         F.concat_ws(":", "tx_id", "address", F.lit("structuring")), "structuring", "high",
         F.col("timestamp"), F.col("tx_id"), F.col("address"),
         F.struct(F.col("structuring_count").alias("events_in_window"),
                  F.lit(int(opts.structuring_window_ms)).cast("long").alias("window_ms"),
                  F.lit(float(opts.structuring_ceiling)).alias("ceiling")))
-    return counts.filter(F.col("structuring_count") >= opts.structuring_count).select(a.alias("a")).select("a.*")
+
+
+def velocity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+    return counts.filter(F.col("velocity_count") >= opts.velocity_count).select(_velocity(opts).alias("a")).select("a.*")
+
+
+def structuring_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+    return (counts.filter(F.col("structuring_count") >= opts.structuring_count)
+                  .select(_structuring(opts).alias("a")).select("a.*"))
+
+
+def activity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+    """A3 + A4 from one pass over the counts (no second pandas pass)."""
+    both = F.array(F.when(F.col("velocity_count") >= opts.velocity_count, _velocity(opts)),
+                   F.when(F.col("structuring_count") >= opts.structuring_count, _structuring(opts)))
+    return counts.select(F.explode(F.filter(both, lambda a: a.isNotNull())).alias("a")).select("a.*")
 
 
 def late_alerts(upd: DataFrame) -> DataFrame:
@@ -176,7 +190,4 @@ def late_alerts(upd: DataFrame) -> DataFrame:
 
 
 def state_alerts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    counts = activity_counts(led, opts)
-    return (velocity_alerts(counts, opts)
-            .unionByName(structuring_alerts(counts, opts))
-            .unionByName(late_alerts(led)))
+    return activity_alerts(activity_counts(led, opts), opts).unionByName(late_alerts(led))
