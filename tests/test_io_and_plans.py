@@ -102,3 +102,15 @@ def test_events_scan_prunes_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
     js = json.dumps({"ok": True})
     assert js
+
+
+def test_archive_written_as_json_objects_by_height_bucket(spark):
+    from utxoflow.sinks import archive_blocks, write_archive
+
+    raw = spark.createDataFrame([('{"height": 5, "v": 1}', 1), ('{"height": 1500, "v": 2}', 2),
+                                 ('{"height": 5, "v": 3}', 3)], "value string, offset long")
+    arch, _ = archive_blocks(raw)
+    path = f"{checkpoint_dir(spark)}/archive-{uuid.uuid4().hex}"
+    write_archive(arch, path)
+    back = {r.object_key: (r.height_bucket, json.loads(r.raw)["v"]) for r in spark.read.json(path).collect()}
+    assert back == {"5.json": (0, 3), "1500.json": (1, 2)}

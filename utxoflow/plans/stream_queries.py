@@ -18,7 +18,7 @@ from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS
 from utxoflow.plans.tables import fx_a_table, fx_b_table
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import read_latest
-from utxoflow.streaming.pipeline import (drain, read_transaction_files, read_volume,
+from utxoflow.streaming.pipeline import (drain, read_alert_rates, read_transaction_files, read_volume,
                                          start_addr_query, start_tx_query, start_volume_query)
 
 STREAM_BATCHES = 4
@@ -85,6 +85,14 @@ def stream_tx_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .select("alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"))
 
 
+def stream_alert_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 from the stream's per-batch partial counts (velocity and
+    structuring; late flags are micro-batch granular in streams)."""
+    run = _run_addr(spark, sf_dir)
+    return (read_alert_rates(spark, f"{run}/out")
+            .filter(F.col("alert_type").isin("velocity_spike", "structuring")))
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 in streaming form: the latest-balance change log read back."""
     run = _run_addr(spark, sf_dir)
@@ -94,6 +102,7 @@ def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_latest_balance": stream_latest_balance,
     "stream_tx_alerts": stream_tx_alerts,
+    "stream_alert_rates": stream_alert_rates,
     "stream_balances": stream_balances,
     "stream_alerts": stream_alerts,
     "stream_tx_volume": stream_tx_volume,

@@ -51,6 +51,17 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
         out.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={int(batch_id)}")
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+               batch_size: int = 10_000, partitions: int | None = None) -> None:
+    """K4-K7 into a SQL store (the reference's column store) through JDBC:
+    executors insert in parallel, ``batch_size`` rows per round trip.  Not
+    idempotent by itself; pair it with ``batch_id``-keyed dedupe on the
+    table side (as ReplacingMergeTree would)."""
+    out = df.repartition(partitions) if partitions else df
+    (out.write.mode("append").option("batchsize", batch_size)
+        .jdbc(url, table, properties=properties or {}))
+
+
 def table_writer(path: str, sort_cols: tuple[str, ...] = ()):
     """``foreachBatch`` callback writing each micro-batch idempotently."""
     def write(batch: DataFrame, batch_id: int) -> None:

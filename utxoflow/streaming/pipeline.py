@@ -74,6 +74,7 @@ def _addr_writer(out_path: str):
             write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id)
             write_table(alerts, f"{out_path}/alerts", batch_id=batch_id)
             write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
+            write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id)
         finally:
             batch.unpersist()
     return write
@@ -99,6 +100,22 @@ def _volume_writer(out_path: str):
     return write
 
 
+def write_alert_counts(alerts: DataFrame, path: str, batch_id: int) -> None:
+    """D6 in streaming form: this batch's alerts per (minute, type), written
+    as partition ``batch_id`` (a replay rewrites it); ``read_alert_rates``
+    adds the partial counts up.  Work per batch is proportional to the batch."""
+    (alerts.groupBy(ms_to_minute("timestamp_ms").alias("minute"), "alert_type")
+           .agg(F.count(F.lit(1)).alias("total"))
+           .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch_id").parquet(path))
+
+
+def read_alert_rates(spark: SparkSession, out_path: str) -> DataFrame:
+    return (spark.read.parquet(f"{out_path}/alert_counts")
+                 .groupBy("minute", "alert_type").agg(F.sum("total").alias("total")))
+
+
 def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
                      opts: LedgerOptions = DEFAULT, trigger: dict | None = None) -> StreamingQuery:
     w = ledger_stream(with_event_watermark(tx, opts), opts).writeStream.foreachBatch(_addr_writer(out_path))
