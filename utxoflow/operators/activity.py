@@ -101,22 +101,22 @@ def _counter(opts: LedgerOptions):
         return out
 
     def run(batches):
-        # Rows arrive sorted by (address, chunk, arrival order); a group may
-        # straddle Arrow batches, so the last group of a batch is carried over.
+        # Rows arrive sorted by (address, chunk, arrival order).  A row's
+        # counts depend only on earlier rows of its group, so every batch is
+        # emitted at once; only the rows of the last group that can still be
+        # in a later row's buffer (M >= M_last - W) are carried forward, as
+        # context.  Memory is bounded by the buffer, not by the group.
         carry = None
         for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if len(pdf) == 0:
                 continue
-            addr, chunk = pdf["address"].to_numpy(), pdf["_chunk"].to_numpy()
-            tail = (addr == addr[-1]) & (chunk == chunk[-1])
-            cut = len(pdf) - int(np.argmin(tail[::-1])) if not tail.all() else 0
-            carry = pdf.iloc[cut:]
-            if cut:
-                yield process(pdf.iloc[:cut].reset_index(drop=True))
-        if carry is not None and len(carry):
-            yield process(carry.reset_index(drop=True))
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            yield process(pdf)
+            addr, chunk, m = pdf["address"].to_numpy(), pdf["_chunk"].to_numpy(), pdf["max_ts"].to_numpy()
+            last = (addr == addr[-1]) & (chunk == chunk[-1]) & (m >= m[-1] - w)
+            carry = pdf.loc[last].copy()
+            carry["is_query"] = False
 
     return run
 

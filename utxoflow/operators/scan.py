@@ -111,26 +111,52 @@ def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
     return out.drop(*drop)
 
 
-def range_bucket(col: Column, bounds: list) -> Column:
-    """Index of the range of ``col`` given sorted distinct ``bounds``
-    (``b[i-1] <= col < b[i]`` -> i), as a balanced tree of comparisons:
-    O(log k) per row inside codegen, no join."""
+def range_bucket(cols: Column | list[Column], bounds: list) -> Column:
+    """Index of the range of a row given sorted distinct ``bounds``
+    (``b[i-1] <= row < b[i]`` -> i), as a balanced tree of comparisons:
+    O(log k) per row inside codegen, no join.  With two columns a bound is
+    ``(a, s)`` compared lexicographically; ``(a, None)`` is the start of ``a``."""
+    cols = cols if isinstance(cols, list) else [cols]
+
+    def below(b) -> Column:
+        if len(cols) == 1:
+            return cols[0] < F.lit(b)
+        a, s = b
+        if s is None:
+            return cols[0] < F.lit(a)
+        return (cols[0] < F.lit(a)) | ((cols[0] == F.lit(a)) & (cols[1] < F.lit(s)))
+
     def tree(lo: int, hi: int) -> Column:  # answer in [lo, hi]
         if lo == hi:
             return F.lit(lo)
-        mid = (lo + hi + 1) // 2  # col >= bounds[mid-1] -> answer >= mid
-        return F.when(col < F.lit(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
+        mid = (lo + hi + 1) // 2  # row >= bounds[mid-1] -> answer >= mid
+        return F.when(below(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
     return tree(0, len(bounds)).cast("int")
 
 
-def quantile_bounds(df: DataFrame, col: str, buckets: int) -> list:
+def quantile_bounds(df: DataFrame, col: str, buckets: int, tie_col: str | None = None) -> list:
     """At most ``buckets - 1`` distinct approximate quantiles of ``col`` (one
-    small aggregation; the driver receives a bounded array)."""
+    small aggregation; the driver receives a bounded array).
+
+    With ``tie_col``, a value of ``col`` that fills more than one quantile
+    (a burst sharing one value) is split further at quantiles of ``tie_col``
+    among its rows (a second aggregation over at most ``buckets`` values), and
+    the bounds become ``(col, tie_col)`` pairs."""
     if buckets <= 1:
         return []
     qs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(col, qs, 10_000).alias("q")).first()
-    return sorted({int(v) for v in (row["q"] or []) if v is not None})
+    values = [int(v) for v in (row["q"] or []) if v is not None]
+    if tie_col is None:
+        return sorted(set(values))
+    heavy = sorted({v for v in values if values.count(v) > 1})
+    bounds = {(v, None) for v in values}
+    if heavy:
+        parts = (df.filter(F.col(col).isin(heavy)).groupBy(col)
+                   .agg(F.percentile_approx(tie_col, qs, 10_000).alias("q")).collect())
+        for r in parts:
+            bounds.update((int(r[0]), int(s)) for s in (r["q"] or []) if s is not None)
+    return sorted(bounds, key=lambda b: (b[0], -1 if b[1] is None else 0, b[1] or 0))
 
 
 def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
@@ -138,13 +164,15 @@ def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
     """Running max of ``value`` over the *whole* frame in ``order``.
 
     An unpartitioned window would move everything to one task.  Instead the
-    rows are cut into ``partitions`` ranges of the leading order column at its
-    approximate quantiles (balanced by rows), the running max is taken inside
+    rows are cut into ``partitions`` ranges of the order at approximate
+    quantiles (balanced by rows, bursts on one leading value split by the
+    second order column), the running max is taken inside
     each range, and the (at most ``partitions``) range maxima are
     prefix-scanned and broadcast back.  Buckets are a function of the row's
     values, so every branch of the plan assigns them identically."""
-    bounds = quantile_bounds(df, order[0], partitions)
-    ranged = df.withColumn("_rp", range_bucket(F.col(order[0]), bounds))
+    tie = order[1] if len(order) > 1 else None
+    bounds = quantile_bounds(df, order[0], partitions, tie)
+    ranged = df.withColumn("_rp", range_bucket([F.col(c) for c in order[:2]] if tie else F.col(order[0]), bounds))
     end = -1 if exclusive else Window.currentRow
     local = ranged.withColumn(
         "_lmax", F.max(value).over(Window.partitionBy("_rp").orderBy(*order)
