@@ -191,3 +191,9 @@ def late_alerts(upd: DataFrame) -> DataFrame:
 
 def state_alerts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     return activity_alerts(activity_counts(led, opts), opts).unionByName(late_alerts(led))
+
+
+# Worker code travels by value with the task (no package install needed).
+from utxoflow.session import pickle_by_value  # noqa: E402
+
+pickle_by_value(__name__)

@@ -26,6 +26,9 @@ class LedgerOptions:
     max_hot_keys: int = 10_000
     # Range partitions used for the global arrival-order watermark scan.
     watermark_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
+    # State / shuffle partitions of the streaming queries (the reference's
+    # job parallelism); fixed in the checkpoint at the first start.
+    stream_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
 
     @property
     def activity_window_ms(self) -> int:
@@ -36,3 +39,9 @@ class LedgerOptions:
 
 
 DEFAULT = LedgerOptions()
+
+
+# Worker code travels by value with the task (no package install needed).
+from utxoflow.session import pickle_by_value  # noqa: E402
+
+pickle_by_value(__name__)

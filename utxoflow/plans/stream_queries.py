@@ -22,6 +22,9 @@ from utxoflow.streaming.pipeline import (drain, read_alert_rates, read_transacti
                                          start_addr_query, start_tx_query, start_volume_query)
 
 STREAM_BATCHES = 4
+STREAM_PARTITIONS = 8
+FXB_STREAM = FXB_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
+FXA_STREAM = FXA_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
 TRIGGER = {"processingTime": "200 milliseconds"}
 
 
@@ -44,7 +47,7 @@ def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCH
 
 def _run_addr(spark: SparkSession, sf_dir: str) -> str:
     run = stream_fixture(spark, sf_dir)
-    q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", FXB_OPTIONS,
+    q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", FXB_STREAM,
                          trigger=TRIGGER)
     drain(q)
     return run
@@ -69,7 +72,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = stream_fixture(spark, sf_dir)
     q = start_volume_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt",
-                           trigger=TRIGGER)
+                           trigger=TRIGGER, partitions=STREAM_PARTITIONS)
     drain(q)
     return read_volume(spark, f"{run}/out")
 
@@ -79,7 +82,7 @@ def stream_tx_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     writes (stateless, so identical to the batch rules)."""
     run = stream_fixture(spark, sf_dir, tx=fx_a_table(spark, sf_dir))
     q = start_tx_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt",
-                       FXA_OPTIONS, trigger=TRIGGER)
+                       FXA_STREAM, trigger=TRIGGER)
     drain(q)
     return (spark.read.parquet(f"{run}/out/alerts_tx")
                  .select("alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"))

@@ -9,6 +9,7 @@ do we point it at a fresh temporary folder.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,3 +60,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+
+def pickle_by_value(module_name: str) -> None:
+    """Serialize a module's functions and classes by value in Spark's
+    cloudpickle, so Python workers (pandas steps, the stateful processor and
+    its driver-side runner) need no install of this package."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -15,6 +15,7 @@ or files).  Checkpoints live in the cluster's shared checkpoint folder.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,12 +117,39 @@ def read_alert_rates(spark: SparkSession, out_path: str) -> DataFrame:
                  .groupBy("minute", "alert_type").agg(F.sum("total").alias("total")))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _partitions(spark: SparkSession, n: int):
+    """Start a streaming query with ``n`` shuffle/state partitions: the query
+    copies the session conf when it starts, so the session is restored after."""
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store (state on local
+    disk, checkpointed incrementally); set it unless the session already does."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
                      opts: LedgerOptions = DEFAULT, trigger: dict | None = None) -> StreamingQuery:
+    use_rocksdb(tx.sparkSession)
     w = ledger_stream(with_event_watermark(tx, opts), opts).writeStream.foreachBatch(_addr_writer(out_path))
     if trigger:
         w = w.trigger(**trigger)
-    return w.option("checkpointLocation", f"{checkpoint}/q_addr").start()
+    with _partitions(tx.sparkSession, opts.stream_partitions):
+        return w.option("checkpointLocation", f"{checkpoint}/q_addr").start()
 
 
 def start_tx_query(tx: DataFrame, out_path: str, checkpoint: str,
@@ -129,17 +157,19 @@ def start_tx_query(tx: DataFrame, out_path: str, checkpoint: str,
     w = with_event_watermark(tx, opts).writeStream.foreachBatch(_tx_writer(out_path, opts))
     if trigger:
         w = w.trigger(**trigger)
-    return w.option("checkpointLocation", f"{checkpoint}/q_tx").start()
+    with _partitions(tx.sparkSession, opts.stream_partitions):
+        return w.option("checkpointLocation", f"{checkpoint}/q_tx").start()
 
 
 def start_volume_query(tx: DataFrame, out_path: str, checkpoint: str,
-                       trigger: dict | None = None) -> StreamingQuery:
+                       trigger: dict | None = None, partitions: int = 0) -> StreamingQuery:
     counts = (tx.groupBy(ms_to_minute("timestamp").alias("minute"))
                 .agg(F.count(F.lit(1)).alias("txs")))
     w = counts.writeStream.outputMode("update").foreachBatch(_volume_writer(out_path))
     if trigger:
         w = w.trigger(**trigger)
-    return w.option("checkpointLocation", f"{checkpoint}/q_volume").start()
+    with _partitions(tx.sparkSession, partitions):
+        return w.option("checkpointLocation", f"{checkpoint}/q_volume").start()
 
 
 def read_volume(spark: SparkSession, out_path: str) -> DataFrame:

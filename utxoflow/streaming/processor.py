@@ -189,3 +189,9 @@ class LedgerProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# Worker code travels by value with the task (no package install needed).
+from utxoflow.session import pickle_by_value  # noqa: E402
+
+pickle_by_value(__name__)
