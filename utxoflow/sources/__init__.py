@@ -38,12 +38,14 @@ def parse_transactions(raw: DataFrame, value_col: str = "value",
     text instead of failing the job.  String digit timestamps are accepted.
     ``arrival_ms``/``offset`` columns of ``raw`` become the arrival order."""
     cols = raw.columns
-    parsed = raw.select(
-        F.col(value_col).alias("_raw"),
-        F.from_json(F.col(value_col), RAW_TRANSACTION, {"mode": "PERMISSIVE"}).alias("j"),
-        (F.col("arrival_ms") if "arrival_ms" in cols else F.lit(None).cast("long")).alias("arrival_ms"),
-        (F.col("offset") if "offset" in cols else F.lit(None).cast("long")).alias("seq"),
-    )
+    j = F.from_json(F.col(value_col), RAW_TRANSACTION, {"mode": "PERMISSIVE"})
+    # Without transport coordinates (plain files) the arrival order is the
+    # ingestion stamp, ties broken by a deterministic hash of the id.
+    arrival = F.col("arrival_ms") if "arrival_ms" in cols else F.expr("try_cast(j.ingest_time AS BIGINT)")
+    seq = F.col("offset") if "offset" in cols else F.xxhash64(F.col("j.tx_id"))
+    keep = [c for c in ("arrival_ms", "offset") if c in cols]
+    parsed = raw.select(F.col(value_col).alias("_raw"), j.alias("j"), *keep).select(
+        "_raw", "j", arrival.alias("arrival_ms"), seq.alias("seq"))
     ts = F.coalesce(F.expr("try_cast(j.timestamp AS BIGINT)"),
                     F.expr("try_cast(try_cast(j.timestamp AS DOUBLE) AS BIGINT)"))
     ok = F.col("j").isNotNull() & F.col("j.tx_id").isNotNull() & ts.isNotNull()
@@ -78,8 +80,7 @@ def read_transactions(spark: SparkSession, kind: str, **opts) -> DataFrame:
         reader = spark.readStream if streaming else spark.read
         for k, v in opts.get("options", {}).items():
             reader = reader.option(k, v)
-        text = reader.text(opts["path"])
-        tx, _bad = parse_transactions(text.withColumnRenamed("value", "value"))
+        tx, _bad = parse_transactions(reader.text(opts["path"]))
         return tx
     if kind == "kafka":
         raw = read_kafka_text(spark, opts["servers"], opts["topic"], streaming)
