@@ -35,12 +35,14 @@ def select_coins(utxos: DataFrame, targets: DataFrame, opts: LedgerOptions = DEF
     b, hot = with_buckets(u, "address", "_neg", opts)
     order = ["_neg", "tx_id", "output_index"]
     run = prefix_scan(b, "address", order, hot, sums={"running": F.col("value").cast(MONEY_SUM)})
-    total = run.groupBy("address").agg(F.sum("value").alias("_total"))
-    # A row is needed iff the sum *before* it is still short of the target.
-    return (run.join(total, "address")
-               .filter((F.col("_total") >= F.col("target")) & (F.col("running") - F.col("value") < F.col("target")))
-               .select("address", "tx_id", "output_index", "value", F.col("running").cast("double").alias("running"),
-                       "target"))
+    # A row is needed iff the sum *before* it is still short of the target;
+    # an address is covered iff one row crosses the target (at most one per
+    # address), so no separate total is needed.
+    short_before = (F.col("running") - F.col("value")) < F.col("target")
+    crossing = run.filter(short_before & (F.col("running") >= F.col("target"))).select("address")
+    return (run.filter(short_before).join(crossing, "address", "left_semi")
+               .select("address", "tx_id", "output_index", "value",
+                       F.col("running").cast("double").alias("running"), "target"))
 
 
 def pattern_mix(tx: DataFrame) -> DataFrame:

@@ -180,7 +180,8 @@ def balance_updates_final(spark, sf):
 
 def coin_selection(spark, sf):
     snap = ledger.utxo_snapshot(_upd_b(spark, sf))
-    targets = snap.select("address").distinct().withColumn("target", F.lit(COIN_TARGET))
+    targets = (table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("address"))
+               .distinct().withColumn("target", F.lit(COIN_TARGET)))
     return reaimed.select_coins(snap, targets, FXB_OPTIONS)
 
 
