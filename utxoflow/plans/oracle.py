@@ -315,6 +315,8 @@ FROM fxb_metrics WHERE CAST(tx_id AS BIGINT) % 97 <> 0"""
 SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id % 97 = 0"""
     q["stream_balances"] = q["balance_updates"]
     q["stream_latest_balance"] = q["latest_balance"]
+    q["stream_utxo_snapshot"] = q["utxo_snapshot"]
+    q["stream_pending_spends"] = q["pending_spends_double"]
     q["stream_alert_rates"] = _with(FXB) + """
 SELECT timestamp_ms - timestamp_ms % 60000 AS minute, alert_type, count(*) AS total
 FROM (SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring)

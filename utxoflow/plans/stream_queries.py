@@ -18,7 +18,8 @@ from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS
 from utxoflow.plans.tables import fx_a_table, fx_b_table
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import read_latest
-from utxoflow.streaming.pipeline import (drain, read_alert_rates, read_transaction_files, read_volume,
+from utxoflow.streaming.pipeline import (drain, read_alert_rates, read_state_pending, read_state_utxos,
+                                         read_transaction_files, read_volume,
                                          start_addr_query, start_tx_query, start_volume_query)
 
 STREAM_BATCHES = 4
@@ -45,8 +46,8 @@ def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCH
     return run
 
 
-def _run_addr(spark: SparkSession, sf_dir: str) -> str:
-    run = stream_fixture(spark, sf_dir)
+def _run_addr(spark: SparkSession, sf_dir: str, variant: str | None = None) -> str:
+    run = stream_fixture(spark, sf_dir, tx=fx_b_table(spark, sf_dir, variant))
     q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", FXB_STREAM,
                          trigger=TRIGGER)
     drain(q)
@@ -96,6 +97,18 @@ def stream_alert_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .filter(F.col("alert_type").isin("velocity_spike", "structuring")))
 
 
+def stream_utxo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 in streaming form: the unspent set read from the query's state."""
+    run = _run_addr(spark, sf_dir)
+    return read_state_utxos(spark, f"{run}/ckpt")
+
+
+def stream_pending_spends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 in streaming form over FX-B-double (double spends), from the state."""
+    run = _run_addr(spark, sf_dir, "double")
+    return read_state_pending(spark, f"{run}/ckpt")
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 in streaming form: the latest-balance change log read back."""
     run = _run_addr(spark, sf_dir)
@@ -106,6 +119,8 @@ STREAM_QUERIES = {
     "stream_latest_balance": stream_latest_balance,
     "stream_tx_alerts": stream_tx_alerts,
     "stream_alert_rates": stream_alert_rates,
+    "stream_utxo_snapshot": stream_utxo_snapshot,
+    "stream_pending_spends": stream_pending_spends,
     "stream_balances": stream_balances,
     "stream_alerts": stream_alerts,
     "stream_tx_volume": stream_tx_volume,

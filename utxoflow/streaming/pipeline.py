@@ -178,6 +178,23 @@ def read_volume(spark: SparkSession, out_path: str) -> DataFrame:
                  .groupBy("minute").agg(F.max_by("txs", "batch_id").alias("txs")))
 
 
+def read_state_utxos(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """L7 (streaming): the unspent set straight from the stateful query's
+    checkpoint (state data source over the ``utxos`` map state)."""
+    st = spark.read.format("statestore").option("stateVarName", "utxos").load(f"{checkpoint}/q_addr")
+    return st.select(F.col("key.address").alias("address"), F.col("user_map_key.tx_id").alias("tx_id"),
+                     F.col("user_map_key.output_index").alias("output_index"),
+                     F.col("user_map_value.value").cast("double").alias("value"),
+                     F.col("user_map_value.timestamp").alias("timestamp"))
+
+
+def read_state_pending(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """L8 (streaming): pending spends from the checkpointed ``pending`` map state."""
+    st = spark.read.format("statestore").option("stateVarName", "pending").load(f"{checkpoint}/q_addr")
+    return st.select(F.col("key.address").alias("address"), F.col("user_map_key.tx_id").alias("prev_tx_id"),
+                     F.col("user_map_key.output_index").alias("prev_output_index"))
+
+
 def drain(query: StreamingQuery, timeout_s: float = 600.0, poll_s: float = 0.5) -> None:
     """Process everything available, then stop (bounded wait).
 
