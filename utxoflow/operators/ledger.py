@@ -121,3 +121,37 @@ def pending_spends(upd: DataFrame) -> DataFrame:
     after = F.col("out").isNotNull() & (F.col("first_in") > F.col("out.o")) & (F.col("n_in") >= 2)
     return (s.filter(no_out | before | after)
              .select("address", F.col("ref_tx").alias("prev_tx_id"), F.col("ref_idx").alias("prev_output_index")))
+
+
+def ledger_state(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+    """The ledger's final per-address state in the layout of the streaming
+    processor's initial state: ``totals`` (balance, counts), ``utxo`` and
+    ``pending`` entries, and the ``recent`` activity buffer (rows with
+    ``max_ts >= final max_ts - W``).  Lets a stream continue a batch backfill."""
+    led = ledger(upd, opts)
+    s = _key_summary(upd)
+    n_pend = pending_spends(upd).groupBy("address").agg(F.count(F.lit(1)).alias("pending_count"))
+    last = led.groupBy("address").agg(
+        F.max_by(F.struct("balance", "utxo_count"), _ord()).alias("t"), F.max("max_ts").alias("_m"))
+    nul = {c: F.lit(None).cast(t) for c, t in [
+        ("balance", MONEY), ("utxo_count", "long"), ("pending_count", "long"), ("tx_id", "string"),
+        ("output_index", "int"), ("value", MONEY), ("timestamp", "long"), ("small", "boolean"),
+        ("arrival_ms", "long"), ("seq", "long"), ("pos", "int")]}
+
+    def shape(df: DataFrame, part: str, **cols) -> DataFrame:
+        return df.select("address", F.lit(part).alias("part"),
+                         *[(cols[c] if c in cols else nul[c]).alias(c) for c in nul])
+
+    totals = shape(last.join(n_pend, "address", "left"), "totals",
+                   balance=F.col("t.balance"), utxo_count=F.col("t.utxo_count"),
+                   pending_count=F.coalesce(F.col("pending_count"), F.lit(0)).cast("long"))
+    utxos = shape(s.filter(F.col("out").isNotNull() & (F.col("n_in") == 0)), "utxo",
+                  tx_id=F.col("ref_tx"), output_index=F.col("ref_idx"), value=F.col("out.v"),
+                  timestamp=F.col("out.t"))
+    pend = shape(pending_spends(upd), "pending", tx_id=F.col("prev_tx_id"), output_index=F.col("prev_output_index"))
+    small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))
+    recent = shape(led.join(last.select("address", "_m"), "address")
+                      .filter(F.col("max_ts") >= F.col("_m") - F.lit(int(opts.activity_window_ms))),
+                   "recent", timestamp=F.col("timestamp"), small=small, arrival_ms=F.col("arrival_ms"),
+                   seq=F.col("seq"), pos=F.col("pos"))
+    return totals.unionByName(utxos).unionByName(pend).unionByName(recent)

@@ -48,13 +48,16 @@ def with_event_watermark(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFr
                           opts.late_tolerance_ms)
 
 
-def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    """L1-L6 + A3-A5 on a (watermarked) stream of canonical transactions."""
+def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
+    """L1-L6 + A3-A5 on a (watermarked) stream of canonical transactions;
+    ``initial`` (``ledger.ledger_state`` of a batch backfill) seeds the state."""
     upd = address_updates(tx).select(*UPDATE_INPUT)
+    init = initial.groupBy("address") if initial is not None else None
     return (upd.groupBy("address")
                .transformWithStateInPandas(statefulProcessor=LedgerProcessor(opts),
                                            outputStructType=OUTPUT_SCHEMA,
-                                           outputMode="Append", timeMode="ProcessingTime"))
+                                           outputMode="Append", timeMode="ProcessingTime",
+                                           initialState=init))
 
 
 def split_output(out: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -143,9 +146,10 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
-                     opts: LedgerOptions = DEFAULT, trigger: dict | None = None) -> StreamingQuery:
+                     opts: LedgerOptions = DEFAULT, trigger: dict | None = None,
+                     initial: DataFrame | None = None) -> StreamingQuery:
     use_rocksdb(tx.sparkSession)
-    w = ledger_stream(with_event_watermark(tx, opts), opts).writeStream.foreachBatch(_addr_writer(out_path))
+    w = ledger_stream(with_event_watermark(tx, opts), opts, initial).writeStream.foreachBatch(_addr_writer(out_path))
     if trigger:
         w = w.trigger(**trigger)
     with _partitions(tx.sparkSession, opts.stream_partitions):

@@ -99,7 +99,7 @@ class LedgerProcessor(StatefulProcessor):
         self.utxos = handle.getMapState("utxos", "tx_id string, output_index int",
                                         "value decimal(18,8), timestamp long")
         self.pending = handle.getMapState("pending", "tx_id string, output_index int", "seen boolean")
-        self.recent = handle.getListState("recent", "timestamp long, small boolean")
+        self.recent = handle.getListState("recent", "timestamp long, small boolean, arrival_ms long, seq long, pos int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         o = self.opts
@@ -115,7 +115,7 @@ class LedgerProcessor(StatefulProcessor):
             balance, count, n_pending = Decimal(0), 0, 0
         utxos = _MapView(self.utxos, bulk=len(batch) * 2 >= count and count > 0)
         pending = _MapView(self.pending, bulk=len(batch) * 2 >= n_pending and n_pending > 0)
-        history = [(int(t), bool(s)) for t, s in self.recent.get()] if self.recent.exists() else []
+        history = [tuple(h) for h in self.recent.get()] if self.recent.exists() else []
         ceiling = Decimal(str(o.structuring_ceiling))
         window = o.activity_window_ms
         out = []
@@ -145,13 +145,13 @@ class LedgerProcessor(StatefulProcessor):
                     balance += value
 
             small = r.kind == "output" and value <= ceiling
-            history.append((ts, small))
+            order = (int(r.arrival_ms), int(r.seq), int(r.pos))
+            history.append((ts, small, *order))
             while history and ts - history[0][0] > window:
                 history.pop(0)
-            velocity = sum(1 for t, _s in history if ts - t <= o.velocity_window_ms)
-            structuring = sum(1 for t, s in history if s and ts - t <= o.structuring_window_ms)
+            velocity = sum(1 for h in history if ts - h[0] <= o.velocity_window_ms)
+            structuring = sum(1 for h in history if h[1] and ts - h[0] <= o.structuring_window_ms)
 
-            order = (int(r.arrival_ms), int(r.seq), int(r.pos))
             # Every output row carries the balance state after the update (no
             # nulls in numeric columns: nullable ints do not round-trip Arrow).
             base = {"address": address, "tx_id": r.tx_id, "timestamp_ms": ts, "source": r.source,
@@ -187,6 +187,28 @@ class LedgerProcessor(StatefulProcessor):
             frame[c] = frame[c].astype(object).where(frame[c].notna(), None)
         yield frame
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Start from a batch-computed ledger (``ledger_state``).  May be
+        called several times per key (one call per chunk): every part is
+        merged, and the activity buffer is kept in arrival order."""
+        for part, g in initialState.groupby("part"):
+            if part == "totals":
+                r = g.iloc[-1]
+                self.totals.update((Decimal(r["balance"]), int(r["utxo_count"]), int(r["pending_count"])))
+            elif part == "utxo":
+                for r in g.itertuples(index=False):
+                    self.utxos.updateValue((r.tx_id, int(r.output_index)), (Decimal(r.value), int(r.timestamp)))
+            elif part == "pending":
+                for r in g.itertuples(index=False):
+                    self.pending.updateValue((r.tx_id, int(r.output_index)), (True,))
+            elif part == "recent":
+                old = [tuple(h) for h in self.recent.get()] if self.recent.exists() else []
+                new = [(int(r.timestamp), bool(r.small), int(r.arrival_ms), int(r.seq), int(r.pos))
+                       for r in g.itertuples(index=False)]
+                merged = sorted(old + new, key=lambda h: (h[2], h[3], h[4]))
+                self.recent.clear()
+                self.recent.put(merged)
+
     def close(self) -> None:
         pass
 
