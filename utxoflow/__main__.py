@@ -1,7 +1,7 @@
 """``python -m utxoflow batch|stream`` -- run the pipeline on a source.
 
   batch  --source parquet|json|kafka --path P --out OUT
-  stream --source parquet|json|kafka --path P --out OUT --checkpoint CK
+  stream --source parquet|json|kafka --path P --out OUT --checkpoint CK [--initial-state S]
 Kafka takes --servers and --topic instead of --path.  Options of
 ``LedgerOptions`` are passed as --late-tolerance-ms 30000 etc.
 """
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
     ap.add_argument("--trigger-ms", type=int)
+    ap.add_argument("--initial-state", help="ledger_state folder of a batch run to continue from")
     for f in dataclasses.fields(DEFAULT):
         ap.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
     a = ap.parse_args(argv)
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         if not a.checkpoint:
             ap.error("stream needs --checkpoint")
-        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, a.trigger_ms):
+        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, a.trigger_ms, a.initial_state):
             print("started", q.id)
         spark.streams.awaitAnyTermination()
 

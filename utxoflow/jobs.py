@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from utxoflow.operators.ledger import balance_rows
+from utxoflow.operators.ledger import balance_rows, ledger_state
+from utxoflow.operators.updates import address_updates
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.plans.pipeline import run_batch
 from utxoflow.sinks import write_table
@@ -15,18 +16,25 @@ from utxoflow.streaming.pipeline import start_addr_query, start_tx_query
 def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT) -> dict[str, str]:
     """Canonical transactions -> the four analytic tables + latest balances."""
     res = run_batch(tx, opts, materialize=True)
-    paths = {n: f"{out}/{n}" for n in ("transactions", "metrics", "alerts", "balance_updates", "latest_balances")}
+    paths = {n: f"{out}/{n}" for n in ("transactions", "metrics", "alerts", "balance_updates", "latest_balances",
+                                         "ledger_state")}
     write_table(res.transaction_rows, paths["transactions"], sort_cols=("timestamp_ms", "tx_id"))
     write_table(res.metric_rows, paths["metrics"], sort_cols=("timestamp_ms", "metric_type", "tx_id"))
     write_table(res.alerts, paths["alerts"], sort_cols=("timestamp_ms", "alert_id"))
     write_table(balance_rows(res.ledger), paths["balance_updates"], sort_cols=("address", "timestamp_ms"))
     res.latest.write.mode("overwrite").parquet(paths["latest_balances"])
+    # The final ledger state, from which a stream can continue (stream_job).
+    ledger_state(address_updates(res.transactions), opts).write.mode("overwrite").parquet(paths["ledger_state"])
     return paths
 
 
 def stream_job(spark: SparkSession, tx: DataFrame, out: str, checkpoint: str,
-               opts: LedgerOptions = DEFAULT, trigger_ms: int | None = None):
-    """Q-tx and Q-addr on one streaming source; returns the two queries."""
+               opts: LedgerOptions = DEFAULT, trigger_ms: int | None = None,
+               initial_state: str | None = None):
+    """Q-tx and Q-addr on one streaming source; returns the two queries.
+    ``initial_state``: a ``ledger_state`` folder written by ``batch_job``
+    (used on the first start; later starts resume from the checkpoint)."""
     trigger = {"processingTime": f"{int(trigger_ms)} milliseconds"} if trigger_ms else None
+    init = spark.read.parquet(initial_state) if initial_state else None
     return (start_tx_query(tx, out, checkpoint, opts, trigger=trigger),
-            start_addr_query(tx, out, checkpoint, opts, trigger=trigger))
+            start_addr_query(tx, out, checkpoint, opts, trigger=trigger, initial=init))
