@@ -159,6 +159,44 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int, tie_col: str | None =
     return sorted(bounds, key=lambda b: (b[0], -1 if b[1] is None else 0, b[1] or 0))
 
 
+MAX_TIE_BOUNDS = 256  # comparison-tree size for bursts on one leading value
+
+
+def with_range_buckets(df: DataFrame, order: list[str], bounds: list, name: str = "_rp") -> DataFrame:
+    """Bucket id (a bigint increasing with ``order``) for quantile ``bounds``.
+
+    Leading-column bounds go through ``Bucketizer`` (a JVM binary search, so
+    tens of thousands of bounds cost O(log k) per row with no plan blow-up).
+    Bursts -- bounds ``(a, s)`` on a single leading value -- add a small tree
+    on the second column; at most ``MAX_TIE_BOUNDS`` of them are kept (fewer
+    only makes a burst bucket coarser, never changes results)."""
+    from pyspark.ml.feature import Bucketizer
+
+    ties = [b for b in bounds if isinstance(b, tuple) and b[1] is not None]
+    # A burst value gets a leading bucket of its own ([a, a + 1) on integer
+    # values), so the rows after it never share its sub-buckets.
+    lead_vals = sorted({b[0] if isinstance(b, tuple) else b for b in bounds} | {a + 1 for a, _s in ties})
+    if len(ties) > MAX_TIE_BOUNDS:
+        step = len(ties) / MAX_TIE_BOUNDS
+        ties = [ties[int(i * step)] for i in range(MAX_TIE_BOUNDS)]
+    out = df.withColumn("_lead_d", F.col(order[0]).cast("double"))
+    if lead_vals:
+        splits = [float("-inf"), *[float(v) for v in lead_vals], float("inf")]
+        out = Bucketizer(splits=splits, inputCol="_lead_d", outputCol="_lead_b", handleInvalid="keep").transform(out)
+    else:
+        out = out.withColumn("_lead_b", F.lit(0.0))
+    sub = F.lit(0)
+    if ties:
+        by_val: dict = {}
+        for a, s2 in ties:
+            by_val.setdefault(a, []).append(s2)
+        sub = F.lit(0)
+        for a, ss in by_val.items():
+            sub = F.when(F.col(order[0]) == F.lit(a), range_bucket(F.col(order[1]), sorted(ss))).otherwise(sub)
+    return (out.withColumn(name, F.col("_lead_b").cast("long") * F.lit(MAX_TIE_BOUNDS + 1) + sub.cast("long"))
+               .drop("_lead_d", "_lead_b"))
+
+
 def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
                       partitions: int, exclusive: bool = True) -> DataFrame:
     """Running max of ``value`` over the *whole* frame in ``order``.
@@ -166,13 +204,13 @@ def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
     An unpartitioned window would move everything to one task.  Instead the
     rows are cut into ``partitions`` ranges of the order at approximate
     quantiles (balanced by rows, bursts on one leading value split by the
-    second order column), the running max is taken inside
-    each range, and the (at most ``partitions``) range maxima are
-    prefix-scanned and broadcast back.  Buckets are a function of the row's
-    values, so every branch of the plan assigns them identically."""
+    second order column), the running max is taken inside each range, and
+    the (at most ``partitions`` + bursts) range maxima are prefix-scanned and
+    broadcast back.  Buckets are a function of the row's values, so every
+    branch of the plan assigns them identically."""
     tie = order[1] if len(order) > 1 else None
     bounds = quantile_bounds(df, order[0], partitions, tie)
-    ranged = df.withColumn("_rp", range_bucket([F.col(c) for c in order[:2]] if tie else F.col(order[0]), bounds))
+    ranged = with_range_buckets(df, order, bounds)
     end = -1 if exclusive else Window.currentRow
     local = ranged.withColumn(
         "_lmax", F.max(value).over(Window.partitionBy("_rp").orderBy(*order)
