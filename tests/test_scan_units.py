@@ -47,3 +47,16 @@ def test_burst_on_one_arrival_value_is_split_and_exact(spark):
         want[seq] = best
         best = ts if best is None else max(best, ts)
     assert got == want
+
+
+def test_many_hot_keys_keep_a_small_plan(spark):
+    """Thousands of hot keys: the bucket expression stays one map literal."""
+    from utxoflow.operators.scan import prefix_scan, with_buckets
+
+    df = spark.range(0, 60000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("t"), F.lit(1).alias("v"))
+    opts = DEFAULT.with_(hot_key_rows=10, rows_per_bucket=5, max_hot_keys=5000)
+    b, hot = with_buckets(df, "k", "t", opts)
+    assert len(hot) == 3000
+    out = prefix_scan(b, "k", ["t"], hot, sums={"n": F.col("v").cast("long")})
+    bad = out.filter(F.col("n") != F.floor(F.col("t") / 3000) + 1).count()
+    assert bad == 0

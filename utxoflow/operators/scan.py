@@ -55,8 +55,11 @@ def with_buckets(df: DataFrame, by: str, lead: str, opts: LedgerOptions = DEFAUL
         hot = hot_keys(df, by, lead, opts)
     if not hot:
         return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0).cast("long")), hot
-    is_hot = F.col(by).isin(list(hot))
-    widths = F.create_map(*[x for k, w in hot.items() for x in (F.lit(k), F.lit(w).cast("long"))])
+    keys = list(hot)
+    # Two array literals folded into one map constant, and an InSet: a fixed
+    # expression size whatever the number of hot keys.
+    is_hot = F.col(by).isin(keys)
+    widths = F.map_from_arrays(F.lit(keys), F.lit([int(hot[k]) for k in keys]).cast("array<bigint>"))
     bucket = F.when(is_hot, F.floor(F.col(lead) / F.element_at(widths, F.col(by)))).otherwise(F.lit(0))
     return df.withColumn("_hot", is_hot).withColumn(BUCKET, bucket.cast("long")), hot
 
