@@ -133,3 +133,19 @@ def test_batch_backfill_then_stream_equals_batch_over_all(spark):
                    .select("alert_id", "details_json"))
     assert got_al.count() == want_al.count() and got_al.exceptAll(want_al).count() == 0
     tx.unpersist()
+
+
+def test_stream_dedupe_drops_redelivered_transactions(spark):
+    """Every transaction delivered twice (second copy one batch later): with
+    ``dedupe_stream`` the balances equal the single delivery."""
+    o = FXB_OPTIONS.with_(stream_partitions=4, dedupe_stream=True)
+    tx = fx_b(spark, SF001, None, o)
+    twice = tx.unionByName(tx.withColumn("arrival_ms", F.col("arrival_ms") + 1))
+    run = stream_fixture(spark, SF001, 2, tx=twice)
+    q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", o,
+                         trigger=TRIGGER)
+    drain(q, 300)
+    cols = ["address", "tx_id", "kind", "balance", "utxo_count"]
+    got = spark.read.parquet(f"{run}/out/balance_updates").select(*cols)
+    want = balance_records(ledger(address_updates(tx), o)).select(*cols)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0

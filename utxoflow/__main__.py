@@ -26,7 +26,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger-ms", type=int)
     ap.add_argument("--initial-state", help="ledger_state folder of a batch run to continue from")
     for f in dataclasses.fields(DEFAULT):
-        ap.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
+        if isinstance(f.default, bool):
+            ap.add_argument("--" + f.name.replace("_", "-"), action="store_true", default=f.default)
+        else:
+            ap.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
     a = ap.parse_args(argv)
     opts = DEFAULT.with_(**{f.name: getattr(a, f.name) for f in dataclasses.fields(DEFAULT)})
 

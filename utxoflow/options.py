@@ -29,6 +29,9 @@ class LedgerOptions:
     # State / shuffle partitions of the streaming queries (the reference's
     # job parallelism); fixed in the checkpoint at the first start.
     stream_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
+    # Drop re-delivered transactions (same tx_id) in streams, within the
+    # watermark (the ledger assumes each output is delivered once).
+    dedupe_stream: bool = False
 
     @property
     def activity_window_ms(self) -> int:

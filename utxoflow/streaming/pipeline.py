@@ -43,9 +43,13 @@ def read_transaction_files(spark: SparkSession, path: str, max_files: int = 1) -
 
 
 def with_event_watermark(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    """``event_time`` from the epoch-ms timestamp + Spark's watermark."""
-    return with_watermark(tx.withColumn("event_time", F.timestamp_millis("timestamp")),
-                          opts.late_tolerance_ms)
+    """``event_time`` from the epoch-ms timestamp + Spark's watermark;
+    with ``dedupe_stream``, re-delivered ``tx_id``s are dropped within the
+    watermark (bounded dedupe state, unlike a plain ``dropDuplicates``)."""
+    out = with_watermark(tx.withColumn("event_time", F.timestamp_millis("timestamp")), opts.late_tolerance_ms)
+    if opts.dedupe_stream:
+        out = out.dropDuplicatesWithinWatermark(["tx_id"])
+    return out
 
 
 def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
