@@ -60,3 +60,27 @@ def test_many_hot_keys_keep_a_small_plan(spark):
     out = prefix_scan(b, "k", ["t"], hot, sums={"n": F.col("v").cast("long")})
     bad = out.filter(F.col("n") != F.floor(F.col("t") / 3000) + 1).count()
     assert bad == 0
+
+
+def test_window_counts_brute_force_both_paths(monkeypatch):
+    import utxoflow.operators.activity as act
+
+    rnd = np.random.default_rng(5)
+    n = 3000
+    seg = np.sort(rnd.integers(0, 20, n))
+    ts = np.cumsum(rnd.integers(0, 30, n)) + rnd.choice([0, 0, -500, 700], n)
+    m = np.empty(n, np.int64)
+    for g in np.unique(seg):
+        sel = np.flatnonzero(seg == g)
+        m[sel] = np.maximum.accumulate(ts[sel])
+    small = rnd.random(n) < 0.4
+    w, wv, ws = 900, 400, 900
+    want_v, want_s = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for i in range(n):
+        js = [j for j in range(i + 1) if seg[j] == seg[i] and m[j] >= m[i] - w]
+        want_v[i] = sum(1 for j in js if ts[i] - ts[j] <= wv)
+        want_s[i] = sum(1 for j in js if small[j] and ts[i] - ts[j] <= ws)
+    for lag in (3, 512):
+        monkeypatch.setattr(act, "LAG_MAX", lag)
+        v, s = act.window_counts(seg, ts, m, small, w, wv, ws)
+        assert (v == want_v).all() and (s == want_s).all()

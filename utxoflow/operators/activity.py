@@ -75,14 +75,34 @@ def window_counts(seg: np.ndarray, ts: np.ndarray, m: np.ndarray, small: np.ndar
     cs = np.concatenate([[0], np.cumsum(small.astype(np.int64))])
     lo_s = np.maximum(start, np.searchsorted(kt, kt - ws, side="left"))
     st = cs[idx + 1] - cs[lo_s]
-    for i in np.flatnonzero(bad):
-        seg_t = ts[start[i]:i + 1]
-        vel[i] = np.count_nonzero(seg_t >= ts[i] - wv)
-        st[i] = np.count_nonzero(small[start[i]:i + 1] & (seg_t >= ts[i] - ws))
+    rows = np.flatnonzero(bad)
+    if len(rows):
+        length = rows - start[rows] + 1
+        short = rows[length <= LAG_MAX]
+        if len(short):
+            # Out-of-order rows with short buffers: one vectorized pass per
+            # look-back offset, over all such rows at once.
+            lo = start[short]
+            tv, tsd = ts[short] - wv, ts[short] - ws
+            v = np.zeros(len(short), np.int64)
+            c = np.zeros(len(short), np.int64)
+            for d in range(int(length[length <= LAG_MAX].max())):
+                j = short - d
+                ok = j >= lo
+                jj = np.where(ok, j, 0)
+                tj = ts[jj]
+                v += ok & (tj >= tv)
+                c += ok & small[jj] & (tj >= tsd)
+            vel[short], st[short] = v, c
+        for i in rows[length > LAG_MAX]:  # long buffers: C-level slices per row
+            seg_t = ts[start[i]:i + 1]
+            vel[i] = np.count_nonzero(seg_t >= ts[i] - wv)
+            st[i] = np.count_nonzero(small[start[i]:i + 1] & (seg_t >= ts[i] - ws))
     return vel.astype(np.int64), st.astype(np.int64)
 
 
 _OUT = ["address", "tx_id", "timestamp", "arrival_ms", "seq", "pos"]
+LAG_MAX = 512  # buffers up to this length use the vectorized look-back pass
 
 
 def _counter(opts: LedgerOptions):
