@@ -11,7 +11,7 @@ from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import MONEY_SUM
 
 # The eight suspicious-text patterns of the reference's scanner
-# (matched case-insensitively, as PowerShell's -match does).
+# (matched case-insensitively, anywhere in the text).
 SUSPICIOUS_PATTERNS = [
     r"eval\(",
     r"Function\(",
