@@ -84,3 +84,30 @@ def test_window_counts_brute_force_both_paths(monkeypatch):
         monkeypatch.setattr(act, "LAG_MAX", lag)
         v, s = act.window_counts(seg, ts, m, small, w, wv, ws)
         assert (v == want_v).all() and (s == want_s).all()
+
+
+def test_hot_address_is_spread_over_tasks(spark):
+    """FX-B-hot: one address holds a third of the updates.  In the running-sum
+    stage no task holds that third once the address is split; without the
+    split one task does."""
+    from conftest import SF01
+    from utxoflow.operators.ledger import ledger
+    from utxoflow.operators.updates import address_updates
+    from utxoflow.plans.fixtures import FXB_HOT_OPTIONS, FXB_OPTIONS, fx_b
+
+    upd = address_updates(fx_b(spark, SF01, "hot", FXB_OPTIONS)).cache()
+    n = upd.count()
+    assert upd.filter(F.col("address") == "u0").count() > n / 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def max_share(opts):
+            # Rows per partition of the final stage (the running-sum window).
+            led = ledger(upd, opts).select("address", "balance", "utxo_count")
+            sizes = led.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+            return max(sizes) / n
+        split = max_share(FXB_HOT_OPTIONS)
+        whole = max_share(FXB_OPTIONS.with_(hot_key_rows=10**9))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        upd.unpersist()
+    assert whole > 1 / 3 and split < 0.25, (split, whole)

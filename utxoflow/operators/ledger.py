@@ -36,6 +36,9 @@ def with_deltas(upd: DataFrame) -> DataFrame:
     """L1/L2: per update, its effect on the address's set and balance."""
     key = Window.partitionBy(*KEY)
     is_in = F.col("kind") == "input"
+    # Explicit full-key partitioning: an input hash-partitioned by address
+    # alone would otherwise be reused and put a hot address in one task.
+    upd = upd.repartition(*KEY)
     first_in = F.min(F.when(is_in, _ord())).over(key)
     out_ord = F.min(F.when(~is_in, _ord())).over(key)
     out_val = F.max(F.when(~is_in, F.col("value"))).over(key)

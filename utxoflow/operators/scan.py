@@ -77,7 +77,9 @@ def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
     maxes = maxes or {}
     end = -1 if exclusive else Window.currentRow
     frame = Window.partitionBy(by, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    out = df
+    # Explicit: an input already hash-partitioned by the key alone would
+    # satisfy the window's clustering and keep a hot key in one task.
+    out = df.repartition(by, BUCKET) if hot else df
     for name, expr in sums.items():
         out = out.withColumn(f"_l_{name}", F.sum(expr).over(frame))
     for name, expr in maxes.items():

@@ -21,6 +21,9 @@ FXB_OPTIONS = DEFAULT.with_(
     structuring_window_ms=345_600_000, structuring_count=6, structuring_ceiling=20.0,
     whale_threshold=450.0,
 )
+# FX-B-hot at test scale: thresholds low enough that the hot address takes
+# the split path (production defaults are in LedgerOptions).
+FXB_HOT_OPTIONS = FXB_OPTIONS.with_(hot_key_rows=1_000, rows_per_bucket=400)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,10 +73,13 @@ def fx_a(spark: SparkSession, sf_dir: str, opts: LedgerOptions = DEFAULT) -> Dat
                           F.col("o_orderkey").alias("seq")))
 
 
-def _events(spark: SparkSession, sf_dir: str, opts: LedgerOptions) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, opts: LedgerOptions, hot: bool = False) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", epoch_ms("ts").alias("tms"))
-    ev = ev.withColumn("address", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    address = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    if hot:  # FX-B-hot: one address receives every third event (a third of all rows)
+        address = F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("u0")).otherwise(address)
+    ev = ev.withColumn("address", address)
     ev = _lag(ev, "address", ["tms", "event_id"], "event_id", "prev_id", opts)
     arr = (F.col("tms") + F.pmod(F.col("event_id") * 7919, F.lit(86_400_000))
            + F.when(F.pmod("event_id", F.lit(10)) == 0, F.lit(400_000_000)).otherwise(F.lit(0)))
@@ -91,8 +97,8 @@ def _fxb_inputs() -> F.Column:
 def fx_b(spark: SparkSession, sf_dir: str, variant: str | None = None,
          opts: LedgerOptions = DEFAULT) -> DataFrame:
     """FX-B: the address ledger from ``events``; ``variant`` in
-    {None, 'orphan', 'double'}."""
-    ev = _events(spark, sf_dir, opts)
+    {None, 'orphan', 'double', 'hot'}."""
+    ev = _events(spark, sf_dir, opts, hot=variant == "hot")
     outputs = F.array(F.struct(F.col("address"), money("value").alias("value"),
                                F.lit(0).alias("output_index")))
     if variant == "orphan":
@@ -117,7 +123,7 @@ def fx_b(spark: SparkSession, sf_dir: str, variant: str | None = None,
                      .withColumn("arrival_ms", F.col("arrival_ms") + F.lit(3_600_000))
                      .withColumn("ingest_time", F.col("arrival_ms")))
         base = base.unionByName(again)
-    elif variant not in (None, "orphan"):
+    elif variant not in (None, "orphan", "hot"):
         raise ValueError(f"unknown FX-B variant {variant!r}")
     return base.drop("event_type")
 

@@ -53,6 +53,9 @@ fxa_tx AS (
 
 def fxb(variant: str | None = None, tol: int = 86_400_000) -> str:
     has_out = "(event_id % 50 <> 7)" if variant == "orphan" else "TRUE"
+    address = "'u' || CAST(user_id AS VARCHAR)"
+    if variant == "hot":
+        address = f"CASE WHEN event_id % 3 = 0 THEN 'u0' ELSE {address} END"
     repeat = ""
     if variant == "double":
         repeat = """
@@ -61,7 +64,7 @@ def fxb(variant: str | None = None, tol: int = 86_400_000) -> str:
   FROM fxb_b0 WHERE seq % 40 = 3 AND has_in"""
     return f"""
 fxb_ev AS (
-  SELECT event_id, event_type, value, 'u' || CAST(user_id AS VARCHAR) AS address,
+  SELECT event_id, event_type, value, {address} AS address,
          epoch_us(ts) // 1000 AS tms
   FROM events),
 fxb_ev2 AS (
@@ -236,6 +239,9 @@ SELECT 'balance_update' AS metric_type, address, tx_id, kind, CAST(balance AS DO
 FROM fxb_led"""
     q["balance_updates"] = _with(FXB) + bal
     q["balance_updates_double"] = _with(fxb("double")) + bal
+    q["balance_updates_hot"] = _with(fxb("hot")) + bal
+    q["alerts_activity_hot"] = _with(fxb("hot")) + """
+SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring"""
     q["latest_balance"] = _with(FXB) + """
 SELECT address, balance, utxo_count, timestamp_ms, source FROM (
   SELECT *, row_number() OVER (PARTITION BY address ORDER BY rk DESC) AS r FROM fxb_bal) WHERE r = 1"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from utxoflow.operators import activity, alerts, ledger, reaimed, transactions, updates
 from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.plans import dashboard
-from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
+from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_HOT_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
 from utxoflow.plans.tables import analytic_tables, fx_a_table, fx_b_table
 from utxoflow.plans.pipeline import run_batch
 from utxoflow.sinks import archive_blocks
@@ -109,6 +109,22 @@ def balance_updates_double(spark, sf):
     return ledger.balance_records(_led_b(spark, sf, "double"))
 
 
+def _led_hot(spark, sf):
+    return ledger.ledger(_upd_b(spark, sf, "hot"), FXB_HOT_OPTIONS)
+
+
+def balance_updates_hot(spark, sf):
+    """L3/L4/L6 on FX-B-hot: one address holds a third of the rows and is
+    split into arrival buckets (two-level running sums)."""
+    return ledger.balance_records(_led_hot(spark, sf))
+
+
+def alerts_activity_hot(spark, sf):
+    """A3/A4 on FX-B-hot: the hot address is cut into time chunks."""
+    counts = activity.activity_counts(_led_hot(spark, sf), FXB_HOT_OPTIONS)
+    return activity.activity_alerts(counts, FXB_HOT_OPTIONS)
+
+
 def latest_balance(spark, sf):
     return ledger.latest_balances(_led_b(spark, sf))
 
@@ -265,6 +281,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balance_updates": balance_updates,
     "balance_updates_double": balance_updates_double,
     "latest_balance": latest_balance,
+    "balance_updates_hot": balance_updates_hot,
+    "alerts_activity_hot": alerts_activity_hot,
     "alerts_velocity": alerts_velocity,
     "alerts_structuring": alerts_structuring,
     "alerts_late": alerts_late,
