@@ -137,19 +137,20 @@ def ledger_state(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     last = led.groupBy("address").agg(
         F.max_by(F.struct("balance", "utxo_count"), _ord()).alias("t"), F.max("max_ts").alias("_m"))
     nul = {c: F.lit(None).cast(t) for c, t in [
-        ("balance", MONEY), ("utxo_count", "long"), ("pending_count", "long"), ("tx_id", "string"),
-        ("output_index", "int"), ("value", MONEY), ("timestamp", "long"), ("small", "boolean"),
+        ("balance_units", "long"), ("utxo_count", "long"), ("pending_count", "long"), ("tx_id", "string"),
+        ("output_index", "int"), ("value_units", "long"), ("timestamp", "long"), ("small", "boolean"),
         ("arrival_ms", "long"), ("seq", "long"), ("pos", "int")]}
+    units = F.lit(100_000_000)  # the processor keeps money as integer units of 1e-8
 
     def shape(df: DataFrame, part: str, **cols) -> DataFrame:
         return df.select("address", F.lit(part).alias("part"),
                          *[(cols[c] if c in cols else nul[c]).alias(c) for c in nul])
 
     totals = shape(last.join(n_pend, "address", "left"), "totals",
-                   balance=F.col("t.balance"), utxo_count=F.col("t.utxo_count"),
+                   balance_units=(F.col("t.balance") * units).cast("long"), utxo_count=F.col("t.utxo_count"),
                    pending_count=F.coalesce(F.col("pending_count"), F.lit(0)).cast("long"))
     utxos = shape(s.filter(F.col("out").isNotNull() & (F.col("n_in") == 0)), "utxo",
-                  tx_id=F.col("ref_tx"), output_index=F.col("ref_idx"), value=F.col("out.v"),
+                  tx_id=F.col("ref_tx"), output_index=F.col("ref_idx"), value_units=(F.col("out.v") * units).cast("long"),
                   timestamp=F.col("out.t"))
     pend = shape(pending_spends(upd), "pending", tx_id=F.col("prev_tx_id"), output_index=F.col("prev_output_index"))
     small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))

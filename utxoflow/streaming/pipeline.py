@@ -31,8 +31,18 @@ from utxoflow.schema import TRANSACTION
 from utxoflow.sinks import write_latest_changes, write_table
 from utxoflow.streaming.processor import OUTPUT_SCHEMA, LedgerProcessor
 
-UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "value", "prev_tx_id",
+UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "prev_tx_id",
                 "prev_output_index", "output_index", "source", "arrival_ms", "seq"]
+UNITS = 100_000_000  # money in exact integer units of 1e-8 inside the processor
+
+
+def to_units(col):
+    return (col * F.lit(UNITS)).cast("long")
+
+
+def from_units(col):
+    """Exact: decimal(28,8) / 10^8 has an exact decimal(38,18) result."""
+    return (col.cast("decimal(28,8)") / F.lit(UNITS)).cast("decimal(28,8)")
 
 
 def read_transaction_files(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -55,7 +65,8 @@ def with_event_watermark(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFr
 def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
     """L1-L6 + A3-A5 on a (watermarked) stream of canonical transactions;
     ``initial`` (``ledger.ledger_state`` of a batch backfill) seeds the state."""
-    upd = address_updates(tx).select(*UPDATE_INPUT)
+    small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))
+    upd = address_updates(tx).select(*UPDATE_INPUT, to_units(F.col("value")).alias("units"), small.alias("small"))
     init = initial.groupBy("address") if initial is not None else None
     return (upd.groupBy("address")
                .transformWithStateInPandas(statefulProcessor=LedgerProcessor(opts),
@@ -67,7 +78,8 @@ def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFra
 def split_output(out: DataFrame) -> tuple[DataFrame, DataFrame]:
     """P10: route the processor's tagged output into balances and alerts."""
     balances = out.filter(F.col("kind") == "balance").select(
-        "address", "timestamp_ms", "source", "balance", "utxo_count", "tx_id",
+        "address", "timestamp_ms", "source", from_units(F.col("balance_units")).cast("double").alias("balance"),
+        "utxo_count", "tx_id",
         F.col("update_kind").alias("kind"), "arrival_ms", "seq", "pos")
     alerts = out.filter(F.col("kind") == "alert").select(
         "alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json")
@@ -192,7 +204,7 @@ def read_state_utxos(spark: SparkSession, checkpoint: str) -> DataFrame:
     st = spark.read.format("statestore").option("stateVarName", "utxos").load(f"{checkpoint}/q_addr")
     return st.select(F.col("key.address").alias("address"), F.col("user_map_key.tx_id").alias("tx_id"),
                      F.col("user_map_key.output_index").alias("output_index"),
-                     F.col("user_map_value.value").cast("double").alias("value"),
+                     from_units(F.col("user_map_value.value_units")).cast("double").alias("value"),
                      F.col("user_map_value.timestamp").alias("timestamp"))
 
 

@@ -3,8 +3,12 @@ per address key, run by ``transformWithStateInPandas`` on RocksDB state.
 
 State layout (point reads/writes instead of rewriting whole lists):
 
-* ``totals``  ValueState  (balance decimal(18,8), utxo_count, pending_count)
+* ``totals``  ValueState  (balance, utxo_count, pending_count)
 * ``utxos``   MapState    (tx_id, output_index) -> (value, timestamp)
+
+Money crosses into Python as exact integer units of 1e-8 (``decimal(18,8)``
+scaled by 10^8 in Spark), so the per-update arithmetic is plain int64 and
+Spark turns the units back into decimals afterwards.
 * ``pending`` MapState    (tx_id, output_index) -> seen flag
 * ``recent``  ListState   activity buffer in arrival order (timestamp, small)
 
@@ -22,7 +26,6 @@ micro-batch); late rows are flagged and still applied, never dropped
 from __future__ import annotations
 
 import json
-from decimal import Decimal
 from typing import Iterator
 
 import pandas as pd
@@ -37,7 +40,7 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("tx_id", T.StringType()),
     T.StructField("timestamp_ms", T.LongType()),
     T.StructField("source", T.StringType()),
-    T.StructField("balance", T.DoubleType()),
+    T.StructField("balance_units", T.LongType()),
     T.StructField("utxo_count", T.LongType()),
     T.StructField("update_kind", T.StringType()),
     T.StructField("alert_id", T.StringType()),
@@ -51,7 +54,6 @@ OUTPUT_SCHEMA = T.StructType([
 
 _COLS = [f.name for f in OUTPUT_SCHEMA.fields]
 _STRING_COLS = [f.name for f in OUTPUT_SCHEMA.fields if isinstance(f.dataType, T.StringType)]
-_Q8 = Decimal("0.00000001")
 
 
 def _dumps(d: dict) -> str:
@@ -95,9 +97,9 @@ class LedgerProcessor(StatefulProcessor):
         self.opts = opts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "balance decimal(18,8), utxo_count long, pending_count long")
+        self.totals = handle.getValueState("totals", "balance_units long, utxo_count long, pending_count long")
         self.utxos = handle.getMapState("utxos", "tx_id string, output_index int",
-                                        "value decimal(18,8), timestamp long")
+                                        "value_units long, timestamp long")
         self.pending = handle.getMapState("pending", "tx_id string, output_index int", "seen boolean")
         self.recent = handle.getListState("recent", "timestamp long, small boolean, arrival_ms long, seq long, pos int")
 
@@ -109,26 +111,24 @@ class LedgerProcessor(StatefulProcessor):
         watermark = int(timerValues.getCurrentWatermarkInMs())
 
         if self.totals.exists():
-            balance, count, n_pending = self.totals.get()
-            balance, count, n_pending = Decimal(balance), int(count), int(n_pending)
+            balance, count, n_pending = (int(x) for x in self.totals.get())
         else:
-            balance, count, n_pending = Decimal(0), 0, 0
+            balance, count, n_pending = 0, 0, 0
         utxos = _MapView(self.utxos, bulk=len(batch) * 2 >= count and count > 0)
         pending = _MapView(self.pending, bulk=len(batch) * 2 >= n_pending and n_pending > 0)
         history = [tuple(h) for h in self.recent.get()] if self.recent.exists() else []
-        ceiling = Decimal(str(o.structuring_ceiling))
         window = o.activity_window_ms
         out = []
 
         for r in batch.itertuples(index=False):
             ts = int(r.timestamp)
-            value = Decimal(r.value).quantize(_Q8)
+            value = int(r.units)
             if r.kind == "input":
                 ref = (r.prev_tx_id, int(r.prev_output_index))
                 item = utxos.get(ref)
                 if item is not None:
                     utxos.remove(ref)
-                    balance -= Decimal(item[0])
+                    balance -= int(item[0])
                     count -= 1
                 elif pending.get(ref) is None:
                     pending.put(ref, (True,))
@@ -144,7 +144,7 @@ class LedgerProcessor(StatefulProcessor):
                     utxos.put(ref, (value, ts))
                     balance += value
 
-            small = r.kind == "output" and value <= ceiling
+            small = bool(r.small)
             order = (int(r.arrival_ms), int(r.seq), int(r.pos))
             history.append((ts, small, *order))
             while history and ts - history[0][0] > window:
@@ -156,7 +156,7 @@ class LedgerProcessor(StatefulProcessor):
             # nulls in numeric columns: nullable ints do not round-trip Arrow).
             base = {"address": address, "tx_id": r.tx_id, "timestamp_ms": ts, "source": r.source,
                     "arrival_ms": order[0], "seq": order[1], "pos": order[2],
-                    "balance": float(balance), "utxo_count": count, "update_kind": r.kind}
+                    "balance_units": balance, "utxo_count": count, "update_kind": r.kind}
             out.append({**base, "kind": "balance"})
             if velocity >= o.velocity_count:
                 out.append({**base, "kind": "alert", "alert_id": f"{r.tx_id}:{address}:velocity",
@@ -194,10 +194,10 @@ class LedgerProcessor(StatefulProcessor):
         for part, g in initialState.groupby("part"):
             if part == "totals":
                 r = g.iloc[-1]
-                self.totals.update((Decimal(r["balance"]), int(r["utxo_count"]), int(r["pending_count"])))
+                self.totals.update((int(r["balance_units"]), int(r["utxo_count"]), int(r["pending_count"])))
             elif part == "utxo":
                 for r in g.itertuples(index=False):
-                    self.utxos.updateValue((r.tx_id, int(r.output_index)), (Decimal(r.value), int(r.timestamp)))
+                    self.utxos.updateValue((r.tx_id, int(r.output_index)), (int(r.value_units), int(r.timestamp)))
             elif part == "pending":
                 for r in g.itertuples(index=False):
                     self.pending.updateValue((r.tx_id, int(r.output_index)), (True,))
