@@ -70,3 +70,20 @@ def pickle_by_value(module_name: str) -> None:
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` on ``executors_cores`` cores:
+    shuffle partitions sized so a partition is about ``target_partition_bytes``
+    (at least 2 waves of tasks), scan splits of the same size, AQE on with the
+    same advisory size so it can coalesce small and split skewed partitions."""
+    parts = max(2 * executors_cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
