@@ -149,8 +149,9 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int, tie_col: str | None =
     the bounds become ``(col, tie_col)`` pairs."""
     if buckets <= 1:
         return []
+    accuracy = min(MAX_ACCURACY, max(10_000, 10 * buckets))  # resolves every requested quantile
     qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(col, qs, 10_000).alias("q")).first()
+    row = df.agg(F.percentile_approx(col, qs, accuracy).alias("q")).first()
     values = [int(v) for v in (row["q"] or []) if v is not None]
     if tie_col is None:
         return sorted(set(values))
@@ -158,13 +159,15 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int, tie_col: str | None =
     bounds = {(v, None) for v in values}
     if heavy:
         parts = (df.filter(F.col(col).isin(heavy)).groupBy(col)
-                   .agg(F.percentile_approx(tie_col, qs, 10_000).alias("q")).collect())
+                   .agg(F.percentile_approx(tie_col, qs, accuracy).alias("q")).collect())
         for r in parts:
             bounds.update((int(r[0]), int(s)) for s in (r["q"] or []) if s is not None)
     return sorted(bounds, key=lambda b: (b[0], -1 if b[1] is None else 0, b[1] or 0))
 
 
 MAX_TIE_BOUNDS = 256  # comparison-tree size for bursts on one leading value
+MAX_RANGE_BUCKETS = 100_000  # bound of the arrival-order scan's buckets (and of its broadcast)
+MAX_ACCURACY = 1_000_000
 
 
 def with_range_buckets(df: DataFrame, order: list[str], bounds: list, name: str = "_rp") -> DataFrame:
@@ -214,7 +217,7 @@ def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
     broadcast back.  Buckets are a function of the row's values, so every
     branch of the plan assigns them identically."""
     tie = order[1] if len(order) > 1 else None
-    bounds = quantile_bounds(df, order[0], partitions, tie)
+    bounds = quantile_bounds(df, order[0], min(int(partitions), MAX_RANGE_BUCKETS), tie)
     ranged = with_range_buckets(df, order, bounds)
     end = -1 if exclusive else Window.currentRow
     local = ranged.withColumn(
