@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,10 +65,7 @@ def pattern_scan(docs: DataFrame, id_col: str, text_col: str,
     pats = list(patterns or SUSPICIOUS_PATTERNS)
     text = F.col(text_col)
     hits = F.array(*[F.when(text.rlike("(?i)" + p), F.lit(p)) for p in pats])
-    scanned = docs
-    if not any(re.search(r"\\[1-9]", p) for p in pats):
-        # One pass with the alternation of all patterns first: most texts
-        # match none, and only the candidates pay for the per-pattern scans.
-        scanned = docs.filter(text.rlike("(?i)(?:" + "|".join(f"(?:{p})" for p in pats) + ")"))
-    return scanned.select(F.col(id_col).alias("doc_id"),
-                          F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("pattern"))
+    # No alternation prefilter: one regex per pattern keeps each pattern's
+    # literal-prefix search fast, while an alternation is several times slower.
+    return docs.select(F.col(id_col).alias("doc_id"),
+                       F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("pattern"))
