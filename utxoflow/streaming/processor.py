@@ -69,15 +69,19 @@ class _MapView:
         self.seen: dict = {}
         self.dirty: dict = {}
 
-    def get(self, key):
-        if key in self.dirty:
-            return self.dirty[key]
+    def _stored(self, key):
         if self.cache is not None:
             return self.cache.get(key)
         if key not in self.seen:
-            self.seen[key] = tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
+            v = self.state.getValue(key)  # None when absent: one round trip
+            self.seen[key] = tuple(v) if v is not None else None
         return self.seen[key]
 
+    def get(self, key):
+        if key in self.dirty:
+            return self.dirty[key]
+        return self._stored(key)
+
     def put(self, key, value) -> None:
         self.dirty[key] = value
 
@@ -87,7 +91,8 @@ class _MapView:
     def flush(self) -> None:
         for key, value in self.dirty.items():
             if value is None:
-                self.state.removeKey(key)
+                if self._stored(key) is not None:  # added and spent in one batch: never stored
+                    self.state.removeKey(key)
             else:
                 self.state.updateValue(key, value)
 
@@ -110,13 +115,11 @@ class LedgerProcessor(StatefulProcessor):
         batch = batch.sort_values(["arrival_ms", "seq", "pos"], kind="mergesort")
         watermark = int(timerValues.getCurrentWatermarkInMs())
 
-        if self.totals.exists():
-            balance, count, n_pending = (int(x) for x in self.totals.get())
-        else:
-            balance, count, n_pending = 0, 0, 0
+        totals = self.totals.get()  # None when the key is new (no exists() round trip)
+        balance, count, n_pending = (int(x) for x in totals) if totals is not None else (0, 0, 0)
         utxos = _MapView(self.utxos, bulk=len(batch) * 2 >= count and count > 0)
         pending = _MapView(self.pending, bulk=len(batch) * 2 >= n_pending and n_pending > 0)
-        history = [tuple(h) for h in self.recent.get()] if self.recent.exists() else []
+        history = [tuple(h) for h in self.recent.get()] if totals is not None else []
         window = o.activity_window_ms
         out = []
 
@@ -177,9 +180,10 @@ class LedgerProcessor(StatefulProcessor):
         utxos.flush()
         pending.flush()
         self.totals.update((balance, count, n_pending))
-        self.recent.clear()
         if history:
-            self.recent.put(history)
+            self.recent.put(history)  # put replaces the list
+        elif totals is not None:
+            self.recent.clear()
         frame = pd.DataFrame(out, columns=_COLS)
         # A batch without alerts leaves the alert columns all-missing, which
         # pandas types as float64; keep string columns as objects with None.
