@@ -98,12 +98,11 @@ def fx_b(spark: SparkSession, sf_dir: str, variant: str | None = None,
          opts: LedgerOptions = DEFAULT) -> DataFrame:
     """FX-B: the address ledger from ``events``; ``variant`` in
     {None, 'orphan', 'double', 'hot'}."""
+    if variant not in (None, "orphan", "double", "hot"):
+        raise ValueError(f"unknown FX-B variant {variant!r}")
     ev = _events(spark, sf_dir, opts, hot=variant == "hot")
     outputs = F.array(F.struct(F.col("address"), money("value").alias("value"),
                                F.lit(0).alias("output_index")))
-    if variant == "orphan":
-        outputs = F.when(F.pmod("event_id", F.lit(50)) == 7,
-                         F.array().cast(f"array<{OUTPUT.simpleString()}>")).otherwise(outputs)
     base = ev.select(
         F.col("event_id").cast("string").alias("tx_id"),
         F.col("tms").alias("timestamp"),
@@ -113,19 +112,26 @@ def fx_b(spark: SparkSession, sf_dir: str, variant: str | None = None,
         F.col("arr").alias("ingest_time"),
         F.col("arr").alias("arrival_ms"),
         F.col("event_id").alias("seq"),
-        "event_type",
     )
+    return fx_b_variant(base, variant) if variant in ("orphan", "double") else base
+
+
+def fx_b_variant(base: DataFrame, variant: str) -> DataFrame:
+    """Row-level variants of FX-B, derived from the base frame (or table):
+    'orphan' drops the outputs of events with id % 50 = 7 (their spends stay
+    pending); 'double' delivers the inputs of events with id % 40 = 3 again,
+    one hour later, in their own transaction (double spends)."""
+    empty = F.array().cast(f"array<{OUTPUT.simpleString()}>")
+    if variant == "orphan":
+        return base.withColumn("outputs", F.when(F.pmod("seq", F.lit(50)) == 7, empty).otherwise(F.col("outputs")))
     if variant == "double":
-        # The same input delivered again one hour later in its own transaction.
         again = (base.filter((F.pmod(F.col("seq"), F.lit(40)) == 3) & (F.size("inputs") > 0))
                      .withColumn("tx_id", F.concat(F.col("tx_id"), F.lit("r")))
-                     .withColumn("outputs", F.array().cast(f"array<{OUTPUT.simpleString()}>"))
+                     .withColumn("outputs", empty)
                      .withColumn("arrival_ms", F.col("arrival_ms") + F.lit(3_600_000))
                      .withColumn("ingest_time", F.col("arrival_ms")))
-        base = base.unionByName(again)
-    elif variant not in (None, "orphan", "hot"):
-        raise ValueError(f"unknown FX-B variant {variant!r}")
-    return base.drop("event_type")
+        return base.unionByName(again)
+    raise ValueError(f"unknown FX-B variant {variant!r}")
 
 
 def fx_b_labeled(spark: SparkSession, sf_dir: str, opts: LedgerOptions = DEFAULT) -> DataFrame:

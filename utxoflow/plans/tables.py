@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from utxoflow.operators.ledger import balance_rows, latest_balances
 from utxoflow.options import LedgerOptions
-from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_a, fx_b
+from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_a, fx_b, fx_b_variant
 from utxoflow.plans.pipeline import run_batch
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import write_table
@@ -59,8 +59,11 @@ def fx_a_table(spark: SparkSession, sf_dir: str, opts: LedgerOptions = FXA_OPTIO
 
 def fx_b_table(spark: SparkSession, sf_dir: str, variant: str | None = None,
                opts: LedgerOptions = FXB_OPTIONS) -> DataFrame:
-    path = _materialized(spark, ("fxb", sf_dir, variant or "base"),
-                         lambda p: fx_b(spark, sf_dir, variant, opts).write.parquet(p))
+    if variant in ("orphan", "double"):  # row-level edits of the written base table
+        build = lambda p: fx_b_variant(fx_b_table(spark, sf_dir, None, opts), variant).write.parquet(p)
+    else:
+        build = lambda p: fx_b(spark, sf_dir, variant, opts).write.parquet(p)
+    path = _materialized(spark, ("fxb", sf_dir, variant or "base"), build)
     return spark.read.parquet(path)
 
 
