@@ -153,3 +153,19 @@ def test_batch_job_cli_on_json_files(spark):
     want = ledger(address_updates(tx), FXB_OPTIONS).select("address", "balance").groupBy("address").count()
     assert bal.groupBy("address").count().exceptAll(want).count() == 0
     assert spark.read.parquet(f"{out}/latest_balances").count() == bal.select("address").distinct().count()
+
+
+def test_metrics_and_alerts_topics(spark):
+    from utxoflow.operators.ledger import balance_records, ledger
+    from utxoflow.operators.updates import address_updates
+    from utxoflow.sinks import alerts_topic, metrics_topic
+    from utxoflow.plans.pipeline import run_batch
+
+    tx = fx_b(spark, SF001, None, FXB_OPTIONS)
+    out = run_batch(tx, FXB_OPTIONS)
+    topic = metrics_topic(out.metrics, balance_records(ledger(address_updates(tx), FXB_OPTIONS)))
+    kinds = {r.k: r.n for r in topic.groupBy(F.get_json_object("value", "$.metric_type").alias("k"))
+             .count().withColumnRenamed("count", "n").collect()}
+    assert kinds == {"transaction": tx.count(), "balance_update": address_updates(tx).count()}
+    al = alerts_topic(out.alerts)
+    assert al.filter(F.col("key") != F.get_json_object("value", "$.alert_id")).count() == 0

@@ -17,6 +17,17 @@ def encode_kafka(df: DataFrame, key: str | None = "tx_id") -> DataFrame:
     return df.select(k.alias("key"), value.alias("value"))
 
 
+def metrics_topic(metrics: DataFrame, balances: DataFrame) -> DataFrame:
+    """K2: the metrics topic carries transaction metrics (keyed by tx_id) and
+    balance records (keyed by address) side by side as JSON values."""
+    return encode_kafka(metrics, "tx_id").unionByName(encode_kafka(balances, "address"))
+
+
+def alerts_topic(alerts: DataFrame) -> DataFrame:
+    """K3: transaction and state alerts share the alerts topic (keyed by id)."""
+    return encode_kafka(alerts, "alert_id")
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tx_id",
                 checkpoint: str | None = None):
     """Publish rows; batch or streaming.  Spark's Kafka sink is at-least-once:
