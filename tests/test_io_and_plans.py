@@ -159,7 +159,7 @@ def test_metrics_and_alerts_topics(spark):
     from utxoflow.operators.ledger import balance_records, ledger
     from utxoflow.operators.updates import address_updates
     from utxoflow.sinks import alerts_topic, metrics_topic
-    from utxoflow.plans.pipeline import run_batch
+    from utxoflow.plans.batch import run_batch
 
     tx = fx_b(spark, SF001, None, FXB_OPTIONS)
     out = run_batch(tx, FXB_OPTIONS)

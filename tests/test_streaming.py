@@ -14,7 +14,7 @@ from utxoflow.plans.fixtures import FXB_OPTIONS, fx_b
 from utxoflow.plans.stream_queries import stream_fixture
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import read_latest
-from utxoflow.streaming.pipeline import (drain, read_transaction_files, start_addr_query,
+from utxoflow.streaming.stream import (drain, read_transaction_files, start_addr_query,
                                          start_tx_query)
 
 TRIGGER = {"processingTime": "200 milliseconds"}

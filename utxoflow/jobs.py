@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from utxoflow.operators.ledger import balance_rows, ledger_state
 from utxoflow.operators.updates import address_updates
 from utxoflow.options import DEFAULT, LedgerOptions
-from utxoflow.plans.pipeline import run_batch
+from utxoflow.plans.batch import run_batch
 from utxoflow.sinks import write_table
-from utxoflow.streaming.pipeline import start_addr_query, start_tx_query
+from utxoflow.streaming.stream import start_addr_query, start_tx_query
 
 
 def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT) -> dict[str, str]:

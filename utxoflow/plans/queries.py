@@ -13,7 +13,7 @@ from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.plans import dashboard
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_HOT_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
 from utxoflow.plans.tables import analytic_tables, fx_a_table, fx_b_table
-from utxoflow.plans.pipeline import run_batch
+from utxoflow.plans.batch import run_batch
 from utxoflow.sinks import archive_blocks
 from utxoflow.sources import parse_transactions
 

@@ -18,7 +18,7 @@ from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS
 from utxoflow.plans.tables import fx_a_table, fx_b_table
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import read_latest
-from utxoflow.streaming.pipeline import (drain, read_alert_rates, read_state_pending, read_state_utxos,
+from utxoflow.streaming.stream import (drain, read_alert_rates, read_state_pending, read_state_utxos,
                                          read_transaction_files, read_volume,
                                          start_addr_query, start_tx_query, start_volume_query)
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from utxoflow.operators.ledger import balance_rows, latest_balances
 from utxoflow.options import LedgerOptions
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_a, fx_b, fx_b_variant
-from utxoflow.plans.pipeline import run_batch
+from utxoflow.plans.batch import run_batch
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import write_table
 
