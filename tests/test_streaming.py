@@ -149,3 +149,29 @@ def test_stream_dedupe_drops_redelivered_transactions(spark):
     got = spark.read.parquet(f"{run}/out/balance_updates").select(*cols)
     want = balance_records(ledger(address_updates(tx), o)).select(*cols)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_stream_job_entry_point(spark):
+    """``jobs.stream_job`` (what ``python -m utxoflow stream`` runs): Q-tx and
+    Q-addr on one parquet file stream, seeded from a batch backfill."""
+    from utxoflow.jobs import batch_job, stream_job
+    from utxoflow.sources import read_transactions
+
+    o = FXB_OPTIONS.with_(stream_partitions=4)
+    tx = fx_b(spark, SF001, None, o).cache()
+    split = tx.approxQuantile("arrival_ms", [0.5], 0.0)[0]
+    base = f"{checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
+    paths = batch_job(tx.filter(F.col("arrival_ms") < split), f"{base}/batch", o)
+    run = stream_fixture(spark, SF001, 2, tx=tx.filter(F.col("arrival_ms") >= split))
+    src = read_transactions(spark, "parquet", path=f"{run}/input", streaming=True)
+    q_tx, q_addr = stream_job(spark, src, f"{base}/stream", f"{base}/ckpt", o, trigger_ms=200,
+                              initial_state=paths["ledger_state"])
+    drain(q_tx, 300)
+    drain(q_addr, 300)
+    rest = tx.filter(F.col("arrival_ms") >= split)
+    assert spark.read.parquet(f"{base}/stream/transactions").count() == rest.count()
+    want = (ledger(address_updates(tx), o).filter(F.col("arrival_ms") >= split)
+            .select("arrival_ms", "seq", "pos", F.col("balance").cast("double").alias("balance")))
+    got = spark.read.parquet(f"{base}/stream/balance_updates").select("arrival_ms", "seq", "pos", "balance")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    tx.unpersist()
