@@ -30,19 +30,19 @@ fxa_in AS (
 fxa_oagg AS (
   SELECT okey, count(*) AS n_out, sum(value) AS tot_out, arg_min(address, output_index) AS first_out,
          to_json(list({'address': address, 'value': CAST(value AS DOUBLE), 'output_index': output_index}
-                      ORDER BY output_index)) AS outputs_json
+                      ORDER BY output_index))::VARCHAR AS outputs_json
   FROM fxa_out GROUP BY okey),
 fxa_iagg AS (
   SELECT okey, count(*) AS n_in, sum(value) AS tot_in, min(address) AS first_in,
          to_json(list({'address': address, 'value': CAST(value AS DOUBLE), 'prev_tx_id': prev_tx_id,
-                       'prev_output_index': prev_output_index})) AS inputs_json
+                       'prev_output_index': prev_output_index}))::VARCHAR AS inputs_json
   FROM fxa_in GROUP BY okey),
 fxa_tx AS (
   SELECT 'o' || CAST(t.okey AS VARCHAR) AS tx_id, t.okey, t.ts AS timestamp, 'orders' AS source,
          t.ts AS ingest_time,
          CAST(coalesce(i.n_in, 0) AS INTEGER) AS input_count, CAST(coalesce(o.n_out, 0) AS INTEGER) AS output_count,
          coalesce(i.tot_in, 0) AS total_input, coalesce(o.tot_out, 0) AS total_output,
-         coalesce(i.inputs_json, '[]') AS inputs_json, coalesce(o.outputs_json, '[]') AS outputs_json,
+         coalesce(i.inputs_json, '[]')::VARCHAR AS inputs_json, coalesce(o.outputs_json, '[]')::VARCHAR AS outputs_json,
          i.first_in, o.first_out,
          max(t.ts) OVER (ORDER BY t.ts, t.okey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000 AS watermark_ms
   FROM fxa_o t LEFT JOIN fxa_iagg i ON i.okey = t.okey LEFT JOIN fxa_oagg o ON o.okey = t.okey)
@@ -134,23 +134,23 @@ fxb_bal AS (
 fxb_alert_velocity AS (
   SELECT tx_id || ':' || address || ':velocity' AS alert_id, 'velocity_spike' AS alert_type,
          'medium' AS severity, timestamp AS timestamp_ms, tx_id, address,
-         to_json({{'events_in_window': velocity_count, 'window_ms': CAST(172800000 AS BIGINT)}}) AS details_json
+         to_json({{'events_in_window': velocity_count, 'window_ms': CAST(172800000 AS BIGINT)}})::VARCHAR AS details_json
   FROM fxb_act WHERE velocity_count >= 10),
 fxb_alert_structuring AS (
   SELECT tx_id || ':' || address || ':structuring' AS alert_id, 'structuring' AS alert_type, 'high' AS severity,
          timestamp AS timestamp_ms, tx_id, address,
          to_json({{'events_in_window': structuring_count, 'window_ms': CAST(345600000 AS BIGINT),
-                  'ceiling': CAST(20.0 AS DOUBLE)}}) AS details_json
+                  'ceiling': CAST(20.0 AS DOUBLE)}})::VARCHAR AS details_json
   FROM fxb_act WHERE structuring_count >= 6),
 fxb_alert_late AS (
   SELECT tx_id || ':' || address || ':late' AS alert_id, 'late_event' AS alert_type, 'low' AS severity,
          timestamp AS timestamp_ms, tx_id, address,
-         to_json({{'watermark': watermark_ms, 'lateness_ms': watermark_ms - timestamp}}) AS details_json
+         to_json({{'watermark': watermark_ms, 'lateness_ms': watermark_ms - timestamp}})::VARCHAR AS details_json
   FROM fxb_upd WHERE timestamp < watermark_ms),
 fxb_alert_whale AS (
   SELECT tx_id || ':whale' AS alert_id, 'whale_transaction' AS alert_type, 'high' AS severity,
          timestamp AS timestamp_ms, tx_id, CASE WHEN has_out THEN address ELSE 'unknown' END AS address,
-         to_json({{'total_output': CAST(total_output AS DOUBLE)}}) AS details_json
+         to_json({{'total_output': CAST(total_output AS DOUBLE)}})::VARCHAR AS details_json
   FROM fxb_tx WHERE total_output >= 450),
 fxb_alerts AS (
   SELECT * FROM fxb_alert_whale UNION ALL SELECT * FROM fxb_alert_velocity
@@ -171,12 +171,12 @@ fxb_metrics AS (
 FXA_FAN_OUT = """
 SELECT tx_id || ':fanout' AS alert_id, 'fan_out' AS alert_type, 'medium' AS severity, timestamp AS timestamp_ms,
        tx_id, coalesce(first_in, 'coinbase') AS address,
-       to_json({'output_count': output_count, 'total_output': CAST(total_output AS DOUBLE)}) AS details_json
+       to_json({'output_count': output_count, 'total_output': CAST(total_output AS DOUBLE)})::VARCHAR AS details_json
 FROM fxa_tx WHERE output_count >= 8"""
 FXA_WHALE = """
 SELECT tx_id || ':whale' AS alert_id, 'whale_transaction' AS alert_type, 'high' AS severity,
        timestamp AS timestamp_ms, tx_id, coalesce(first_out, 'unknown') AS address,
-       to_json({'total_output': CAST(total_output AS DOUBLE)}) AS details_json
+       to_json({'total_output': CAST(total_output AS DOUBLE)})::VARCHAR AS details_json
 FROM fxa_tx WHERE total_output >= 400000"""
 
 
@@ -221,7 +221,7 @@ SELECT metric_type, timestamp AS timestamp_ms, source, tx_id, '' AS address,
        to_json({'metric_type': metric_type, 'tx_id': tx_id, 'timestamp': timestamp, 'ingest_time': ingest_time,
                 'source': source, 'input_count': input_count, 'output_count': output_count,
                 'total_input': total_input, 'total_output': total_output, 'fee_estimate': fee_estimate,
-                'is_late': is_late}) AS payload_json
+                'is_late': is_late})::VARCHAR AS payload_json
 FROM fxb_metrics"""
     q["utxo_snapshot"] = _with(FXB) + """
 SELECT address, tx_id, output_index, CAST(value AS DOUBLE) AS value, timestamp
