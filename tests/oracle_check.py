@@ -14,6 +14,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -62,6 +65,8 @@ def run(sf_dir, names=None, spark=None):
         try:
             df = qs[name](spark, sf_dir)
             cols = df.columns
+            stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                      for f in df.schema.fields}
             rows = [tuple(r) for r in df.collect()]
             t_spark = time.time() - t0
         except Exception as e:  # noqa: BLE001
@@ -73,6 +78,8 @@ def run(sf_dir, names=None, spark=None):
             print(name, results[name], flush=True)
             continue
         try:
+            rel = con.sql(sqls[name])
+            otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
             cur = con.execute(sqls[name])
             ocols = [d[0] for d in cur.description]
             orows = cur.fetchall()
@@ -81,13 +88,16 @@ def run(sf_dir, names=None, spark=None):
             print(name, results[name], flush=True)
             continue
         ok_cols = sorted(cols) == sorted(ocols)
+        ok_types = ok_cols and all(stypes[c] == otypes.get(c) for c in cols)
         h1 = table_hash(cols, rows)
         h2 = table_hash(ocols, orows)
-        res = {"ok": ok_cols and len(rows) == len(orows) and h1 == h2, "rows": len(rows),
-               "oracle_rows": len(orows), "cols_match": ok_cols, "hash_match": h1 == h2,
+        res = {"ok": ok_cols and ok_types and len(rows) == len(orows) and h1 == h2, "rows": len(rows),
+               "oracle_rows": len(orows), "cols_match": ok_cols, "types_match": ok_types, "hash_match": h1 == h2,
                "spark_s": round(t_spark, 2)}
         if not ok_cols:
             res["cols"] = (sorted(cols), sorted(ocols))
+        elif not ok_types:
+            res["types"] = {c: (stypes[c], otypes.get(c)) for c in cols if stypes[c] != otypes.get(c)}
         if not res["ok"] and ok_cols:
             order = sorted(range(len(cols)), key=lambda i: cols[i])
             oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
