@@ -169,3 +169,14 @@ def test_metrics_and_alerts_topics(spark):
     assert kinds == {"transaction": tx.count(), "balance_update": address_updates(tx).count()}
     al = alerts_topic(out.alerts)
     assert al.filter(F.col("key") != F.get_json_object("value", "$.alert_id")).count() == 0
+
+
+def test_month_partitioned_table_prunes_without_losing_rows(spark):
+    tx = fx_b(spark, SF001, None, FXB_OPTIONS)
+    path = f"{checkpoint_dir(spark)}/txm-{uuid.uuid4().hex}"
+    rows = tx_metrics(tx).withColumnRenamed("timestamp", "timestamp_ms")
+    write_table(rows, path, granularity="month")
+    since = tx.agg(F.max("timestamp")).first()[0] - 10 * 86_400_000  # mid-month cut
+    scan = dashboard.read_table(spark, path, since_ms=since)
+    assert "PartitionFilters: [isnotnull(event_month" in _plan(scan.select("tx_id"))
+    assert scan.count() == rows.filter(F.col("timestamp_ms") >= since).count()

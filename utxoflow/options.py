@@ -32,6 +32,9 @@ class LedgerOptions:
     # Drop re-delivered transactions (same tx_id) in streams, within the
     # watermark (the ledger assumes each output is delivered once).
     dedupe_stream: bool = False
+    # Partition granularity of the written tables: "day" (event_date) or
+    # "month" (event_month, for multi-year backfills replayed as a stream).
+    table_partition: str = "day"
 
     @property
     def activity_window_ms(self) -> int:

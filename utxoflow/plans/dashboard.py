@@ -25,9 +25,11 @@ def read_table(spark: SparkSession, path: str, since_ms: int | None = None) -> D
     df = spark.read.parquet(path)
     if since_ms is not None:
         df = df.filter(F.col("timestamp_ms") >= F.lit(int(since_ms)))
+        day = F.to_date(F.timestamp_millis(F.lit(int(since_ms))))
         if "event_date" in df.columns:
-            day = F.to_date(F.timestamp_millis(F.lit(int(since_ms))))
             df = df.filter(F.col("event_date") >= day)
+        elif "event_month" in df.columns:  # month partitions start on the 1st
+            df = df.filter(F.col("event_month") >= F.trunc(day, "month"))
     return df
 
 

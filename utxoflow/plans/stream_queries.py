@@ -25,7 +25,8 @@ from utxoflow.streaming.stream import (drain, read_alert_rates, read_state_pendi
 STREAM_BATCHES = 4
 STREAM_PARTITIONS = 8
 FXB_STREAM = FXB_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
-FXA_STREAM = FXA_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
+# FX-A replays seven years of orders as a stream: monthly table partitions.
+FXA_STREAM = FXA_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS, table_partition="month")
 TRIGGER = {"processingTime": "200 milliseconds"}
 
 

@@ -86,13 +86,13 @@ def split_output(out: DataFrame) -> tuple[DataFrame, DataFrame]:
     return balances, alerts
 
 
-def _addr_writer(out_path: str):
+def _addr_writer(out_path: str, gran: str = "day"):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             balances, alerts = split_output(batch)
-            write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id)
-            write_table(alerts, f"{out_path}/alerts", batch_id=batch_id)
+            write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id, granularity=gran)
+            write_table(alerts, f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
             write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
             write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id)
         finally:
@@ -101,12 +101,14 @@ def _addr_writer(out_path: str):
 
 
 def _tx_writer(out_path: str, opts: LedgerOptions):
+    gran = opts.table_partition
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_table(tx_rows(batch), f"{out_path}/transactions", batch_id=batch_id)
-            write_table(metric_rows(tx_metrics(batch)), f"{out_path}/metrics", batch_id=batch_id)
-            write_table(tx_alerts(batch, opts), f"{out_path}/alerts_tx", batch_id=batch_id)
+            write_table(tx_rows(batch), f"{out_path}/transactions", batch_id=batch_id, granularity=gran)
+            write_table(metric_rows(tx_metrics(batch)), f"{out_path}/metrics", batch_id=batch_id, granularity=gran)
+            write_table(tx_alerts(batch, opts), f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran)
         finally:
             batch.unpersist()
     return write
@@ -165,7 +167,7 @@ def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
                      opts: LedgerOptions = DEFAULT, trigger: dict | None = None,
                      initial: DataFrame | None = None) -> StreamingQuery:
     use_rocksdb(tx.sparkSession)
-    w = ledger_stream(with_event_watermark(tx, opts), opts, initial).writeStream.foreachBatch(_addr_writer(out_path))
+    w = ledger_stream(with_event_watermark(tx, opts), opts, initial).writeStream.foreachBatch(_addr_writer(out_path, opts.table_partition))
     if trigger:
         w = w.trigger(**trigger)
     with _partitions(tx.sparkSession, opts.stream_partitions):
