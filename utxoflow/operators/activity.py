@@ -155,11 +155,16 @@ def activity_counts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
                       small.alias("small"))
     chunk_w = F.lit(int(max(w, 1)))
     chunk = F.when(F.col("_hot"), F.floor(F.col("max_ts") / chunk_w)).otherwise(F.lit(0)).cast("long")
-    rows = base.withColumn("_chunk", chunk).withColumn("is_query", F.lit(True))
-    context = (rows.filter(F.col("_hot"))
-                   .withColumn("_chunk", F.col("_chunk") + 1)
-                   .withColumn("is_query", F.lit(False)))
-    grouped = (rows.unionByName(context).drop("_hot")
+    # Each row once as a query of its chunk and, for a hot address, once more
+    # as read-only context of the next chunk -- one pass (no union branch that
+    # would recompute the ledger).
+    copies = F.filter(F.array(
+        F.struct(chunk.alias("c"), F.lit(True).alias("q")),
+        F.when(F.col("_hot"), F.struct((chunk + 1).alias("c"), F.lit(False).alias("q")))),
+        lambda x: x.isNotNull())
+    grouped = (base.withColumn("_copy", F.explode(copies))
+                   .withColumn("_chunk", F.col("_copy.c")).withColumn("is_query", F.col("_copy.q"))
+                   .drop("_copy", "_hot")
                    .repartition("address", "_chunk")
                    .sortWithinPartitions("address", "_chunk", "arrival_ms", "seq", "pos"))
     return grouped.mapInPandas(_counter(opts), schema=COUNT_SCHEMA)
