@@ -27,7 +27,7 @@ STREAM_PARTITIONS = 8
 FXB_STREAM = FXB_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
 # FX-A replays seven years of orders as a stream: monthly table partitions.
 FXA_STREAM = FXA_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS, table_partition="month")
-TRIGGER = {"processingTime": "200 milliseconds"}
+TRIGGER = {"processingTime": "1 second"}
 
 
 def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES,
