@@ -37,3 +37,13 @@ def test_minute_buckets(spark):
     df = spark.createDataFrame([(1704067207179,), (60000,), (59999,)], "t long")
     assert [r.m for r in df.select(ms_to_minute("t").alias("m")).collect()] == [1704067200000, 60000, 0]
     assert df.select(F.max(ms_to_minute("t"))).first()[0] % 60000 == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from utxoflow.session import scale_conf
+
+    conf = scale_conf(100 * 2**40, executors_cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    small = scale_conf(10 << 20, executors_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"  # at least two waves of tasks
