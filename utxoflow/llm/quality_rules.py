@@ -86,7 +86,7 @@ def buckets_of(words: Column, n: Column, bits: int) -> Column:
 
     twos = F.when(n < 2, F.array().cast("array<int>")).otherwise(F.transform(
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: bucket(F.get(words, i - 1), F.get(words, i))))
-    return F.concat(F.transform(words, bucket), twos)
+    return F.concat(F.transform(words, lambda w: bucket(w)), twos)
 
 
 def fit_ratios(docs: DataFrame, text_col: str = "text", bits: int = BITS) -> list[float]:
