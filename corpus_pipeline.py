@@ -4,8 +4,9 @@ predecessor kept and is written as Parquet before the next one reads it."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from utxoflow.llm import exact_dedup, quality_rules
+from utxoflow.llm import exact_dedup, quality_rules, secret_scan
 from utxoflow.llm.common import staged, table
 
 
@@ -19,6 +20,11 @@ def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts; every document stays."""
+    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 STAGES = [
     ("quality rules", stage_quality_rules),
     ("exact dedup", stage_exact_dedup),

@@ -71,3 +71,23 @@ def slices(batches, rows: int = 512):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def worker_cache(key, make):
+    """An object made once per Python worker (functions of this package travel
+    by value, so their own globals do not outlive a task)."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def tiktoken_ranks(path: str) -> dict[bytes, int]:
+    """Ranks of a tiktoken vocabulary file."""
+    import base64
+
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}

@@ -8,15 +8,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import exact_dedup, quality_rules
+from utxoflow.llm import bpe, exact_dedup, license_scan, quality_rules, secret_scan
 from utxoflow.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "n_random",
+                      F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -24,7 +38,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
 }
 
