@@ -8,14 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import bpe, exact_dedup, license_scan, quality_rules, secret_scan
-from utxoflow.llm.common import table
+from utxoflow.llm import bpe, exact_dedup, langid, license_scan, quality_gbt, quality_rules, secret_scan
+from utxoflow.llm.common import crc_mod, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) == 2
+    return langid.predict(docs, langid.learn(docs.filter(~held)), held_out=held)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "n_random",
@@ -37,12 +42,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", F.col("llr").alias("llr"))
 
 
+def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    out = quality_gbt.score(docs, quality_gbt.fit(docs, labels, learn=~held), held_out=held)
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op10_quality_gbt": op10_quality_gbt,
 }
 
 ORACLE: dict[str, str] = {
