@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import exact_dedup, quality_rules, secret_scan
+from utxoflow.llm import exact_dedup, jaccard, packing, quality_rules, secret_scan
 from utxoflow.llm.common import staged, table
 
 
@@ -20,14 +20,27 @@ def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def stage_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return jaccard.keep_one(docs)
+
+
 def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; every document stays."""
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, cut into pieces where needed, packed into sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality rules", stage_quality_rules),
     ("exact dedup", stage_exact_dedup),
+    ("n-gram jaccard join", stage_jaccard_join),
+    ("secret scan", stage_secret_scan),
+    ("best-fit packing", stage_packing),
 ]
 
 #: No SQL: shingle joins and packing are tested against brute force instead.

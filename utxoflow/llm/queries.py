@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import bpe, exact_dedup, langid, license_scan, quality_gbt, quality_rules, secret_scan
+from utxoflow.llm import (bpe, exact_dedup, jaccard, langid, license_scan, packing, quality_gbt, quality_rules, secret_scan,
+                           warc)
 from utxoflow.llm.common import crc_mod, table
 
 
@@ -16,6 +17,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) == 2
     return langid.predict(docs, langid.learn(docs.filter(~held)), held_out=held)
@@ -27,6 +32,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -42,6 +51,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", F.col("llr").alias("llr"))
 
 
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = crc_mod(F.col("doc_id"), 5) == 0
@@ -49,15 +63,9 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_license_scan": op1_license_scan,
-    "op3_language_id": op3_language_id,
-    "op4_secret_scan": op4_secret_scan,
-    "op6_exact_dedup": op6_exact_dedup,
-    "op7_bpe": op7_bpe,
-    "op8_quality_rules": op8_quality_rules,
-    "op10_quality_gbt": op10_quality_gbt,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_license_scan, op2_packing, op3_language_id, op4_secret_scan, op5_jaccard_join, op6_exact_dedup, op7_bpe,
+    op8_quality_rules, op9_warc_revisits, op10_quality_gbt)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": r"""
@@ -71,4 +79,13 @@ ORACLE: dict[str, str] = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id
             FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op9_warc_revisits": r"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS original
+            FROM pages),
+        r AS (SELECT *, payload_bytes >= 1000 AND page_id <> original AS again FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN original END AS refers_to
+        FROM r""",
 }
