@@ -13,15 +13,17 @@ capped; hashing to 64 bits is the only approximation.
    ``n - ceil(t n) + 1`` of each (prefix filter).  The order puts shingles that
    are frequent in a sample of documents last, so common passages rarely make
    tiles; the sample only shapes the order, never the result.  Nodes with a
-   prefix shingle in common meet in its tile, sorted by size.
-3. Forest.  Every node is compared with one neighbour of its tiles (the one it
-   meets most often, sizes within the threshold): bit counts bound the overlap
-   from above, survivors get the exact sorted-array intersection.  Links found
-   are merged to components.
+   prefix shingle in common meet in its tile, sorted by place in the prefix and
+   size.  What precedes a first common shingle is not shared, so place and size
+   bound the overlap (size bands and places together).
+3. Forest.  Every node is compared with the first node of its tiles it meets
+   most often and may link with.  Bit counts bound the overlap from above,
+   survivors get the exact sorted-array intersection.  Links found are merged
+   to components.
 4. Rest.  Only nodes of one tile in different components are still of interest.
    Tiles are cut into blocks of at most ``block_rows`` nodes, every pair of
    blocks of a tile is a unit of its own, and there pairs of different
-   components and fitting sizes are tested by bit counts.  Survivors are
+   components and fitting sizes and places are tested by bit counts.  Survivors are
    intersected exactly.  Every linked pair is thus either inside one component
    or tested here.
 
@@ -45,44 +47,88 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utxoflow.llm.common import arrow_schema, batch_of, slices, staged, text_bytes, worker_cache
+from utxoflow.llm.common import SPACE_BYTES, arrow_schema, batch_of, slices, staged, worker_cache
 from utxoflow.session import pickle_by_value
 
 WORDS = 5
-MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-MIX = np.uint64(0xBF58476D1CE4E5B9)
-
-
-class WordHashes(dict):
-    """Word to 64-bit hash, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def word_hashes() -> WordHashes:
-    held = worker_cache("word hashes", WordHashes)
-    if len(held) > 500_000:
-        held.clear()
-    return held
-
-
-def shingles(raw: bytes, known: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text in UTF-8."""
-    words = raw.lower().split()  # bytes: ASCII letters, ASCII white space
-    n = len(words)
-    if n == 0:
-        return np.empty(0, np.uint64)
-    if n < WORDS:
-        whole = hashlib.blake2b(b" ".join(words), digest_size=8, person=b"short").digest()
-        return np.frombuffer(whole, np.uint64)
-    w = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-    h = sum(w[k:n - WORDS + 1 + k] * MULTIPLIERS[k] for k in range(WORDS))
-    h = (h ^ (h >> np.uint64(29))) * MIX
-    return np.unique(h ^ (h >> np.uint64(32)))
+#: Bytes hashed at once; a longer text is cut between words.
+CHUNK = 1 << 21
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (shift, multiply) over an array."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def constants(n: int, seed: int) -> np.ndarray:
+    """n odd 64-bit multipliers of a stream."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
+
+
+SPACES = np.zeros(256, bool)
+SPACES[list(SPACE_BYTES)] = True
+#: A number per byte; ASCII capitals have that of their small letter.
+BYTES = constants(256, 1)
+BYTES[0x41:0x5B] = BYTES[0x61:0x7B]
+SHINGLE = constants(WORDS, 2)
+
+
+def place_numbers(n: int) -> np.ndarray:
+    """A multiplier for each place in a word, for words of up to n bytes."""
+    size = 1 << max(10, n.bit_length())
+    return worker_cache(("places", size), lambda: constants(size, 3))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of every word of a buffer in which texts begin at ``starts``."""
+    inked = np.flatnonzero(~SPACES[data])
+    if not len(inked):
+        return np.empty(0, np.uint64), inked
+    first = np.ones(len(inked), bool)
+    first[1:] = inked[1:] != inked[:-1] + 1
+    at = np.searchsorted(inked, starts)  # a text's first inked byte begins a word
+    first[at[at < len(inked)]] = True
+    begin = np.flatnonzero(first)
+    sizes = np.diff(np.append(begin, len(inked)))
+    place = np.arange(len(inked)) - np.repeat(begin, sizes)
+    sums = np.add.reduceat(BYTES[data[inked]] * place_numbers(int(sizes.max()))[place], begin)
+    return mixed(sums + sizes.astype(np.uint64)), inked[begin]
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of every text; text i is data[offsets[i]:offsets[i + 1]]."""
+    hashes, begins, at = [], [], int(offsets[0])
+    while at < offsets[-1]:
+        stop = min(at + CHUNK, int(offsets[-1]))
+        if stop < offsets[-1]:  # cut where a text or a word ends
+            cut = np.flatnonzero(SPACES[data[at:stop]])
+            ends = offsets[np.searchsorted(offsets, stop, side="right") - 1]
+            stop = max(int(ends), at + int(cut[-1]) + 1 if len(cut) else 0)
+            if stop <= at:  # one word longer than a chunk
+                more = np.flatnonzero(SPACES[data[at:]])
+                stop = min([x for x in (at + int(more[0]) if len(more) else int(offsets[-1]),
+                                        int(offsets[np.searchsorted(offsets, at, side="right")])) if x > at])
+        inside = offsets[(offsets >= at) & (offsets < stop)] - at
+        got, begin = word_hashes(data[at:stop], inside)
+        hashes.append(got)
+        begins.append(begin + at)
+        at = stop
+    words = np.concatenate([np.empty(0, np.uint64), *hashes])
+    bounds = np.searchsorted(np.concatenate([np.empty(0, np.int64), *begins]), offsets)
+    m = max(0, len(words) - WORDS + 1)
+    runs = mixed(sum((words[k:m + k] * SHINGLE[k] for k in range(WORDS)), np.zeros(m, np.uint64)))
+    out = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if hi - lo >= WORDS:
+            out.append(np.unique(runs[lo:hi - WORDS + 1]))
+        elif hi > lo:  # too few words: all of them are one shingle
+            whole = (words[lo:hi] * SHINGLE[:hi - lo]).sum(keepdims=True)
+            out.append(mixed(whole + SHINGLE[:1] * np.array([hi - lo], np.uint64)))
+        else:
+            out.append(np.empty(0, np.uint64))
+    return out
 
 
 def node_of(found: np.ndarray, salt: int) -> tuple[int, int]:
@@ -92,8 +138,8 @@ def node_of(found: np.ndarray, salt: int) -> tuple[int, int]:
 
 
 def signature(found: np.ndarray) -> bytes:
-    """Parity bitmap of at least as many bits as shingles (a power of two, 64 to 65536)."""
-    bits = min(1 << 16, max(64, 1 << (max(1, len(found)) - 1).bit_length()))
+    """Parity bitmap of at least twice as many bits as shingles (a power of two, 64 to 65536)."""
+    bits = min(1 << 16, max(64, 1 << (2 * max(1, len(found)) - 1).bit_length()))
     odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -119,15 +165,23 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _each(batches, rows: int = 512):
-    """(doc_id, set) of every row of (doc_id, text) batches, by slice."""
-    for batch in slices(batches, rows):
-        known = word_hashes()
-        yield batch, [shingles(text_bytes(t), known) for t in batch.column(1)]
+def _each(batches, most: int = 1 << 21):
+    """(slice, sets) over (doc_id, text) batches, some MB of text at a time."""
+    for batch in batches:
+        texts = pa.array(batch.column(1), pa.string()) if not pa.types.is_string(batch.column(1).type) else batch.column(1)
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + n + 1].astype(np.int64) if n else np.zeros(1, int)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8) if n else np.empty(0, np.uint8)
+        at = 0
+        while at < n:
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+            yield batch.slice(at, stop - at), shingle_sets(data, offsets[at:stop + 1])
+            at = stop
 
 
 SETS = "doc_id bigint, n bigint, node bigint, check bigint, bitmap binary"
-POSTINGS = "shingle bigint, n bigint, node bigint"
+#: at: place in the prefix in the upper 32 bits, size of the set in the lower.
+POSTINGS = "shingle bigint, at bigint, node bigint"
 TILES = POSTINGS + ", mate bigint"
 FOUND = "node bigint, content binary"
 PAIRS = "a bigint, b bigint"
@@ -195,21 +249,31 @@ def _postings(docs: DataFrame, frequent: np.ndarray, percent: int, salt: int) ->
             if len(seen) > 500_000:
                 seen.clear()
             sizes = [len(p) for p, _, _ in got]
-            yield batch_of(schema, {"shingle": np.concatenate([np.empty(0, np.uint64), *(p for p, _, _ in got)]).view(np.int64),
-                                    "n": np.repeat(np.array([n for _, n, _ in got], np.int64), sizes),
-                                    "node": np.repeat(np.array([k for _, _, k in got], np.int64), sizes)})
+            yield batch_of(schema, {
+                "shingle": np.concatenate([np.empty(0, np.uint64), *(p for p, _, _ in got)]).view(np.int64),
+                "at": np.concatenate([np.empty(0, np.int64), *((np.arange(k) << 32) | n for k, (_, n, _) in zip(sizes, got))]),
+                "node": np.repeat(np.array([k for _, _, k in got], np.int64), sizes)})
 
     return docs.mapInArrow(run, POSTINGS)
 
 
+def fits(at, other, percent: int):
+    """Can sets that first meet in these places of their prefixes link?  What
+    precedes a first common shingle is not shared, so the overlap is at most
+    the smaller rest of the two."""
+    n, m = at & 0xFFFFFFFF, other & 0xFFFFFFFF
+    return (100 + percent) * np.minimum(n - (at >> 32), m - (other >> 32)) >= percent * (n + m)
+
+
 def _tiles(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings of shingles that two or more nodes have, each with the node
-    before it in its tile when their sizes can link.  Input is sorted by
-    shingle, size and node within partitions."""
+    """Postings of shingles that two or more nodes have, each with the first
+    node of its tile when the two can link.  Input is sorted by shingle, place,
+    size and node within partitions: first comes a set with few rarer shingles,
+    in a group of near copies one with few changes."""
     schema = arrow_schema(TILES)
 
     def run(batches):
-        held = None  # the last distinct row so far, and whether its tile has others
+        held = None  # the last row so far (its tile may go on), whether it has company, its tile's first row
         for batch in batches:
             rows = np.stack([batch.column(k).to_numpy() for k in range(3)])
             if held is not None:
@@ -217,26 +281,27 @@ def _tiles(postings: DataFrame, percent: int) -> DataFrame:
             if not rows.shape[1]:
                 continue
             new = np.ones(rows.shape[1], bool)
-            new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)  # copies of a node in other tasks
+            new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)  # copies of a node from other tasks
             rows = rows[:, new]
-            same = np.zeros(rows.shape[1] + 1, bool)  # is row i in the tile of row i - 1?
-            same[1:-1] = rows[0, 1:] == rows[0, :-1]
-            shared, mate_n, mate = (held[1], held[2], held[3]) if held is not None else (False, 0, 0)
-            before_n, before = np.concatenate([[mate_n], rows[1, :-1]]), np.concatenate([[mate], rows[2, :-1]])
-            has = same[:-1].copy()
-            has[0] = shared
+            n = rows.shape[1]
+            same = np.zeros(n + 1, bool)  # is row i in the tile of row i - 1?
+            same[1:n] = rows[0, 1:] == rows[0, :-1]
+            lead = np.maximum.accumulate(np.where(same[:n], 0, np.arange(n)))
+            lead_at, lead_node = rows[1, lead], rows[2, lead]
+            has = same[:n].copy()
+            if held is not None and held[1]:
+                first = lead == 0  # these belong to the tile the batch before left open
+                lead_at[first], lead_node[first], has[0] = held[2][0], held[2][1], True
             keep = has | same[1:]
-            last = rows.shape[1] - 1
-            keep[last] = False  # its tile may go on: decided with the next batch
-            fits = has & (100 * before_n >= percent * rows[1])
+            keep[n - 1] = False
+            mated = has & fits(rows[1], lead_at, percent)
             if keep.any():
-                yield batch_of(schema, {"shingle": rows[0, keep], "n": rows[1, keep], "node": rows[2, keep],
-                                        "mate": pa.array(before[keep], mask=~fits[keep])})
-            held = (rows[:, last:], bool(has[last]), int(before_n[last]), int(before[last]))
+                yield batch_of(schema, {"shingle": rows[0, keep], "at": rows[1, keep], "node": rows[2, keep],
+                                        "mate": pa.array(lead_node[keep], mask=~mated[keep])})
+            held = (rows[:, n - 1:], bool(has[n - 1]), (int(lead_at[n - 1]), int(lead_node[n - 1])))
         if held is not None and held[1]:
-            (shingle,), (n,), (node,) = held[0]
-            fits = 100 * held[2] >= percent * n
-            yield batch_of(schema, {"shingle": [shingle], "n": [n], "node": [node], "mate": [held[3] if fits else None]})
+            mated = bool(fits(held[0][1], held[2][0], percent)[0])
+            yield batch_of(schema, {"shingle": held[0][0], "at": held[0][1], "node": held[0][2], "mate": [held[2][1] if mated else None]})
 
     return postings.mapInArrow(run, TILES)
 
@@ -262,6 +327,8 @@ def _bit_tested(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(run, PAIRS)
 
 
+#: Tiles of up to so many rows are compared by array steps, larger ones in blocks.
+SMALL = 64
 #: Bits of the map that tells which nodes' texts are needed (fixed, 4 MB).
 MAP_BITS = 25
 
@@ -337,12 +404,46 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(tiles: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of a tile in different components that sizes and bitmaps allow."""
+    """Pairs of a tile in different components that places, sizes and bitmaps
+    allow."""
     schema = arrow_schema(PAIRS)
 
+    def small(batches):
+        """All pairs of tiles of at most SMALL rows, by places and sizes."""
+        left = None
+        for batch in batches:
+            rows = np.stack([batch.column(k).to_numpy() for k in range(4)])
+            rows = rows if left is None else np.concatenate([left, rows], axis=1)
+            if not rows.shape[1]:
+                continue
+            last = int(np.searchsorted(rows[0], rows[0, -1]))  # the last tile may go on; shingles ascend
+            yield from pairs(rows[:, :last])
+            left = rows[:, last:]
+        if left is not None:
+            yield from pairs(left)
+
+    def pairs(rows):
+        m = rows.shape[1]
+        if m < 2:
+            return
+        ends = np.searchsorted(rows[0], rows[0], side="right")  # end of each row's tile
+        found = []
+        for step in range(1, SMALL):
+            i = np.flatnonzero(np.arange(m) + step < ends)
+            if not len(i):
+                break
+            j = i + step
+            ok = (rows[3, i] != rows[3, j]) & fits(rows[1, i], rows[1, j], percent)
+            found.append(np.stack([rows[2, i[ok]], rows[2, j[ok]]]))
+        got = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        got = np.unique(np.sort(got, axis=0), axis=1)
+        if got.shape[1]:
+            yield batch_of(schema, {"a": got[0], "b": got[1]})
+
     def compare(rows):
         """Rows of one unit: all pairs that belong to it and may link."""
-        n, node, root, unit, own = (np.array([r[k] for r in rows]) for k in range(1, 6))
+        at, node, root, apart, own = (np.array([r[k] for r in rows]) for k in range(1, 6))
+        n = at & 0xFFFFFFFF
         widths = [len(r[6]) for r in rows]
         out = []
         for size in sorted(set(widths)):  # pairs whose narrower signature has this width
@@ -351,16 +452,16 @@ def _cross_pairs(tiles: DataFrame, roots: DataFrame, classes: DataFrame, percent
             mine = np.array(mine)
             exact = np.array([widths[i] == size for i in mine])
             for k, i in enumerate(mine):
-                ok = (root[mine] != root[i]) & (100 * np.minimum(n[mine], n[i]) >= percent * np.maximum(n[mine], n[i]))
+                ok = (root[mine] != root[i]) & fits(at[mine], at[i], percent)
                 ok &= (np.arange(len(mine)) < k) & (exact | exact[k])
-                ok &= (own[mine] != own[i]) | (unit[i] == 0)
+                ok &= (own[mine] != own[i]) | (apart[i] == 0)
                 js = np.flatnonzero(ok)
                 if len(js):
                     js = js[may_link(marks[js], marks[k], n[mine[js]], n[i], percent)]
                     out += [(min(node[i], x), max(node[i], x)) for x in node[mine[js]].tolist()]
         return out
 
-    def run(batches):
+    def large(batches):
         key, rows, out = None, [], set()
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
@@ -377,17 +478,22 @@ def _cross_pairs(tiles: DataFrame, roots: DataFrame, classes: DataFrame, percent
             out.update(compare(rows))
         yield batch_of(schema, {"a": [a for a, _ in out], "b": [b for _, b in out]})
 
-    rows = tiles.select("shingle", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = tiles.select("shingle", "at", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rows.groupBy("shingle").agg(F.count("*").alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_ = open_.filter("lo != hi").select("shingle", F.ceil(F.col("members") / block_rows).cast("int").alias("blocks"))
-    rows = rows.join(open_, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = staged(rows.join(open_.filter("lo != hi").select("shingle", "members"), "shingle"), "open")
+    few = rows.filter(F.col("members") <= min(SMALL, block_rows)).select("shingle", "at", "node", "root")
+    few = few.repartition("shingle").sortWithinPartitions("shingle", "at", "node").mapInArrow(small, PAIRS).distinct()
+
+    many = rows.filter(F.col("members") > min(SMALL, block_rows)).withColumn("blocks", F.ceil(F.col("members") / block_rows).cast("int"))
+    many = many.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a row goes to the units of its block with every block (once, for a tile of one block)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
     unit = F.concat_ws(":", F.col("shingle").cast("string"), lo.cast("string"), hi.cast("string"))
-    rows = rows.select(unit.alias("unit"), "n", "node", "root", (hi - lo).alias("apart"), "own")
-    rows = rows.join(classes.select("node", "bitmap"), "node").select("unit", "n", "node", "root", "apart", "own", "bitmap")
-    return rows.repartition("unit").sortWithinPartitions("unit", "n", "node").mapInArrow(run, PAIRS).distinct()
+    many = many.select(unit.alias("unit"), "at", "node", "root", (hi - lo).alias("apart"), "own")
+    many = many.join(classes.select("node", "bitmap"), "node").select("unit", "at", "node", "root", "apart", "own", "bitmap")
+    many = many.repartition("unit").sortWithinPartitions("unit", "at", "node").mapInArrow(large, PAIRS).distinct()
+    return _bit_tested(few, classes, percent).union(many).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 75,
@@ -406,7 +512,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.min("doc_id").alias("first_id")), "classes")
     order = frequent_shingles(source, sample_one_in, frequent)
     postings = _postings(source, order, percent, salt)
-    tiles = staged(_tiles(postings.repartition("shingle").sortWithinPartitions("shingle", "n", "node"), percent), "tiles")
+    tiles = staged(_tiles(postings.repartition("shingle").sortWithinPartitions("shingle", "at", "node"), percent), "tiles")
 
     met = tiles.filter("mate is not null").groupBy("node", "mate").agg(F.count("*").alias("times"))
     forest = met.groupBy("node").agg(F.max(F.struct("times", "mate")).alias("best"))
