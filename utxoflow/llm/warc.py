@@ -69,14 +69,15 @@ def records(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(head, body).alias("value"))
 
 
-def write_records(rows: DataFrame, path: str, records_per_file: int) -> None:
-    (records(rows).write.option("lineSep", CRLF + CRLF).option("compression", "gzip")
+def write_records(rows: DataFrame, path: str, records_per_file: int, level: str = "DEFAULT_COMPRESSION") -> None:
+    (records(rows).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("zlib.compress.level", level)
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *,
-                   date: str = "1970-01-01T00:00:00Z", records_per_file: int = 2000) -> None:
-    """One ``response`` record per page."""
+                   date: str = "1970-01-01T00:00:00Z", records_per_file: int = 2000, level: str = "BEST_SPEED") -> None:
+    """One ``response`` record per page (compressed for speed: these archives
+    are read once, to be deduplicated)."""
     target = F.replace(F.replace(F.coalesce(F.col(url_col), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     payload = F.coalesce(F.col(html_col), F.lit(""))
     none = F.lit(None).cast("string")
@@ -84,7 +85,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.col(id_col).cast("bigint").alias("page_id"), target.alias("target"), payload.alias("payload"),
         F.sha1(payload).alias("payload_sha1"), F.uuid().alias("record_id"), F.lit("response").alias("warc_type"),
         F.lit(date).alias("warc_date"), none.alias("refers_id"), none.alias("refers_target"), none.alias("refers_date"),
-        F.lit(None).cast("bigint").alias("refers_page")), path, records_per_file)
+        F.lit(None).cast("bigint").alias("refers_page")), path, records_per_file, level)
 
 
 def parse(data: bytes):
