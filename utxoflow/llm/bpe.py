@@ -4,8 +4,8 @@ A rank file fixes the vocabulary.  Its bytes are written as printable
 characters (a table from each byte to one character), every way to split a
 token into two smaller tokens becomes a merge ordered by the token's rank, and
 the tokenizers library merges each match of the split pattern on its own.
-Work runs over Arrow batches; a worker encodes a distinct match once and keeps
-a bounded number of them.  Ids carry offsets in code points of the text: a
+Work runs over Arrow batches; a worker encodes a distinct match, and decodes its
+ids, once and keeps a bounded number of them.  Ids carry offsets in code points of the text: a
 token that ends inside a character covers that whole character.
 
 Ranks alone decide a merge, so where one token arises from two overlapping
@@ -23,9 +23,11 @@ raise ``KeyError``.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from utxoflow.llm.common import arrow_schema, batch_of, slices, tiktoken_ranks, worker_cache
 from utxoflow.session import pickle_by_value
 
-#: Distinct matches a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 500_000
+#: Distinct matches of a generation; a worker remembers this and the one before.
+REMEMBERED = 300_000
 
 
 def byte_characters() -> list[str]:
@@ -46,6 +48,23 @@ def byte_characters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class Remembered(dict):
+    """Match to [ids, ids as text, decoded bytes, number of ids].  A match not seen before gets
+    an empty entry, to be filled when the batch is encoded, so a match is looked
+    up once; one that only ``old``, the generation before, has moves over."""
+
+    def __init__(self, old: dict):
+        self.old = old
+        self.new: list[tuple[str, list]] = []
+
+    def __missing__(self, piece: str) -> list:
+        entry = self.old.get(piece)
+        if entry is None:
+            self.new.append((piece, entry := []))
+        self[piece] = entry
+        return entry
+
+
 class ByteBPE:
     """Encoder and decoder of one rank file."""
 
@@ -69,22 +88,28 @@ class ByteBPE:
         self.bytes_of = {r: bytes(self.byte_of[c] for c in self.name_of[r]) for r in self.name_of}
         self.split = regex.compile(pattern).findall
         self.ranks = tiktoken.Encoding("check", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, list[int]] = {}
+        self.known = Remembered({})
 
     def to_chars(self, raw: bytes) -> str:
         return raw.decode("latin-1").translate(self.latin)
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        split = [self.split(t) if t else [] for t in texts]
+    def matches(self, texts: list[str | None]) -> list[list[list]]:
+        """Per text, the entries [ids, ids as text, decoded bytes, number of ids] of its matches."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list(set(chain.from_iterable(split)) - self.known.keys())
-        for piece, got in zip(new, self.model.encode_batch([self.to_chars(p.encode()) for p in new], add_special_tokens=False)):
-            checked = self.ranks.encode_single_piece(piece.encode()) if hasattr(self.ranks, "encode_single_piece") \
-                else self.ranks._encode_single_piece(piece.encode())
-            self.known[piece] = checked if checked != got.ids else got.ids
+            self.known = Remembered(dict(self.known))
         find = self.known.__getitem__
-        return [list(chain.from_iterable(map(find, pieces))) for pieces in split]
+        found = [list(map(find, self.split(t))) if t else [] for t in texts]
+        new, self.known.new = self.known.new, []
+        raw = [piece.encode() for piece, _ in new]
+        for piece, (_, entry), got in zip(raw, new, self.model.encode_batch(list(map(self.to_chars, raw)), add_special_tokens=False)):
+            ids = got.ids
+            if ids != (checked := self.ranks._core_bpe.encode_single_piece(piece)):
+                ids = checked
+            entry += (ids, " ".join(map(str, ids)), self.decode(ids), len(ids))
+        return found
+
+    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+        return [list(chain.from_iterable(map(itemgetter(0), pieces))) for pieces in self.matches(texts)]
 
     def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
         """(start, end) of every id in code points of ``text``."""
@@ -154,13 +179,14 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         bpe = load(*where)
-        said = {i: str(i) for i in bpe.bytes_of}.__getitem__
+        gc.disable()  # lists of ids make no cycles, and scanning them costs more than the merges
+        said, decoded, size = map(itemgetter, (1, 2, 3))
         for batch in slices(batches, 128):
-            ids = bpe.encode_batch(batch.column(1).to_pylist())
+            found = bpe.matches(batch.column(1).to_pylist())
             yield batch_of(schema, {
-                "doc_id": batch.column(0), "n_tokens": [len(x) for x in ids],
-                "ids_sha256": [hashlib.sha256(" ".join(map(said, x)).encode()).hexdigest() for x in ids],
-                "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]})
+                "doc_id": batch.column(0), "n_tokens": [sum(map(size, x)) for x in found],
+                "ids_sha256": [hashlib.sha256(" ".join(map(said, x)).encode()).hexdigest() for x in found],
+                "decoded_sha256": [hashlib.sha256(b"".join(map(decoded, x))).hexdigest() for x in found]})
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, ROUND)
 
