@@ -68,6 +68,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op8_quality_rules, op9_warc_revisits, op10_quality_gbt)}
 
 ORACLE: dict[str, str] = {
+    "op5_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        starts AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM w),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM starts),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_n
+            FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (
+            SELECT x, y FROM both_ JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y
+            WHERE 100 * both_n >= 75 * (p.n + q.n - both_n)),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM w
+            UNION
+            SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.y) AS component_id
+        FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.x = w.doc_id GROUP BY w.doc_id, n.n""",
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
