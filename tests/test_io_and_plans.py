@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
@@ -82,17 +84,22 @@ def test_flagship_plan_is_two_shuffles_and_jvm_only(spark):
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
 
-def test_hot_key_filter_is_pushed_below_the_key_window(spark):
+def test_hot_rows_are_cut_once_and_windows_use_their_pieces(spark):
     from utxoflow.operators.ledger import balance_records, ledger
     from utxoflow.operators.updates import address_updates
 
     o = FXB_OPTIONS.with_(hot_key_rows=95, rows_per_bucket=20)
     plan = _plan(balance_records(ledger(address_updates(fx_b(spark, SF001, None, o)), o)))
-    tree = [l for l in plan.splitlines() if l.strip().startswith(("+-", ":"))]
-    filters = [i for i, l in enumerate(tree) if "Filter" in l]
-    generates = [i for i, l in enumerate(tree) if "Generate" in l]
-    assert "INSET" in plan or " IN (" in plan
-    assert any(g == f + 1 for f in filters for g in generates)  # filter right above the explode
+    assert "utxoflow-hot-rows" in plan and "utxoflow-hot-keys" in plan  # written tables, not recomputed
+    assert "hashpartitioning(address" in plan and "_bkt" in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("name", ["tps_last_minute", "alerts_last_hour", "tx_volume_last_day", "alert_rates"])
+def test_registered_panels_prune_partitions(spark, name):
+    import __spark_entry__ as entry
+
+    plan = _plan(entry.queries()[name](spark, SF001))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "GreaterThanOrEqual(timestamp_ms" in plan
 
 
 def test_events_scan_prunes_columns(spark):

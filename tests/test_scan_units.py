@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from utxoflow.operators.activity import _counter
-from utxoflow.operators.scan import global_prefix_max, quantile_bounds
+from utxoflow.operators.scan import global_prefix_max
 from utxoflow.options import DEFAULT
 
 
@@ -39,9 +39,8 @@ def test_burst_on_one_arrival_value_is_split_and_exact(spark):
     n = 2000
     rows = [(i, 1000 if i % 5 < 3 else i, (i * 7919) % 1000) for i in range(n)]
     df = spark.createDataFrame(rows, "seq long, arrival_ms long, timestamp long")
-    bounds = quantile_bounds(df, "arrival_ms", 8, "seq")
-    assert sum(1 for b in bounds if b[0] == 1000) > 2  # the burst got its own ranges
-    got = {r.seq: r.m for r in global_prefix_max(df, "timestamp", ["arrival_ms", "seq"], "m", 8).collect()}
+    out = global_prefix_max(df, "timestamp", ["arrival_ms", "seq"], "m", 8)
+    got = {r.seq: r.m for r in out.collect()}
     want, best = {}, None
     for seq, arr, ts in sorted(rows, key=lambda r: (r[1], r[0])):
         want[seq] = best
@@ -49,20 +48,36 @@ def test_burst_on_one_arrival_value_is_split_and_exact(spark):
     assert got == want
 
 
-def test_many_hot_keys_keep_a_small_plan(spark):
-    """Thousands of hot keys: the bucket expression stays one map literal."""
+def test_many_hot_keys_and_a_null_key(spark):
+    """Thousands of hot keys, a null one among them: no cap, exact sums."""
     from utxoflow.operators.scan import prefix_scan, with_buckets
 
-    df = spark.range(0, 60000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("t"), F.lit(1).alias("v"))
-    opts = DEFAULT.with_(hot_key_rows=10, rows_per_bucket=5, max_hot_keys=5000)
-    b, hot = with_buckets(df, "k", "t", opts)
-    assert len(hot) == 3000
+    k = F.when(F.col("id") % 3000 != 7, F.col("id") % 3000)
+    df = spark.range(0, 60000).select(k.alias("k"), F.col("id").alias("t"), F.lit(1).alias("v"))
+    b, hot = with_buckets(df, "k", ["t"], DEFAULT.with_(hot_key_rows=10, rows_per_bucket=500))
+    assert hot and b.filter("_hot").select("k").distinct().count() == 3000
     out = prefix_scan(b, "k", ["t"], hot, sums={"n": F.col("v").cast("long")})
-    bad = out.filter(F.col("n") != F.floor(F.col("t") / 3000) + 1).count()
-    assert bad == 0
+    assert out.count() == 60000 and out.filter(F.col("n") != F.floor(F.col("t") / 3000) + 1).count() == 0
 
 
-def test_window_counts_brute_force_both_paths(monkeypatch):
+def test_hot_key_pieces_hold_equal_numbers_of_rows(spark):
+    """Nearly all rows of the key in one burst, and dust amounts as the order:
+    the largest piece stays under twice the average."""
+    from utxoflow.operators.scan import prefix_scan, with_buckets
+
+    burst = spark.range(0, 20_000).select(F.lit("a").alias("k"), F.when(F.col("id") < 10, F.col("id") * 10**9)
+                                          .otherwise(5 * 10**8).alias("t"), F.col("id").alias("s"), F.lit(1).alias("v"))
+    dust = spark.range(0, 20_000).select(F.lit("a").alias("k"), (-1 / (F.col("id") + 2)).alias("t"), F.col("id").alias("s"),
+                                         F.lit(1).alias("v"))
+    for df in (burst, dust):
+        b, hot = with_buckets(df, "k", ["t", "s"], DEFAULT.with_(hot_key_rows=1000, rows_per_bucket=500))
+        sizes = [r["count"] for r in b.groupBy("_bkt").count().collect()]
+        assert sum(sizes) == 20_000 and len(sizes) >= 30 and max(sizes) < 2 * 500
+        rows = prefix_scan(b, "k", ["t", "s"], hot, sums={"n": F.col("v").cast("long")}).orderBy("t", "s").select("n").collect()
+        assert [r["n"] for r in rows] == list(range(1, 20_001))
+
+
+def test_window_counts_brute_force():
     import utxoflow.operators.activity as act
 
     rnd = np.random.default_rng(5)
@@ -80,10 +95,13 @@ def test_window_counts_brute_force_both_paths(monkeypatch):
         js = [j for j in range(i + 1) if seg[j] == seg[i] and m[j] >= m[i] - w]
         want_v[i] = sum(1 for j in js if ts[i] - ts[j] <= wv)
         want_s[i] = sum(1 for j in js if small[j] and ts[i] - ts[j] <= ws)
-    for lag in (3, 512):
-        monkeypatch.setattr(act, "LAG_MAX", lag)
-        v, s = act.window_counts(seg, ts, m, small, w, wv, ws)
-        assert (v == want_v).all() and (s == want_s).all()
+    v, s = act.window_counts(seg, ts, m, small, w, wv, ws)
+    assert (v == want_v).all() and (s == want_s).all()
+    v, s = act.window_counts(seg, ts, m, small, w, wv, ws, first=1234)
+    assert (v == want_v[1234:]).all() and (s == want_s[1234:]).all()
+    far = ts * 2**40  # no offsets of groups and times to overflow
+    v, s = act.window_counts(seg, far, m * 2**40, small, w * 2**40, wv * 2**40, ws * 2**40)
+    assert (v == want_v).all() and (s == want_s).all()
 
 
 def test_hot_address_is_spread_over_tasks(spark):

@@ -24,7 +24,7 @@ def _run(spark, batches=3):
     run = stream_fixture(spark, SF001, batches)
     q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt",
                          FXB_OPTIONS, trigger=TRIGGER)
-    drain(q, 300)
+    drain(q)
     return run
 
 
@@ -58,7 +58,7 @@ def test_latest_change_log_matches_last_arrival(spark):
 def test_tx_query_tables_and_replay_idempotency(spark):
     run = stream_fixture(spark, SF001, 2)
     src = read_transaction_files(spark, f"{run}/input")
-    drain(start_tx_query(src, f"{run}/out", f"{run}/ckpt", FXB_OPTIONS, trigger=TRIGGER), 300)
+    drain(start_tx_query(src, f"{run}/out", f"{run}/ckpt", FXB_OPTIONS, trigger=TRIGGER))
     n1 = spark.read.parquet(f"{run}/out/transactions").count()
     assert n1 == spark.read.parquet(f"{SF001}/events.parquet").count()
     # Replaying a batch id rewrites exactly its partitions (K8).
@@ -93,7 +93,7 @@ def test_stream_random_adversarial_ledger_matches_model(spark):
     run = stream_fixture(spark, SF001, 3, tx=tx)
     q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", o,
                          trigger=TRIGGER)
-    drain(q, 300)
+    drain(q)
     rows = [dict(r.asDict(), order=(r.arrival_ms, r.seq, r.pos)) for r in address_updates(tx).collect()]
     model, _ = run_model(rows, 300, 3, 600, 2, Decimal("15"))
     got = {(r.arrival_ms, r.seq, r.pos): (Decimal(str(r.balance)), r.utxo_count)
@@ -119,7 +119,7 @@ def test_batch_backfill_then_stream_equals_batch_over_all(spark):
     run = stream_fixture(spark, SF001, 2, tx=rest)
     q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", o,
                          trigger=TRIGGER, initial=init)
-    drain(q, 300)
+    drain(q)
 
     full = ledger(address_updates(tx), o)
     want = (full.filter(F.col("arrival_ms") >= split)
@@ -144,7 +144,7 @@ def test_stream_dedupe_drops_redelivered_transactions(spark):
     run = stream_fixture(spark, SF001, 2, tx=twice)
     q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", o,
                          trigger=TRIGGER)
-    drain(q, 300)
+    drain(q)
     cols = ["address", "tx_id", "kind", "balance", "utxo_count"]
     got = spark.read.parquet(f"{run}/out/balance_updates").select(*cols)
     want = balance_records(ledger(address_updates(tx), o)).select(*cols)

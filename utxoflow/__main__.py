@@ -23,7 +23,6 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--topic")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
-    ap.add_argument("--trigger-ms", type=int)
     ap.add_argument("--initial-state", help="ledger_state folder of a batch run to continue from")
     for f in dataclasses.fields(DEFAULT):
         if isinstance(f.default, bool):
@@ -35,18 +34,18 @@ def main(argv: list[str] | None = None) -> None:
 
     from utxoflow.jobs import batch_job, stream_job
     from utxoflow.session import get_spark
-    from utxoflow.sources import read_transactions
+    from utxoflow.sources import read_with_quarantine
 
     spark = get_spark("utxoflow-" + a.mode)
     src = {"path": a.path} if a.source != "kafka" else {"servers": a.servers, "topic": a.topic}
-    tx = read_transactions(spark, a.source, streaming=a.mode == "stream", **src)
+    tx, rejected = read_with_quarantine(spark, a.source, streaming=a.mode == "stream", **src)
     if a.mode == "batch":
-        for name, path in batch_job(tx, a.out, opts).items():
+        for name, path in batch_job(tx, a.out, opts, rejected).items():
             print(name, path)
     else:
         if not a.checkpoint:
             ap.error("stream needs --checkpoint")
-        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, a.trigger_ms, a.initial_state):
+        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, initial_state=a.initial_state, rejected=rejected):
             print("started", q.id)
         spark.streams.awaitAnyTermination()
 

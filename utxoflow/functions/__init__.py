@@ -13,8 +13,9 @@ def _c(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Round half-even to 8 decimals and keep it exact (``decimal(18,8)``)."""
-    return F.bround(_c(c).cast("decimal(38,18)"), 8).cast(MONEY)
+    """Round half-even to 8 decimals and keep it exact (``decimal(18,8)``);
+    null for what is no number or does not fit (never an error)."""
+    return F.bround(_c(c).try_cast("decimal(38,18)"), 8).try_cast(MONEY)
 
 
 def as_double(c: Column | str) -> Column:

@@ -5,17 +5,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from utxoflow.operators.ledger import balance_rows, ledger_state
-from utxoflow.operators.updates import address_updates
+from utxoflow.operators.ledger import balance_records, balance_rows, ledger_state
+from utxoflow.operators.transactions import dedupe_transactions, normalize
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.plans.batch import run_batch
-from utxoflow.sinks import write_table
-from utxoflow.streaming.stream import start_addr_query, start_tx_query
+from utxoflow.sinks import alerts_topic, encode_kafka, metrics_topic, write_quarantine, write_table
+from utxoflow.streaming.stream import start_addr_query, start_quarantine_query, start_tx_query
 
 
-def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT) -> dict[str, str]:
-    """Canonical transactions -> the four analytic tables + latest balances."""
-    res = run_batch(tx, opts, materialize=True)
+def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT, rejected: DataFrame | None = None,
+              dedupe: bool = True, topics=None) -> dict[str, str]:
+    """Canonical transactions -> the four analytic tables + latest balances, and
+    the quarantine table of records that could not be decoded.  Re-delivered
+    transactions count once (``dedupe``); ``topics(name, frame, None)`` gets
+    the records of the ``metrics`` and ``alerts`` topics."""
+    res = run_batch(dedupe_transactions(tx) if dedupe else tx, opts, materialize=True)
     paths = {n: f"{out}/{n}" for n in ("transactions", "metrics", "alerts", "balance_updates", "latest_balances",
                                          "ledger_state")}
     write_table(res.transaction_rows, paths["transactions"], sort_cols=("timestamp_ms", "tx_id"))
@@ -24,17 +28,49 @@ def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT) -> dict[st
     write_table(balance_rows(res.ledger), paths["balance_updates"], sort_cols=("address", "timestamp_ms"))
     res.latest.write.mode("overwrite").parquet(paths["latest_balances"])
     # The final ledger state, from which a stream can continue (stream_job).
-    ledger_state(address_updates(res.transactions), opts).write.mode("overwrite").parquet(paths["ledger_state"])
+    ledger_state(res.updates, opts, res.ledger).write.mode("overwrite").parquet(paths["ledger_state"])
+    if rejected is not None:
+        paths["quarantine"] = f"{out}/quarantine"
+        write_quarantine(rejected, paths["quarantine"])
+    if topics is not None:
+        topics("metrics", metrics_topic(res.metrics, balance_records(res.ledger)), None)
+        topics("alerts", alerts_topic(res.alerts), None)
     return paths
 
 
+def kafka_topics(servers: str, names: dict[str, str]):
+    """Topic callback that publishes to Kafka (``names``: metrics, alerts)."""
+    def publish(name: str, frame: DataFrame, batch_id: int | None) -> None:
+        frame.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", names[name]).save()
+    return publish
+
+
+def file_topics(path: str):
+    """Topic callback that writes JSON lines below ``path/name`` (for tests and
+    replays; a micro-batch owns a folder)."""
+    def publish(name: str, frame: DataFrame, batch_id: int | None) -> None:
+        frame.write.mode("overwrite").json(f"{path}/{name}/batch_id={-1 if batch_id is None else int(batch_id)}")
+    return publish
+
+
+def publish_job(events: DataFrame, write) -> None:
+    """K1: raw events -> normalize -> (key ``tx_id``, JSON value) records, given
+    to ``write(frame)``; ``encode_kafka`` makes the records."""
+    tx = normalize(events)
+    write(encode_kafka(tx.select("tx_id", "timestamp", "inputs", "outputs", "source", "ingest_time"), "tx_id"))
+
+
 def stream_job(spark: SparkSession, tx: DataFrame, out: str, checkpoint: str,
                opts: LedgerOptions = DEFAULT, trigger_ms: int | None = None,
-               initial_state: str | None = None):
-    """Q-tx and Q-addr on one streaming source; returns the two queries.
+               initial_state: str | None = None, rejected: DataFrame | None = None, topics=None):
+    """Q-tx and Q-addr on one streaming source, and the quarantine query when
+    the source has ``rejected`` records; returns the queries.
     ``initial_state``: a ``ledger_state`` folder written by ``batch_job``
     (used on the first start; later starts resume from the checkpoint)."""
     trigger = {"processingTime": f"{int(trigger_ms)} milliseconds"} if trigger_ms else None
     init = spark.read.parquet(initial_state) if initial_state else None
-    return (start_tx_query(tx, out, checkpoint, opts, trigger=trigger),
-            start_addr_query(tx, out, checkpoint, opts, trigger=trigger, initial=init))
+    queries = (start_tx_query(tx, out, checkpoint, opts, trigger=trigger, topics=topics),
+               start_addr_query(tx, out, checkpoint, opts, trigger=trigger, initial=init, topics=topics))
+    if rejected is not None:
+        queries += (start_quarantine_query(rejected, out, checkpoint, opts, trigger=trigger),)
+    return queries

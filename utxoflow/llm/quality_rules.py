@@ -38,13 +38,18 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
 
 
-def base_counts(text: Column, words: Column, n: Column) -> dict[str, Column]:
-    """The counting columns of one document; ``words`` and ``n`` are bound."""
+def hashes_of(words: Column) -> Column:
+    """64-bit hash of every word; n-grams hash these instead of the words again."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def base_counts(text: Column, words: Column, hashes: Column, n: Column) -> dict[str, Column]:
+    """The counting columns of one document; ``words``, ``hashes`` and ``n`` are bound."""
     full = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     grams = F.when(n < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.transform(
         F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))))
+        lambda i: F.struct(F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i"))))
 
     def same(x: Column, y: Column) -> Column:  # equal hashes, then equal words
         return (x["h"] == y["h"]) & F.forall(F.array(F.lit(0), F.lit(1), F.lit(2)),
@@ -66,34 +71,30 @@ def base_counts(text: Column, words: Column, n: Column) -> dict[str, Column]:
     }
 
 
-def trusted(text: Column, words: Column, n: Column) -> Column:
+def trusted(text: Column, n: Column) -> Column:
     """Stricter rules that only choose the target text: enough words, few
     symbols, few capitals, few repeated lines."""
     full = F.coalesce(text, F.lit(""))
     symbols = F.length(F.regexp_replace(full, r"[^#*$%&|<>]+", ""))
     capitals = F.length(F.regexp_replace(full, r"[^\p{Lu}]+", ""))
     lines = F.split(full, "\n")
-    repeats = let(lines, lambda x: 10 * F.size(F.array_distinct(x)) >= 7 * F.size(x))
+    repeats = let(lines, lambda x: 2 * F.size(F.array_distinct(x)) >= F.size(x))
     return (n >= 50) & (20 * symbols <= n) & (5 * capitals <= F.length(full)) & repeats
 
 
-def buckets_of(words: Column, n: Column, bits: int) -> Column:
+def buckets_of(hashes: Column, n: Column, bits: int) -> Column:
     """Bucket of every word and every pair of neighbouring words."""
     mask = F.lit((1 << bits) - 1).cast("bigint")
-
-    def bucket(*parts: Column) -> Column:
-        return F.xxhash64(*parts).bitwiseAND(mask).cast("int")
-
-    twos = F.when(n < 2, F.array().cast("array<int>")).otherwise(F.transform(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: bucket(F.get(words, i - 1), F.get(words, i))))
-    return F.concat(F.transform(words, lambda w: bucket(w)), twos)
+    ones = F.transform(hashes, lambda h: h.bitwiseAND(mask).cast("int"))
+    twos = F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1)).bitwiseAND(mask).cast("int"))
+    return F.concat(ones, F.slice(twos, F.lit(1), F.greatest(n - 1, F.lit(0))))
 
 
 def fit_ratios(docs: DataFrame, text_col: str = "text", bits: int = BITS) -> list[float]:
     """log p_target - log p_raw by bucket, counted over all documents."""
     words = words_of(F.col(text_col))
-    grams = docs.select(let(words, lambda w: F.struct(
-        trusted(F.col(text_col), w, F.size(w)).cast("int").alias("t"), buckets_of(w, F.size(w), bits).alias("b"))).alias("d"))
+    grams = docs.select(let(words, lambda w: let(hashes_of(w), lambda h: F.struct(
+        trusted(F.col(text_col), F.size(w)).cast("int").alias("t"), buckets_of(h, F.size(w), bits).alias("b")))).alias("d"))
     counts = (grams.select(F.col("d.t").alias("t"), F.explode("d.b").alias("b")).groupBy("b")
               .agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect())  # at most 2 ** bits rows
     target, raw = [1] * (1 << bits), [1] * (1 << bits)
@@ -111,14 +112,12 @@ def quality_columns(docs: DataFrame, ratios: list[float], text_col: str = "text"
     text = F.col(text_col)
     table = F.from_json(F.lit(json.dumps([round(x, 9) for x in ratios])), "array<double>")  # folded into one constant
 
-    def judged(w: Column) -> Column:
-        def with_n(n: Column) -> Column:
-            total = F.aggregate(buckets_of(w, n, bits), F.lit(0.0), lambda a, b: a + F.get(table, b))
-            return F.struct(n.cast("bigint").alias("n_words"), *(c.alias(k) for k, c in base_counts(text, w, n).items()),
-                            F.when(n > 0, total / (2 * n - 1)).alias("llr"))
-        return let(F.size(w), with_n)
+    def judged(w: Column, h: Column, n: Column) -> Column:
+        total = F.aggregate(buckets_of(h, n, bits), F.lit(0.0), lambda a, b: a + F.get(table, b))
+        return F.struct(n.cast("bigint").alias("n_words"), *(c.alias(k) for k, c in base_counts(text, w, h, n).items()),
+                        F.when(n > 0, total / (2 * n - 1)).alias("llr"))
 
-    rows = docs.withColumn("__quality", let(words_of(text), judged))
+    rows = docs.withColumn("__quality", let(words_of(text), lambda w: let(hashes_of(w), lambda h: let(F.size(w), lambda n: judged(w, h, n)))))
     q = F.col("__quality")
     failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")

@@ -13,9 +13,8 @@ so this is the one pandas step of the batch ledger (``mapInPandas`` over
 sorted partitions, many addresses per Arrow batch).  Groups are bounded: an
 ordinary address is one group; an address with at least ``hot_key_rows``
 updates is cut into chunks of ``M`` at least ``W`` wide, each chunk carrying
-the previous chunk as read-only context (all rows it can see).  In-order data
-is counted with ``searchsorted`` and prefix sums (vectorized, O(n log n));
-only out-of-order groups fall back to per-row slices.
+the previous chunk as read-only context (all rows it can see).  Counts take
+O(n log n) array steps in any order of event times.
 """
 
 from __future__ import annotations
@@ -41,81 +40,74 @@ COUNT_SCHEMA = T.StructType([
 ])
 
 
+class RangeCounts:
+    """Counts of values below a bound in a range of positions, for many queries
+    at once: a wavelet matrix over value ranks, one array step per bit, so n
+    values and q queries cost O((n + q) log n) in whatever order values come."""
+
+    def __init__(self, values: np.ndarray):
+        self.sorted = np.unique(values)
+        ranks = np.searchsorted(self.sorted, values)
+        self.bits = max(1, len(self.sorted).bit_length())
+        self.levels = []
+        for bit in range(self.bits - 1, -1, -1):
+            zero = (ranks >> bit) & 1 == 0
+            before = np.concatenate([[0], np.cumsum(zero)])  # zeros before each position
+            self.levels.append((bit, before))
+            ranks = np.concatenate([ranks[zero], ranks[~zero]])
+
+    def below(self, lo: np.ndarray, hi: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """How many values at positions lo <= j < hi are less than ``bound``."""
+        x = np.searchsorted(self.sorted, bound)
+        lo, hi, found = lo.astype(np.int64), hi.astype(np.int64), np.zeros(len(x), np.int64)
+        for bit, before in self.levels:
+            a, b, up = before[lo], before[hi], (x >> bit) & 1 == 1
+            found += np.where(up, b - a, 0)
+            lo, hi = np.where(up, before[-1] + lo - a, a), np.where(up, before[-1] + hi - b, b)
+        return found
+
+
 def window_counts(seg: np.ndarray, ts: np.ndarray, m: np.ndarray, small: np.ndarray,
-                  w: int, wv: int, ws: int) -> tuple[np.ndarray, np.ndarray]:
-    """Velocity and structuring counts for rows sorted by (group, arrival).
-
-    ``seg`` numbers the groups (non-decreasing).  Groups are laid side by side
-    on one number line (offset ``seg * span``), so a single ``searchsorted``
-    finds every row's buffer start inside its own group.  Groups whose event
-    times are non-decreasing are counted with prefix sums; only out-of-order
-    groups fall back to per-row slices."""
+                  w: int, wv: int, ws: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Velocity and structuring counts of the rows from ``first`` on, for rows
+    sorted by (group, arrival).
+
+    ``seg`` numbers the groups (non-decreasing), ``m`` is the running max of
+    ``ts`` in the group.  A row's buffer starts at the first row of its group
+    with ``m >= m_i - w`` (one ``searchsorted`` over all groups laid side by
+    side by rank); the buffer rows recent enough are counted by
+    ``RangeCounts``."""
     n = len(ts)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    idx = np.arange(n)
-    lo_t = min(int(ts.min()), int(m.min()))
-    span = max(int(ts.max()), int(m.max())) - lo_t + 2 * w + 2
-    if int(seg.max()) * span > 2 ** 62:  # keep the offsets inside int64
-        out_v, out_s = np.empty(n, np.int64), np.empty(n, np.int64)
-        for g in np.unique(seg):
-            sel = np.flatnonzero(seg == g)
-            out_v[sel], out_s[sel] = window_counts(np.zeros(len(sel), np.int64), ts[sel], m[sel],
-                                                   small[sel], w, wv, ws)
-        return out_v, out_s
-    base = seg.astype(np.int64) * span - lo_t
-    km = base + m
-    start = np.searchsorted(km, km - w, side="left")
-    same = seg[1:] == seg[:-1]
-    bad_seg = np.unique(seg[1:][same & (ts[1:] < ts[:-1])])
-    bad = np.isin(seg, bad_seg) if len(bad_seg) else np.zeros(n, bool)
-    kt = base + np.where(bad, m, ts)  # sorted: in-order groups by ts, the others by m
-    lo_v = np.maximum(start, np.searchsorted(kt, kt - wv, side="left"))
-    vel = idx - lo_v + 1
-    cs = np.concatenate([[0], np.cumsum(small.astype(np.int64))])
-    lo_s = np.maximum(start, np.searchsorted(kt, kt - ws, side="left"))
-    st = cs[idx + 1] - cs[lo_s]
-    rows = np.flatnonzero(bad)
-    if len(rows):
-        length = rows - start[rows] + 1
-        short = rows[length <= LAG_MAX]
-        if len(short):
-            # Out-of-order rows with short buffers: one vectorized pass per
-            # look-back offset, over all such rows at once.
-            lo = start[short]
-            tv, tsd = ts[short] - wv, ts[short] - ws
-            v = np.zeros(len(short), np.int64)
-            c = np.zeros(len(short), np.int64)
-            for d in range(int(length[length <= LAG_MAX].max())):
-                j = short - d
-                ok = j >= lo
-                jj = np.where(ok, j, 0)
-                tj = ts[jj]
-                v += ok & (tj >= tv)
-                c += ok & small[jj] & (tj >= tsd)
-            vel[short], st[short] = v, c
-        for i in rows[length > LAG_MAX]:  # long buffers: C-level slices per row
-            seg_t = ts[start[i]:i + 1]
-            vel[i] = np.count_nonzero(seg_t >= ts[i] - wv)
-            st[i] = np.count_nonzero(small[start[i]:i + 1] & (seg_t >= ts[i] - ws))
-    return vel.astype(np.int64), st.astype(np.int64)
+    i = np.arange(first, n)
+    marks = np.unique(np.concatenate([m, m - w]))
+    group = seg.astype(np.int64) * (len(marks) + 1)
+    start = np.searchsorted(group + np.searchsorted(marks, m), group[i] + np.searchsorted(marks, m[i] - w), side="left")
+    vel = (i + 1 - start) - RangeCounts(ts).below(start, i + 1, ts[i] - wv)
+    before = np.concatenate([[0], np.cumsum(small.astype(np.int64))])  # small rows before each position
+    lo, hi = before[start], before[i + 1]
+    st = hi - lo
+    if small.any():
+        st = st - RangeCounts(ts[small]).below(lo, hi, ts[i] - ws)
+    return vel, st
 
 
 _OUT = ["address", "tx_id", "timestamp", "arrival_ms", "seq", "pos"]
-LAG_MAX = 512  # buffers up to this length use the vectorized look-back pass
 
 
 def _counter(opts: LedgerOptions):
     w, wv, ws = opts.activity_window_ms, opts.velocity_window_ms, opts.structuring_window_ms
     nv, ns = opts.velocity_count, opts.structuring_count
 
-    def process(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["address"].astype(str) + "\x00" + pdf["_chunk"].astype(str)
-        seg = np.cumsum(np.concatenate([[0], (key.to_numpy()[1:] != key.to_numpy()[:-1]).astype(np.int64)]))
+    def process(pdf: pd.DataFrame, first: int) -> pd.DataFrame:
+        addr, chunk = pdf["address"].to_numpy(), pdf["_chunk"].to_numpy()
+        seg = np.cumsum(np.concatenate([[0], ((addr[1:] != addr[:-1]) | (chunk[1:] != chunk[:-1])).astype(np.int64)]))
         vel, st = window_counts(seg, pdf["timestamp"].to_numpy(np.int64), pdf["max_ts"].to_numpy(np.int64),
-                                pdf["small"].to_numpy(bool), w, wv, ws)
-        keep = pdf["is_query"].to_numpy(bool) & ((vel >= nv) | (st >= ns))
-        out = pdf.loc[keep, _OUT].copy()
+                                pdf["small"].to_numpy(bool), w, wv, ws, first)
+        rows = pdf.iloc[first:]
+        keep = rows["is_query"].to_numpy(bool) & ((vel >= nv) | (st >= ns))
+        out = rows.loc[keep, _OUT].copy()
         out["velocity_count"] = vel[keep]
         out["structuring_count"] = st[keep]
         return out
@@ -125,18 +117,19 @@ def _counter(opts: LedgerOptions):
         # counts depend only on earlier rows of its group, so every batch is
         # emitted at once; only the rows of the last group that can still be
         # in a later row's buffer (M >= M_last - W) are carried forward, as
-        # context.  Memory is bounded by the buffer, not by the group.
+        # context that is not counted again.  Memory is bounded by the buffer,
+        # not by the group.
         carry = None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            if carry is not None and len(carry):
+            first = 0 if carry is None else len(carry)
+            if first:
                 pdf = pd.concat([carry, pdf], ignore_index=True)
-            yield process(pdf)
+            yield process(pdf, first)
             addr, chunk, m = pdf["address"].to_numpy(), pdf["_chunk"].to_numpy(), pdf["max_ts"].to_numpy()
             last = (addr == addr[-1]) & (chunk == chunk[-1]) & (m >= m[-1] - w)
-            carry = pdf.loc[last].copy()
-            carry["is_query"] = False
+            carry = pdf.loc[last]
 
     return run
 
@@ -166,7 +159,7 @@ def activity_counts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
                    .withColumn("_chunk", F.col("_copy.c")).withColumn("is_query", F.col("_copy.q"))
                    .drop("_copy", "_hot")
                    .repartition("address", "_chunk")
-                   .sortWithinPartitions("address", "_chunk", "arrival_ms", "seq", "pos"))
+                   .sortWithinPartitions("address", "_chunk", "arrival_ms", "seq", "tx_id", "pos"))
     return grouped.mapInPandas(_counter(opts), schema=COUNT_SCHEMA)
 
 

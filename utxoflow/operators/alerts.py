@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from utxoflow.functions import array_sum, as_double, first_or
 from utxoflow.options import DEFAULT, LedgerOptions
-from utxoflow.schema import MONEY
-
-ALERT_COLUMNS = ["alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"]
-
 
 def alert_struct(alert_id: Column, alert_type: str, severity: str, ts: Column, tx_id: Column,
                  address: Column, details: Column) -> Column:
@@ -46,7 +42,7 @@ def _whale(opts: LedgerOptions, total_out: Column) -> Column:
 
 
 def tx_alerts(tx: DataFrame, opts: LedgerOptions = DEFAULT, rules=("fan_out", "whale")) -> DataFrame:
-    total_out = array_sum("outputs").cast(MONEY)
+    total_out = array_sum("outputs")
     makers = {"fan_out": _fan_out, "whale": _whale}
     candidates = F.array(*[makers[r](opts, total_out) for r in rules])
     return (tx.select(F.explode(F.filter(candidates, lambda a: a.isNotNull())).alias("a"))

@@ -8,7 +8,7 @@ balance, and emits a balance record after every update.  Sequentially:
 * input ``k``: if ``k`` is unspent, remove it (-stored value); else pending.
 
 Set-based equivalent, per ``(address, key)`` with ``key = (ref_tx, ref_idx)``
-and the order ``(arrival_ms, seq, pos)``: the output adds iff no input of the
+and the order ``(arrival_ms, seq, tx_id, pos)``: the output adds iff no input of the
 key precedes it; the *first* input spends iff the output precedes it; every
 other update changes nothing.  So one window over ``(address, key)`` gives each
 update its delta, and the balance / utxo count are running sums of the deltas
@@ -24,7 +24,8 @@ from utxoflow.operators.scan import hot_keys, prefix_scan, with_buckets
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import MONEY, MONEY_SUM
 
-ORDER = ["arrival_ms", "seq", "pos"]
+#: Total order of updates: ties of (arrival, seq) between transactions go by id.
+ORDER = ["arrival_ms", "seq", "tx_id", "pos"]
 KEY = ["address", "ref_tx", "ref_idx"]
 
 
@@ -58,14 +59,13 @@ def ledger(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     """Every update with the address's ``balance`` and ``utxo_count``
     after it, plus ``max_ts`` (running max event time, used by L5)."""
     # Hot-key statistics on the raw updates (a pruned scan), not after the window.
-    hot = hot_keys(upd, "address", "arrival_ms", opts)
-    b, hot = with_buckets(with_deltas(upd), "address", "arrival_ms", opts, hot)
+    b, hot = with_buckets(with_deltas(upd), "address", ORDER, opts, hot_keys(upd, "address", opts), known=True)
     out = prefix_scan(
         b, "address", ORDER, hot,
         sums={"balance": F.col("d_balance").cast(MONEY_SUM), "utxo_count": F.col("d_count").cast("long")},
         maxes={"max_ts": F.col("timestamp")},
     )
-    return out.withColumn("balance", F.col("balance").cast(MONEY))
+    return out
 
 
 def balance_records(led: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def balance_records(led: DataFrame) -> DataFrame:
 
 def balance_rows(led: DataFrame) -> DataFrame:
     """K6: a row of the ``balance_updates`` table (with the arrival order kept
-    as ``arrival_ms``/``seq``/``pos`` so later collapses are deterministic)."""
+    as ``arrival_ms``/``seq``/``tx_id``/``pos`` so later collapses are deterministic)."""
     return led.select(
         "address", F.col("timestamp").alias("timestamp_ms"), "source",
         F.col("balance").cast("double").alias("balance"), "utxo_count", *ORDER,
@@ -126,18 +126,20 @@ def pending_spends(upd: DataFrame) -> DataFrame:
              .select("address", F.col("ref_tx").alias("prev_tx_id"), F.col("ref_idx").alias("prev_output_index")))
 
 
-def ledger_state(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+def ledger_state(upd: DataFrame, opts: LedgerOptions = DEFAULT, led: DataFrame | None = None) -> DataFrame:
     """The ledger's final per-address state in the layout of the streaming
     processor's initial state: ``totals`` (balance, counts), ``utxo`` and
     ``pending`` entries, and the ``recent`` activity buffer (rows with
-    ``max_ts >= final max_ts - W``).  Lets a stream continue a batch backfill."""
-    led = ledger(upd, opts)
+    ``max_ts >= final max_ts - W``).  Lets a stream continue a batch backfill.
+    ``led``: the ledger of ``upd`` if it is there already."""
+    led = ledger(upd, opts) if led is None else led
     s = _key_summary(upd)
-    n_pend = pending_spends(upd).groupBy("address").agg(F.count(F.lit(1)).alias("pending_count"))
+    pending = pending_spends(upd)
+    n_pend = pending.groupBy("address").agg(F.count(F.lit(1)).alias("pending_count"))
     last = led.groupBy("address").agg(
         F.max_by(F.struct("balance", "utxo_count"), _ord()).alias("t"), F.max("max_ts").alias("_m"))
     nul = {c: F.lit(None).cast(t) for c, t in [
-        ("balance_units", "long"), ("utxo_count", "long"), ("pending_count", "long"), ("tx_id", "string"),
+        ("balance_units", "string"), ("utxo_count", "long"), ("pending_count", "long"), ("tx_id", "string"),
         ("output_index", "int"), ("value_units", "long"), ("timestamp", "long"), ("small", "boolean"),
         ("arrival_ms", "long"), ("seq", "long"), ("pos", "int")]}
     units = F.lit(100_000_000)  # the processor keeps money as integer units of 1e-8
@@ -147,12 +149,12 @@ def ledger_state(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
                          *[(cols[c] if c in cols else nul[c]).alias(c) for c in nul])
 
     totals = shape(last.join(n_pend, "address", "left"), "totals",
-                   balance_units=(F.col("t.balance") * units).cast("long"), utxo_count=F.col("t.utxo_count"),
+                   balance_units=(F.col("t.balance") * units).cast("decimal(38,0)").cast("string"), utxo_count=F.col("t.utxo_count"),
                    pending_count=F.coalesce(F.col("pending_count"), F.lit(0)).cast("long"))
     utxos = shape(s.filter(F.col("out").isNotNull() & (F.col("n_in") == 0)), "utxo",
                   tx_id=F.col("ref_tx"), output_index=F.col("ref_idx"), value_units=(F.col("out.v") * units).cast("long"),
                   timestamp=F.col("out.t"))
-    pend = shape(pending_spends(upd), "pending", tx_id=F.col("prev_tx_id"), output_index=F.col("prev_output_index"))
+    pend = shape(pending, "pending", tx_id=F.col("prev_tx_id"), output_index=F.col("prev_output_index"))
     small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))
     recent = shape(led.join(last.select("address", "_m"), "address")
                       .filter(F.col("max_ts") >= F.col("_m") - F.lit(int(opts.activity_window_ms))),

@@ -30,10 +30,10 @@ def select_coins(utxos: DataFrame, targets: DataFrame, opts: LedgerOptions = DEF
     the target; addresses whose total is below the target select nothing.
 
     ``utxos``: address, tx_id, output_index, value.  ``targets``: address, target.
-    The running sum is the skew-safe two-level scan (bucket on -value)."""
+    The running sum is the skew-safe two-level scan (pieces of the order)."""
     u = utxos.join(targets, "address").withColumn("_neg", -F.col("value"))
-    b, hot = with_buckets(u, "address", "_neg", opts)
     order = ["_neg", "tx_id", "output_index"]
+    b, hot = with_buckets(u, "address", order, opts)
     run = prefix_scan(b, "address", order, hot, sums={"running": F.col("value").cast(MONEY_SUM)})
     # A row is needed iff the sum *before* it is still short of the target;
     # an address is covered iff one row crosses the target (at most one per

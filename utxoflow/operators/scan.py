@@ -4,17 +4,17 @@ A window ``partitionBy(key).orderBy(...)`` puts every row of a key in one
 task.  With one address holding a third of all rows that task is the whole
 job.  The scans here are two level:
 
-1. ``hot_keys`` finds keys with at least ``hot_key_rows`` rows (at most
-   ``max_hot_keys`` of them, so the list has a proven bound) and a bucket
-   width on the leading order column giving about ``rows_per_bucket`` rows
-   per bucket.  All other keys keep a single bucket 0.
+1. ``with_buckets`` counts rows per key (one partial aggregation).  Rows of keys
+   with at least ``hot_key_rows`` rows are range-partitioned by (key, order) into
+   pieces of about ``rows_per_bucket`` rows and written to the shared folder
+   with their piece as the bucket.  Spark's range partitioner cuts at sampled
+   quantiles of the whole order, so pieces hold equal numbers of rows however
+   the order's values are spread (bursts, dust), and no number of keys is too
+   large.  All other keys keep a single bucket.
 2. The running aggregate is computed inside ``(key, bucket)``; bucket totals
-   of hot keys are prefix-scanned (a tiny window per key over its buckets) and
+   of hot keys only are prefix-scanned (a window per key over its buckets) and
    joined back (AQE broadcasts that side at runtime when it is small).  With
    no hot key the plan is a single window.
-
-The bucket must be monotone in the order, which holds because it is a floor
-of the leading order column.
 """
 
 from __future__ import annotations
@@ -23,48 +23,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from utxoflow.options import DEFAULT, LedgerOptions
+from utxoflow.session import staged
 
 BUCKET = "_bkt"
 
 
-def hot_keys(df: DataFrame, by: str, lead: str, opts: LedgerOptions = DEFAULT) -> dict:
-    """Keys that need splitting -> bucket width on ``lead``.
-
-    One aggregation job (partial aggregation, then a TakeOrdered of at most
-    ``max_hot_keys`` rows): the driver receives a list with a proven bound.
-    The keys go back into the plan as a literal set, which Catalyst pushes
-    below windows partitioned by the key."""
-    stats = df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
-    width = F.greatest(
-        F.lit(1).cast("long"),
-        F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(opts.rows_per_bucket) / F.col("_n")).cast("long"))
-    rows = (stats.filter(F.col("_n") >= F.lit(opts.hot_key_rows))
-                 .orderBy(F.desc("_n"))
-                 .limit(opts.max_hot_keys)
-                 .select(by, width.alias("_width"))
-                 .collect())
-    return {r[0]: int(r[1]) for r in rows if r[0] is not None}
-
-
-def with_buckets(df: DataFrame, by: str, lead: str, opts: LedgerOptions = DEFAULT,
-                 hot: dict | None = None) -> tuple[DataFrame, dict]:
-    """Add ``_bkt`` (0 for ordinary keys, ``floor(lead / width)`` for hot ones)
-    and ``_hot`` (bool); returns the frame and the hot-key widths."""
+def hot_keys(df: DataFrame, by: str, opts: LedgerOptions = DEFAULT) -> DataFrame | None:
+    """Keys with at least ``hot_key_rows`` rows and their counts, as a written
+    table; None when there is none.  One aggregation job."""
+    hot = staged(df.groupBy(F.col(by).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+                   .filter(F.col("_n") >= F.lit(opts.hot_key_rows)), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def with_buckets(df: DataFrame, by: str, order: list[str], opts: LedgerOptions = DEFAULT,
+                 hot: DataFrame | None = None, known: bool = False) -> tuple[DataFrame, bool]:
+    """Add ``_bkt`` (0 for ordinary keys, the piece of a hot key's rows, from 1)
+    and ``_hot``; returns the frame and whether any key is hot.  ``hot`` is the
+    result of ``hot_keys`` when it is ``known`` already."""
+    hot = hot if known else hot_keys(df, by, opts)
     if hot is None:
-        hot = hot_keys(df, by, lead, opts)
-    if not hot:
-        return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0).cast("long")), hot
-    keys = list(hot)
-    # Two array literals folded into one map constant, and an InSet: a fixed
-    # expression size whatever the number of hot keys.
-    is_hot = F.col(by).isin(keys)
-    widths = F.map_from_arrays(F.lit(keys), F.lit([int(hot[k]) for k in keys]).cast("array<bigint>"))
-    bucket = F.when(is_hot, F.floor(F.col(lead) / F.element_at(widths, F.col(by)))).otherwise(F.lit(0))
-    return df.withColumn("_hot", is_hot).withColumn(BUCKET, bucket.cast("long")), hot
-
-
-def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
+        return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0)), False
+    pieces = -(-int(hot.agg(F.sum("_n")).first()[0]) // opts.rows_per_bucket)
+    match = F.col(by).eqNullSafe(F.col("_key"))
+    rows = df.join(hot, match, "left_semi").repartitionByRange(max(1, pieces), by, *order)
+    rows = staged(rows.withColumn("_hot", F.lit(True)).withColumn(BUCKET, F.spark_partition_id() + 1), "hot-rows")
+    rest = df.join(hot, match, "left_anti").withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0))
+    return rest.unionByName(rows), True
+
+
+def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: bool,
                 sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None,
                 exclusive: bool = False) -> DataFrame:
     """Running ``sum``/``max`` per ``by`` in ``order`` over a bucketed frame.
@@ -86,19 +74,18 @@ def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
         out = out.withColumn(f"_l_{name}", F.max(expr).over(frame))
 
     if hot:
-        # Bucket totals of hot keys only (the key filter is pushed below any
-        # upstream window partitioned by the key), prefix-scanned per key over
-        # its buckets -- at most (hot keys x buckets) rows.
+        # Bucket totals of hot keys only, prefix-scanned per key over its
+        # buckets -- one row per piece and key.
         aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()] + \
                [F.max(e).alias(f"_t_{n}") for n, e in maxes.items()]
-        totals = df.filter(F.col(by).isin(list(hot))).groupBy(by, BUCKET).agg(*aggs)
+        totals = df.filter(F.col(BUCKET) > 0).groupBy(by, BUCKET).agg(*aggs)
         before = Window.partitionBy(by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         prefix = totals.select(
-            by, BUCKET,
+            F.col(by).alias("_pk"), F.col(BUCKET).alias("_pb"),
             *[F.sum(f"_t_{n}").over(before).alias(f"_p_{n}") for n in sums],
             *[F.max(f"_t_{n}").over(before).alias(f"_p_{n}") for n in maxes],
         )
-        out = out.join(prefix, on=[by, BUCKET], how="left")
+        out = out.join(prefix, F.col(by).eqNullSafe(F.col("_pk")) & (F.col(BUCKET) == F.col("_pb")), "left").drop("_pk", "_pb")
     else:
         for n in [*sums, *maxes]:
             out = out.withColumn(f"_p_{n}", F.lit(None))
@@ -116,109 +103,17 @@ def prefix_scan(df: DataFrame, by: str, order: list[str | Column], hot: dict,
     return out.drop(*drop)
 
 
-def range_bucket(cols: Column | list[Column], bounds: list) -> Column:
-    """Index of the range of a row given sorted distinct ``bounds``
-    (``b[i-1] <= row < b[i]`` -> i), as a balanced tree of comparisons:
-    O(log k) per row inside codegen, no join.  With two columns a bound is
-    ``(a, s)`` compared lexicographically; ``(a, None)`` is the start of ``a``."""
-    cols = cols if isinstance(cols, list) else [cols]
-
-    def below(b) -> Column:
-        if len(cols) == 1:
-            return cols[0] < F.lit(b)
-        a, s = b
-        if s is None:
-            return cols[0] < F.lit(a)
-        return (cols[0] < F.lit(a)) | ((cols[0] == F.lit(a)) & (cols[1] < F.lit(s)))
-
-    def tree(lo: int, hi: int) -> Column:  # answer in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2  # row >= bounds[mid-1] -> answer >= mid
-        return F.when(below(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-    return tree(0, len(bounds)).cast("int")
-
-
-def quantile_bounds(df: DataFrame, col: str, buckets: int, tie_col: str | None = None) -> list:
-    """At most ``buckets - 1`` distinct approximate quantiles of ``col`` (one
-    small aggregation; the driver receives a bounded array).
-
-    With ``tie_col``, a value of ``col`` that fills more than one quantile
-    (a burst sharing one value) is split further at quantiles of ``tie_col``
-    among its rows (a second aggregation over at most ``buckets`` values), and
-    the bounds become ``(col, tie_col)`` pairs."""
-    if buckets <= 1:
-        return []
-    accuracy = min(MAX_ACCURACY, max(10_000, 10 * buckets))  # resolves every requested quantile
-    qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(col, qs, accuracy).alias("q")).first()
-    values = [int(v) for v in (row["q"] or []) if v is not None]
-    if tie_col is None:
-        return sorted(set(values))
-    heavy = sorted({v for v in values if values.count(v) > 1})
-    bounds = {(v, None) for v in values}
-    if heavy:
-        parts = (df.filter(F.col(col).isin(heavy)).groupBy(col)
-                   .agg(F.percentile_approx(tie_col, qs, accuracy).alias("q")).collect())
-        for r in parts:
-            bounds.update((int(r[0]), int(s)) for s in (r["q"] or []) if s is not None)
-    return sorted(bounds, key=lambda b: (b[0], -1 if b[1] is None else 0, b[1] or 0))
-
-
-MAX_TIE_BOUNDS = 256  # comparison-tree size for bursts on one leading value
-MAX_RANGE_BUCKETS = 100_000  # bound of the arrival-order scan's buckets (and of its broadcast)
-MAX_ACCURACY = 1_000_000
-
-
-def with_range_buckets(df: DataFrame, order: list[str], bounds: list, name: str = "_rp") -> DataFrame:
-    """Bucket id (a bigint increasing with ``order``) for quantile ``bounds``.
-
-    Leading-column bounds go through ``Bucketizer`` (a JVM binary search, so
-    tens of thousands of bounds cost O(log k) per row with no plan blow-up).
-    Bursts -- bounds ``(a, s)`` on a single leading value -- add a small tree
-    on the second column; at most ``MAX_TIE_BOUNDS`` of them are kept (fewer
-    only makes a burst bucket coarser, never changes results)."""
-    from pyspark.ml.feature import Bucketizer
-
-    ties = [b for b in bounds if isinstance(b, tuple) and b[1] is not None]
-    # A burst value gets a leading bucket of its own ([a, a + 1) on integer
-    # values), so the rows after it never share its sub-buckets.
-    lead_vals = sorted({b[0] if isinstance(b, tuple) else b for b in bounds} | {a + 1 for a, _s in ties})
-    if len(ties) > MAX_TIE_BOUNDS:
-        step = len(ties) / MAX_TIE_BOUNDS
-        ties = [ties[int(i * step)] for i in range(MAX_TIE_BOUNDS)]
-    out = df.withColumn("_lead_d", F.col(order[0]).cast("double"))
-    if lead_vals:
-        splits = [float("-inf"), *[float(v) for v in lead_vals], float("inf")]
-        out = Bucketizer(splits=splits, inputCol="_lead_d", outputCol="_lead_b", handleInvalid="keep").transform(out)
-    else:
-        out = out.withColumn("_lead_b", F.lit(0.0))
-    sub = F.lit(0)
-    if ties:
-        by_val: dict = {}
-        for a, s2 in ties:
-            by_val.setdefault(a, []).append(s2)
-        sub = F.lit(0)
-        for a, ss in by_val.items():
-            sub = F.when(F.col(order[0]) == F.lit(a), range_bucket(F.col(order[1]), sorted(ss))).otherwise(sub)
-    return (out.withColumn(name, F.col("_lead_b").cast("long") * F.lit(MAX_TIE_BOUNDS + 1) + sub.cast("long"))
-               .drop("_lead_d", "_lead_b"))
-
-
 def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
                       partitions: int, exclusive: bool = True) -> DataFrame:
     """Running max of ``value`` over the *whole* frame in ``order``.
 
     An unpartitioned window would move everything to one task.  Instead the
-    rows are cut into ``partitions`` ranges of the order at approximate
-    quantiles (balanced by rows, bursts on one leading value split by the
-    second order column), the running max is taken inside each range, and
-    the (at most ``partitions`` + bursts) range maxima are prefix-scanned and
-    broadcast back.  Buckets are a function of the row's values, so every
-    branch of the plan assigns them identically."""
-    tie = order[1] if len(order) > 1 else None
-    bounds = quantile_bounds(df, order[0], min(int(partitions), MAX_RANGE_BUCKETS), tie)
-    ranged = with_range_buckets(df, order, bounds)
+    rows are range-partitioned by the order into ``partitions`` pieces of equal
+    size (bursts on one leading value are cut by the columns after it) and
+    written with their piece; the running max is taken inside each piece, and
+    the piece maxima (one row per piece) are prefix-scanned and broadcast back."""
+    rows = df.repartitionByRange(int(partitions), *order)
+    ranged = staged(rows.withColumn("_rp", F.spark_partition_id()), "arrival")
     end = -1 if exclusive else Window.currentRow
     local = ranged.withColumn(
         "_lmax", F.max(value).over(Window.partitionBy("_rp").orderBy(*order)
@@ -226,6 +121,6 @@ def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
     per_range = ranged.groupBy("_rp").agg(F.max(value).alias("_rmax"))
     before = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_range.select("_rp", F.max("_rmax").over(before).alias("_pmax"))
-    return (local.join(F.broadcast(prefix), on="_rp", how="left")
+    return (local.join(F.broadcast(prefix), on="_rp", how="left")  # at most ``partitions`` rows
                  .withColumn(name, F.greatest("_pmax", "_lmax"))
                  .drop("_rp", "_lmax", "_pmax"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from utxoflow.functions import array_sum, as_double, money, now_ms
-from utxoflow.schema import MONEY
+from utxoflow.schema import MONEY_SUM
 
 
 def normalize(raw: DataFrame, ingest_time: Column | int | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def normalize(raw: DataFrame, ingest_time: Column | int | None = None) -> DataFr
             x["address"].alias("address"),
             money(x["value"]).alias("value"),
             x["prev_tx_id"].alias("prev_tx_id"),
-            x["prev_output_index"].cast("int").alias("prev_output_index"),
+            x["prev_output_index"].try_cast("int").alias("prev_output_index"),
         ),
     )
     outputs = F.transform(
@@ -36,7 +36,7 @@ def normalize(raw: DataFrame, ingest_time: Column | int | None = None) -> DataFr
         lambda y: F.struct(
             y["address"].alias("address"),
             money(y["value"]).alias("value"),
-            y["output_index"].cast("int").alias("output_index"),
+            y["output_index"].try_cast("int").alias("output_index"),
         ),
     )
     cols = raw.columns
@@ -91,8 +91,7 @@ def _is_late(df: DataFrame) -> Column:
 
 def tx_metrics(tx: DataFrame) -> DataFrame:
     """The transaction metric record (money rounded, fee clamped at 0)."""
-    total_in = array_sum("inputs").cast(MONEY)
-    total_out = array_sum("outputs").cast(MONEY)
+    total_in, total_out = array_sum("inputs"), array_sum("outputs")
     return tx.select(
         F.lit("transaction").alias("metric_type"),
         "tx_id",
@@ -103,7 +102,7 @@ def tx_metrics(tx: DataFrame) -> DataFrame:
         F.size("outputs").alias("output_count"),
         as_double(total_in).alias("total_input"),
         as_double(total_out).alias("total_output"),
-        as_double(F.greatest(total_in - total_out, F.lit(0).cast(MONEY))).alias("fee_estimate"),
+        as_double(F.greatest(total_in - total_out, F.lit(0).cast(MONEY_SUM))).alias("fee_estimate"),
         _is_late(tx).alias("is_late"),
     )
 
@@ -148,7 +147,8 @@ def metric_rows(metrics: DataFrame) -> DataFrame:
 def dedupe_transactions(tx: DataFrame) -> DataFrame:
     """Keep the first arrival of each ``tx_id`` (precondition of the ledger).
 
-    One shuffle on ``tx_id``; a replayed id keeps its earliest (arrival, seq)."""
+    One shuffle on ``tx_id``, copies collapsed before it; a replayed id keeps its
+    earliest (arrival, seq)."""
     return (tx.groupBy("tx_id")
               .agg(F.min_by(F.struct(*[F.col(c) for c in tx.columns]),
                             F.struct("arrival_ms", "seq")).alias("t"))

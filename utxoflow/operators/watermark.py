@@ -30,6 +30,6 @@ def with_arrival_watermark(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> Data
     late before any watermark exists)."""
     parts = opts.watermark_partitions or int(
         tx.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    out = global_prefix_max(tx, "timestamp", ["arrival_ms", "seq"], "_seen_max", parts, exclusive=True)
+    out = global_prefix_max(tx, "timestamp", ["arrival_ms", "seq", "tx_id"], "_seen_max", parts, exclusive=True)
     return (out.withColumn("watermark_ms", (F.col("_seen_max") - F.lit(int(opts.late_tolerance_ms))).cast("long"))
                .drop("_seen_max"))

@@ -18,20 +18,20 @@ class LedgerOptions:
     velocity_count: int = 12
 
     # Scale knobs [ours].  An address with at least ``hot_key_rows`` updates is
-    # split into arrival-time buckets of about ``rows_per_bucket`` rows so no
-    # single task scans it whole; at most ``max_hot_keys`` such addresses are
-    # tracked (the broadcast list is bounded by this number).
+    # split into pieces of its order of about ``rows_per_bucket`` rows so no
+    # single task scans it whole.
     hot_key_rows: int = 2_000_000
     rows_per_bucket: int = 500_000
-    max_hot_keys: int = 10_000
     # Range partitions used for the global arrival-order watermark scan.
     watermark_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
     # State / shuffle partitions of the streaming queries (the reference's
     # job parallelism); fixed in the checkpoint at the first start.
     stream_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
-    # Drop re-delivered transactions (same tx_id) in streams, within the
-    # watermark (the ledger assumes each output is delivered once).
+    # Drop re-delivered transactions (same tx_id) in streams (the ledger
+    # assumes each output is delivered once); late ones are kept.
     dedupe_stream: bool = False
+    # Interval of the streaming triggers (the reference's checkpoint interval).
+    trigger_ms: int = 10_000
     # Partition granularity of the written tables: "day" (event_date) or
     # "month" (event_month, for multi-year backfills replayed as a stream).
     table_partition: str = "day"

@@ -2,8 +2,9 @@
 four analytic tables, both alert streams and the latest-balance snapshot out.
 
 Q-tx (stateless) and Q-addr (the ledger) share the watermarked transaction
-frame.  When several outputs are written, the shared frames are cut with a
-reliable checkpoint into the cluster's shared folder so each is computed once.
+frame.  When several outputs are written, the shared frames are written to the
+cluster's shared folder as Parquet, so each is computed once and every output
+reads only its columns.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.options import DEFAULT, LedgerOptions
-from utxoflow.session import cut_lineage
+from utxoflow.session import staged
 
 
 @dataclass
@@ -38,12 +39,12 @@ class BatchOutputs:
 def run_batch(tx: DataFrame, opts: LedgerOptions = DEFAULT, materialize: bool = False) -> BatchOutputs:
     wtx = with_arrival_watermark(tx, opts)
     if materialize:
-        wtx = cut_lineage(wtx)
+        wtx = staged(wtx, "transactions")
     metrics = tx_metrics(wtx)
     upd = address_updates(wtx)
     led = ledger(upd, opts)
     if materialize:
-        led = cut_lineage(led)
+        led = staged(led, "ledger")
     alerts = tx_alerts(wtx, opts).unionByName(state_alerts(led, opts))
     return BatchOutputs(
         transactions=wtx, metrics=metrics, transaction_rows=tx_rows(wtx),

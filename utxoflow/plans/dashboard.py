@@ -33,6 +33,21 @@ def read_table(spark: SparkSession, path: str, since_ms: int | None = None) -> D
     return df
 
 
+def newest_ms(spark: SparkSession, path: str) -> int | None:
+    """The largest ``timestamp_ms`` of a table partitioned by time, read from
+    its newest partition only."""
+    df = spark.read.parquet(path)
+    part = "event_month" if "event_month" in df.columns else "event_date"
+    newest = df.agg(F.max(part)).first()[0]  # partition values only, no column is read
+    return None if newest is None else df.filter(F.col(part) == F.lit(newest)).agg(F.max("timestamp_ms")).first()[0]
+
+
+def recent(spark: SparkSession, path: str, span_ms: int) -> tuple[DataFrame, int | None]:
+    """The last ``span_ms`` of a table, partitions pruned, and the time it ends at."""
+    as_of = newest_ms(spark, path)
+    return read_table(spark, path, None if as_of is None else as_of - span_ms), as_of
+
+
 def tps(tx: DataFrame, as_of_ms: int | None = None, span_ms: int = 60_000) -> DataFrame:
     """Transactions per second over the last ``span_ms``."""
     since = _as_of(tx, as_of_ms) - F.lit(int(span_ms))
@@ -57,7 +72,7 @@ def tx_volume(tx: DataFrame, as_of_ms: int | None = None, span_ms: int = 3_600_0
 
 def _latest_by_time(bal: DataFrame) -> DataFrame:
     """argMax(balance, timestamp_ms) per address; ties broken by arrival."""
-    order = F.struct(*[F.col(c) for c in ("timestamp_ms", "arrival_ms", "seq", "pos") if c in bal.columns])
+    order = F.struct(*[F.col(c) for c in ("timestamp_ms", "arrival_ms", "seq", "tx_id", "pos") if c in bal.columns])
     return bal.groupBy("address").agg(
         F.max_by("balance", order).alias("balance"), F.count(F.lit(1)).alias("updates"))
 
@@ -101,7 +116,7 @@ def balance_updates_final(bal: DataFrame) -> DataFrame:
     """The ReplacingMergeTree collapse -- one row per (address,
     timestamp_ms), the last inserted (arrival order) wins.  A map-side
     combinable ``max_by`` instead of a window: no single-key sort."""
-    order = F.struct(*[F.col(c) for c in ("arrival_ms", "seq", "pos") if c in bal.columns])
+    order = F.struct(*[F.col(c) for c in ("arrival_ms", "seq", "tx_id", "pos") if c in bal.columns])
     keep = [c for c in bal.columns if c not in ("address", "timestamp_ms")]
     return (bal.groupBy("address", "timestamp_ms")
                .agg(F.max_by(F.struct(*[F.col(c) for c in keep]), order).alias("r"))

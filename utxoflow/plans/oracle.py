@@ -7,7 +7,7 @@ SQL: windows over the whole key are fine for a single-node oracle.
 
 from __future__ import annotations
 
-from utxoflow.plans.queries import COIN_TARGET, EXTRA_PATTERNS
+from utxoflow.plans.queries import COIN_TARGET, DUST_TARGET, EXTRA_PATTERNS
 from utxoflow.operators.reaimed import SUSPICIOUS_PATTERNS
 
 # --------------------------------------------------------------- FX-A
@@ -54,10 +54,15 @@ fxa_tx AS (
 def fxb(variant: str | None = None, tol: int = 86_400_000) -> str:
     has_out = "(event_id % 50 <> 7)" if variant == "orphan" else "TRUE"
     address = "'u' || CAST(user_id AS VARCHAR)"
-    if variant == "hot":
+    if variant in ("hot", "burst"):
         address = f"CASE WHEN event_id % 3 = 0 THEN 'u0' ELSE {address} END"
+    value = "CAST(value AS DECIMAL(18,8))"
+    if variant == "large":
+        value = f"CAST({value} * 10000000 AS DECIMAL(28,8))"
+    arrival, seq = {"ties": ("arrival_ms - arrival_ms % 86400000 AS arrival_ms", "seq // 2 AS seq"),
+                    "burst": ("arrival_ms - arrival_ms % 2592000000 AS arrival_ms", "seq")}.get(variant, ("arrival_ms", "seq"))
     repeat = ""
-    if variant == "double":
+    if variant in ("double", "ties"):
         repeat = """
   UNION ALL
   SELECT tx_id || 'r', timestamp, arrival_ms + 3600000, seq, address, value, has_in, prev_tx_id, FALSE
@@ -73,12 +78,14 @@ fxb_ev2 AS (
   FROM fxb_ev),
 fxb_b0 AS (
   SELECT CAST(event_id AS VARCHAR) AS tx_id, tms AS timestamp, arr AS arrival_ms, event_id AS seq, address,
-         CAST(value AS DECIMAL(18,8)) AS value,
+         {value} AS value,
          (event_type IN ('purchase', 'click') AND prev_id IS NOT NULL) AS has_in,
          CAST(prev_id AS VARCHAR) AS prev_tx_id, {has_out} AS has_out, event_type
   FROM fxb_ev2),
-fxb_b AS (
+fxb_b1 AS (
   SELECT tx_id, timestamp, arrival_ms, seq, address, value, has_in, prev_tx_id, has_out FROM fxb_b0{repeat}),
+fxb_b AS (
+  SELECT tx_id, timestamp, {arrival}, {seq}, address, value, has_in, prev_tx_id, has_out FROM fxb_b1),
 fxb_tx AS (
   SELECT *, 'events' AS source, arrival_ms AS ingest_time,
          max(timestamp) OVER (ORDER BY arrival_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {tol}
@@ -99,7 +106,7 @@ fxb_upd AS (
          arrival_ms, seq, tx_id, 0
   FROM fxb_tx WHERE has_out),
 fxb_rk AS (
-  SELECT *, row_number() OVER (PARTITION BY address ORDER BY arrival_ms, seq, pos) AS rk FROM fxb_upd),
+  SELECT *, row_number() OVER (PARTITION BY address ORDER BY arrival_ms, seq, tx_id, pos) AS rk FROM fxb_upd),
 fxb_d AS (
   SELECT *,
     min(CASE WHEN kind = 'input' THEN rk END) OVER k AS first_in,
@@ -168,6 +175,30 @@ fxb_metrics AS (
 """
 
 
+# Delivery batches of the streams: equal time ranges of the arrival; the
+# watermark a batch meets is the max event time of the batches before it minus
+# the tolerance.
+FXB_STREAM = """
+fxb_range AS (
+  SELECT min(arrival_ms) AS lo, max(arrival_ms) - min(arrival_ms) + 1 AS span,
+         greatest(4, (count(*) + 999999) // 1000000) AS k FROM fxb_tx),
+fxb_batch AS (
+  SELECT t.*, (t.arrival_ms - r.lo) // ((r.span + r.k - 1) // r.k) AS b FROM fxb_tx t, fxb_range r),
+fxb_marks AS (
+  SELECT b, max(max(timestamp)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000 AS mark
+  FROM fxb_batch GROUP BY b),
+fxb_stream_tx AS (SELECT t.*, m.mark FROM fxb_batch t JOIN fxb_marks m USING (b)),
+fxb_stream_late AS (
+  SELECT u.tx_id || ':' || u.address || ':late' AS alert_id, 'late_event' AS alert_type, 'low' AS severity,
+         u.timestamp AS timestamp_ms, u.tx_id, u.address,
+         to_json({'watermark': s.mark, 'lateness_ms': s.mark - u.timestamp})::VARCHAR AS details_json
+  FROM fxb_upd u JOIN fxb_stream_tx s ON s.tx_id = u.tx_id WHERE u.timestamp < s.mark),
+fxb_stream_alerts AS (
+  SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring
+  UNION ALL SELECT * FROM fxb_stream_late)
+"""
+
+
 FXA_FAN_OUT = """
 SELECT tx_id || ':fanout' AS alert_id, 'fan_out' AS alert_type, 'medium' AS severity, timestamp AS timestamp_ms,
        tx_id, coalesce(first_in, 'coinbase') AS address,
@@ -323,13 +354,38 @@ SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id
     q["stream_latest_balance"] = q["latest_balance"]
     q["stream_utxo_snapshot"] = q["utxo_snapshot"]
     q["stream_pending_spends"] = q["pending_spends_double"]
-    q["stream_alert_rates"] = _with(FXB) + """
-SELECT timestamp_ms - timestamp_ms % 60000 AS minute, alert_type, count(*) AS total
-FROM (SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring)
+    q["stream_alert_rates"] = _with(FXB, FXB_STREAM) + """
+SELECT timestamp_ms - timestamp_ms % 60000 AS minute, alert_type, count(*) AS total FROM fxb_stream_alerts
 GROUP BY 1, 2"""
     q["stream_tx_alerts"] = _with(FXA) + FXA_FAN_OUT + "\nUNION ALL\n" + FXA_WHALE
-    q["stream_alerts"] = _with(FXB) + """
-SELECT * FROM fxb_alert_velocity UNION ALL SELECT * FROM fxb_alert_structuring"""
+    q["stream_alerts"] = _with(FXB, FXB_STREAM) + "SELECT * FROM fxb_stream_alerts"
+    q["stream_late_alerts"] = _with(FXB, FXB_STREAM) + "SELECT * FROM fxb_stream_late"
+    q["stream_tx_rows"] = _with(FXB, FXB_STREAM) + """
+SELECT tx_id, timestamp AS timestamp_ms, ingest_time AS ingest_time_ms, source, input_count, output_count,
+       CAST(total_input AS DOUBLE) AS total_input, CAST(total_output AS DOUBLE) AS total_output,
+       CAST(coalesce(timestamp < mark, FALSE) AS INTEGER) AS is_late
+FROM fxb_stream_tx"""
+    q["stream_dedupe_late"] = q["balance_updates"]
+    q["balance_updates_large"] = _with(fxb("large")) + bal
+    q["balance_updates_ties"] = _with(fxb("ties")) + bal
+    q["balance_updates_burst"] = _with(fxb("burst")) + bal
+    q["coin_selection_dust"] = _with(fxb("hot")) + f"""
+SELECT address, tx_id, output_index, CAST(value AS DOUBLE) AS value, CAST(running AS DOUBLE) AS running,
+       CAST({DUST_TARGET} AS DOUBLE) AS target
+FROM (
+  SELECT address, tx_id, output_index, value, sum(value) OVER (PARTITION BY address ORDER BY value DESC, tx_id, output_index
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running,
+         sum(value) OVER (PARTITION BY address) AS total
+  FROM (SELECT * REPLACE (value * 0.001 AS value) FROM fxb_d WHERE kind = 'output' AND n_in = 0))
+WHERE total >= {DUST_TARGET} AND running - value < {DUST_TARGET}"""
+    q["quarantine_values"] = """
+SELECT event_id AS offset, CASE event_id % 13 WHEN 5 THEN 'bad_timestamp' WHEN 4 THEN 'missing_field' ELSE 'bad_value' END AS reason
+FROM events WHERE event_id % 13 BETWEEN 1 AND 5"""
+    q["job_quarantine"] = """
+SELECT CASE WHEN event_id % 13 BETWEEN 1 AND 3 THEN 'bad_value' WHEN event_id % 13 = 4 THEN 'missing_field'
+            WHEN event_id % 13 = 5 THEN 'bad_timestamp' ELSE 'accepted' END AS reason, count(*) AS records
+FROM events GROUP BY 1"""
+    q["archive_incremental"] = q["archive_blocks"]
     q["stream_tx_volume"] = _with(FXB) + """
 SELECT timestamp - timestamp % 60000 AS minute, count(*) AS txs FROM fxb_tx GROUP BY 1"""
     return q

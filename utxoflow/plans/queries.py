@@ -3,6 +3,7 @@ the driver's tables at ``sf_dir`` (fixtures FX-A / FX-B derived by Spark)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,10 @@ from utxoflow.plans import dashboard
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_HOT_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
 from utxoflow.plans.tables import analytic_tables, fx_a_table, fx_b_table
 from utxoflow.plans.batch import run_batch
-from utxoflow.sinks import archive_blocks
-from utxoflow.sources import parse_transactions
+from utxoflow.schema import MONEY
+from utxoflow.session import checkpoint_dir
+from utxoflow.sinks import archive_blocks, read_archive, write_archive, write_quarantine
+from utxoflow.sources import parse_transactions, read_with_quarantine
 
 # Extra selective patterns for R3 on the test corpus (the reference's eight
 # match nothing there): hex tokens and mail addresses.  For "does the text
@@ -23,6 +26,7 @@ from utxoflow.sources import parse_transactions
 # backtracking over long runs of letters.
 EXTRA_PATTERNS = [r'token\s*=\s*"[0-9a-f]{16,}"', r"[a-z0-9.]@mail[0-9]+\.example\.com"]
 COIN_TARGET = 500.0
+DUST_TARGET = 4.0
 
 
 # ----------------------------------------------------------- shared pieces
@@ -51,9 +55,16 @@ def _table(spark, sf, name):
     return spark.read.parquet(analytic_tables(spark, sf)[name])
 
 
+def _panel(spark, sf, panel, name, span_ms):
+    """A panel over the last ``span_ms`` of a table: partitions before it are
+    pruned by literal bounds."""
+    rows, as_of = dashboard.recent(spark, analytic_tables(spark, sf)[name], span_ms)
+    return panel(rows, as_of, span_ms)
+
+
 def _alerts_b(spark, sf):
     """Three alert branches share the watermarked transactions and the ledger:
-    both are cut with a reliable checkpoint so each is computed once."""
+    both are written once."""
     return run_batch(fx_b_table(spark, sf), FXB_OPTIONS, materialize=True).alerts
 
 
@@ -130,6 +141,23 @@ def balance_updates_hot(spark, sf):
     return ledger.balance_records(_led_hot(spark, sf))
 
 
+def balance_updates_large(spark, sf):
+    """Balances beyond 10^11: no sum is cast down."""
+    return ledger.balance_records(_led_b(spark, sf, "large"))
+
+
+def balance_updates_ties(spark, sf):
+    """Equal arrivals and offsets (two partitions) with double spends: the
+    transaction id completes the order."""
+    return ledger.balance_records(_led_b(spark, sf, "ties"))
+
+
+def balance_updates_burst(spark, sf):
+    """A hot address whose rows share a few arrival times, split by its whole
+    order."""
+    return ledger.balance_records(ledger.ledger(_upd_plain(spark, sf, "burst"), FXB_HOT_OPTIONS))
+
+
 def alerts_activity_hot(spark, sf):
     """A3/A4 on FX-B-hot: the hot address is cut into time chunks."""
     counts = activity.activity_counts(_led_hot(spark, sf), FXB_HOT_OPTIONS)
@@ -159,23 +187,23 @@ def alerts_all(spark, sf):
 # ----------------------------------------------------------- dashboard
 
 def tps_last_minute(spark, sf):
-    return dashboard.tps(_table(spark, sf, "transactions"), span_ms=60_000)
+    return _panel(spark, sf, dashboard.tps, "transactions", 60_000)
 
 
 def tps_last_day(spark, sf):
-    return dashboard.tps(_table(spark, sf, "transactions"), span_ms=86_400_000)
+    return _panel(spark, sf, dashboard.tps, "transactions", 86_400_000)
 
 
 def alerts_last_hour(spark, sf):
-    return dashboard.alerts_in(_table(spark, sf, "alerts"), span_ms=3_600_000)
+    return _panel(spark, sf, dashboard.alerts_in, "alerts", 3_600_000)
 
 
 def tx_volume_per_minute(spark, sf):
-    return dashboard.tx_volume(_table(spark, sf, "transactions"), span_ms=3_600_000)
+    return _panel(spark, sf, dashboard.tx_volume, "transactions", 3_600_000)
 
 
 def tx_volume_last_day(spark, sf):
-    return dashboard.tx_volume(_table(spark, sf, "transactions"), span_ms=86_400_000)
+    return _panel(spark, sf, dashboard.tx_volume, "transactions", 86_400_000)
 
 
 def top_addresses(spark, sf):
@@ -191,11 +219,11 @@ def balance_histogram(spark, sf):
 
 
 def alert_rates(spark, sf):
-    return dashboard.alert_rates(_table(spark, sf, "alerts"), span_ms=3_600_000)
+    return _panel(spark, sf, dashboard.alert_rates, "alerts", 3_600_000)
 
 
 def alert_rates_last_day(spark, sf):
-    return dashboard.alert_rates(_table(spark, sf, "alerts"), span_ms=86_400_000)
+    return _panel(spark, sf, dashboard.alert_rates, "alerts", 86_400_000)
 
 
 def balance_updates_final(spark, sf):
@@ -212,6 +240,14 @@ def coin_selection(spark, sf):
     return reaimed.select_coins(snap, targets, FXB_OPTIONS)
 
 
+def coin_selection_dust(spark, sf):
+    """R1 on amounts below one unit, the hot address split."""
+    snap = ledger.utxo_snapshot(_upd_plain(spark, sf, "hot"))
+    snap = snap.withColumn("value", (F.col("value").cast(MONEY) * F.lit("0.001").cast("decimal(4,3)")).cast("double"))
+    targets = snap.select("address").distinct().withColumn("target", F.lit(DUST_TARGET))
+    return reaimed.select_coins(snap, targets, FXB_HOT_OPTIONS)
+
+
 def pattern_mix(spark, sf):
     return reaimed.pattern_mix(fx_b_labeled(spark, sf, FXB_OPTIONS))
 
@@ -268,6 +304,17 @@ def _raw_json_b(spark, sf) -> DataFrame:
     return tx.select(value.alias("value"), "arrival_ms", F.col("seq").alias("offset"))
 
 
+def archive_incremental(spark, sf):
+    """K10 in two writes, split by height and record: the second keeps the
+    heights it does not have and replaces those it has."""
+    blocks = _blocks(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/archive-{uuid.uuid4().hex}"
+    half = blocks.agg(F.max("offset")).first()[0] // 2
+    for part in (blocks.filter(F.col("offset") <= half), blocks.filter(F.col("offset") > half)):
+        write_archive(archive_blocks(part)[0], path)
+    return read_archive(spark, path).select("height", "object_key", "offset", F.length("raw").alias("n_chars"))
+
+
 def parse_transactions_q(spark, sf):
     tx, _bad = parse_transactions(_raw_json_b(spark, sf))
     return transactions.tx_metrics(tx)
@@ -278,6 +325,38 @@ def quarantine(spark, sf):
     return bad.select("offset", "reason")
 
 
+def _bad_json(spark, sf) -> DataFrame:
+    """FX-B as JSON text; of every 13 records, five are wrong in a way of their own."""
+    way = F.pmod("seq", F.lit(13))
+    amount = F.when(way == 1, "abc").when(way == 2, "1e30")
+    outputs = F.transform("outputs", lambda y: F.struct(
+        y["address"].alias("address"), F.coalesce(amount, y["value"].cast("string")).alias("value"),
+        F.when(way == 3, "3000000000").otherwise(y["output_index"].cast("string")).alias("output_index")))
+    inputs = F.transform("inputs", lambda x: F.struct(
+        x["address"].alias("address"), x["value"].cast("string").alias("value"), x["prev_tx_id"].alias("prev_tx_id"),
+        x["prev_output_index"].alias("prev_output_index")))
+    body = F.to_json(F.struct(
+        "tx_id", F.when(way == 5, "soon").otherwise(F.col("timestamp").cast("string")).alias("timestamp"), inputs.alias("inputs"),
+        F.when(way != 4, outputs).alias("outputs"), "source", "ingest_time"))
+    return fx_b_table(spark, sf).select(body.alias("value"), "arrival_ms", F.col("seq").alias("offset"))
+
+
+def quarantine_values(spark, sf):
+    """Records with a wrong amount, index, time or without outputs."""
+    return parse_transactions(_bad_json(spark, sf))[1].select("offset", "reason")
+
+
+def job_quarantine(spark, sf):
+    """S2/S3 as the jobs use it: JSON files -> accepted records and the written
+    quarantine table, counted by reason (every record is in one of them)."""
+    run = f"{checkpoint_dir(spark).rstrip('/')}/quarantine-{uuid.uuid4().hex}"
+    _bad_json(spark, sf).select("value").write.text(f"{run}/in")
+    tx, rejected = read_with_quarantine(spark, "json", path=f"{run}/in")
+    write_quarantine(rejected, f"{run}/quarantine")
+    found = spark.read.parquet(f"{run}/quarantine").select("reason").unionByName(tx.select(F.lit("accepted").alias("reason")))
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_transactions": normalize_transactions,
     "tx_metrics": tx_metrics,
@@ -310,6 +389,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_rates_last_day": alert_rates_last_day,
     "balance_updates_final": balance_updates_final,
     "coin_selection": coin_selection,
+    "coin_selection_dust": coin_selection_dust,
+    "balance_updates_large": balance_updates_large,
+    "balance_updates_ties": balance_updates_ties,
+    "balance_updates_burst": balance_updates_burst,
     "pattern_mix": pattern_mix,
     "pattern_scan": pattern_scan,
     "pattern_scan_pages": pattern_scan_pages,
@@ -317,6 +400,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_rejected": archive_rejected,
     "parse_transactions": parse_transactions_q,
     "quarantine": quarantine,
+    "quarantine_values": quarantine_values,
+    "job_quarantine": job_quarantine,
+    "archive_incremental": archive_incremental,
 }
 
 

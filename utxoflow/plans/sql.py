@@ -23,11 +23,11 @@ PANELS = {
         WHERE timestamp_ms >= {as_of_tx} - 3600000
         GROUP BY 1 ORDER BY minute""",
     "top_addresses": """
-        SELECT address, max_by(balance, struct(timestamp_ms, arrival_ms, seq, pos)) AS balance
+        SELECT address, max_by(balance, struct(timestamp_ms, arrival_ms, seq, tx_id, pos)) AS balance
         FROM balance_updates GROUP BY address ORDER BY balance DESC, address LIMIT 10""",
     "balance_distribution": """
         SELECT bucket, addresses FROM (
-          SELECT address, floor(max_by(balance, struct(timestamp_ms, arrival_ms, seq, pos))) AS bucket,
+          SELECT address, floor(max_by(balance, struct(timestamp_ms, arrival_ms, seq, tx_id, pos))) AS bucket,
                  count(*) AS addresses
           FROM balance_updates GROUP BY address)
         WHERE bucket >= 0 ORDER BY bucket, address LIMIT 30""",

@@ -13,10 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.operators.scan import quantile_bounds, range_bucket
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS
-from utxoflow.plans.tables import fx_a_table, fx_b_table
-from utxoflow.session import checkpoint_dir
+from utxoflow.plans.tables import fx_a_table, fx_b_table, materialized
+from utxoflow.session import checkpoint_dir, staged
 from utxoflow.sinks import read_latest
 from utxoflow.streaming.stream import (drain, read_alert_rates, read_state_pending, read_state_utxos,
                                          read_transaction_files, read_volume,
@@ -27,48 +26,75 @@ STREAM_PARTITIONS = 8
 FXB_STREAM = FXB_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS)
 # FX-A replays seven years of orders as a stream: monthly table partitions.
 FXA_STREAM = FXA_OPTIONS.with_(stream_partitions=STREAM_PARTITIONS, table_partition="month")
-TRIGGER = {"processingTime": "1 second"}
+TRIGGER = {"availableNow": True}
+ALERT = ["alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"]
+
+
+def stream_batches(tx: DataFrame, batches: int = STREAM_BATCHES) -> DataFrame:
+    """``tx`` with its delivery batch ``_b``: equal time ranges of the arrival,
+    at least ``batches`` of them and one per million rows."""
+    lo, hi, n = tx.agg(F.min("arrival_ms"), F.max("arrival_ms"), F.count(F.lit(1))).first()
+    k = max(batches, -(-n // 1_000_000))
+    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // k))
+    return tx.withColumn("_b", F.floor((F.col("arrival_ms") - F.lit(lo or 0)) / F.lit(width)).cast("int"))
 
 
 def stream_fixture(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES,
                    tx: DataFrame | None = None) -> str:
-    """Write canonical transactions (FX-B by default) in arrival order as
-    ``batches`` files, one per quantile range of ``arrival_ms``; return the
-    run folder."""
+    """Write canonical transactions (FX-B by default, or rows with their ``_b``)
+    as one file per delivery batch, in order; return the run folder."""
     run = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     tx = fx_b_table(spark, sf_dir) if tx is None else tx
-    bounds = quantile_bounds(tx, "arrival_ms", batches)
-    staged = f"{run}/staged"
-    (tx.withColumn("_b", range_bucket(F.col("arrival_ms"), bounds))
-       .write.partitionBy("_b").parquet(staged))
-    for i in range(len(bounds) + 1):
-        part = spark.read.parquet(staged).filter(F.col("_b") == i).drop("_b")
-        part.orderBy("arrival_ms", "seq").coalesce(1).write.mode("append").parquet(f"{run}/input")
+    rows = staged(tx if "_b" in tx.columns else stream_batches(tx, batches), "stream")
+    for (i,) in sorted(rows.select("_b").distinct().collect()):  # at most the batches
+        rows.filter(F.col("_b") == i).drop("_b").repartition(1).write.mode("append").parquet(f"{run}/input")
     return run
 
 
 def _run_addr(spark: SparkSession, sf_dir: str, variant: str | None = None) -> str:
-    run = stream_fixture(spark, sf_dir, tx=fx_b_table(spark, sf_dir, variant))
-    q = start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", FXB_STREAM,
-                         trigger=TRIGGER)
-    drain(q)
-    return run
+    """Q-addr over FX-B, run once per application and variant."""
+    def build(folder: str) -> None:
+        run = stream_fixture(spark, sf_dir, tx=fx_b_table(spark, sf_dir, variant))
+        drain(start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{folder}/out", f"{folder}/ckpt", FXB_STREAM,
+                               trigger=TRIGGER))
+
+    return materialized(spark, ("stream-addr", sf_dir, variant or "base"), build)
+
+
+def _balances(table: DataFrame) -> DataFrame:
+    return table.select(F.lit("balance_update").alias("metric_type"), "address", "tx_id", "kind",
+                        "balance", "utxo_count", "timestamp_ms", "source")
 
 
 def stream_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_addr(spark, sf_dir)
-    bal = spark.read.parquet(f"{run}/out/balance_updates")
-    return bal.select(F.lit("balance_update").alias("metric_type"), "address", "tx_id", "kind",
-                      "balance", "utxo_count", "timestamp_ms", "source")
+    return _balances(spark.read.parquet(f"{run}/out/balance_updates"))
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Velocity and structuring alerts of the stream (late flags are
-    micro-batch granular in Spark, so they are checked separately)."""
+    """All state alerts of the stream; late ones meet the watermark of their
+    micro-batch."""
     run = _run_addr(spark, sf_dir)
-    al = spark.read.parquet(f"{run}/out/alerts")
-    return (al.filter(F.col("alert_type").isin("velocity_spike", "structuring"))
-              .select("alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"))
+    return spark.read.parquet(f"{run}/out/alerts").select(*ALERT)
+
+
+def stream_late_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 in streaming form."""
+    return stream_alerts(spark, sf_dir).filter(F.col("alert_type") == "late_event")
+
+
+def stream_dedupe_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-addr with every seventh transaction delivered again one batch later
+    and re-deliveries dropped: balances as if each came once, late ones too."""
+    def build(folder: str) -> None:
+        tx = stream_batches(fx_b_table(spark, sf_dir))
+        again = tx.filter(F.pmod("seq", F.lit(7)) == 0).withColumn("_b", F.col("_b") + 1)
+        run = stream_fixture(spark, sf_dir, tx=tx.unionByName(again))
+        drain(start_addr_query(read_transaction_files(spark, f"{run}/input"), f"{folder}/out", f"{folder}/ckpt",
+                               FXB_STREAM.with_(dedupe_stream=True), trigger=TRIGGER))
+
+    run = materialized(spark, ("stream-dedupe", sf_dir), build)
+    return _balances(spark.read.parquet(f"{run}/out/balance_updates"))
 
 
 def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +105,15 @@ def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_volume(spark, f"{run}/out")
 
 
+def stream_tx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-tx over FX-B: the transactions table with the lateness each row had in
+    its micro-batch."""
+    run = stream_fixture(spark, sf_dir)
+    drain(start_tx_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt", FXB_STREAM, trigger=TRIGGER))
+    return spark.read.parquet(f"{run}/out/transactions").select(
+        "tx_id", "timestamp_ms", "ingest_time_ms", "source", "input_count", "output_count", "total_input", "total_output", "is_late")
+
+
 def stream_tx_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-tx over FX-A delivered as files: the fan-out and whale alerts it
     writes (stateless, so identical to the batch rules)."""
@@ -86,34 +121,27 @@ def stream_tx_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_tx_query(read_transaction_files(spark, f"{run}/input"), f"{run}/out", f"{run}/ckpt",
                        FXA_STREAM, trigger=TRIGGER)
     drain(q)
-    return (spark.read.parquet(f"{run}/out/alerts_tx")
-                 .select("alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"))
+    return spark.read.parquet(f"{run}/out/alerts_tx").select(*ALERT)
 
 
 def stream_alert_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D6 from the stream's per-batch partial counts (velocity and
-    structuring; late flags are micro-batch granular in streams)."""
-    run = _run_addr(spark, sf_dir)
-    return (read_alert_rates(spark, f"{run}/out")
-            .filter(F.col("alert_type").isin("velocity_spike", "structuring")))
+    """D6 from the stream's per-batch partial counts."""
+    return read_alert_rates(spark, f"{_run_addr(spark, sf_dir)}/out")
 
 
 def stream_utxo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L7 in streaming form: the unspent set read from the query's state."""
-    run = _run_addr(spark, sf_dir)
-    return read_state_utxos(spark, f"{run}/ckpt")
+    return read_state_utxos(spark, f"{_run_addr(spark, sf_dir)}/ckpt")
 
 
 def stream_pending_spends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L8 in streaming form over FX-B-double (double spends), from the state."""
-    run = _run_addr(spark, sf_dir, "double")
-    return read_state_pending(spark, f"{run}/ckpt")
+    return read_state_pending(spark, f"{_run_addr(spark, sf_dir, 'double')}/ckpt")
 
 
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 in streaming form: the latest-balance change log read back."""
-    run = _run_addr(spark, sf_dir)
-    return read_latest(spark, f"{run}/out/latest_changes")
+    return read_latest(spark, f"{_run_addr(spark, sf_dir)}/out/latest_changes")
 
 
 STREAM_QUERIES = {
@@ -125,4 +153,7 @@ STREAM_QUERIES = {
     "stream_balances": stream_balances,
     "stream_alerts": stream_alerts,
     "stream_tx_volume": stream_tx_volume,
+    "stream_tx_rows": stream_tx_rows,
+    "stream_late_alerts": stream_late_alerts,
+    "stream_dedupe_late": stream_dedupe_late,
 }

@@ -3,7 +3,7 @@
 * Fixture tables: FX-A / FX-B derived by Spark from the driver's tables and
   written once per application, the way a real deployment has its canonical
   transaction table (or topic) already stored.  Every operator query then
-  scans them, so side branches (hot-key statistics, quantile bounds) are
+  scans them, so side branches (hot-key statistics) are
   cheap column-pruned scans instead of recomputing the derivation.
 * Analytic tables: the batch pipeline's ``transactions`` / ``alerts`` /
   ``balance_updates`` / ``metrics`` tables and the latest-balance snapshot
@@ -20,15 +20,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from utxoflow.operators.ledger import balance_rows, latest_balances
+from utxoflow.operators.ledger import balance_rows
 from utxoflow.options import LedgerOptions
-from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, fx_a, fx_b, fx_b_variant
+from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, HOT_VARIANTS, ROW_VARIANTS, fx_a, fx_b, fx_b_variant
 from utxoflow.plans.batch import run_batch
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import write_table
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _PATHS: dict[tuple, str] = {}
+_BUILDING: dict[tuple, threading.RLock] = {}
 
 
 def _root(spark: SparkSession) -> str:
@@ -39,31 +40,45 @@ def _root(spark: SparkSession) -> str:
         return _PATHS[key]
 
 
-def _materialized(spark: SparkSession, key: tuple, build) -> str:
+def materialized(spark: SparkSession, key: tuple, build) -> str:
+    """The folder that ``build(folder)`` wrote for ``key``, once per application.
+    One builder at a time per key; a failed build is tried again in a fresh
+    folder by the next caller."""
     full = (spark.sparkContext.applicationId, *key)
     with _LOCK:
-        path = _PATHS.get(full)
-    if path is None:
-        path = f"{_root(spark)}/{'-'.join(str(k).strip('/').replace('/', '_') for k in key)}"
-        build(path)
-        with _LOCK:
+        lock = _BUILDING.setdefault(full, threading.RLock())
+    with lock:
+        if full not in _PATHS:
+            name = "-".join(str(k).strip("/").replace("/", "_").replace(":", "_") for k in key)
+            path = f"{_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+            build(path)
             _PATHS[full] = path
-    return path
+        return _PATHS[full]
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Remove the folder of all tables of this application."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _PATHS if app in k]:
+        del _PATHS[key]
 
 
 def fx_a_table(spark: SparkSession, sf_dir: str, opts: LedgerOptions = FXA_OPTIONS) -> DataFrame:
-    path = _materialized(spark, ("fxa", sf_dir),
+    path = materialized(spark, ("fxa", sf_dir),
                          lambda p: fx_a(spark, sf_dir, opts).write.parquet(p))
     return spark.read.parquet(path)
 
 
 def fx_b_table(spark: SparkSession, sf_dir: str, variant: str | None = None,
                opts: LedgerOptions = FXB_OPTIONS) -> DataFrame:
-    if variant in ("orphan", "double"):  # row-level edits of the written base table
-        build = lambda p: fx_b_variant(fx_b_table(spark, sf_dir, None, opts), variant).write.parquet(p)
+    if variant in ROW_VARIANTS:  # row-level edits of a written table
+        base = "hot" if variant in HOT_VARIANTS else None
+        build = lambda p: fx_b_variant(fx_b_table(spark, sf_dir, base, opts), variant).write.parquet(p)
     else:
         build = lambda p: fx_b(spark, sf_dir, variant, opts).write.parquet(p)
-    path = _materialized(spark, ("fxb", sf_dir, variant or "base"), build)
+    path = materialized(spark, ("fxb", sf_dir, variant or "base"), build)
     return spark.read.parquet(path)
 
 
@@ -75,8 +90,8 @@ def analytic_tables(spark: SparkSession, sf_dir: str, opts: LedgerOptions = FXB_
         write_table(out.alerts, f"{root}/alerts", sort_cols=("timestamp_ms", "alert_id"))
         write_table(balance_rows(out.ledger), f"{root}/balance_updates", sort_cols=("address", "timestamp_ms"))
         write_table(out.metric_rows, f"{root}/metrics", sort_cols=("timestamp_ms", "metric_type", "tx_id"))
-        latest_balances(out.ledger).write.parquet(f"{root}/latest_balances")
+        out.latest.write.parquet(f"{root}/latest_balances")
 
-    root = _materialized(spark, ("tables", sf_dir), build)
+    root = materialized(spark, ("tables", sf_dir), build)
     return {name: f"{root}/{name}" for name in
             ("transactions", "alerts", "balance_updates", "metrics", "latest_balances")}

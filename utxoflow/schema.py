@@ -28,7 +28,7 @@ OUTPUT = T.StructType([
 ])
 
 # Normalized transaction.  ``arrival_ms`` and ``seq`` carry the arrival order
-# (Kafka timestamp/offset in a stream, explicit columns in batch): the ledger
+# (Kafka timestamp/partition/offset in a stream, explicit columns in batch): the ledger
 # is order dependent and a batch has no implicit order.
 TRANSACTION = T.StructType([
     T.StructField("tx_id", T.StringType(), False),
@@ -41,18 +41,19 @@ TRANSACTION = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
-# Raw JSON as it arrives on the wire: floats for money, the timestamp read as
-# text so that digit strings are accepted like ``int(value["timestamp"])``.
+# Raw JSON as it arrives on the wire.  Numbers are read as text and converted
+# by ``try_cast``: digit strings are accepted, and what does not convert is told
+# from what was not there (one goes to quarantine with its own reason).
 RAW_INPUT = T.StructType([
     T.StructField("address", T.StringType()),
-    T.StructField("value", T.DoubleType()),
+    T.StructField("value", T.StringType()),
     T.StructField("prev_tx_id", T.StringType()),
-    T.StructField("prev_output_index", T.LongType()),
+    T.StructField("prev_output_index", T.StringType()),
 ])
 RAW_OUTPUT = T.StructType([
     T.StructField("address", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("output_index", T.LongType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("output_index", T.StringType()),
 ])
 RAW_TRANSACTION = T.StructType([
     T.StructField("tx_id", T.StringType()),
@@ -62,19 +63,5 @@ RAW_TRANSACTION = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("ingest_time", T.StringType()),
     T.StructField("attributes", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
-
-# Address update (exploded input or output).
-UPDATE_COLUMNS = [
-    "address", "tx_id", "timestamp", "kind", "pos", "value", "prev_tx_id",
-    "prev_output_index", "output_index", "source", "watermark_ms", "arrival_ms", "seq",
-]
-
-# Table layouts (fixed column names of the four analytic tables).
-TRANSACTIONS_TABLE = [
-    "tx_id", "timestamp_ms", "ingest_time_ms", "source", "input_count", "output_count",
-    "total_input", "total_output", "inputs_json", "outputs_json", "is_late",
-]
-ALERTS_TABLE = ["alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json"]
-BALANCE_TABLE = ["address", "timestamp_ms", "source", "balance", "utxo_count"]
-METRICS_TABLE = ["metric_type", "timestamp_ms", "source", "tx_id", "address", "payload_json"]

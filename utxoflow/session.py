@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="utxoflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -63,6 +66,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: lineage
+    is cut, and readers still prune columns (unlike a checkpoint)."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/utxoflow-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pickle_by_value(module_name: str) -> None:
     """Serialize a module's functions and classes by value in Spark's
     cloudpickle, so Python workers (pandas steps, the stateful processor and

@@ -77,13 +77,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
         .jdbc(url, table, properties=properties or {}))
 
 
-def table_writer(path: str, sort_cols: tuple[str, ...] = (), granularity: str = "day"):
-    """``foreachBatch`` callback writing each micro-batch idempotently."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(batch, path, batch_id=batch_id, sort_cols=sort_cols, granularity=granularity)
-    return write
-
-
 # ------------------------------------------------------ Latest balance (K9)
 
 
@@ -94,15 +87,24 @@ def write_latest_changes(balances: DataFrame, path: str, batch_id: int) -> None:
     batch, never to the number of addresses ever seen."""
     rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
     (balances.groupBy("address")
-             .agg(F.max_by(rec, F.struct("arrival_ms", "seq", "pos")).alias("r"))
+             .agg(F.max_by(rec, F.struct("arrival_ms", "seq", "tx_id", "pos")).alias("r"))
              .select("address", "r.*", F.lit(int(batch_id)).cast("long").alias("batch_id"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(path))
 
 
+def compact_latest(spark, path: str, target: str) -> None:
+    """Rewrite the change log below ``target`` with one row per address (the
+    latest change, under its own ``batch_id``, so later batches still win)."""
+    rec = F.struct("balance", "utxo_count", "timestamp_ms", "source", "batch_id")
+    (spark.read.parquet(path).groupBy("address").agg(F.max_by(rec, "batch_id").alias("r"))
+          .select("address", "r.balance", "r.utxo_count", "r.timestamp_ms", "r.source", "r.batch_id")
+          .hint("rebalance", "batch_id").write.mode("errorifexists").partitionBy("batch_id").parquet(target))
+
+
 def read_latest(spark, path: str) -> DataFrame:
     """K9 read side: latest change per address across batches (map-side
-    combinable ``max_by``; a periodic compaction can rewrite the log)."""
+    combinable ``max_by``)."""
     rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
     return (spark.read.parquet(path).groupBy("address")
                  .agg(F.max_by(rec, "batch_id").alias("r")).select("address", "r.*"))
@@ -131,8 +133,28 @@ def archive_blocks(raw: DataFrame, value_col: str = "value", order_col: str = "o
 
 
 def write_archive(archive: DataFrame, path: str) -> None:
-    """Write the archive as JSON text objects partitioned by a height bucket."""
-    (archive.withColumn("height_bucket", (F.col("height").cast("long") / 1000).cast("long"))
-            .select("height_bucket", "object_key", "raw")
+    """Write the archive as JSON text objects, one folder per height below a
+    bucket of 1,000 heights.  A later write replaces the heights it has
+    (last write wins, as for an object store key) and leaves all others."""
+    bucket = F.coalesce(F.floor(F.col("height").try_cast("decimal(38,0)") / 1000).cast("string"), F.lit("other"))
+    (archive.withColumn("height_bucket", bucket)
+            .withColumn("at_height", F.col("height"))
+            .select("height_bucket", "at_height", "height", "object_key", "offset", "raw")
+            .hint("rebalance", "height_bucket", "at_height")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("height_bucket").json(path))
+            .partitionBy("height_bucket", "at_height").json(path))
+
+
+def read_archive(spark, path: str) -> DataFrame:
+    """height, object_key, offset and raw of every archived block."""
+    return spark.read.schema("height string, object_key string, offset bigint, raw string, height_bucket string, at_height string") \
+        .json(path).select("height", "object_key", "offset", "raw")
+
+
+def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Records that no table took, with their reason; per micro-batch a folder
+    of its own, as in ``write_table``."""
+    if batch_id is None:
+        rejected.write.mode("append").parquet(path)
+    else:
+        rejected.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utxoflow.functions import money
 from utxoflow.operators.transactions import normalize
 from utxoflow.schema import RAW_TRANSACTION, TRANSACTION
 
@@ -29,61 +30,88 @@ def read_kafka_text(spark: SparkSession, servers: str, topic: str, streaming: bo
     )
 
 
+#: An offset's bits in ``seq``; the partition stands above them, so records of
+#: one timestamp are ordered by (partition, offset), which is total.
+OFFSET_BITS = 48
+
+
+def _digits(name: str):
+    """Epoch milliseconds from a number or a digit string."""
+    return F.coalesce(F.expr(f"try_cast({name} AS BIGINT)"), F.expr(f"try_cast(try_cast({name} AS DOUBLE) AS BIGINT)"))
+
+
 def parse_transactions(raw: DataFrame, value_col: str = "value",
                        ingest_time=None) -> tuple[DataFrame, DataFrame]:
     """S2 + P2: decode JSON text into the canonical transaction.
 
-    Returns ``(transactions, quarantined)``.  Bad JSON (or a record without a
-    ``tx_id`` or a usable timestamp) goes to the quarantine frame with the raw
-    text instead of failing the job.  String digit timestamps are accepted.
-    ``arrival_ms``/``offset`` columns of ``raw`` become the arrival order."""
+    Returns ``(transactions, quarantined)``; every record is in exactly one.
+    Quarantined with the raw text and a reason, instead of failing the job:
+    ``malformed_json`` (no JSON object, or no ``tx_id``), ``bad_timestamp``,
+    ``missing_field`` (no ``inputs`` or ``outputs``), ``bad_value`` (an amount or
+    output index that is missing, no number or out of range).  String digit
+    timestamps are accepted.  ``arrival_ms``/``offset``/``partition`` columns of
+    ``raw`` become the arrival order; without offsets, equal arrivals are
+    ordered by ``tx_id`` (the last key of the ledger's order)."""
     cols = raw.columns
     j = F.from_json(F.col(value_col), RAW_TRANSACTION, {"mode": "PERMISSIVE"})
-    # Without transport coordinates (plain files) the arrival order is the
-    # ingestion stamp, ties broken by a deterministic hash of the id.
-    arrival = F.col("arrival_ms") if "arrival_ms" in cols else F.expr("try_cast(j.ingest_time AS BIGINT)")
-    seq = F.col("offset") if "offset" in cols else F.xxhash64(F.col("j.tx_id"))
-    keep = [c for c in ("arrival_ms", "offset") if c in cols]
-    parsed = raw.select(F.col(value_col).alias("_raw"), j.alias("j"), *keep).select(
-        "_raw", "j", arrival.alias("arrival_ms"), seq.alias("seq"))
-    ts = F.coalesce(F.expr("try_cast(j.timestamp AS BIGINT)"),
-                    F.expr("try_cast(try_cast(j.timestamp AS DOUBLE) AS BIGINT)"))
-    ok = F.col("j").isNotNull() & F.col("j.tx_id").isNotNull() & ts.isNotNull()
-    good = parsed.filter(ok).select(
-        F.col("j.tx_id").alias("tx_id"), ts.alias("timestamp"), F.col("j.inputs").alias("inputs"),
+    stamped = F.expr("try_cast(j.ingest_time AS BIGINT)")
+    arrival = F.coalesce(stamped, F.col("file_ms")) if "file_ms" in cols else stamped
+    arrival = F.col("arrival_ms") if "arrival_ms" in cols else arrival
+    seq = F.col("offset").cast("long") if "offset" in cols else F.lit(0).cast("long")
+    if "offset" in cols and "partition" in cols:
+        seq = F.shiftleft(F.coalesce(F.col("partition"), F.lit(0)).cast("long"), OFFSET_BITS).bitwiseOR(seq)
+    keep = [c for c in ("arrival_ms", "offset", "partition", "file_ms") if c in cols]
+    parsed = raw.select(F.col(value_col).alias("_raw"), j.alias("j"), *keep)
+    offset = F.col("offset") if "offset" in cols else F.lit(None).cast("long")
+
+    def item(x, index):
+        return money(x["value"]).isNull() | x[index].try_cast("int").isNull()
+
+    def judge(j):
+        bad_item = (F.exists(j["inputs"], lambda x: item(x, "prev_output_index"))
+                    | F.exists(j["outputs"], lambda x: item(x, "output_index")))
+        return (F.when(j.isNull() | j["_corrupt_record"].isNotNull() | j["tx_id"].isNull(), "malformed_json")
+                .when(_digits("j.timestamp").isNull(), "bad_timestamp")
+                .when(j["inputs"].isNull() | j["outputs"].isNull(), "missing_field")
+                .when(F.coalesce(bad_item, F.lit(True)), "bad_value"))
+
+    parsed = parsed.select("_raw", "j", arrival.alias("arrival_ms"), seq.alias("seq"), offset.alias("_offset"),
+                           judge(F.col("j")).alias("reason"))
+    good = parsed.filter(F.col("reason").isNull()).select(
+        F.col("j.tx_id").alias("tx_id"), _digits("j.timestamp").alias("timestamp"), F.col("j.inputs").alias("inputs"),
         F.col("j.outputs").alias("outputs"), F.col("j.source").alias("source"),
         F.expr("try_cast(j.ingest_time AS BIGINT)").alias("_ingest"), "arrival_ms", "seq")
     stamp = F.coalesce(F.col("_ingest"), ingest_time if ingest_time is not None else F.unix_millis(F.current_timestamp()))
     tx = normalize(good, ingest_time=stamp)
-    bad = parsed.filter(~ok).select(
-        F.col("_raw").alias("raw"), "arrival_ms", F.col("seq").alias("offset"),
-        F.when(F.col("j").isNull() | F.col("j.tx_id").isNull(), F.lit("malformed_json"))
-         .otherwise(F.lit("bad_timestamp")).alias("reason"))
+    bad = parsed.filter(F.col("reason").isNotNull()).select(
+        F.col("_raw").alias("raw"), "arrival_ms", F.col("_offset").alias("offset"), "reason")
     return tx, bad
 
 
-def read_transactions(spark: SparkSession, kind: str, **opts) -> DataFrame:
-    """S3: source registry returning the canonical frame.
+def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame, DataFrame | None]:
+    """S3: source registry returning the canonical frame and the records that
+    could not be decoded (None for sources that are canonical already).
 
     kinds: ``parquet`` / ``table`` (already canonical), ``json`` (files of raw
     JSON lines, batch or ``streaming=True``), ``kafka``.  Unknown kinds raise."""
     kind = kind.strip().lower()
     streaming = bool(opts.pop("streaming", False))
-    if kind in ("parquet", "table"):
-        if kind == "table":
-            return spark.table(opts["name"])
-        reader = spark.readStream.schema(TRANSACTION) if streaming else spark.read
-        for k, v in opts.get("options", {}).items():
-            reader = reader.option(k, v)
-        return reader.parquet(opts["path"])
-    if kind == "json":
+    if kind == "table":
+        return spark.table(opts["name"]), None
+    if kind in ("parquet", "json"):
         reader = spark.readStream if streaming else spark.read
         for k, v in opts.get("options", {}).items():
             reader = reader.option(k, v)
-        tx, _bad = parse_transactions(reader.text(opts["path"]))
-        return tx
+        if kind == "parquet":
+            return (reader.schema(TRANSACTION) if streaming else reader).parquet(opts["path"]), None
+        text = reader.text(opts["path"])
+        return parse_transactions(text.select("value", F.unix_millis("_metadata.file_modification_time").alias("file_ms")))
     if kind == "kafka":
-        raw = read_kafka_text(spark, opts["servers"], opts["topic"], streaming)
-        tx, _bad = parse_transactions(raw)
-        return tx
+        return parse_transactions(read_kafka_text(spark, opts["servers"], opts["topic"], streaming))
     raise ValueError(f"Unsupported source kind={kind}")
+
+
+def read_transactions(spark: SparkSession, kind: str, **opts) -> DataFrame:
+    """The canonical frame of ``read_with_quarantine`` alone (callers that write
+    tables use both, so that nothing is lost)."""
+    return read_with_quarantine(spark, kind, **opts)[0]

@@ -5,22 +5,24 @@ State layout (point reads/writes instead of rewriting whole lists):
 
 * ``totals``  ValueState  (balance, utxo_count, pending_count)
 * ``utxos``   MapState    (tx_id, output_index) -> (value, timestamp)
-
-Money crosses into Python as exact integer units of 1e-8 (``decimal(18,8)``
-scaled by 10^8 in Spark), so the per-update arithmetic is plain int64 and
-Spark turns the units back into decimals afterwards.
 * ``pending`` MapState    (tx_id, output_index) -> seen flag
 * ``recent``  ListState   activity buffer in arrival order (timestamp, small)
 
+Money crosses into Python as exact integer units of 1e-8 (``decimal(18,8)``
+scaled by 10^8 in Spark).  Balances are Python integers, kept and returned as
+digit strings, so no sum of amounts overflows; Spark turns them back into
+decimals afterwards.
+
 State traffic per key and micro-batch: when the batch brings many rows for a
 key compared with the size of its maps, each map is read once in bulk;
 otherwise entries are read point-wise.  Writes are coalesced and flushed once.
 
 Within a micro-batch the rows of a key are gathered, sorted by the arrival
-order ``(arrival_ms, seq, pos)`` and applied one by one, exactly as the
-sequential rules of the reference.  The watermark is Spark's (per
-micro-batch); late rows are flagged and still applied, never dropped
-(``ProcessingTime`` mode does not filter late rows).
+order ``(arrival_ms, seq, tx_id, pos)`` and applied one by one, as the
+sequential rules say; the activity counts of all of them are taken at once.
+No time mode is used: no row is filtered by a watermark (late ones are flagged
+by the writer of the micro-batch), and the query ends by itself under
+``availableNow``.
 """
 
 from __future__ import annotations
@@ -28,10 +30,12 @@ from __future__ import annotations
 import json
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from utxoflow.operators.activity import window_counts
 from utxoflow.options import DEFAULT, LedgerOptions
 
 OUTPUT_SCHEMA = T.StructType([
@@ -40,7 +44,7 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("tx_id", T.StringType()),
     T.StructField("timestamp_ms", T.LongType()),
     T.StructField("source", T.StringType()),
-    T.StructField("balance_units", T.LongType()),
+    T.StructField("balance_units", T.StringType()),
     T.StructField("utxo_count", T.LongType()),
     T.StructField("update_kind", T.StringType()),
     T.StructField("alert_id", T.StringType()),
@@ -53,7 +57,6 @@ OUTPUT_SCHEMA = T.StructType([
 ])
 
 _COLS = [f.name for f in OUTPUT_SCHEMA.fields]
-_STRING_COLS = [f.name for f in OUTPUT_SCHEMA.fields if isinstance(f.dataType, T.StringType)]
 
 
 def _dumps(d: dict) -> str:
@@ -102,32 +105,30 @@ class LedgerProcessor(StatefulProcessor):
         self.opts = opts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "balance_units long, utxo_count long, pending_count long")
+        self.totals = handle.getValueState("totals", "balance_units string, utxo_count long, pending_count long")
         self.utxos = handle.getMapState("utxos", "tx_id string, output_index int",
                                         "value_units long, timestamp long")
         self.pending = handle.getMapState("pending", "tx_id string, output_index int", "seen boolean")
         self.recent = handle.getListState("recent", "timestamp long, small boolean, arrival_ms long, seq long, pos int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        o = self.opts
         address = key[0]
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["arrival_ms", "seq", "pos"], kind="mergesort")
-        watermark = int(timerValues.getCurrentWatermarkInMs())
+        if len(batch) > 1:
+            batch = batch.sort_values(["arrival_ms", "seq", "tx_id", "pos"], kind="mergesort", ignore_index=True)
 
         totals = self.totals.get()  # None when the key is new (no exists() round trip)
         balance, count, n_pending = (int(x) for x in totals) if totals is not None else (0, 0, 0)
+        # A whole map is read only when it is at most twice the batch's rows.
         utxos = _MapView(self.utxos, bulk=len(batch) * 2 >= count and count > 0)
         pending = _MapView(self.pending, bulk=len(batch) * 2 >= n_pending and n_pending > 0)
-        history = [tuple(h) for h in self.recent.get()] if totals is not None else []
-        window = o.activity_window_ms
-        out = []
-
-        for r in batch.itertuples(index=False):
-            ts = int(r.timestamp)
-            value = int(r.units)
-            if r.kind == "input":
-                ref = (r.prev_tx_id, int(r.prev_output_index))
+
+        balances, counts = [], []
+        columns = (batch[c].tolist() for c in ("kind", "tx_id", "prev_tx_id", "prev_output_index", "output_index",
+                                               "units", "timestamp"))
+        for kind, tx_id, prev_tx, prev_index, index, value, ts in zip(*columns):
+            if kind == "input":
+                ref = (prev_tx, int(prev_index))
                 item = utxos.get(ref)
                 if item is not None:
                     utxos.remove(ref)
@@ -137,59 +138,65 @@ class LedgerProcessor(StatefulProcessor):
                     pending.put(ref, (True,))
                     n_pending += 1
             else:
-                ref = (r.tx_id, int(r.output_index))
+                ref = (tx_id, int(index))
                 if pending.get(ref) is not None:
                     pending.remove(ref)
                     n_pending -= 1
                 else:
                     if utxos.get(ref) is None:
                         count += 1
-                    utxos.put(ref, (value, ts))
-                    balance += value
-
-            small = bool(r.small)
-            order = (int(r.arrival_ms), int(r.seq), int(r.pos))
-            history.append((ts, small, *order))
-            while history and ts - history[0][0] > window:
-                history.pop(0)
-            velocity = sum(1 for h in history if ts - h[0] <= o.velocity_window_ms)
-            structuring = sum(1 for h in history if h[1] and ts - h[0] <= o.structuring_window_ms)
-
-            # Every output row carries the balance state after the update (no
-            # nulls in numeric columns: nullable ints do not round-trip Arrow).
-            base = {"address": address, "tx_id": r.tx_id, "timestamp_ms": ts, "source": r.source,
-                    "arrival_ms": order[0], "seq": order[1], "pos": order[2],
-                    "balance_units": balance, "utxo_count": count, "update_kind": r.kind}
-            out.append({**base, "kind": "balance"})
-            if velocity >= o.velocity_count:
-                out.append({**base, "kind": "alert", "alert_id": f"{r.tx_id}:{address}:velocity",
-                            "alert_type": "velocity_spike", "severity": "medium",
-                            "details_json": _dumps({"events_in_window": velocity,
-                                                    "window_ms": o.velocity_window_ms})})
-            if structuring >= o.structuring_count:
-                out.append({**base, "kind": "alert", "alert_id": f"{r.tx_id}:{address}:structuring",
-                            "alert_type": "structuring", "severity": "high",
-                            "details_json": _dumps({"events_in_window": structuring,
-                                                    "window_ms": o.structuring_window_ms,
-                                                    "ceiling": float(o.structuring_ceiling)})})
-            if ts < watermark:
-                out.append({**base, "kind": "alert", "alert_id": f"{r.tx_id}:{address}:late",
-                            "alert_type": "late_event", "severity": "low",
-                            "details_json": _dumps({"watermark": watermark, "lateness_ms": watermark - ts})})
+                    utxos.put(ref, (int(value), int(ts)))
+                    balance += int(value)
+            balances.append(str(balance))
+            counts.append(count)
 
+        velocity, structuring = self._activity(batch, totals is not None)
         utxos.flush()
         pending.flush()
-        self.totals.update((balance, count, n_pending))
-        if history:
-            self.recent.put(history)  # put replaces the list
-        elif totals is not None:
-            self.recent.clear()
-        frame = pd.DataFrame(out, columns=_COLS)
-        # A batch without alerts leaves the alert columns all-missing, which
-        # pandas types as float64; keep string columns as objects with None.
-        for c in _STRING_COLS:
-            frame[c] = frame[c].astype(object).where(frame[c].notna(), None)
-        yield frame
+        self.totals.update((str(balance), count, n_pending))
+        yield self._output(address, batch, balances, counts, velocity, structuring)
+
+    def _activity(self, batch: pd.DataFrame, stored: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the batch's rows over the stored buffer and the batch side
+        by side, and the buffer of the last row stored."""
+        o = self.opts
+        w = o.activity_window_ms
+        history = [tuple(h) for h in self.recent.get()] if stored else []
+        old = len(history)
+        ts = np.concatenate([np.array([h[0] for h in history], np.int64), batch["timestamp"].to_numpy(np.int64)])
+        small = np.concatenate([np.array([h[1] for h in history], bool), batch["small"].to_numpy(bool)])
+        peak = np.maximum.accumulate(ts)
+        velocity, structuring = window_counts(np.zeros(len(ts), np.int64), ts, peak, small, w,
+                                              o.velocity_window_ms, o.structuring_window_ms)
+        keep = int(np.searchsorted(peak, peak[-1] - w, side="left"))  # the buffer is a suffix
+        fresh = batch.iloc[max(0, keep - old):]
+        kept = history[keep:] + list(zip(ts[max(keep, old):].tolist(), small[max(keep, old):].tolist(),
+                                         fresh["arrival_ms"].tolist(), fresh["seq"].tolist(), fresh["pos"].tolist()))
+        self.recent.put(kept)  # replaces the list; never empty, the last row is in it
+        return velocity[old:], structuring[old:]
+
+    def _output(self, address, batch, balances, counts, velocity, structuring) -> pd.DataFrame:
+        """A balance row per update, then the alerts, all with the state after
+        the update (no nulls in numeric columns: nullable ints do not
+        round-trip Arrow)."""
+        o = self.opts
+        n = len(batch)
+        base = pd.DataFrame({
+            "kind": "balance", "address": address, "tx_id": batch["tx_id"], "timestamp_ms": batch["timestamp"],
+            "source": batch["source"], "balance_units": balances, "utxo_count": counts, "update_kind": batch["kind"],
+            "arrival_ms": batch["arrival_ms"], "seq": batch["seq"], "pos": batch["pos"]})
+        parts = [base.assign(**{c: np.full(n, None, object) for c in ("alert_id", "alert_type", "severity", "details_json")})]
+        for name, kind, severity, found, least, extra in (
+                ("velocity", "velocity_spike", "medium", velocity, o.velocity_count, {"window_ms": o.velocity_window_ms}),
+                ("structuring", "structuring", "high", structuring, o.structuring_count,
+                 {"window_ms": o.structuring_window_ms, "ceiling": float(o.structuring_ceiling)})):
+            at = np.flatnonzero(found >= least)
+            if len(at):
+                hit = base.iloc[at]
+                parts.append(hit.assign(
+                    kind="alert", alert_id=hit["tx_id"] + f":{address}:{name}", alert_type=kind, severity=severity,
+                    details_json=[_dumps({"events_in_window": int(x), **extra}) for x in found[at]]))
+        return (pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0])[_COLS]
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Start from a batch-computed ledger (``ledger_state``).  May be
@@ -198,7 +205,7 @@ class LedgerProcessor(StatefulProcessor):
         for part, g in initialState.groupby("part"):
             if part == "totals":
                 r = g.iloc[-1]
-                self.totals.update((int(r["balance_units"]), int(r["utxo_count"]), int(r["pending_count"])))
+                self.totals.update((str(int(r["balance_units"])), int(r["utxo_count"]), int(r["pending_count"])))
             elif part == "utxo":
                 for r in g.itertuples(index=False):
                     self.utxos.updateValue((r.tx_id, int(r.output_index)), (int(r.value_units), int(r.timestamp)))
@@ -221,3 +228,4 @@ class LedgerProcessor(StatefulProcessor):
 from utxoflow.session import pickle_by_value  # noqa: E402
 
 pickle_by_value(__name__)
+pickle_by_value("utxoflow.operators.activity")

@@ -4,7 +4,8 @@
   tables and the fan-out / whale alerts, written idempotently (K8).
 * **Q-addr** (stateful): explode -> ``groupBy(address)`` ->
   ``transformWithStateInPandas(LedgerProcessor)`` -> ``foreachBatch`` that
-  splits balance records and alerts (P10) into their tables.
+  splits balance records and alerts (P10) into their tables and raises the
+  late alerts of the micro-batch.
 * **Q-volume**: transactions per minute kept as a streaming aggregation
   (one state row per minute; update mode; late rows are still counted).
 
@@ -14,7 +15,6 @@ or files).  Checkpoints live in the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
-import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from utxoflow.functions import ms_to_minute
+from utxoflow.operators.activity import late_alerts
 from utxoflow.operators.alerts import tx_alerts
 from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_watermark
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import TRANSACTION
-from utxoflow.sinks import write_latest_changes, write_table
+from utxoflow.sinks import (alerts_topic, archive_blocks, encode_kafka, write_archive, write_latest_changes,
+                            write_quarantine, write_table)
 from utxoflow.streaming.processor import OUTPUT_SCHEMA, LedgerProcessor
 
 UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "prev_tx_id",
@@ -53,13 +55,15 @@ def read_transaction_files(spark: SparkSession, path: str, max_files: int = 1) -
 
 
 def with_event_watermark(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    """``event_time`` from the epoch-ms timestamp + Spark's watermark;
-    with ``dedupe_stream``, re-delivered ``tx_id``s are dropped within the
-    watermark (bounded dedupe state, unlike a plain ``dropDuplicates``)."""
-    out = with_watermark(tx.withColumn("event_time", F.timestamp_millis("timestamp")), opts.late_tolerance_ms)
-    if opts.dedupe_stream:
-        out = out.dropDuplicatesWithinWatermark(["tx_id"])
-    return out
+    """``event_time`` from the epoch-ms timestamp + Spark's watermark."""
+    return with_watermark(tx.withColumn("event_time", F.timestamp_millis("timestamp")), opts.late_tolerance_ms)
+
+
+def first_deliveries(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
+    """With ``dedupe_stream``, the first delivery of every ``tx_id``.  No
+    watermark is set before it, so late transactions are kept (W3); its state
+    holds one key per id, in RocksDB."""
+    return tx.dropDuplicates(["tx_id"]) if opts.dedupe_stream else tx
 
 
 def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
@@ -71,7 +75,7 @@ def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFra
     return (upd.groupBy("address")
                .transformWithStateInPandas(statefulProcessor=LedgerProcessor(opts),
                                            outputStructType=OUTPUT_SCHEMA,
-                                           outputMode="Append", timeMode="ProcessingTime",
+                                           outputMode="Append", timeMode="None",
                                            initialState=init))
 
 
@@ -86,29 +90,84 @@ def split_output(out: DataFrame) -> tuple[DataFrame, DataFrame]:
     return balances, alerts
 
 
-def _addr_writer(out_path: str, gran: str = "day"):
+def _entries(spark: SparkSession, path: str):
+    """(file system, Hadoop path, batch ids of the ``batch_id=N`` folders)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    return fs, root, sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
+def batch_watermark(batch: DataFrame, batch_id: int, path: str, opts: LedgerOptions, column: str) -> int | None:
+    """The watermark a micro-batch meets: max event time of all batches before
+    it minus the tolerance (W2 at the granularity of a stream).  The running
+    max is kept per batch below ``path``; a replayed batch finds the same one.
+    The last few entries stay, older ones are removed."""
+    spark = batch.sparkSession
+    fs, root, ids = _entries(spark, path)
+    earlier = [i for i in ids if i < batch_id]
+    before = spark.read.parquet(f"{path}/batch_id={earlier[-1]}").first()[0] if earlier else None
+    own = batch.agg(F.max(column).alias("max_ts")).first()[0]
+    now = max((x for x in (before, own) if x is not None), default=None)
+    if now is not None:
+        spark.createDataFrame([(now,)], "max_ts bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    for old in earlier[:-8]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"batch_id={old}"), True)
+    return None if before is None else before - int(opts.late_tolerance_ms)
+
+
+def _publish(topics, name: str, frame: DataFrame, batch_id: int) -> None:
+    if topics is not None:
+        topics(name, frame, batch_id)
+
+
+def _addr_writer(out_path: str, opts: LedgerOptions, topics=None):
+    gran = opts.table_partition
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            if batch.isEmpty():  # nothing arrived: leave no folders
+                return
             balances, alerts = split_output(batch)
+            mark = batch_watermark(balances, batch_id, f"{out_path}/watermark_addr", opts, "timestamp_ms")
+            late = late_alerts(balances.withColumnRenamed("timestamp_ms", "timestamp")
+                               .withColumn("watermark_ms", F.lit(mark).cast("long")))
+            alerts = alerts.unionByName(late)
             write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id, granularity=gran)
             write_table(alerts, f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
             write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
             write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id)
+            _publish(topics, "metrics", encode_kafka(balance_topic(balances), "address"), batch_id)
+            _publish(topics, "alerts", alerts_topic(alerts), batch_id)
         finally:
             batch.unpersist()
     return write
 
 
-def _tx_writer(out_path: str, opts: LedgerOptions):
+def balance_topic(balances: DataFrame) -> DataFrame:
+    """Balance records as the metrics topic carries them."""
+    return balances.select(F.lit("balance_update").alias("metric_type"), "address", "tx_id", "kind", "balance", "utxo_count",
+                           F.col("timestamp_ms").alias("timestamp"), "source")
+
+
+def _tx_writer(out_path: str, opts: LedgerOptions, topics=None):
     gran = opts.table_partition
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_table(tx_rows(batch), f"{out_path}/transactions", batch_id=batch_id, granularity=gran)
-            write_table(metric_rows(tx_metrics(batch)), f"{out_path}/metrics", batch_id=batch_id, granularity=gran)
-            write_table(tx_alerts(batch, opts), f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran)
+            if batch.isEmpty():
+                return
+            mark = batch_watermark(batch, batch_id, f"{out_path}/watermark_tx", opts, "timestamp")
+            stamped = batch.withColumn("watermark_ms", F.lit(mark).cast("long"))
+            metrics, alerts = tx_metrics(stamped), tx_alerts(stamped, opts)
+            write_table(tx_rows(stamped), f"{out_path}/transactions", batch_id=batch_id, granularity=gran)
+            write_table(metric_rows(metrics), f"{out_path}/metrics", batch_id=batch_id, granularity=gran)
+            write_table(alerts, f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran)
+            _publish(topics, "metrics", encode_kafka(metrics, "tx_id"), batch_id)
+            _publish(topics, "alerts", alerts_topic(alerts), batch_id)
         finally:
             batch.unpersist()
     return write
@@ -165,31 +224,63 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
                      opts: LedgerOptions = DEFAULT, trigger: dict | None = None,
-                     initial: DataFrame | None = None) -> StreamingQuery:
+                     initial: DataFrame | None = None, topics=None) -> StreamingQuery:
+    """``topics(name, frame, batch_id)`` gets the key/value records of the
+    ``metrics`` and ``alerts`` topics of every micro-batch (K2, K3)."""
     use_rocksdb(tx.sparkSession)
-    w = ledger_stream(with_event_watermark(tx, opts), opts, initial).writeStream.foreachBatch(_addr_writer(out_path, opts.table_partition))
-    if trigger:
-        w = w.trigger(**trigger)
+    stream = ledger_stream(first_deliveries(tx, opts), opts, initial)
+    w = stream.writeStream.foreachBatch(_addr_writer(out_path, opts, topics)).trigger(**(trigger or default_trigger(opts)))
     with _partitions(tx.sparkSession, opts.stream_partitions):
         return w.option("checkpointLocation", f"{checkpoint}/q_addr").start()
 
 
 def start_tx_query(tx: DataFrame, out_path: str, checkpoint: str,
-                   opts: LedgerOptions = DEFAULT, trigger: dict | None = None) -> StreamingQuery:
-    w = with_event_watermark(tx, opts).writeStream.foreachBatch(_tx_writer(out_path, opts))
-    if trigger:
-        w = w.trigger(**trigger)
+                   opts: LedgerOptions = DEFAULT, trigger: dict | None = None, topics=None) -> StreamingQuery:
+    if opts.dedupe_stream:
+        use_rocksdb(tx.sparkSession)
+    stream = with_event_watermark(first_deliveries(tx, opts), opts)
+    w = stream.writeStream.foreachBatch(_tx_writer(out_path, opts, topics)).trigger(**(trigger or default_trigger(opts)))
     with _partitions(tx.sparkSession, opts.stream_partitions):
         return w.option("checkpointLocation", f"{checkpoint}/q_tx").start()
 
 
+def start_quarantine_query(rejected: DataFrame, out_path: str, checkpoint: str, opts: LedgerOptions = DEFAULT,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """Records of the source that could not be decoded, with their reason."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_quarantine(batch, f"{out_path}/quarantine", batch_id)
+
+    w = rejected.writeStream.foreachBatch(write).trigger(**(trigger or default_trigger(opts)))
+    return w.option("checkpointLocation", f"{checkpoint}/q_quarantine").start()
+
+
+def start_archive_query(raw: DataFrame, out_path: str, checkpoint: str, opts: LedgerOptions = DEFAULT,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """K10 in streaming form: every micro-batch replaces the heights it has."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                archive, rejected = archive_blocks(batch)
+                write_archive(archive, f"{out_path}/archive")
+                write_quarantine(rejected, f"{out_path}/archive_rejected", batch_id)
+        finally:
+            batch.unpersist()
+
+    w = raw.writeStream.foreachBatch(write).trigger(**(trigger or default_trigger(opts)))
+    return w.option("checkpointLocation", f"{checkpoint}/q_archive").start()
+
+
+def default_trigger(opts: LedgerOptions) -> dict:
+    return {"processingTime": f"{int(opts.trigger_ms)} milliseconds"}
+
+
 def start_volume_query(tx: DataFrame, out_path: str, checkpoint: str,
                        trigger: dict | None = None, partitions: int = 0) -> StreamingQuery:
     counts = (tx.groupBy(ms_to_minute("timestamp").alias("minute"))
                 .agg(F.count(F.lit(1)).alias("txs")))
-    w = counts.writeStream.outputMode("update").foreachBatch(_volume_writer(out_path))
-    if trigger:
-        w = w.trigger(**trigger)
+    w = counts.writeStream.outputMode("update").foreachBatch(_volume_writer(out_path)).trigger(**(trigger or default_trigger(DEFAULT)))
     with _partitions(tx.sparkSession, partitions):
         return w.option("checkpointLocation", f"{checkpoint}/q_volume").start()
 
@@ -217,30 +308,16 @@ def read_state_pending(spark: SparkSession, checkpoint: str) -> DataFrame:
                      F.col("user_map_key.output_index").alias("prev_output_index"))
 
 
-def drain(query: StreamingQuery, timeout_s: float = 600.0, poll_s: float = 0.5) -> None:
-    """Process everything available, then stop (bounded wait).
+def drain(query: StreamingQuery) -> None:
+    """Wait until everything the source has is committed, then stop.
 
-    ``ProcessingTime`` stateful queries keep running no-data batches, so
-    ``processAllAvailable`` would not return: poll the progress instead and
-    stop once a batch read no rows and the source reports no more data."""
-    deadline = time.time() + timeout_s
+    The ledger's queries run no batches without data, so the end is reached
+    between batches and no commit is interrupted; with ``availableNow`` the query
+    has ended by itself then.  An error of the query is raised, never read as its
+    end."""
     try:
-        while True:
-            err = query.exception()
-            if err is not None:
-                raise err
-            progress = query.recentProgress
-            status = query.status
-            if progress and progress[-1]["numInputRows"] == 0 and not status["isDataAvailable"]:
-                # Stop between triggers so no state commit is interrupted.
-                settle = time.time() + 1.5
-                while query.status["isTriggerActive"] and time.time() < settle:
-                    time.sleep(0.05)
-                return
-            if not query.isActive:
-                return
-            if time.time() > deadline:
-                raise TimeoutError(f"stream {query.name} did not drain in {timeout_s}s")
-            time.sleep(poll_s)
+        query.processAllAvailable()
+        if query.exception() is not None:
+            raise query.exception()
     finally:
         query.stop()
