@@ -15,6 +15,7 @@ or files).  Checkpoints live in the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -308,16 +309,28 @@ def read_state_pending(spark: SparkSession, checkpoint: str) -> DataFrame:
                      F.col("user_map_key.output_index").alias("prev_output_index"))
 
 
-def drain(query: StreamingQuery) -> None:
+def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
     """Wait until everything the source has is committed, then stop.
 
     The ledger's queries run no batches without data, so the end is reached
     between batches and no commit is interrupted; with ``availableNow`` the query
     has ended by itself then.  An error of the query is raised, never read as its
     end."""
+    failed: list[BaseException] = []
+
+    def wait() -> None:
+        try:
+            query.processAllAvailable()
+        except BaseException as e:  # noqa: BLE001 - raised below, in the caller's thread
+            failed.append(e)
+
+    waiter = threading.Thread(target=wait, daemon=True)
     try:
-        query.processAllAvailable()
-        if query.exception() is not None:
-            raise query.exception()
+        waiter.start()
+        waiter.join(timeout_s)
+        if waiter.is_alive():
+            raise TimeoutError(f"stream {query.name} did not drain in {timeout_s}s")
+        if failed or query.exception() is not None:
+            raise failed[0] if failed else query.exception()
     finally:
         query.stop()
