@@ -10,8 +10,10 @@ from oracle_check import run
 def test_batch_queries_match_duckdb_oracle(spark):
     import __spark_entry__ as entry
 
-    names = [n for n in entry.queries() if not n.startswith("stream_")]
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # queries of the optional subpackage have tests of their own (tests/llm)
+    ledger = [n for n in entry.queries() if not n.startswith("op") and n != "pipeline"]
+    assert set(ledger) <= set(entry.oracle_sql())
+    names = [n for n in ledger if not n.startswith("stream_")]
     res = run(SF001, names, spark=spark)
     bad = {k: v for k, v in res.items() if not v.get("ok")}
     assert not bad, bad
