@@ -9,8 +9,8 @@ smoothing, a document's score is the mean over its n-grams of
 ``log p_target(bucket) - log p_raw(bucket)``; it is kept when the base rules
 pass and the score is at least ``threshold``.  No sampling, no randomness:
 equal inputs give equal verdicts.  The two count vectors have a fixed number of
-buckets, so they (and only they) pass through the driver and return as one
-constant array; documents are scored in the scan, without a shuffle.
+buckets; their ratios form one array that a scalar subquery hands to the scan,
+where documents are scored without a shuffle.
 
 Defined results: null or empty text, or white space only, has no words: all
 counts 0, score null, ``base_failed`` true, ``kept`` false.  With no trusted
@@ -21,17 +21,17 @@ gives no rows; columns other than the id and the text pass through
 
 from __future__ import annotations
 
-import json
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from utxoflow.llm.common import SPACE, let
+from utxoflow.llm.common import SPACE, let, staged
 
-BITS = 18
-#: Between junk (mean log ratio below -0.25 on the labelled rows) and clean text (above -0.05).
-THRESHOLD = -0.15
+BITS = 16
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")
+#: Low bits of a window's hash that hold its place.
+PLACE_BITS = 20
+#: Between junk (mean log ratio below -0.11 on the labelled rows) and clean text (above -0.04).
+THRESHOLD = -0.075
 
 
 def words_of(text: Column) -> Column:
@@ -47,18 +47,44 @@ def base_counts(text: Column, words: Column, hashes: Column, n: Column) -> dict[
     """The counting columns of one document; ``words``, ``hashes`` and ``n`` are bound."""
     full = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    grams = F.when(n < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-        lambda i: F.struct(F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i"))))
 
-    def same(x: Column, y: Column) -> Column:  # equal hashes, then equal words
-        return (x["h"] == y["h"]) & F.forall(F.array(F.lit(0), F.lit(1), F.lit(2)),
-                                             lambda k: F.get(words, x["i"] + k) == F.get(words, y["i"] + k))
+    def window(h: Column, i: Column) -> Column:
+        return F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2))
+
+    def equal(i: Column, j: Column) -> Column:  # do the windows at places i and j hold the same words?
+        return F.forall(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.get(words, i + k) == F.get(words, j + k))
+
+    def ordered(grams: Column) -> Column:
+        return F.sort_array(F.slice(grams, F.lit(1), F.greatest(n - 2, F.lit(0))))
+
+    # Equal windows are neighbours once sorted by hash.  Places stand in the low bits of the hash, so plain numbers
+    # are sorted; should unequal windows share the rest of a hash (or a text be too long), whole hashes decide.
+    low = F.lit((1 << PLACE_BITS) - 1).cast("bigint")
+    packed = ordered(F.transform(hashes, lambda h, i: window(h, i).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("bigint"))))
+    whole = ordered(F.transform(hashes, lambda h, i: F.struct(window(h, i).alias("h"), i.alias("i"))))
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(low).cast("int")
+
+    def alike(x: Column, y: Column) -> Column:
+        return F.shiftright(x.bitwiseXOR(y), PLACE_BITS) == 0
 
-    def starts(s: Column) -> Column:  # first positions of windows whose words occur again, in order
+    def same(x: Column, y: Column) -> Column:
+        return (x["h"] == y["h"]) & equal(x["i"], y["i"])
+
+    def by_whole(s: Column) -> Column:
         again = F.filter(s, lambda x, k: same(x, F.get(s, k + 1)) | same(x, F.get(s, k - 1)))
         return F.sort_array(F.transform(again, lambda x: x["i"]))
 
+    def by_packed(s: Column) -> Column:
+        again = F.filter(s, lambda x, k: alike(x, F.get(s, k + 1)) | alike(x, F.get(s, k - 1)))
+        return let(again, lambda a: F.when(
+            F.size(F.filter(a, lambda x, k: alike(x, F.get(a, k + 1)) & ~equal(place(x), place(F.get(a, k + 1))))) == 0,
+            F.sort_array(F.transform(a, place))).otherwise(let(whole, by_whole)))
+
+    # first places of windows whose words occur again, in order
+    starts = F.when(n < (1 << PLACE_BITS), let(packed, by_packed)).otherwise(let(whole, by_whole))
+
     def covered(p: Column) -> Column:  # words covered by the windows that start at p
         width = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
         return F.aggregate(width, F.lit(0), lambda a, x: a + x)
@@ -67,7 +93,7 @@ def base_counts(text: Column, words: Column, hashes: Column, n: Column) -> dict[
         "word_chars": F.length(F.array_join(words, "")).cast("bigint"),
         "n_symbols": F.length(F.regexp_replace(full, r"[^#*$%&|<>]+", "")).cast("bigint"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "n_repeat_words": let(F.sort_array(grams), lambda s: let(starts(s), covered)).cast("bigint"),
+        "n_repeat_words": let(starts, covered).cast("bigint"),
     }
 
 
@@ -90,39 +116,46 @@ def buckets_of(hashes: Column, n: Column, bits: int) -> Column:
     return F.concat(ones, F.slice(twos, F.lit(1), F.greatest(n - 1, F.lit(0))))
 
 
-def fit_ratios(docs: DataFrame, text_col: str = "text", bits: int = BITS) -> list[float]:
-    """log p_target - log p_raw by bucket, counted over all documents."""
+def fit_ratios(docs: DataFrame, text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """One row, ``ratios``: log p_target - log p_raw by bucket, counted over all
+    documents and written to the shared folder."""
     words = words_of(F.col(text_col))
     grams = docs.select(let(words, lambda w: let(hashes_of(w), lambda h: F.struct(
         trusted(F.col(text_col), F.size(w)).cast("int").alias("t"), buckets_of(h, F.size(w), bits).alias("b")))).alias("d"))
     counts = (grams.select(F.col("d.t").alias("t"), F.explode("d.b").alias("b")).groupBy("b")
-              .agg(F.sum("t").alias("target"), F.count("*").alias("raw")).collect())  # at most 2 ** bits rows
-    target, raw = [1] * (1 << bits), [1] * (1 << bits)
-    for b, t, r in counts:
-        target[b] += t
-        raw[b] += r
-    shift = math.log(sum(raw)) - math.log(sum(target))
-    return [math.log(t) - math.log(r) + shift for t, r in zip(target, raw)]
-
-
-def quality_columns(docs: DataFrame, ratios: list[float], text_col: str = "text", *, bits: int = BITS,
+              .agg(F.sum("t").alias("target"), F.count("*").alias("raw")))
+    # from here on at most 2 ** bits rows: every bucket, with one added to its counts
+    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("b"))
+    smooth = staged(every.join(counts, "b", "left").select(
+        "b", *(F.coalesce(c, F.lit(0)).alias(c) + 1 for c in ("target", "raw"))).toDF("b", "target", "raw"), "ngrams")
+    t, r = F.sum("target").over(Window.partitionBy(F.lit(0))), F.sum("raw").over(Window.partitionBy(F.lit(0)))
+    rows = smooth.select("b", (F.log("target") - F.log("raw") + F.log(r / t)).alias("ratio"))
+    found = F.array_sort(F.collect_list(F.struct("b", "ratio")))
+    return staged(rows.agg(F.transform(found, lambda x: x["ratio"]).alias("ratios")), "ratios")
+
+
+def quality_columns(docs: DataFrame, ratios: DataFrame, text_col: str = "text", *, bits: int = BITS,
                     threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, llr, base_failed and kept (names after ``prefix``)."""
     text = F.col(text_col)
-    table = F.from_json(F.lit(json.dumps([round(x, 9) for x in ratios])), "array<double>")  # folded into one constant
 
-    def judged(w: Column, h: Column, n: Column) -> Column:
+    def judged(w: Column, h: Column, n: Column, table: Column) -> Column:
         total = F.aggregate(buckets_of(h, n, bits), F.lit(0.0), lambda a, b: a + F.get(table, b))
         return F.struct(n.cast("bigint").alias("n_words"), *(c.alias(k) for k, c in base_counts(text, w, h, n).items()),
                         F.when(n > 0, total / (2 * n - 1)).alias("llr"))
 
-    rows = docs.withColumn("__quality", let(words_of(text), lambda w: let(hashes_of(w), lambda h: let(F.size(w), lambda n: judged(w, h, n)))))
-    q = F.col("__quality")
-    failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")
-    return rows.withColumns({**{prefix + k: q[k] for k in names}, prefix + "base_failed": failed,
-                             prefix + "kept": ~failed & F.coalesce(q["llr"] >= threshold, F.lit(False))}).drop("__quality")
+    def verdict(q: Column) -> Column:  # bound once: a filter on ``kept`` does not judge a text again
+        failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
+        return F.struct(*(q[k].alias(k) for k in COUNTS), failed.alias("base_failed"),
+                        (~failed & F.coalesce(q["llr"] >= threshold, F.lit(False))).alias("kept"))
+
+    # the subquery is folded into the one place that uses it, so no row carries the array
+    rows = docs.withColumn("__ratios", ratios.scalar()).withColumn("__quality", let(
+        F.col("__ratios"), lambda table: let(words_of(text), lambda w: let(
+            hashes_of(w), lambda h: let(F.size(w), lambda n: let(judged(w, h, n, table), verdict)))))).drop("__ratios")
+    names = (*COUNTS, "base_failed", "kept")
+    return rows.withColumns({prefix + k: F.col("__quality")[k] for k in names}).drop("__quality")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, bits: int = BITS,
