@@ -63,6 +63,16 @@ def test_rules_keep_good_and_reject_bad(spark):
     assert (1, False, False) not in n and n.get((0, False, True), 0) == 0
 
 
+def test_junk_is_told_apart_in_varied_text(spark):
+    """1.2 million distinct n-grams: junk still scores below the threshold, prose above."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.concat(
+        F.when(F.col("junk"), F.lit("#")).otherwise(F.lit("w")), F.pmod(F.xxhash64("doc_id", i), F.lit(200_000)).cast("string")))
+    docs = spark.range(3050).select(F.col("id").alias("doc_id"), (F.col("id") < 50).alias("junk")).select(
+        "doc_id", F.array_join(words, " ").alias("text"))
+    got = quality_rules.quality_rules(docs).filter("not base_failed").select("doc_id", "kept").collect()
+    assert len(got) == 3050 and {r["doc_id"] for r in got if not r["kept"]} == set(range(50))
+
+
 def test_rules_edges(docs, no_docs):
     got = quality_rules.drop_low_quality(docs)
     assert got.columns == docs.columns and 0 < got.count() < docs.count()

@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from utxoflow.llm.common import SPACE, let, staged
 
-BITS = 16
+BITS = 18
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")
 #: Low bits of a window's hash that hold its place.
 PLACE_BITS = 20
-#: Between junk (mean log ratio below -0.11 on the labelled rows) and clean text (above -0.04).
-THRESHOLD = -0.075
+#: Between junk (mean log ratio below -0.19 on the labelled rows) and clean text (above -0.05).
+THRESHOLD = -0.15
 
 
 def words_of(text: Column) -> Column:
