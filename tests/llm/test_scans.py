@@ -104,6 +104,23 @@ def test_secret_spans(spark):
     assert secret_scan.digest("") == hashlib.sha256(b"").hexdigest()
 
 
+def random_parts(text):
+    encoding = secret_scan.tokenizer(secret_scan.default_vocabulary())
+    return [text[a:b] for a, _, b in secret_scan.random_spans(text, encoding, 2.25)]
+
+
+@pytest.mark.parametrize("secret", ["kQzXvBnMwPlRtYhJsDfG", "qzxvbnmwplrtyhjsd", "qzxv-bnmw-plrt-yhjs",
+                                    "xoxb-1234567890-1234567890-AbCdEfGhIjKlMnOp"])
+def test_secret_of_letters_or_dashed(secret):
+    assert random_parts(f"see {secret} here") == [secret]
+
+
+@pytest.mark.parametrize("clean", ["my_long_identifier_name_2024", "internationalization", "beberschlichkeitge", "x" * 40_000,
+                                   "4708096362725454", "first-second-third/2024"])
+def test_words_are_no_secrets(clean):
+    assert random_parts(f"see {clean} here") == []
+
+
 def test_secret_edges(docs, no_docs):
     got = by_doc(secret_scan.scan(docs))
     assert len(got) == docs.count() and secret_scan.scan(no_docs).collect() == []

@@ -6,10 +6,11 @@ a value of 12 or more characters, ``access`` an access key id of 18 or more,
 
 Token efficiency (kind ``random``): a byte-pair vocabulary spends few tokens on
 text it has seen and about one per two characters on random strings.  Every
-maximal run of 16 or more key characters that holds a letter and a digit is
-encoded by a tiktoken vocabulary; at fewer than ``ratio`` characters per token
-it is a secret, unless it is a known digest (hex of a digest's length), a UUID,
-or an identifier (its parts between separators are all words or all numbers).
+maximal run of 16 or more key characters that holds a letter is encoded by a
+tiktoken vocabulary; at fewer than ``ratio`` characters per token it is a
+secret, unless it is a known digest (hex of a digest's length), a UUID, or an
+identifier (its parts between separators are all words or all numbers; a word
+has at least ``ratio`` characters per token itself, or at most two tokens).
 
 Spans are (start, end, kind) in code points, end exclusive, over whole texts.
 Defined results: null or empty text has no spans; repeated rows are scanned
@@ -40,7 +41,7 @@ UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\Z", re.IGNORECAS
 IDENTIFIER = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+))*\Z")
 #: The key words of ``assign``, to pass over texts without any.
 KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+LETTER, LETTERS = re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z]+")
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end: sorts by start, then kind
 
@@ -67,13 +68,20 @@ def tokenizer(path: str):
     return worker_cache(("tiktoken", path), make)
 
 
+def is_word(letters: str, encoding, ratio: float) -> bool:
+    n = len(encoding.encode_ordinary(letters))
+    return n <= 2 and len(letters) < 16 or len(letters) >= ratio * n
+
+
 def random_spans(text: str, encoding, ratio: float) -> list[Span]:
     found: list[Span] = []
     for m in RUN.finditer(text):
         run = m[0].strip("+/_=-")
-        if len(run) < 16 or not DIGIT.search(run) or not LETTER.search(run):
+        if len(run) < 16 or not LETTER.search(run):
+            continue
+        if DIGEST.match(run) or UUID.match(run):
             continue
-        if DIGEST.match(run) or UUID.match(run) or IDENTIFIER.match(run):
+        if IDENTIFIER.match(run) and all(is_word(w, encoding, ratio) for w in LETTERS.findall(run)):
             continue
         if len(run) < ratio * len(encoding.encode_ordinary(run)):
             start = m.start() + m[0].index(run)
