@@ -5,12 +5,17 @@ a value of 12 or more characters, ``access`` an access key id of 18 or more,
 ``hex`` a run of 16 or more lower-case hex digits.
 
 Token efficiency (kind ``random``): a byte-pair vocabulary spends few tokens on
-text it has seen and about one per two characters on random strings.  Every
-maximal run of 16 or more key characters that holds a letter is encoded by a
-tiktoken vocabulary; at fewer than ``ratio`` characters per token it is a
-secret, unless it is a known digest (hex of a digest's length), a UUID, or an
-identifier (its parts between separators are all words or all numbers; a word
-has at least ``ratio`` characters per token itself, or at most two tokens).
+text it has seen and about one per two characters on random strings.  A maximal
+run of 16 or more key characters that holds a letter is a secret when a
+tiktoken vocabulary gives it fewer than ``ratio`` characters per token.  So that
+readable parts do not hide a key, each stretch of unreadable parts between
+separators, and each such part, is tested likewise when the run as a whole is no
+secret; the span is the stretch's or part's then.  A run with fewer than 16
+characters from its first to its last unreadable part (and in numbers outside)
+is none, and so is a run of readable parts only: numbers, known digests (hex of a
+digest's length), UUIDs, parts of up to three characters, and words with up to
+four digits after them; a word has at least ``ratio`` characters per token
+itself, or is short with at most two tokens.
 
 Spans are (start, end, kind) in code points, end exclusive, over whole texts.
 Defined results: null or empty text has no spans; repeated rows are scanned
@@ -37,11 +42,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.IGNORECASE | re.ASCII)
-UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\Z", re.IGNORECASE | re.ASCII)
-IDENTIFIER = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+))*\Z")
+PART = re.compile(r"(?<![A-Za-z0-9])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+", re.IGNORECASE | re.ASCII)
+WORD = re.compile(r"([A-Za-z]+)[0-9]{0,4}\Z")
 #: The key words of ``assign``, to pass over texts without any.
 KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-LETTER, LETTERS = re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z]+")
+LETTER = re.compile(r"[A-Za-z]")
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end: sorts by start, then kind
 
@@ -73,19 +78,50 @@ def is_word(letters: str, encoding, ratio: float) -> bool:
     return n <= 2 and len(letters) < 16 or len(letters) >= ratio * n
 
 
+def is_readable(part: str, encoding, ratio: float) -> bool:
+    if len(part) <= 3 or part.isdigit() or "-" in part or DIGEST.match(part):  # only a UUID holds a dash
+        return True
+    word = WORD.match(part)
+    return word is not None and is_word(word[1], encoding, ratio)
+
+
+def stretches(run: str, encoding, ratio: float) -> list[list[tuple[int, int]]]:
+    """Neighbouring unreadable parts of ``run``, as (start, end)."""
+    found: list[list[tuple[int, int]]] = []
+    joined = False
+    for part in PART.finditer(run):
+        if is_readable(part[0], encoding, ratio):
+            joined = False
+            continue
+        if not joined:
+            found.append([])
+        found[-1].append(part.span())
+        joined = True
+    return found
+
+
 def random_spans(text: str, encoding, ratio: float) -> list[Span]:
+    def is_random(run: str) -> bool:
+        return len(run) >= 16 and LETTER.search(run) is not None and len(run) < ratio * len(encoding.encode_ordinary(run))
+
     found: list[Span] = []
     for m in RUN.finditer(text):
         run = m[0].strip("+/_=-")
         if len(run) < 16 or not LETTER.search(run):
             continue
-        if DIGEST.match(run) or UUID.match(run):
+        groups = stretches(run, encoding, ratio)
+        if not groups:
             continue
-        if IDENTIFIER.match(run) and all(is_word(w, encoding, ratio) for w in LETTERS.findall(run)):
-            continue
-        if len(run) < ratio * len(encoding.encode_ordinary(run)):
-            start = m.start() + m[0].index(run)
+        start = m.start() + m[0].index(run)
+        first, last = groups[0][0][0], groups[-1][-1][1]
+        unread = last - first + sum(len(x) for x in PART.findall(run[:first]) + PART.findall(run[last:]) if x.isdigit())
+        if unread >= 16 and is_random(run):
             found.append((start, 3, start + len(run)))
+            continue
+        for parts in groups:
+            whole = (parts[0][0], parts[-1][1])
+            spans = [whole] if is_random(run[slice(*whole)]) else [p for p in parts if is_random(run[slice(*p)])]
+            found += [(start + a, 3, start + b) for a, b in spans]
     return found
 
 
