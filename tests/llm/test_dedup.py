@@ -160,3 +160,12 @@ def test_components_are_least_members(spark):
                 root[a] = root[b] = min(root[a], root[b])
                 changed = True
     assert got == {k: v for k, v in root.items() if any(k in e and e[0] != e[1] for e in edges)}
+
+
+def test_keep_one_row_of_each_class(spark):
+    """Null ids and repeated ids of other classes do not keep a near duplicate."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, "a single text"), (None, a), (None, b), (None, b + " tail"), (1, b), (2, c), (1, c + " tail"), (2, a + " tail"), (7, ""), (7, None)]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in spark.createDataFrame(
+        [(None, "a single text"), (1, b), (1, c + " tail"), (2, a + " tail"), (7, ""), (7, None)], "doc_id bigint, text string").collect())

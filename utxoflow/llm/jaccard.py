@@ -534,11 +534,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that give their class its id, all columns as they
-    were (rows that repeat such an id all stay)."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].cast("bigint").eqNullSafe(kept["__id"]), "left_semi")
+    """One row of each class, that of the smallest id (null ids last), all columns
+    as they were; rows without words are no copies of each other and stay."""
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, "__row", text_col, **options).withColumnRenamed("doc_id", "__row")
+    ids = rows.select("__row", F.col(id_col).cast("bigint").alias("id"))
+    least = found.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "__row")).alias("least"))
+    return rows.join(least.select(F.col("least.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
 
 
 pickle_by_value(__name__)
