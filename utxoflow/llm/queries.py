@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import (bpe, exact_dedup, jaccard, langid, license_scan, packing, quality_gbt, quality_rules, secret_scan,
-                           warc)
+from utxoflow.llm import (bpe, centroids, exact_dedup, jaccard, langid, license_scan, packing, quality_gbt, quality_rules,
+                           secret_scan, warc)
 from utxoflow.llm.common import crc_mod, table
 
 
@@ -63,11 +63,46 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _clustering_sql(rounds: int = 3) -> str:
+    parts = [r"""
+        WITH e AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        v AS MATERIALIZED (SELECT r, unnest(range(64)) AS dim, unnest(xs) AS x FROM e),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, xs) - 1 AS c, unnest(range(64)) AS dim, unnest(xs) AS x
+            FROM (SELECT sha256('1:' || vec_id) AS h, xs FROM e WHERE vec_id IS NOT NULL ORDER BY h, xs LIMIT 16))"""]
+    for n in range(rounds + 1):
+        parts.append(f"""
+        a{n} AS MATERIALIZED (
+            SELECT r, CAST(min(d * 16 + c) % 16 AS INTEGER) AS c, CAST(min(d * 16 + c) // 16 AS BIGINT) AS d
+            FROM (SELECT v.r, c.c, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{n} AS c USING (dim) GROUP BY v.r, c.c)
+            GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""
+        c{n + 1} AS MATERIALIZED (
+            SELECT c.c, c.dim, coalesce(CAST((m.s - ((m.s % m.n) + m.n) % m.n) // m.n AS BIGINT), c.x) AS x
+            FROM c{n} AS c LEFT JOIN (SELECT a.c, v.dim, sum(v.x) AS s, count(*) AS n FROM a{n} AS a JOIN v USING (r) GROUP BY ALL) AS m
+            USING (c, dim))""")
+    return ",".join(parts) + f"""
+        SELECT e.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.sha AS centroid_sha256
+        FROM a{rounds} AS a JOIN e USING (r)
+        JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS sha FROM c{rounds} GROUP BY c) AS h ON h.c = a.c"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_packing, op3_language_id, op4_secret_scan, op5_jaccard_join, op6_exact_dedup, op7_bpe,
-    op8_quality_rules, op9_warc_revisits, op10_quality_gbt)}
+    op8_quality_rules, op9_warc_revisits, op10_quality_gbt, op13_centroid_clustering)}
 
 ORACLE: dict[str, str] = {
+    "op13_centroid_clustering": _clustering_sql(),
     "op5_jaccard_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
