@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxoflow.llm import (bpe, centroids, exact_dedup, jaccard, langid, license_scan, packing, quality_gbt, quality_rules,
-                           secret_scan, warc)
+from utxoflow.llm import (bpe, centroids, divergence, exact_dedup, jaccard, langid, license_scan, packing, pii, quality_gbt,
+                           quality_rules, secret_scan, warc)
 from utxoflow.llm.common import crc_mod, table
 
 
@@ -63,6 +63,16 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pii.scan(docs, pii.fit(docs))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans")
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -99,9 +109,41 @@ def _clustering_sql(rounds: int = 3) -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_packing, op3_language_id, op4_secret_scan, op5_jaccard_join, op6_exact_dedup, op7_bpe,
-    op8_quality_rules, op9_warc_revisits, op10_quality_gbt, op13_centroid_clustering)}
+    op8_quality_rules, op9_warc_revisits, op10_quality_gbt, op11_pii, op12_divergence_audit,
+    op13_centroid_clustering)}
 
 ORACLE: dict[str, str] = {
+    "op12_divergence_audit": r"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+            FROM documents),
+        t AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+        kept AS MATERIALIZED (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+        n AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        total AS (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL),
+        p AS MATERIALIZED (
+            SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+                   1 + CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 1) // (coalesce(total.total, 0) + v.v) AS p
+            FROM g JOIN v USING (lang) JOIN kept AS k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term
+            LEFT JOIN total ON total.lang = g.lang AND total.source = g.source),
+        q AS (
+            SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(n) + 1) // (sum(sum(n)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q
+            FROM n GROUP BY lang, term),
+        pair AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(pair.value, 0) AS BIGINT) AS value
+            FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
     "op13_centroid_clustering": _clustering_sql(),
     "op5_jaccard_join": r"""
         WITH RECURSIVE w AS (
