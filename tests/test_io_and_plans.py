@@ -15,6 +15,7 @@ from utxoflow.plans import dashboard
 from utxoflow.plans.fixtures import FXB_OPTIONS, fx_b
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import encode_kafka, write_table
+from utxoflow.sinks.versions import read_live
 from utxoflow.sources import parse_transactions, read_transactions
 
 
@@ -154,12 +155,12 @@ def test_batch_job_cli_on_json_files(spark):
     encode_kafka(tx).select("value").write.text(src)
     out = f"{checkpoint_dir(spark)}/cli-out-{uuid.uuid4().hex}"
     main(["batch", "--source", "json", "--path", src, "--out", out, "--late-tolerance-ms", "86400000"])
-    bal = spark.read.parquet(f"{out}/balance_updates")
+    bal = read_live(spark, f"{out}/balance_updates")
     assert bal.count() == address_updates(tx).count()
     # JSON carries no transport order: arrival = ingest_time (= FX-B arrival), ties by id hash.
     want = ledger(address_updates(tx), FXB_OPTIONS).select("address", "balance").groupBy("address").count()
     assert bal.groupBy("address").count().exceptAll(want).count() == 0
-    assert spark.read.parquet(f"{out}/latest_balances").count() == bal.select("address").distinct().count()
+    assert read_live(spark, f"{out}/latest_balances").count() == bal.select("address").distinct().count()
 
 
 def test_metrics_and_alerts_topics(spark):

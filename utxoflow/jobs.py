@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from utxoflow.operators.ledger import balance_records, balance_rows, ledger_state
-from utxoflow.operators.transactions import dedupe_transactions, normalize
+from utxoflow.operators.transactions import dedupe_transactions, normalize, tx_metrics
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.plans.batch import run_batch
-from utxoflow.sinks import alerts_topic, encode_kafka, metrics_topic, write_quarantine, write_table
-from utxoflow.streaming.stream import start_addr_query, start_quarantine_query, start_tx_query
+from utxoflow.sinks import alerts_topic, compact_table, encode_kafka, merge_latest, metrics_topic, replace_table
+from utxoflow.sinks.topics import TopicLog, kafka_record
+from utxoflow.sinks.versions import file_names, read_live
+from utxoflow.streaming.stream import (start_activity_query, start_addr_query, start_quarantine_query, start_split_query,
+                                       start_tx_query)
 
 
 def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT, rejected: DataFrame | None = None,
@@ -18,30 +21,40 @@ def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT, rejected:
     """Canonical transactions -> the four analytic tables + latest balances, and
     the quarantine table of records that could not be decoded.  Re-delivered
     transactions count once (``dedupe``); ``topics(name, frame, None)`` gets
-    the records of the ``metrics`` and ``alerts`` topics."""
+    the records of the ``metrics`` and ``alerts`` topics.
+
+    Every table of ``out`` is replaced by this run's rows (``replace_table``), so
+    a rerun leaves one run's rows; read them with ``read_live(spark, out + "/" +
+    name)``.  Returns the folders this run wrote."""
     res = run_batch(dedupe_transactions(tx) if dedupe else tx, opts, materialize=True)
-    paths = {n: f"{out}/{n}" for n in ("transactions", "metrics", "alerts", "balance_updates", "latest_balances",
-                                         "ledger_state")}
-    write_table(res.transaction_rows, paths["transactions"], sort_cols=("timestamp_ms", "tx_id"))
-    write_table(res.metric_rows, paths["metrics"], sort_cols=("timestamp_ms", "metric_type", "tx_id"))
-    write_table(res.alerts, paths["alerts"], sort_cols=("timestamp_ms", "alert_id"))
-    write_table(balance_rows(res.ledger), paths["balance_updates"], sort_cols=("address", "timestamp_ms"))
-    res.latest.write.mode("overwrite").parquet(paths["latest_balances"])
+    gran = opts.table_partition
+
+    def table(name: str, rows: DataFrame, *sort_cols: str) -> None:
+        paths[name] = replace_table(rows, f"{out}/{name}", time_col="timestamp_ms" if sort_cols else None, sort_cols=sort_cols,
+                                    granularity=gran)
+
+    paths: dict[str, str] = {}
+    table("transactions", res.transaction_rows, "timestamp_ms", "tx_id")
+    table("metrics", res.metric_rows, "timestamp_ms", "metric_type", "tx_id")
+    table("alerts", res.alerts, "timestamp_ms", "alert_id")
+    table("balance_updates", balance_rows(res.ledger), "address", "timestamp_ms")
+    table("latest_balances", res.latest)
     # The final ledger state, from which a stream can continue (stream_job).
-    ledger_state(res.updates, opts, res.ledger).write.mode("overwrite").parquet(paths["ledger_state"])
+    table("ledger_state", ledger_state(res.updates, opts, res.ledger))
     if rejected is not None:
-        paths["quarantine"] = f"{out}/quarantine"
-        write_quarantine(rejected, paths["quarantine"])
+        table("quarantine", rejected)
     if topics is not None:
-        topics("metrics", metrics_topic(res.metrics, balance_records(res.ledger)), None)
-        topics("alerts", alerts_topic(res.alerts), None)
+        metrics = tx_metrics(res.transactions, keep=("seq",))
+        topics("metrics", metrics_topic(metrics, balance_records(res.ledger, keep=("seq", "pos"))), None)
+        topics("alerts", alerts_topic(res.alert_records), None)
     return paths
 
 
 def kafka_topics(servers: str, names: dict[str, str]):
     """Topic callback that publishes to Kafka (``names``: metrics, alerts)."""
     def publish(name: str, frame: DataFrame, batch_id: int | None) -> None:
-        frame.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", names[name]).save()
+        (kafka_record(frame).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", names[name])
+         .option("includeHeaders", "true").save())
     return publish
 
 
@@ -62,15 +75,39 @@ def publish_job(events: DataFrame, write) -> None:
 
 def stream_job(spark: SparkSession, tx: DataFrame, out: str, checkpoint: str,
                opts: LedgerOptions = DEFAULT, trigger_ms: int | None = None,
-               initial_state: str | None = None, rejected: DataFrame | None = None, topics=None):
+               initial_state: str | None = None, rejected: DataFrame | None = None, topics=None, topic_log: str | None = None,
+               split: bool = False):
     """Q-tx and Q-addr on one streaming source, and the quarantine query when
     the source has ``rejected`` records; returns the queries.
-    ``initial_state``: a ``ledger_state`` folder written by ``batch_job``
-    (used on the first start; later starts resume from the checkpoint)."""
+    ``initial_state``: the ``ledger_state`` table of a ``batch_job``
+    (used on the first start; later starts resume from the checkpoint).
+    ``topic_log``: a folder that names the deliveries that count, for consumers
+    that read every record exactly once (``sinks.topics``).  ``split``: the ledger
+    in two stages, for addresses too hot for one task."""
     trigger = {"processingTime": f"{int(trigger_ms)} milliseconds"} if trigger_ms else None
-    init = spark.read.parquet(initial_state) if initial_state else None
-    queries = (start_tx_query(tx, out, checkpoint, opts, trigger=trigger, topics=topics),
-               start_addr_query(tx, out, checkpoint, opts, trigger=trigger, initial=init, topics=topics))
+    init = read_live(spark, initial_state) if initial_state else None
+    of_tx = of_addr = topics
+    if topics is not None and topic_log is not None:
+        log = TopicLog(spark, topic_log)
+        of_tx, of_addr = log.exactly_once("q_tx", topics), log.exactly_once("q_addr", topics)
+    queries = (start_tx_query(tx, out, checkpoint, opts, trigger=trigger, topics=of_tx),)
+    if split:
+        of_activity = log.exactly_once("q_activity", topics) if topics is not None and topic_log is not None else topics
+        queries += (start_split_query(tx, out, checkpoint, opts, trigger=trigger, initial=init, topics=of_addr),
+                    start_activity_query(tx, out, checkpoint, opts, trigger=trigger, initial=init, topics=of_activity))
+    else:
+        queries += (start_addr_query(tx, out, checkpoint, opts, trigger=trigger, initial=init, topics=of_addr),)
     if rejected is not None:
         queries += (start_quarantine_query(rejected, out, checkpoint, opts, trigger=trigger),)
     return queries
+
+
+def compact_job(spark: SparkSession, out: str, fanout: int = 8, keep: int = 2) -> dict[str, int]:
+    """Merge the micro-batch folders of every table that a ``stream_job`` writes
+    below ``out``, while it runs or not; returns the merges by table."""
+    there = set(file_names(spark, out))
+    merges = {n: compact_table(spark, f"{out}/{n}", fanout=fanout, keep=keep)
+              for n in ("transactions", "metrics", "alerts", "alerts_tx", "balance_updates") if n in there}
+    if "latest_changes" in there:
+        merges["latest_changes"] = merge_latest(spark, f"{out}/latest_changes", fanout, keep)
+    return merges

@@ -189,14 +189,15 @@ def structuring_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> Data
                   .select(_structuring(opts).alias("a")).select("a.*"))
 
 
-def activity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    """A3 + A4 from one pass over the counts (no second pandas pass)."""
+def activity_alerts(counts: DataFrame, opts: LedgerOptions = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A3 + A4 from one pass over the counts (no second pandas pass);
+    ``keep``: columns of the update to have beside the alert."""
     both = F.array(F.when(F.col("velocity_count") >= opts.velocity_count, _velocity(opts)),
                    F.when(F.col("structuring_count") >= opts.structuring_count, _structuring(opts)))
-    return counts.select(F.explode(F.filter(both, lambda a: a.isNotNull())).alias("a")).select("a.*")
+    return counts.select(F.explode(F.filter(both, lambda a: a.isNotNull())).alias("a"), *keep).select("a.*", *keep)
 
 
-def late_alerts(upd: DataFrame) -> DataFrame:
+def late_alerts(upd: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A5: every update of a transaction older than the watermark it met."""
     late = F.col("watermark_ms").isNotNull() & (F.col("timestamp") < F.col("watermark_ms"))
     a = alert_struct(
@@ -204,11 +205,11 @@ def late_alerts(upd: DataFrame) -> DataFrame:
         F.col("timestamp"), F.col("tx_id"), F.col("address"),
         F.struct(F.col("watermark_ms").alias("watermark"),
                  (F.col("watermark_ms") - F.col("timestamp")).alias("lateness_ms")))
-    return upd.filter(late).select(a.alias("a")).select("a.*")
+    return upd.filter(late).select(a.alias("a"), *keep).select("a.*", *keep)
 
 
-def state_alerts(led: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
-    return activity_alerts(activity_counts(led, opts), opts).unionByName(late_alerts(led))
+def state_alerts(led: DataFrame, opts: LedgerOptions = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+    return activity_alerts(activity_counts(led, opts), opts, keep).unionByName(late_alerts(led, keep))
 
 
 # Worker code travels by value with the task (no package install needed).

@@ -41,12 +41,13 @@ def _whale(opts: LedgerOptions, total_out: Column) -> Column:
     return F.when(total_out >= threshold, alert)
 
 
-def tx_alerts(tx: DataFrame, opts: LedgerOptions = DEFAULT, rules=("fan_out", "whale")) -> DataFrame:
+def tx_alerts(tx: DataFrame, opts: LedgerOptions = DEFAULT, rules=("fan_out", "whale"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``: columns of the transaction to have beside the alert."""
     total_out = array_sum("outputs")
     makers = {"fan_out": _fan_out, "whale": _whale}
     candidates = F.array(*[makers[r](opts, total_out) for r in rules])
-    return (tx.select(F.explode(F.filter(candidates, lambda a: a.isNotNull())).alias("a"))
-              .select("a.*"))
+    return (tx.select(F.explode(F.filter(candidates, lambda a: a.isNotNull())).alias("a"), *keep)
+              .select("a.*", *keep))
 
 
 def fan_out_alerts(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from utxoflow.operators.scan import hot_keys, prefix_scan, with_buckets
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import MONEY, MONEY_SUM
+from utxoflow.session import staged
 
 #: Total order of updates: ties of (arrival, seq) between transactions go by id.
 ORDER = ["arrival_ms", "seq", "tx_id", "pos"]
@@ -59,7 +60,10 @@ def ledger(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     """Every update with the address's ``balance`` and ``utxo_count``
     after it, plus ``max_ts`` (running max event time, used by L5)."""
     # Hot-key statistics on the raw updates (a pruned scan), not after the window.
-    b, hot = with_buckets(with_deltas(upd), "address", ORDER, opts, hot_keys(upd, "address", opts), known=True)
+    keys, deltas = hot_keys(upd, "address", opts), with_deltas(upd)
+    if keys is not None:  # read twice, for the hot and for all other addresses: computed once
+        deltas = staged(deltas, "deltas")
+    b, hot = with_buckets(deltas, "address", ORDER, opts, keys, known=True)
     out = prefix_scan(
         b, "address", ORDER, hot,
         sums={"balance": F.col("d_balance").cast(MONEY_SUM), "utxo_count": F.col("d_count").cast("long")},
@@ -68,12 +72,13 @@ def ledger(upd: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     return out
 
 
-def balance_records(led: DataFrame) -> DataFrame:
-    """The balance record emitted after every update."""
+def balance_records(led: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The balance record emitted after every update; ``keep``: columns of
+    the update to have beside it."""
     return led.select(
         F.lit("balance_update").alias("metric_type"), "address", "tx_id", "kind",
         F.col("balance").cast("double").alias("balance"), "utxo_count",
-        F.col("timestamp").alias("timestamp_ms"), "source",
+        F.col("timestamp").alias("timestamp_ms"), "source", *keep,
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from utxoflow.operators.scan import prefix_scan, with_buckets
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import MONEY_SUM
+from utxoflow.session import staged
 
 # The eight suspicious-text patterns of the reference's scanner
 # (matched case-insensitively, anywhere in the text).
@@ -37,10 +38,12 @@ def select_coins(utxos: DataFrame, targets: DataFrame, opts: LedgerOptions = DEF
     run = prefix_scan(b, "address", order, hot, sums={"running": F.col("value").cast(MONEY_SUM)})
     # A row is needed iff the sum *before* it is still short of the target;
     # an address is covered iff one row crosses the target (at most one per
-    # address), so no separate total is needed.
-    short_before = (F.col("running") - F.col("value")) < F.col("target")
-    crossing = run.filter(short_before & (F.col("running") >= F.col("target"))).select("address")
-    return (run.filter(short_before).join(crossing, "address", "left_semi")
+    # address), so no separate total is needed.  All sums are exact decimals: a
+    # target that a prefix meets exactly takes no coin more.
+    exact = F.col("target").cast(MONEY_SUM)
+    needed = staged(run.filter(F.col("running") - F.col("value").cast(MONEY_SUM) < exact), "coins")
+    crossing = needed.filter(F.col("running") >= exact).select("address")
+    return (needed.join(crossing, "address", "left_semi")
                .select("address", "tx_id", "output_index", "value",
                        F.col("running").cast("double").alias("running"), "target"))
 

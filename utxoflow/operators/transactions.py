@@ -89,8 +89,9 @@ def _is_late(df: DataFrame) -> Column:
     return F.lit(False)
 
 
-def tx_metrics(tx: DataFrame) -> DataFrame:
-    """The transaction metric record (money rounded, fee clamped at 0)."""
+def tx_metrics(tx: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The transaction metric record (money rounded, fee clamped at 0);
+    ``keep``: columns of the transaction to have beside it."""
     total_in, total_out = array_sum("inputs"), array_sum("outputs")
     return tx.select(
         F.lit("transaction").alias("metric_type"),
@@ -103,7 +104,7 @@ def tx_metrics(tx: DataFrame) -> DataFrame:
         as_double(total_in).alias("total_input"),
         as_double(total_out).alias("total_output"),
         as_double(F.greatest(total_in - total_out, F.lit(0).cast(MONEY_SUM))).alias("fee_estimate"),
-        _is_late(tx).alias("is_late"),
+        _is_late(tx).alias("is_late"), *keep,
     )
 
 
@@ -148,8 +149,9 @@ def dedupe_transactions(tx: DataFrame) -> DataFrame:
     """Keep the first arrival of each ``tx_id`` (precondition of the ledger).
 
     One shuffle on ``tx_id``, copies collapsed before it; a replayed id keeps its
-    earliest (arrival, seq)."""
-    return (tx.groupBy("tx_id")
+    earliest (arrival, seq).  Rows without an id are no copies of each other."""
+    own = F.when(F.col("tx_id").isNull(), F.monotonically_increasing_id())
+    return (tx.groupBy("tx_id", own.alias("_own"))
               .agg(F.min_by(F.struct(*[F.col(c) for c in tx.columns]),
                             F.struct("arrival_ms", "seq")).alias("t"))
               .select("t.*"))

@@ -27,6 +27,9 @@ class LedgerOptions:
     # State / shuffle partitions of the streaming queries (the reference's
     # job parallelism); fixed in the checkpoint at the first start.
     stream_partitions: int = 0  # 0 -> spark.sql.shuffle.partitions
+    # Slots of the two-stage streaming ledger: keys that an address's outpoints
+    # are spread over (fixed in the checkpoint at the first start).
+    outpoint_slots: int = 64
     # Drop re-delivered transactions (same tx_id) in streams (the ledger
     # assumes each output is delivered once); late ones are kept.
     dedupe_stream: bool = False

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from utxoflow.operators.activity import state_alerts
 from utxoflow.operators.alerts import tx_alerts
@@ -33,7 +34,8 @@ class BatchOutputs:
     ledger: DataFrame            # L3/L4/L6 per update
     balance_rows: DataFrame      # K6 table
     latest: DataFrame            # K9 snapshot
-    alerts: DataFrame            # K3/K5: tx alerts + state alerts
+    alerts: DataFrame            # K5: tx alerts + state alerts
+    alert_records: DataFrame     # K3: the same with the seq and pos they occurred at
 
 
 def run_batch(tx: DataFrame, opts: LedgerOptions = DEFAULT, materialize: bool = False) -> BatchOutputs:
@@ -45,9 +47,12 @@ def run_batch(tx: DataFrame, opts: LedgerOptions = DEFAULT, materialize: bool =
     led = ledger(upd, opts)
     if materialize:
         led = staged(led, "ledger")
-    alerts = tx_alerts(wtx, opts).unionByName(state_alerts(led, opts))
+    at = ("seq", "pos")
+    of_tx = tx_alerts(wtx, opts, keep=("seq",)).withColumn("pos", F.lit(-1))
+    alerts = of_tx.unionByName(state_alerts(led, opts, keep=at))
     return BatchOutputs(
         transactions=wtx, metrics=metrics, transaction_rows=tx_rows(wtx),
         metric_rows=metric_rows(metrics), updates=upd, ledger=led,
-        balance_rows=balance_rows(led), latest=latest_balances(led), alerts=alerts,
+        balance_rows=balance_rows(led), latest=latest_balances(led), alerts=alerts.drop(*at),
+        alert_records=alerts,
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utxoflow.functions import ms_to_minute
+from utxoflow.sinks.versions import read_live
 
 
 def _as_of(table: DataFrame, as_of_ms: int | None) -> Column:
@@ -22,7 +23,7 @@ def _as_of(table: DataFrame, as_of_ms: int | None) -> Column:
 def read_table(spark: SparkSession, path: str, since_ms: int | None = None) -> DataFrame:
     """Scan an analytic table; a time bound also prunes ``event_date``
     partitions (derived predicate next to the ``timestamp_ms`` one)."""
-    df = spark.read.parquet(path)
+    df = read_live(spark, path)
     if since_ms is not None:
         df = df.filter(F.col("timestamp_ms") >= F.lit(int(since_ms)))
         day = F.to_date(F.timestamp_millis(F.lit(int(since_ms))))
@@ -36,7 +37,7 @@ def read_table(spark: SparkSession, path: str, since_ms: int | None = None) -> D
 def newest_ms(spark: SparkSession, path: str) -> int | None:
     """The largest ``timestamp_ms`` of a table partitioned by time, read from
     its newest partition only."""
-    df = spark.read.parquet(path)
+    df = read_live(spark, path)
     part = "event_month" if "event_month" in df.columns else "event_date"
     newest = df.agg(F.max(part)).first()[0]  # partition values only, no column is read
     return None if newest is None else df.filter(F.col(part) == F.lit(newest)).agg(F.max("timestamp_ms")).first()[0]

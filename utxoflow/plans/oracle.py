@@ -378,6 +378,15 @@ FROM (
          sum(value) OVER (PARTITION BY address) AS total
   FROM (SELECT * REPLACE (value * 0.001 AS value) FROM fxb_d WHERE kind = 'output' AND n_in = 0))
 WHERE total >= {DUST_TARGET} AND running - value < {DUST_TARGET}"""
+    q["coin_selection_exact"] = _with(FXB) + """
+SELECT address, tx_id, output_index, CAST(value AS DOUBLE) AS value, CAST(running AS DOUBLE) AS running, CAST(target AS DOUBLE) AS target
+FROM (
+  SELECT address, tx_id, output_index, value, sum(value) OVER by_size AS running,
+         sum(CASE WHEN r <= 2 THEN value END) OVER (PARTITION BY address) AS target
+  FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY value DESC, tx_id, output_index) AS r
+        FROM (SELECT * REPLACE (value * 0.1 AS value) FROM fxb_d WHERE kind = 'output' AND n_in = 0))
+  WINDOW by_size AS (PARTITION BY address ORDER BY value DESC, tx_id, output_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE running - value < target"""
     q["quarantine_values"] = """
 SELECT event_id AS offset, CASE event_id % 13 WHEN 5 THEN 'bad_timestamp' WHEN 4 THEN 'missing_field' ELSE 'bad_value' END AS reason
 FROM events WHERE event_id % 13 BETWEEN 1 AND 5"""
@@ -385,6 +394,29 @@ FROM events WHERE event_id % 13 BETWEEN 1 AND 5"""
 SELECT CASE WHEN event_id % 13 BETWEEN 1 AND 3 THEN 'bad_value' WHEN event_id % 13 = 4 THEN 'missing_field'
             WHEN event_id % 13 = 5 THEN 'bad_timestamp' ELSE 'accepted' END AS reason, count(*) AS records
 FROM events GROUP BY 1"""
+    q["stream_balances_hot"] = q["balance_updates_hot"]
+    q["stream_balances_split_double"] = q["balance_updates_double"]
+    q["stream_pending_split"] = q["pending_spends_double"]
+    q["stream_activity_hot"] = q["alerts_activity_hot"]
+    q["stream_watermark"] = _with(fxb("hot"), FXB_STREAM) + """
+SELECT u.address, u.tx_id, u.kind, s.mark AS watermark_ms FROM fxb_upd u JOIN fxb_stream_tx s ON s.tx_id = u.tx_id"""
+    q["topic_replay"] = _with(FXB, FXB_STREAM) + """
+SELECT 'metrics' AS topic, address AS record_key, tx_id, kind AS what, CAST(balance AS DOUBLE) AS amount FROM fxb_led
+UNION ALL
+SELECT 'alerts', alert_id, tx_id, alert_type, CAST(timestamp_ms AS DOUBLE) FROM fxb_stream_alerts"""
+    q["table_compacted"] = q["balance_updates"]
+    q["latest_balance_as_of"] = _with(FXB, FXB_STREAM) + """
+SELECT address, balance, utxo_count, timestamp_ms, source FROM (
+  SELECT l.address, CAST(l.balance AS DOUBLE) AS balance, l.utxo_count, l.timestamp AS timestamp_ms, l.source,
+         row_number() OVER (PARTITION BY l.address ORDER BY l.rk DESC) AS r
+  FROM fxb_led l JOIN fxb_stream_tx s ON s.tx_id = l.tx_id WHERE s.b <= 1) WHERE r = 1"""
+    q["table_rerun"] = _with(FXB) + """
+SELECT 'transactions' AS name, tx_id AS key, CAST(total_output AS DOUBLE) AS amount FROM fxb_tx
+UNION ALL SELECT 'alerts', alert_id, CAST(timestamp_ms AS DOUBLE) FROM fxb_alerts
+UNION ALL SELECT 'balance_updates', address, balance FROM fxb_bal
+UNION ALL SELECT 'latest_balances', address, balance FROM (
+  SELECT *, row_number() OVER (PARTITION BY address ORDER BY rk DESC) AS r FROM fxb_bal) WHERE r = 1
+UNION ALL SELECT 'metrics', tx_id, CAST(timestamp AS DOUBLE) FROM fxb_metrics"""
     q["archive_incremental"] = q["archive_blocks"]
     q["stream_tx_volume"] = _with(FXB) + """
 SELECT timestamp - timestamp % 60000 AS minute, count(*) AS txs FROM fxb_tx GROUP BY 1"""

@@ -6,9 +6,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from utxoflow.jobs import batch_job
 from utxoflow.operators import activity, alerts, ledger, reaimed, transactions, updates
 from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.plans import dashboard
@@ -18,6 +19,7 @@ from utxoflow.plans.batch import run_batch
 from utxoflow.schema import MONEY
 from utxoflow.session import checkpoint_dir
 from utxoflow.sinks import archive_blocks, read_archive, write_archive, write_quarantine
+from utxoflow.sinks.versions import read_live
 from utxoflow.sources import parse_transactions, read_with_quarantine
 
 # Extra selective patterns for R3 on the test corpus (the reference's eight
@@ -248,6 +250,16 @@ def coin_selection_dust(spark, sf):
     return reaimed.select_coins(snap, targets, FXB_HOT_OPTIONS)
 
 
+def coin_selection_exact(spark, sf):
+    """R1 with targets that the two largest coins of an address meet exactly."""
+    snap = ledger.utxo_snapshot(_upd_plain(spark, sf))
+    snap = snap.withColumn("value", (F.col("value").cast(MONEY) * F.lit("0.1").cast("decimal(2,1)")).cast("double"))
+    largest = Window.partitionBy("address").orderBy(F.col("value").desc(), "tx_id", "output_index")
+    two = snap.withColumn("r", F.row_number().over(largest)).filter("r <= 2")
+    targets = two.groupBy("address").agg(F.sum(F.col("value").cast(MONEY)).cast("double").alias("target"))
+    return reaimed.select_coins(snap, targets, FXB_OPTIONS)
+
+
 def pattern_mix(spark, sf):
     return reaimed.pattern_mix(fx_b_labeled(spark, sf, FXB_OPTIONS))
 
@@ -315,6 +327,22 @@ def archive_incremental(spark, sf):
     return read_archive(spark, path).select("height", "object_key", "offset", F.length("raw").alias("n_chars"))
 
 
+def table_rerun(spark, sf):
+    """K4-K8: a batch run over part of the input, then one over all of it, into the
+    same folder: every table holds the second run's rows, once."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/rerun-{uuid.uuid4().hex}"
+    tx = fx_b_table(spark, sf)
+    for part in (tx.filter(F.pmod("seq", F.lit(3)) != 0), tx):
+        batch_job(part, out, FXB_OPTIONS)
+
+    def rows(name, key, amount):
+        return read_live(spark, f"{out}/{name}").select(F.lit(name).alias("name"), F.col(key).alias("key"), F.col(amount).cast("double").alias("amount"))
+
+    return (rows("transactions", "tx_id", "total_output").unionByName(rows("alerts", "alert_id", "timestamp_ms"))
+            .unionByName(rows("balance_updates", "address", "balance")).unionByName(rows("latest_balances", "address", "balance"))
+            .unionByName(rows("metrics", "tx_id", "timestamp_ms")))
+
+
 def parse_transactions_q(spark, sf):
     tx, _bad = parse_transactions(_raw_json_b(spark, sf))
     return transactions.tx_metrics(tx)
@@ -390,6 +418,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balance_updates_final": balance_updates_final,
     "coin_selection": coin_selection,
     "coin_selection_dust": coin_selection_dust,
+    "coin_selection_exact": coin_selection_exact,
     "balance_updates_large": balance_updates_large,
     "balance_updates_ties": balance_updates_ties,
     "balance_updates_burst": balance_updates_burst,
@@ -403,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_values": quarantine_values,
     "job_quarantine": job_quarantine,
     "archive_incremental": archive_incremental,
+    "table_rerun": table_rerun,
 }
 
 

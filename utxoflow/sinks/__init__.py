@@ -4,28 +4,53 @@ driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from utxoflow.sinks.topics import occurrence
+from utxoflow.sinks.versions import VersionedTable, read_live
 
 # ---------------------------------------------------------------- Kafka (K1-K3)
 
 
-def encode_kafka(df: DataFrame, key: str | None = "tx_id") -> DataFrame:
-    """K1-K3: ``(key, value)`` records -- value = JSON of the row, key UTF-8."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+#: Columns that tell where a record occurred; they are in its occurrence id, not in its value.
+PLACE = ("seq", "pos")
+
+
+def encode_kafka(df: DataFrame, key: str | None = "tx_id", once: tuple[str, ...] = ()) -> DataFrame:
+    """K1-K3: ``(key, value)`` records -- value = JSON of the row, key UTF-8.
+    With ``once`` (columns that make a record one of a kind) also the
+    ``occurrence`` id (``topics``)."""
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns if not (once and c in PLACE)]))
     k = F.col(key).cast("string") if key else F.lit(None).cast("string")
-    return df.select(k.alias("key"), value.alias("value"))
+    return df.select(k.alias("key"), value.alias("value"), *([occurrence(*once)] if once else []))
+
+
+def _where(df: DataFrame, *parts: str) -> tuple[str, ...]:
+    """``parts`` and the place, when the frame has it."""
+    return (*parts, *(c for c in PLACE if c in df.columns)) if "seq" in df.columns else ()
+
+
+def tx_records(metrics: DataFrame) -> DataFrame:
+    """K2: transaction metrics, keyed by tx_id."""
+    return encode_kafka(metrics, "tx_id", _where(metrics, "tx_id"))
+
+
+def balance_topic(balances: DataFrame) -> DataFrame:
+    """K2: balance records, keyed by address."""
+    return encode_kafka(balances, "address", _where(balances, "address", "tx_id"))
 
 
 def metrics_topic(metrics: DataFrame, balances: DataFrame) -> DataFrame:
     """K2: the metrics topic carries transaction metrics (keyed by tx_id) and
     balance records (keyed by address) side by side as JSON values."""
-    return encode_kafka(metrics, "tx_id").unionByName(encode_kafka(balances, "address"))
+    return tx_records(metrics).unionByName(balance_topic(balances))
 
 
 def alerts_topic(alerts: DataFrame) -> DataFrame:
     """K3: transaction and state alerts share the alerts topic (keyed by id)."""
-    return encode_kafka(alerts, "alert_id")
+    return encode_kafka(alerts, "alert_id", _where(alerts, "alert_id"))
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tx_id",
@@ -51,8 +76,9 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
 
     With ``batch_id`` (streaming, K8) each micro-batch owns the folder
     ``batch_id=N`` and overwrites it as a whole: a replayed batch replaces
-    exactly its own rows, and readers see ``batch_id`` as a partition column.
-    Without it the rows are appended."""
+    exactly its own rows, and readers see ``batch_id`` as a partition column;
+    the folder is then named live (``versions``).  Without it the rows are
+    appended; ``replace_table`` is the form that replaces an earlier run's."""
     day = F.to_date(F.timestamp_millis(F.col(time_col)))
     part = "event_month" if granularity == "month" else "event_date"
     out = df.withColumn(part, F.trunc(day, "month") if granularity == "month" else day)
@@ -64,6 +90,43 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
         out.write.mode("append").partitionBy(part).parquet(path)
     else:
         out.write.mode("overwrite").partitionBy(part).parquet(f"{path}/batch_id={int(batch_id)}")
+        VersionedTable(df.sparkSession, path).add_batch(batch_id, out.schema)
+
+
+def replace_table(df: DataFrame, path: str, time_col: str | None = "timestamp_ms", sort_cols: tuple[str, ...] = (),
+                  granularity: str = "day") -> str:
+    """Make ``df`` the whole table (a batch run's output): written beside the
+    live version and put in its place at once, so a rerun, also one after a
+    failed run, leaves one run's rows.  Tables without ``time_col`` are not
+    partitioned.  Read with ``read_live``; returns the folder of this version."""
+    table, written = VersionedTable(df.sparkSession, path), []
+
+    def write(folder: str) -> None:
+        written.append(folder)
+        if time_col is None:
+            df.write.parquet(folder)
+        else:
+            write_table(df, folder, time_col=time_col, sort_cols=sort_cols, granularity=granularity)
+
+    part = "event_month" if granularity == "month" else "event_date"
+    schema = df.schema if time_col is None else T.StructType([*df.schema.fields, T.StructField(part, T.DateType())])
+    table.replace(write, schema)
+    table.vacuum()
+    return written[0]
+
+
+def compact_table(spark: SparkSession, path: str, time_col: str = "timestamp_ms", fanout: int = 8, keep: int = 2) -> int:
+    """Merge the folders of many micro-batches of a table written with
+    ``batch_id``; readers of ``read_live`` see the same rows before, meanwhile
+    and after.  Returns the number of merges."""
+    def merge(rows: DataFrame, folder: str) -> None:
+        gran = "month" if "event_month" in rows.columns else "day"
+        write_table(rows.drop("event_month", "event_date"), folder, time_col=time_col, sort_cols=(time_col,), granularity=gran)
+
+    table = VersionedTable(spark, path)
+    merges = table.compact(merge, fanout)
+    table.vacuum(keep)
+    return merges
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
@@ -82,15 +145,15 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 
 def write_latest_changes(balances: DataFrame, path: str, batch_id: int) -> None:
     """K9 (streaming): the last *arrived* balance of every address changed in
-    a micro-batch, appended as partition ``batch_id`` (dynamic overwrite, so a
-    replayed batch rewrites itself).  Work per batch is proportional to the
+    a micro-batch, appended as folder ``batch_id=N`` (a replayed batch rewrites
+    itself).  Work per batch is proportional to the
     batch, never to the number of addresses ever seen."""
     rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
-    (balances.groupBy("address")
-             .agg(F.max_by(rec, F.struct("arrival_ms", "seq", "tx_id", "pos")).alias("r"))
-             .select("address", "r.*", F.lit(int(batch_id)).cast("long").alias("batch_id"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
+    changes = (balances.groupBy("address")
+                       .agg(F.max_by(rec, F.struct("arrival_ms", "seq", "tx_id", "pos")).alias("r"))
+                       .select("address", "r.*"))
+    changes.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    VersionedTable(balances.sparkSession, path).add_batch(batch_id, changes.schema)
 
 
 def compact_latest(spark, path: str, target: str) -> None:
@@ -102,12 +165,31 @@ def compact_latest(spark, path: str, target: str) -> None:
           .hint("rebalance", "batch_id").write.mode("errorifexists").partitionBy("batch_id").parquet(target))
 
 
-def read_latest(spark, path: str) -> DataFrame:
+def _newest(changes: DataFrame) -> DataFrame:
+    rec = F.struct("balance", "utxo_count", "timestamp_ms", "source", "batch_id")
+    return changes.groupBy("address").agg(F.max_by(rec, "batch_id").alias("r")).select("address", "r.*")
+
+
+def merge_latest(spark: SparkSession, path: str, fanout: int = 8, keep: int = 2) -> int:
+    """Merge the change log where it lies: runs of about equal size become one
+    run with a row per address, sorted by address, so a read opens at most
+    ``fanout`` runs per power of ``fanout`` below the number of batches.  With
+    ``keep`` versions, the balances as of that many commits ago can be read."""
+    def merge(rows: DataFrame, folder: str) -> None:
+        _newest(rows).hint("rebalance", "address").sortWithinPartitions("address").write.parquet(folder)
+
+    table = VersionedTable(spark, path)
+    merges = table.compact(merge, fanout)
+    table.vacuum(keep)
+    return merges
+
+
+def read_latest(spark: SparkSession, path: str, as_of_batch: int | None = None) -> DataFrame:
     """K9 read side: latest change per address across batches (map-side
-    combinable ``max_by``)."""
-    rec = F.struct("balance", "utxo_count", "timestamp_ms", "source")
-    return (spark.read.parquet(path).groupBy("address")
-                 .agg(F.max_by(rec, "batch_id").alias("r")).select("address", "r.*"))
+    combinable ``max_by``), or as it was after micro-batch ``as_of_batch``
+    while a version that ends there is kept."""
+    version = None if as_of_batch is None else VersionedTable(spark, path).version_of_batch(as_of_batch)
+    return _newest(read_live(spark, path, version)).drop("batch_id")
 
 
 # -------------------------------------------------------- Block archive

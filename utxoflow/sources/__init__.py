@@ -88,22 +88,32 @@ def parse_transactions(raw: DataFrame, value_col: str = "value",
     return tx, bad
 
 
-def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame, DataFrame | None]:
+def split_canonical(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Canonical rows, and those without a ``tx_id`` (reason ``missing_id``),
+    which no rule of the ledger could tell apart."""
+    whole = F.to_json(F.struct(*[F.col(c) for c in tx.columns]))
+    arrival = F.col("arrival_ms") if "arrival_ms" in tx.columns else F.lit(None).cast("long")
+    bad = tx.filter(F.col("tx_id").isNull()).select(whole.alias("raw"), arrival.alias("arrival_ms"),
+                                                    F.lit(None).cast("long").alias("offset"), F.lit("missing_id").alias("reason"))
+    return tx.filter(F.col("tx_id").isNotNull()), bad
+
+
+def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame, DataFrame]:
     """S3: source registry returning the canonical frame and the records that
-    could not be decoded (None for sources that are canonical already).
+    could not be taken, with their reason.
 
-    kinds: ``parquet`` / ``table`` (already canonical), ``json`` (files of raw
+    kinds: ``parquet`` / ``table`` (canonical already), ``json`` (files of raw
     JSON lines, batch or ``streaming=True``), ``kafka``.  Unknown kinds raise."""
     kind = kind.strip().lower()
     streaming = bool(opts.pop("streaming", False))
     if kind == "table":
-        return spark.table(opts["name"]), None
+        return split_canonical(spark.table(opts["name"]))
     if kind in ("parquet", "json"):
         reader = spark.readStream if streaming else spark.read
         for k, v in opts.get("options", {}).items():
             reader = reader.option(k, v)
         if kind == "parquet":
-            return (reader.schema(TRANSACTION) if streaming else reader).parquet(opts["path"]), None
+            return split_canonical((reader.schema(TRANSACTION) if streaming else reader).parquet(opts["path"]))
         text = reader.text(opts["path"])
         return parse_transactions(text.select("value", F.unix_millis("_metadata.file_modification_time").alias("file_ms")))
     if kind == "kafka":

@@ -224,6 +224,23 @@ class LedgerProcessor(StatefulProcessor):
         pass
 
 
+class ActivityProcessor(LedgerProcessor):
+    """Velocity and structuring alone: the state is the activity buffer."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "timestamp long, small boolean, arrival_ms long, seq long, pos int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values(["arrival_ms", "seq", "tx_id", "pos"], kind="mergesort", ignore_index=True)
+        velocity, structuring = self._activity(batch, True)
+        out = self._output(key[0], batch, ["0"] * len(batch), [0] * len(batch), velocity, structuring)
+        yield out[out["kind"] == "alert"]
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        super().handleInitialState(key, initialState[initialState["part"] == "recent"], timerValues)
+
+
 # Worker code travels by value with the task (no package install needed).
 from utxoflow.session import pickle_by_value  # noqa: E402
 

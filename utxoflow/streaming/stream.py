@@ -30,9 +30,11 @@ from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_watermark
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import TRANSACTION
-from utxoflow.sinks import (alerts_topic, archive_blocks, encode_kafka, write_archive, write_latest_changes,
+from utxoflow.sinks import (PLACE, alerts_topic, archive_blocks, balance_topic, tx_records, write_archive, write_latest_changes,
                             write_quarantine, write_table)
-from utxoflow.streaming.processor import OUTPUT_SCHEMA, LedgerProcessor
+from utxoflow.sinks.versions import VersionedTable, read_live
+from utxoflow.streaming.processor import OUTPUT_SCHEMA, ActivityProcessor, LedgerProcessor
+from utxoflow.streaming.two_stage import balances_of, change_stream
 
 UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "prev_tx_id",
                 "prev_output_index", "output_index", "source", "arrival_ms", "seq"]
@@ -67,14 +69,15 @@ def first_deliveries(tx: DataFrame, opts: LedgerOptions = DEFAULT) -> DataFrame:
     return tx.dropDuplicates(["tx_id"]) if opts.dedupe_stream else tx
 
 
-def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
+def ledger_stream(tx: DataFrame, opts: LedgerOptions = DEFAULT, initial: DataFrame | None = None,
+                  processor: LedgerProcessor | None = None) -> DataFrame:
     """L1-L6 + A3-A5 on a (watermarked) stream of canonical transactions;
     ``initial`` (``ledger.ledger_state`` of a batch backfill) seeds the state."""
     small = (F.col("kind") == "output") & (F.col("value") <= F.lit(str(opts.structuring_ceiling)).cast("decimal(38,8)"))
     upd = address_updates(tx).select(*UPDATE_INPUT, to_units(F.col("value")).alias("units"), small.alias("small"))
     init = initial.groupBy("address") if initial is not None else None
     return (upd.groupBy("address")
-               .transformWithStateInPandas(statefulProcessor=LedgerProcessor(opts),
+               .transformWithStateInPandas(statefulProcessor=processor or LedgerProcessor(opts),
                                            outputStructType=OUTPUT_SCHEMA,
                                            outputMode="Append", timeMode="None",
                                            initialState=init))
@@ -87,7 +90,7 @@ def split_output(out: DataFrame) -> tuple[DataFrame, DataFrame]:
         "utxo_count", "tx_id",
         F.col("update_kind").alias("kind"), "arrival_ms", "seq", "pos")
     alerts = out.filter(F.col("kind") == "alert").select(
-        "alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json")
+        "alert_id", "alert_type", "severity", "timestamp_ms", "tx_id", "address", "details_json", "seq", "pos")
     return balances, alerts
 
 
@@ -134,23 +137,62 @@ def _addr_writer(out_path: str, opts: LedgerOptions, topics=None):
             balances, alerts = split_output(batch)
             mark = batch_watermark(balances, batch_id, f"{out_path}/watermark_addr", opts, "timestamp_ms")
             late = late_alerts(balances.withColumnRenamed("timestamp_ms", "timestamp")
-                               .withColumn("watermark_ms", F.lit(mark).cast("long")))
-            alerts = alerts.unionByName(late)
+                               .withColumn("watermark_ms", F.lit(mark).cast("long")), keep=("seq", "pos"))
+            records = alerts.unionByName(late)
+            alerts = records.drop("seq", "pos")
             write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id, granularity=gran)
             write_table(alerts, f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
             write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
             write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id)
-            _publish(topics, "metrics", encode_kafka(balance_topic(balances), "address"), batch_id)
-            _publish(topics, "alerts", alerts_topic(alerts), batch_id)
+            _publish(topics, "metrics", balance_topic(balance_values(balances)), batch_id)
+            _publish(topics, "alerts", alerts_topic(records), batch_id)
         finally:
             batch.unpersist()
     return write
 
 
-def balance_topic(balances: DataFrame) -> DataFrame:
+def _split_writer(out_path: str, opts: LedgerOptions, topics=None):
+    gran = opts.table_partition
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            path = f"{out_path}/balance_updates"
+            rows = balances_of(batch, opts)
+            write_table(rows, path, batch_id=batch_id, granularity=gran)
+            balances = batch.sparkSession.read.schema(rows.schema).parquet(f"{path}/batch_id={int(batch_id)}")
+            late = late_alerts(balances.withColumnRenamed("timestamp_ms", "timestamp"), keep=PLACE)
+            write_table(late.drop(*PLACE), f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
+            write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
+            _publish(topics, "metrics", balance_topic(balance_values(balances)), batch_id)
+            _publish(topics, "alerts", alerts_topic(late), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def _activity_writer(out_path: str, opts: LedgerOptions, topics=None):
+    gran = opts.table_partition
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            records = split_output(batch)[1]
+            write_table(records.drop(*PLACE), f"{out_path}/alerts_activity", batch_id=batch_id, granularity=gran)
+            _publish(topics, "alerts", alerts_topic(records), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def balance_values(balances: DataFrame) -> DataFrame:
     """Balance records as the metrics topic carries them."""
     return balances.select(F.lit("balance_update").alias("metric_type"), "address", "tx_id", "kind", "balance", "utxo_count",
-                           F.col("timestamp_ms").alias("timestamp"), "source")
+                           F.col("timestamp_ms").alias("timestamp"), "source", "seq", "pos")
 
 
 def _tx_writer(out_path: str, opts: LedgerOptions, topics=None):
@@ -167,8 +209,8 @@ def _tx_writer(out_path: str, opts: LedgerOptions, topics=None):
             write_table(tx_rows(stamped), f"{out_path}/transactions", batch_id=batch_id, granularity=gran)
             write_table(metric_rows(metrics), f"{out_path}/metrics", batch_id=batch_id, granularity=gran)
             write_table(alerts, f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran)
-            _publish(topics, "metrics", encode_kafka(metrics, "tx_id"), batch_id)
-            _publish(topics, "alerts", alerts_topic(alerts), batch_id)
+            _publish(topics, "metrics", tx_records(tx_metrics(stamped, keep=("seq",))), batch_id)
+            _publish(topics, "alerts", alerts_topic(tx_alerts(stamped, opts, keep=("seq",))), batch_id)
         finally:
             batch.unpersist()
     return write
@@ -186,15 +228,13 @@ def write_alert_counts(alerts: DataFrame, path: str, batch_id: int) -> None:
     """D6 in streaming form: this batch's alerts per (minute, type), written
     as partition ``batch_id`` (a replay rewrites it); ``read_alert_rates``
     adds the partial counts up.  Work per batch is proportional to the batch."""
-    (alerts.groupBy(ms_to_minute("timestamp_ms").alias("minute"), "alert_type")
-           .agg(F.count(F.lit(1)).alias("total"))
-           .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("batch_id").parquet(path))
+    counts = alerts.groupBy(ms_to_minute("timestamp_ms").alias("minute"), "alert_type").agg(F.count(F.lit(1)).alias("total"))
+    counts.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    VersionedTable(alerts.sparkSession, path).add_batch(batch_id, counts.schema)
 
 
 def read_alert_rates(spark: SparkSession, out_path: str) -> DataFrame:
-    return (spark.read.parquet(f"{out_path}/alert_counts")
+    return (read_live(spark, f"{out_path}/alert_counts")
                  .groupBy("minute", "alert_type").agg(F.sum("total").alias("total")))
 
 
@@ -235,6 +275,28 @@ def start_addr_query(tx: DataFrame, out_path: str, checkpoint: str,
         return w.option("checkpointLocation", f"{checkpoint}/q_addr").start()
 
 
+def start_split_query(tx: DataFrame, out_path: str, checkpoint: str, opts: LedgerOptions = DEFAULT, trigger: dict | None = None,
+                      initial: DataFrame | None = None, topics=None) -> StreamingQuery:
+    """The ledger in two stages (``two_stage``): balances, latest changes and late
+    alerts, no task holding an address.  The activity alerts are
+    ``start_activity_query``'s."""
+    use_rocksdb(tx.sparkSession)
+    stream = change_stream(first_deliveries(tx, opts), opts, initial)
+    w = stream.writeStream.foreachBatch(_split_writer(out_path, opts, topics)).trigger(**(trigger or default_trigger(opts)))
+    with _partitions(tx.sparkSession, opts.stream_partitions):
+        return w.option("checkpointLocation", f"{checkpoint}/q_split").start()
+
+
+def start_activity_query(tx: DataFrame, out_path: str, checkpoint: str, opts: LedgerOptions = DEFAULT, trigger: dict | None = None,
+                         initial: DataFrame | None = None, topics=None) -> StreamingQuery:
+    """A3 and A4 by themselves: per address only its rows inside the window."""
+    use_rocksdb(tx.sparkSession)
+    stream = ledger_stream(first_deliveries(tx, opts), opts, initial, ActivityProcessor(opts))
+    w = stream.writeStream.foreachBatch(_activity_writer(out_path, opts, topics)).trigger(**(trigger or default_trigger(opts)))
+    with _partitions(tx.sparkSession, opts.stream_partitions):
+        return w.option("checkpointLocation", f"{checkpoint}/q_activity").start()
+
+
 def start_tx_query(tx: DataFrame, out_path: str, checkpoint: str,
                    opts: LedgerOptions = DEFAULT, trigger: dict | None = None, topics=None) -> StreamingQuery:
     if opts.dedupe_stream:
@@ -309,13 +371,13 @@ def read_state_pending(spark: SparkSession, checkpoint: str) -> DataFrame:
                      F.col("user_map_key.output_index").alias("prev_output_index"))
 
 
-def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
+def drain(query: StreamingQuery, idle_s: float | None = None) -> None:
     """Wait until everything the source has is committed, then stop.
 
-    The ledger's queries run no batches without data, so the end is reached
-    between batches and no commit is interrupted; with ``availableNow`` the query
-    has ended by itself then.  An error of the query is raised, never read as its
-    end."""
+    The end is reached between batches and no commit is interrupted; with
+    ``availableNow`` the query has ended by itself then.  An error of the query
+    is raised, never read as its end.  There is no limit to a run that goes on;
+    with ``idle_s``, one that has committed no batch for so long is an error."""
     failed: list[BaseException] = []
 
     def wait() -> None:
@@ -327,9 +389,14 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
     waiter = threading.Thread(target=wait, daemon=True)
     try:
         waiter.start()
-        waiter.join(timeout_s)
-        if waiter.is_alive():
-            raise TimeoutError(f"stream {query.name} did not drain in {timeout_s}s")
+        seen = None
+        while waiter.is_alive():
+            waiter.join(idle_s)
+            progress = query.lastProgress
+            now = progress and (progress["runId"], progress["batchId"])
+            if waiter.is_alive() and now == seen:
+                raise TimeoutError(f"stream {query.name or query.id} committed no batch in {idle_s} s")
+            seen = now
         if failed or query.exception() is not None:
             raise failed[0] if failed else query.exception()
     finally:
