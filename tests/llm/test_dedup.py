@@ -44,6 +44,14 @@ def test_exact_dedup_hot_group(spark):
     assert len(got) == 1200 and len(hot) == 600 and {r["keep_id"] for r in hot} == {2}
 
 
+def test_members_of_a_hot_group_stay_with_their_records(spark):
+    """A group over many windows, with a window for each tenth row."""
+    rows = [(i, "same") for i in range(300)] + [(300 + i, f"t{i}") for i in range(50)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), window_rows=10).collect()
+    assert len(got) == 350 and sum(r["kept"] for r in got) == 51
+    assert {(r["keep_id"], r["group_size"]) for r in got if r["doc_id"] < 300} == {(0, 300)}
+
+
 def test_exact_dedup_empty(no_docs):
     assert exact_dedup.exact_dedup(no_docs).collect() == []
     assert exact_dedup.drop_copies(no_docs).collect() == []

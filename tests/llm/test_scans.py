@@ -73,6 +73,47 @@ def test_matching_statistics_against_all_substrings():
                                         if text[i:i + len(p.split())] == p.split())
 
 
+def test_template_matches_against_all_places():
+    """Every match of every template, also inside another template's."""
+    rng = random.Random(9)
+    for _ in range(80):
+        templates = [(f"t{k}", " ".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))) for k in range(4)]
+        machine = license_scan.Automaton(templates, {"a b": "p"})
+        text = [rng.choice("abcd") for _ in range(50)]
+        want = set()
+        for t, (_, body) in enumerate(templates):
+            words = body.split()
+            for end in range(1, 51):
+                for to in range(1, len(words) + 1):
+                    n = 0
+                    while n < min(end, to) and text[end - n - 1] == words[to - n - 1]:
+                        n += 1
+                    goes_on = end < 50 and to < len(words) and text[end] == words[to]
+                    if n >= 2 and not goes_on:
+                        want.add((end, n, t, to))
+        got = machine.template_matches([w.encode() for w in text], 2)
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_nested_and_short_templates(spark):
+    templates = [("a", "x y z p q r s t u v"), ("b", "p q r s t"), ("c", "one two three four")]
+    texts = ["x y z p q r s t", "x y z p q r s t u v", "one two three", "one two three four five", "p q r s"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(frame, templates=templates, phrases={}, min_match=3).collect()}
+    assert got == {0: "a,b", 1: "a,b", 2: "", 3: "c", 4: ""}
+
+
+def test_every_template_is_found_whole(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["noise"] * rng.randint(0, 9)) + " " + text.upper() + "\n" + " other" * 5) for i, (_, text) in enumerate(license_scan.TEMPLATES)]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(label in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+               for i, (label, text) in enumerate(license_scan.TEMPLATES) if len(WORD.findall(text)) >= 4)
+    some = ["SPDX-License-Identifier: MIT", "it was released under the MIT", "// SPDX-License-Identifier: GPL-3.0-only", "CC0 1.0 Universal"]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string")).collect()}
+    assert got[0] == "spdx-mit" and got[1] == "" and got[2] == "spdx-gpl-3.0"
+
+
 # ---- secrets ----
 
 def secret_model(text):
@@ -156,6 +197,34 @@ def test_redacted_merges_overlaps():
     assert secret_scan.redacted("abc", [], "#") == "abc"
 
 
+def test_named_digests_and_bases_are_no_secrets():
+    encoding = secret_scan.tokenizer(secret_scan.default_vocabulary())
+    digest = "47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU="
+    for text in (f'integrity="sha256-{digest}"', f"sha256:{digest}", "sha512-" + "Ab3/" * 21 + "Ab==", "gattacagattacagattaca", "ACGTACGTTTGACCAGTNNACGT"):
+        assert secret_scan.random_spans(text, encoding, 2.25) == [], text
+    assert secret_scan.random_spans(f"key {digest[:-1]}", encoding, 2.25)  # a digest is known by its name
+    assert secret_scan.random_spans(f"sha256-{digest[:30]}", encoding, 2.25)  # and by its length
+
+
+def plain_random(text, encoding, ratio):
+    """Runs whose every stretch is unreadable, by the rule for whole runs alone."""
+    return [(m.start(), m.end()) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{16,}(?![A-Za-z0-9+/_=-])", text)
+            if re.search("[A-Za-z]", m[0]) and len(m[0]) < ratio * len(encoding.encode_ordinary(m[0]))
+            and not re.fullmatch("[ACGTUN]+|[acgtun]+", m[0]) and len(m[0]) not in (32, 40, 56, 64, 96, 128)]
+
+
+def test_random_spans_of_single_parts_against_a_plain_rule():
+    rng = random.Random(12)
+    encoding = secret_scan.tokenizer(secret_scan.default_vocabulary())
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(300):
+        parts = [rng.choice(["the", "international", "123456789012345678", "".join(rng.choice(letters) for _ in range(rng.randint(10, 30)))]) for _ in range(6)]
+        text = " ".join(parts)
+        got = [(a, b) for a, _, b in secret_scan.random_spans(text, encoding, 2.25)]
+        want = [s for s in plain_random(text, encoding, 2.25) if not secret_scan.is_readable(text[slice(*s)], encoding, 2.25)]
+        assert got == want, text
+
+
 # ---- byte-level BPE ----
 
 @pytest.fixture(scope="module")
@@ -170,6 +239,9 @@ def odd_texts():
     texts = ["a" * 3000, "aaaa aa " * 50, " \t\n  x\x1c\x1d y z", "&" * 777 + "　" * 9, "=-" * 99, "\x85\x0b\x0c t", "😀" * 33,
              "é́ İ ſK", "it's I'll 'S", "\x00\x01", "<|endoftext|>"]
     texts += ["".join(chr(rng.randrange(*rng.choice(planes))) for _ in range(30)) for _ in range(300)]
+    units = ["a", "aa", "ab", "-", "--", "=", "00", "é", "日", " ", "na", "ing", "th", "ss", "\n", "\t"]
+    texts += ["".join(rng.choice(units) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    texts += [u * n for u in units for n in range(1, 60, 7)]
     return texts + ["".join(rng.choice("ab \n&=") for _ in range(50)) for _ in range(300)]
 
 
@@ -250,6 +322,48 @@ def test_langid_edges(spark, docs, no_docs):
     assert langid.predict(no_docs, langid.learn(docs)).collect() == [] and langid.predict(docs, langid.learn(docs)).count() == docs.count()
 
 
+def test_langid_keeps_languages_of_many_rare_trigrams(spark):
+    rng = random.Random(3)
+    rows = [(i, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300)), "zh") for i in range(400)]
+    words = ["the", "of", "and", "river", "stone", "paper", "night", "green", "walk", "house"]
+    rows += [(1000 + i, " ".join(rng.choice(words) for _ in range(60)), "en") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = langid.predict(frame, langid.learn(frame)).join(frame, "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in got)
+    # A filter far too small for the pairs still decides, by its corrected counts.
+    tight = langid.learn(frame, least_bits=12, most_bits=18)
+    assert sum(r["lang_pred"] == r["lang"] for r in langid.predict(frame, tight).join(frame, "doc_id").collect()) >= 790
+
+
+def test_langid_against_plain_sets(spark):
+    """Learned and judged with plain sets in place of the filter."""
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    counts = {}
+    for r in rows:
+        if r["text"] is not None and r["lang"] is not None:
+            for grams, _ in langid.all_trigrams(r["text"]):
+                counts.setdefault(r["lang"], Counter()).update(grams.tolist())
+    totals = {k: sum(c.values()) for k, c in counts.items()}
+    best = {}
+    for k, c in counts.items():
+        for g, n in c.items():
+            best[g] = max(best.get(g, 0), n / totals[k])
+    sets = {k: {g for g, n in c.items() if n / totals[k] >= 0.1 * best[g]} for k, c in counts.items()}
+    same = 0
+    got = {r["doc_id"]: r for r in langid.predict(docs, langid.learn(docs)).collect()}
+    for r in rows:
+        grams = [g for part, _ in langid.all_trigrams(r["text"]) for g in part.tolist()]
+        hits = {k: sum(g in s for g in grams) for k, s in sets.items()}
+        want = max(sorted(hits, key=lambda k: (-totals[k], k)), key=lambda k: hits[k]) if grams else "und"
+        same += got[r["doc_id"]]["lang_pred"] == want
+        if grams and sum(hits.values()):
+            assert abs(got[r["doc_id"]]["score"] - hits[want] / sum(hits.values())) < 0.05
+    assert same >= 0.995 * len(rows)
+
+
 def test_trigram_chunks_agree(monkeypatch):
     import numpy as np
 

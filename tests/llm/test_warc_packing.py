@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from utxoflow.llm import packing, warc
 from utxoflow.llm.common import shared_path
@@ -128,5 +129,130 @@ def test_packing_is_whole(docs, options):
         assert sum(r["n_tokens"] for r in rows) == rows[0]["bin_used"] <= rows[0]["bin_capacity"]
 
 
+def test_bins_do_not_depend_on_the_layout(spark):
+    rng = random.Random(5)
+    rows = [(i % 400, "w " * rng.randint(1, 900)) for i in range(900)] + [(None, "n " * 50)] * 60 + [(None, "m " * 50)] * 40
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [sorted(map(str, packing.pack_documents(f, shard_rows=128).collect())) for f in (frame.coalesce(1), frame.repartition(5).orderBy(F.rand(3)))]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    numbered = packing.numbered_copies(spark.createDataFrame([("a",)] * 9000 + [("b",)], "x string")).collect()
+    assert sorted(r["copy"] for r in numbered if r["x"] == "a") == list(range(9000))
+
+
+def plain_joint(lengths, capacities, costs):
+    """Joint opening as stated, by search over all bins: best fit, else the length
+    whose cost per token that can be hoped for is least."""
+    bins = []
+    for at, size in enumerate(lengths):
+        fit = [b for b in bins if b[0] >= size]
+        if fit:  # of equal rooms the one that was filled last
+            best = min(fit, key=lambda b: (b[0], -b[2]))
+            best[0], best[2] = best[0] - size, at
+            best[1].append(at)
+            continue
+
+        def rate(i):
+            spare = capacities[i] - size
+            rest = [x for x in lengths[at + 1:] if x <= spare]
+            return costs[i] / (size + min(spare, sum(rest)))
+        pick = min((i for i, c in enumerate(capacities) if c >= size), key=lambda i: (rate(i), i))
+        bins.append([capacities[pick] - size, [at], at])
+    return [b for _, b, _ in bins]
+
+
+def test_joint_opening_against_a_search():
+    rng = random.Random(8)
+    for _ in range(150):
+        capacities = sorted(rng.sample(range(5, 60), rng.randint(1, 4)))
+        costs = [c + rng.randint(0, 9) for c in capacities]
+        lengths = sorted((rng.randint(1, capacities[-1]) for _ in range(rng.randint(1, 40))), reverse=True)
+        got = packing.pack_once(lengths, capacities, costs, None)
+        want = plain_joint(lengths, capacities, costs)
+        assert sorted(sorted(lengths[i] for i in b) for b in got) == sorted(sorted(lengths[i] for i in b) for b in want)
+
+
 def test_packing_empty(no_docs):
     assert packing.pack_documents(no_docs).collect() == []
+
+
+# ---- archives of others ----
+
+def record(kind, content, **headers):
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", *(f"{k.replace('_', '-')}: {v}" for k, v in headers.items()), f"Content-Length: {len(content)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + content + b"\r\n\r\n"
+
+
+def foreign():
+    """Five records as other tools write them: a warcinfo without URI or digest,
+    a request, two responses with HTTP headers, one without a digest."""
+    page = b"\xff\x00raw " * 400
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    ids = [f"<urn:uuid:0000000{i}-0000-4000-8000-000000000000>" for i in range(5)]
+    return page, [
+        record("warcinfo", b"software: x\r\n", WARC_Record_ID=ids[0], WARC_Date="2024-01-01T00:00:00Z", Content_Type="application/warc-fields"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", WARC_Record_ID=ids[1], WARC_Target_URI="http://a/", Content_Type="application/http; msgtype=request"),
+        record("response", http + page, WARC_Record_ID=ids[2], WARC_Target_URI="http://a/", Content_Type="application/http; msgtype=response"),
+        record("response", http + b"\r\n" + b"tail", WARC_Record_ID=ids[3], WARC_Target_URI="http://b/", Content_Type="application/http; msgtype=response"),
+        record("response", http.replace(b"html", b"plain") + page, WARC_Record_ID=ids[4], WARC_Target_URI="http://c/", WARC_Payload_Digest="sha1:ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+               Content_Type="application/http; msgtype=response")]
+
+
+def write_archive(spark, name, data):
+    from pathlib import Path
+
+    folder = shared_path(spark, "foreign")
+    local = Path(folder.removeprefix("file:"))
+    local.mkdir(parents=True)
+    (local / name).write_bytes(data)
+    return folder
+
+
+@pytest.mark.parametrize("packed", ["members", "one", "plain"])
+def test_archives_of_others_keep_every_record(spark, packed):
+    import gzip
+
+    page, records = foreign()
+    data = {"members": b"".join(map(gzip.compress, records)), "one": gzip.compress(b"".join(records)), "plain": b"".join(records)}[packed]
+    source, target = write_archive(spark, "a.warc" + ("" if packed == "plain" else ".gz"), data), shared_path(spark, "t")
+    rows = {r["record_id"][7]: r for r in warc.read_archives(spark, source, contents=True).collect()}
+    assert {k: r["warc_type"] for k, r in rows.items()} == {"0": "warcinfo", "1": "request", "2": "response", "3": "response", "4": "response"}
+    assert rows["2"]["payload_digest"] == rows["4"]["payload_digest"] == hashlib.sha1(page).hexdigest()
+    assert (rows["3"]["payload_bytes"], rows["0"]["payload_bytes"]) == (6, None)
+    warc.dedupe_archives(spark, source, target)
+    out = {r["record_id"][7]: r for r in warc.read_archives(spark, target, contents=True).collect()}
+    assert {k: r["warc_type"] for k, r in out.items()} == {"0": "warcinfo", "1": "request", "2": "revisit", "3": "response", "4": "response"}
+    assert out["2"]["refers_id"] == rows["4"]["record_id"] and bytes(out["2"]["content"]) == b""
+    assert all(bytes(out[k]["content"]) == bytes(rows[k]["content"]) and out[k]["content_type"] == rows[k]["content_type"] for k in "0134")
+    again = shared_path(spark, "t")  # archives that hold revisits already
+    warc.dedupe_archives(spark, target, again)
+    kept = {r["record_id"][7]: (r["warc_type"], r["refers_id"]) for r in warc.read_archives(spark, again).collect()}
+    assert kept == {k: (r["warc_type"], r["refers_id"]) for k, r in out.items()}
+    assert {(r["record_type"], r["payload_bytes"]) for r in warc.read_resolved(spark, again).collect()} == {("revisit", len(page)), ("response", len(page)), ("response", 6)}
+
+
+def test_broken_archives_are_errors(spark):
+    import gzip
+
+    _, records = foreign()
+    whole = b"".join(map(gzip.compress, records))
+    for data in (whole[:-30], gzip.compress(b"".join(records)[:-60]), gzip.compress(b"no archive\r\n\r\n")):
+        with pytest.raises(Exception):
+            warc.read_archives(spark, write_archive(spark, "a.warc.gz", data)).collect()
+
+
+def test_unpacking_in_steps():
+    import gzip
+
+    rng = random.Random(2)
+    parts = [bytes(rng.randrange(256) for _ in range(1000)) * rng.choice([1, 3000]) for _ in range(4)] + [b""]
+    data = b"".join(map(gzip.compress, parts))
+    got = list(warc.unpacked(data + b"\0" * 20))
+    assert b"".join(got) == b"".join(parts) and max(map(len, got)) <= warc.STEP
+
+
+def test_large_pages_make_small_files(spark):
+    rows = [(i, f"u{i}", chr(97 + i) * 1_000_000, None, None) for i in range(20)]
+    raw = shared_path(spark, "t")
+    warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), raw, bytes_per_file=4_000_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw).count()
+    assert files == 5 and warc.read_archives(spark, raw).count() == 20

@@ -8,9 +8,9 @@ Work runs over Arrow batches; a worker encodes a distinct match, and decodes its
 ids, once and keeps a bounded number of them.  Ids carry offsets in code points of the text: a
 token that ends inside a character covers that whole character.
 
-Ranks alone decide a merge, so where one token arises from two overlapping
-pairs (only in repetitive matches) the order of the pairs matters; each distinct
-match's ids are therefore checked against the rank library and corrected.
+Ranks alone decide a merge.  Where one token arises from several pairs, the one
+with the longer left part comes first, as a merge from the left would have it;
+tests hold the ids against the rank library, also for repetitive matches.
 
 Decoding maps ids to byte characters and reverses the byte table.  Characters
 split over tokens join again in the bytes; ``decode_text`` replaces what is not
@@ -26,10 +26,12 @@ from __future__ import annotations
 import gc
 import hashlib
 import os
+from contextlib import contextmanager
 from itertools import chain
 from operator import itemgetter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +72,6 @@ class ByteBPE:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        import tiktoken
         from tokenizers import Tokenizer, models
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,7 +80,7 @@ class ByteBPE:
         self.latin = {b: c for b, c in enumerate(self.chars)}
         self.byte_of = {c: b for b, c in enumerate(self.chars)}
         names = {token: self.to_chars(token) for token in ranks}
-        merges = sorted((rank, ranks[token[:i]], ranks[token[i:]], token[:i], token[i:])
+        merges = sorted((rank, -i, 0, token[:i], token[i:])
                         for token, rank in ranks.items() for i in range(1, len(token))
                         if token[:i] in ranks and token[i:] in ranks)
         self.model = Tokenizer(models.BPE(vocab={names[t]: r for t, r in ranks.items()},
@@ -87,7 +88,6 @@ class ByteBPE:
         self.name_of = {r: names[t] for t, r in ranks.items()}
         self.bytes_of = {r: bytes(self.byte_of[c] for c in self.name_of[r]) for r in self.name_of}
         self.split = regex.compile(pattern).findall
-        self.ranks = tiktoken.Encoding("check", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.known = Remembered({})
 
     def to_chars(self, raw: bytes) -> str:
@@ -101,10 +101,8 @@ class ByteBPE:
         found = [list(map(find, self.split(t))) if t else [] for t in texts]
         new, self.known.new = self.known.new, []
         raw = [piece.encode() for piece, _ in new]
-        for piece, (_, entry), got in zip(raw, new, self.model.encode_batch(list(map(self.to_chars, raw)), add_special_tokens=False)):
+        for (_, entry), got in zip(new, self.model.encode_batch(list(map(self.to_chars, raw)), add_special_tokens=False)):
             ids = got.ids
-            if ids != (checked := self.ranks._core_bpe.encode_single_piece(piece)):
-                ids = checked
             entry += (ids, " ".join(map(str, ids)), self.decode(ids), len(ids))
         return found
 
@@ -125,6 +123,19 @@ class ByteBPE:
         return self.decode(ids).decode("utf-8", "replace")
 
 
+@contextmanager
+def no_cycles():
+    """Without the cyclic collector: lists of ids make no cycles, and scanning
+    them costs more than the merges.  It runs again after the task."""
+    running = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if running:
+            gc.enable()
+
+
 def load(path: str, pattern: str) -> ByteBPE:
     return worker_cache(("bpe", path, pattern), lambda: ByteBPE(path, pattern))
 
@@ -171,6 +182,21 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *,
     return encoded.select(F.col(id_col).cast("bigint"), F.col(ids_col)).mapInArrow(run, DECODED)
 
 
+def count_tokens(docs: DataFrame, text_col: str = "text", name: str = "n_tokens", *, vocabulary: str | None = None,
+                 pattern: str | None = None) -> DataFrame:
+    """``docs`` with the number of ids of every whole text as column ``name``."""
+    where = _where(vocabulary, pattern)
+
+    @F.pandas_udf("bigint")
+    def count(texts: pd.Series) -> pd.Series:
+        bpe = load(*where)
+        size = itemgetter(3)
+        with no_cycles():
+            return pd.Series([sum(map(size, x)) for x in bpe.matches(texts.tolist())], dtype="int64")
+
+    return docs.withColumn(name, count(F.col(text_col)))
+
+
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, vocabulary: str | None = None,
                pattern: str | None = None) -> DataFrame:
     """Encode and decode every whole text; per row the number of ids and the
@@ -179,14 +205,14 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         bpe = load(*where)
-        gc.disable()  # lists of ids make no cycles, and scanning them costs more than the merges
         said, decoded, size = map(itemgetter, (1, 2, 3))
-        for batch in slices(batches, 128):
-            found = bpe.matches(batch.column(1).to_pylist())
-            yield batch_of(schema, {
-                "doc_id": batch.column(0), "n_tokens": [sum(map(size, x)) for x in found],
-                "ids_sha256": [hashlib.sha256(" ".join(map(said, x)).encode()).hexdigest() for x in found],
-                "decoded_sha256": [hashlib.sha256(b"".join(map(decoded, x))).hexdigest() for x in found]})
+        with no_cycles():
+            for batch in slices(batches, 128):
+                found = bpe.matches(batch.column(1).to_pylist())
+                yield batch_of(schema, {
+                    "doc_id": batch.column(0), "n_tokens": [sum(map(size, x)) for x in found],
+                    "ids_sha256": [hashlib.sha256(" ".join(map(said, x)).encode()).hexdigest() for x in found],
+                    "decoded_sha256": [hashlib.sha256(b"".join(map(decoded, x))).hexdigest() for x in found]})
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, ROUND)
 

@@ -3,7 +3,7 @@
 Texts are equal when identical after deleting ASCII white space.  Records are
 partitioned by a hash of the normalised text; each partition is read by one
 task that keeps an open-addressing table of complete contents.  Contents that
-no longer fit the table are spilled (with their members) to a Parquet file in
+no longer fit the table are spilled to a Parquet file in
 the shared folder, partitioned again by another hash, and so on until nothing
 is spilled.  A content already in the table is never spilled, so every level
 finishes at least one content per partition and every content is decided by
@@ -11,7 +11,9 @@ one table that compared it byte for byte.
 
 Before the first shuffle each map task collapses the copies it has itself
 (one record per content and window, with a bounded list of members), so a group
-holding a third of all rows sends its text once per window only.
+holding a third of all rows sends its text once per window only.  The members stay
+in the written records: the tables decide the class of a record, and its members
+get the verdict by a join on the record, so no task holds the members of a group.
 
 Defined results: null text counts as empty; empty texts form one group; rows
 that repeat a doc_id (or a whole row) are rows of their own, exactly one row
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 from utxoflow.llm.common import SPACE, SPACE_BYTES, arrow_schema, batch_of, shared_path, staged, text_bytes
 from utxoflow.session import pickle_by_value
 
-RECORD = "h bigint, content binary, ids array<bigint>, sizes array<bigint>"
-MEMBER = "doc_id bigint, n_chars bigint, rid bigint, class_id bigint, text_sha256 string, " + RECORD
+RECORD = ("rec bigint, h bigint, content binary, n bigint, best_n bigint, best_id bigint, best_at int, ids array<bigint>, "
+          "sizes array<bigint>")
+DECIDED = "rec bigint, class_id bigint, text_sha256 string, h bigint, content binary"
 
 
 class ContentTable:
@@ -80,17 +83,30 @@ def _hash(content: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
 
 
+def _best(ids: list[int | None], sizes: list[int]) -> int:
+    """Place of the member that would stay: most code points, then smallest id (null last), then first."""
+    return min(range(len(ids)), key=lambda i: (-sizes[i], ids[i] is None, ids[i] or 0, i))
+
+
 def _collapse(window_bytes: int, window_rows: int):
-    """Map side: one record per content and window, with its members."""
+    """Map side: one record per content and window, with its members and the
+    one of them that would stay."""
     schema = arrow_schema(RECORD)
 
-    def flush(table, ids, sizes):
+    def flush(table, ids, sizes, first):
         step = 256
         for at in range(0, len(ids), step):
-            yield batch_of(schema, {"h": table.hashes[at:at + step], "content": table.contents[at:at + step],
-                                    "ids": ids[at:at + step], "sizes": sizes[at:at + step]})
+            part_ids, part_sizes = ids[at:at + step], sizes[at:at + step]
+            best = [_best(i, n) for i, n in zip(part_ids, part_sizes)]
+            yield batch_of(schema, {
+                "rec": first + at + np.arange(len(part_ids)), "h": table.hashes[at:at + step], "content": table.contents[at:at + step],
+                "n": [len(i) for i in part_ids], "best_n": [n[b] for n, b in zip(part_sizes, best)],
+                "best_id": [i[b] for i, b in zip(part_ids, best)], "best_at": best, "ids": part_ids, "sizes": part_sizes})
 
     def run(batches):
+        from pyspark import TaskContext
+
+        made = TaskContext.get().partitionId() << 33
         table, ids, sizes, rows = ContentTable(), [], [], 0
         for batch in batches:
             keys, lengths = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -106,26 +122,27 @@ def _collapse(window_bytes: int, window_rows: int):
                 sizes[slot].append(n)
                 rows += 1
                 if table.bytes > window_bytes or rows >= window_rows:
-                    yield from flush(table, ids, sizes)
+                    yield from flush(table, ids, sizes, made)
+                    made += len(ids)
                     table, ids, sizes, rows = ContentTable(), [], [], 0
-        yield from flush(table, ids, sizes)
+        yield from flush(table, ids, sizes, made)
 
     return run
 
 
 def _grace(table_bytes: int, level: int):
-    """Reduce side of one level: members of contents that fit the table, and
-    the records of all others, spilled as they are."""
-    schema = arrow_schema(MEMBER)
+    """Reduce side of one level: the class of every record whose content fits
+    the table, and the records of all others, spilled as they are."""
+    schema = arrow_schema(DECIDED)
 
     def run(batches):
         from pyspark import TaskContext
 
-        table, digests, made = ContentTable(), [], 0
+        table, digests = ContentTable(), []
         base = (level << 56) | (TaskContext.get().partitionId() << 32)
         for batch in batches:
-            ids, sizes, rows, spilled = [], [], [], []
-            for i, (h, content) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            recs, slots, spilled = [], [], []
+            for i, (rec, h, content) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
                 slot, cell = table.find(h, content)
                 if slot < 0 and table.contents and table.bytes + len(content) > table_bytes:
                     spilled.append(i)
@@ -133,23 +150,16 @@ def _grace(table_bytes: int, level: int):
                 if slot < 0:
                     slot = table.add(cell, h, content)
                     digests.append(hashlib.sha256(content).hexdigest())
-                members = batch.column(2)[i].as_py()
-                ids += members
-                sizes += batch.column(3)[i].as_py()
-                rows += [slot] * len(members)
-            n, none = len(ids), pa.nulls
+                recs.append(rec)
+                slots.append(slot)
+            n, none = len(recs), pa.nulls
             if n:
-                yield batch_of(schema, {
-                    "doc_id": ids, "n_chars": sizes, "rid": base + made + np.arange(n), "class_id": base + np.array(rows),
-                    "text_sha256": [digests[r] for r in rows], "h": none(n, pa.int64()), "content": none(n, pa.binary()),
-                    "ids": none(n, pa.list_(pa.int64())), "sizes": none(n, pa.list_(pa.int64()))})
-                made += n
+                yield batch_of(schema, {"rec": recs, "class_id": base + np.array(slots), "text_sha256": [digests[s] for s in slots],
+                                        "h": none(n, pa.int64()), "content": none(n, pa.binary())})
             if spilled:
                 rest, n = batch.take(pa.array(spilled)), len(spilled)
-                yield batch_of(schema, {
-                    **{c: none(n, schema.field(c).type) for c in ("doc_id", "n_chars", "rid", "class_id", "text_sha256")},
-                    "h": rest.column(0).cast(pa.int64()), "content": rest.column(1).cast(pa.binary()),
-                    "ids": rest.column(2).cast(pa.list_(pa.int64())), "sizes": rest.column(3).cast(pa.list_(pa.int64()))})
+                yield batch_of(schema, {"rec": rest.column(0).cast(pa.int64()), "class_id": none(n, pa.int64()), "text_sha256": none(n, pa.string()),
+                                        "h": rest.column(1).cast(pa.int64()), "content": rest.column(2).cast(pa.binary())})
 
     return run
 
@@ -162,24 +172,29 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
                          F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_chars"))
-    records = source.mapInArrow(_collapse(int(window_mb * 2**20), window_rows), RECORD)
-    done, level = None, 0
+    records = staged(source.mapInArrow(_collapse(int(window_mb * 2**20), window_rows), RECORD), "exact-records")
+    open_, done, level = records.select("rec", "h", "content"), None, 0
     while True:
         path = shared_path(spark, f"grace-{level}")
         bucket = F.col("h") if level == 0 else F.xxhash64(F.col("h"), F.lit(level))
-        records.repartition(bucket).mapInArrow(_grace(int(table_mb * 2**20), level), MEMBER).write.parquet(path)
-        out = spark.read.schema(MEMBER).parquet(path)
-        members = out.filter("class_id is not null").select("doc_id", "n_chars", "rid", "class_id", "text_sha256")
-        done = members if done is None else done.unionByName(members)
-        records = out.filter("class_id is null").select("h", "content", "ids", "sizes")
-        if records.limit(1).count() == 0:
+        open_.repartition(bucket).mapInArrow(_grace(int(table_mb * 2**20), level), DECIDED).write.parquet(path)
+        out = spark.read.schema(DECIDED).parquet(path)
+        decided = out.filter("class_id is not null").select("rec", "class_id", "text_sha256")
+        done = decided if done is None else done.unionByName(decided)
+        open_ = out.filter("class_id is null").select("rec", "h", "content")
+        if open_.limit(1).count() == 0:
             break
         level += 1
-    best = F.max(F.struct(F.col("n_chars"), F.bitwise_not("doc_id").alias("back"), F.bitwise_not("rid").alias("last")))
-    classes = done.groupBy("class_id").agg(F.count("*").alias("group_size"), best.alias("best"))
-    out = done.join(classes, "class_id")
-    return out.select("doc_id", F.bitwise_not("best.back").alias("keep_id"), "group_size",
-                      (F.col("rid") == F.bitwise_not("best.last")).alias("kept"), "text_sha256", "n_chars")
+    # Records, not members, meet their class: a hot content has one per window.  Its members stay with their records.
+    best = F.max(F.struct(F.col("best_n"), F.bitwise_not("best_id").alias("back"), F.bitwise_not("rec").alias("last"), "best_at"))
+    classes = done.join(records.select("rec", "n", "best_n", "best_id", "best_at"), "rec").groupBy("class_id").agg(
+        F.sum("n").alias("group_size"), best.alias("best"))
+    verdict = done.join(classes, "class_id").select(
+        "rec", "group_size", "text_sha256", F.bitwise_not("best.back").alias("keep_id"),
+        F.when(F.bitwise_not("best.last") == F.col("rec"), F.col("best.best_at")).alias("stays"))
+    out = records.select("rec", "ids", "sizes").join(verdict, "rec").select("*", F.posexplode(F.arrays_zip("ids", "sizes")).alias("at", "m"))
+    return out.select(F.col("m.ids").alias("doc_id"), "keep_id", "group_size", F.col("at").eqNullSafe(F.col("stays")).alias("kept"),
+                      "text_sha256", F.col("m.sizes").alias("n_chars"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -2,12 +2,17 @@
 
 Learning counts letter trigrams per language (one shuffle of partial counts).
 A trigram belongs to a language when its share of that language's trigrams is
-at least ``floor`` (so a language has at most ``1 / floor`` of them, whatever
-the corpus size) and at least ``rival`` times its largest share in any
-language.  The pairs fill one bit-sliced Bloom filter: ``2 ** bits`` slots, each
-a bitmask with one bit per language (as many 64-bit slices as the languages
-need).  And-ing the ``hashes`` slots of a trigram returns all languages that
-contain it at once.
+at least ``rival`` times its largest share in any language, however rare it is.
+The pairs fill one bit-sliced Bloom filter: ``2 ** bits`` slots, each a bitmask
+with one bit per language (as many 64-bit slices as the languages need, narrower
+masks for few languages).  And-ing the ``hashes`` slots of a trigram returns all
+languages that contain it at once.
+
+The filter's size follows the counted pairs: the fullest plane has at most ``fill``
+of its bits set.  Spark or-s the bits in blocks of slots, and only finished blocks
+come to the driver.  ``most_bits`` bounds the filter's memory, not what it holds:
+all pairs are in it at any size; beyond the bound its planes are fuller and have
+more false positives, which the decision corrects for.
 
 A text's popcount per language, corrected for the false positives expected
 from that language's bit plane, decides; ties go to the language with more
@@ -26,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from utxoflow.llm.common import arrow_schema, batch_of, slices, staged, worker_cache
@@ -63,13 +68,18 @@ def all_trigrams(text: str | None):
         yield trigrams(text, at)
 
 
+def mask_type(languages: int) -> np.dtype:
+    """The narrowest mask that has a bit for every language of a slice."""
+    return np.dtype(next((f"u{size}" for size in (1, 2, 4) if languages <= 8 * size), "u8"))
+
+
 class Filter:
     """Bit-sliced Bloom filter from trigrams to sets of languages."""
 
     def __init__(self, languages: list[str], weights: list[int], bits: int, hashes: int):
         self.languages, self.bits, self.hashes = languages, bits, hashes
         self.slices = max(1, -(-len(languages) // 64))
-        self.slots = np.zeros((self.slices, 1 << bits), dtype=np.uint64)
+        self.slots = np.zeros((self.slices, 1 << bits), dtype=mask_type(len(languages)))
         self.prior = max(range(len(languages)), key=lambda i: (weights[i], -i), default=None)
         self.order = sorted(range(len(languages)), key=lambda i: (-weights[i], i))
 
@@ -84,11 +94,14 @@ class Filter:
     def add(self, language: int, grams: np.ndarray) -> None:
         part, bit = divmod(language, 64)
         for at in self.places(grams):
-            np.bitwise_or.at(self.slots[part], at, np.uint64(1 << bit))
+            np.bitwise_or.at(self.slots[part], at, self.slots.dtype.type(1 << bit))
+
+    def mask(self, language: int):
+        return self.slots.dtype.type(1 << language % 64)
 
     def seal(self) -> "Filter":
         """False positive rate per language: its plane's fill to the power of the hashes."""
-        fill = [np.count_nonzero(self.slots[i // 64] & np.uint64(1 << i % 64)) / (1 << self.bits) for i in range(len(self.languages))]
+        fill = [np.count_nonzero(self.slots[i // 64] & self.mask(i)) / (1 << self.bits) for i in range(len(self.languages))]
         self.false = np.minimum(np.array(fill) ** self.hashes, 0.999999)
         return self
 
@@ -109,8 +122,8 @@ class Filter:
         return best, score
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, floor: float = 2e-5, rival: float = 0.1,
-          bits: int = 18, hashes: int = 3, held_keys: int = 400_000) -> Filter:
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, rival: float = 0.1, fill: float = 0.3,
+          least_bits: int = 16, most_bits: int = 24, hashes: int = 3, held_keys: int = 400_000) -> Filter:
     """Count trigrams of all rows with a language and fill the filter."""
     schema = arrow_schema(COUNTS)
 
@@ -140,20 +153,49 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, fl
     taught = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string"), F.col(text_col))
     counts = staged(taught.mapInArrow(count, COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    # shares and the floor are found per language by Spark; what comes to the driver is at most 1 / floor rows a language
-    totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
-    rows = pd.DataFrame({"lang": [], "gram": [], "n": []})
-    if totals:
-        least = F.create_map(*[F.lit(x) for k, v in totals.items() for x in (k, floor * v)])
-        rows = counts.filter(F.col("n") >= least[F.col("lang")]).toPandas()
+    totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}  # a row per language
     languages = sorted(totals)
-    out = Filter(languages, [totals[k] for k in languages], bits, hashes)
-    if languages:
-        rows["share"] = rows["n"] / rows["lang"].map(totals)
-        rows = rows[rows["share"] >= rival * rows.groupby("gram")["share"].transform("max")]
-        for i, lang in enumerate(languages):
-            out.add(i, rows.loc[rows["lang"] == lang, "gram"].to_numpy(np.int64))
-    return out.seal()
+    if not languages:
+        return Filter([], [], least_bits, hashes).seal()
+    spark = docs.sparkSession
+    numbered = spark.createDataFrame([(k, i, totals[k]) for i, k in enumerate(languages)], "lang string, language int, total bigint")
+    shares = counts.join(numbered, "lang").withColumn("share", F.col("n") / F.col("total"))
+    best = F.max("share").over(Window.partitionBy("gram"))
+    pairs = staged(shares.withColumn("best", best).filter(F.col("share") >= rival * F.col("best")).select("language", "gram"), "gram-pairs")
+    most = pairs.groupBy("language").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    bits = min(most_bits, max(least_bits, int(hashes * most / fill).bit_length()))
+    return filled(pairs, Filter(languages, [totals[k] for k in languages], bits, hashes)).seal()
+
+
+#: Slots of a block that one group or-s together.
+BLOCK_BITS = 12
+PLACES = "slice int, block int, slot int, language int"
+PLANES = "slice int, block int, plane binary"
+
+
+def filled(pairs: DataFrame, empty: Filter) -> Filter:
+    """``empty`` with the (language, gram) rows of ``pairs`` in it."""
+    places_schema, planes_schema = arrow_schema(PLACES), arrow_schema(PLANES)
+    kind = empty.slots.dtype
+
+    def places(batches):
+        for batch in batches:
+            language = batch.column(0).to_numpy()
+            for at in empty.places(batch.column(1).to_numpy()):
+                yield batch_of(places_schema, {"slice": language // 64, "block": (at >> BLOCK_BITS).astype(np.int32),
+                                               "slot": (at & ((1 << BLOCK_BITS) - 1)).astype(np.int32), "language": language})
+
+    def block(table: pa.Table) -> pa.Table:
+        slots = np.zeros(1 << BLOCK_BITS, kind)
+        bits = np.left_shift(np.uint64(1), (table.column("language").to_numpy() % 64).astype(np.uint64)).astype(kind)
+        np.bitwise_or.at(slots, table.column("slot").to_numpy(), bits)
+        return pa.Table.from_pylist([{"slice": table.column("slice")[0].as_py(), "block": table.column("block")[0].as_py(),
+                                      "plane": slots.tobytes()}], schema=planes_schema)
+
+    for r in pairs.mapInArrow(places, PLACES).groupBy("slice", "block").applyInArrow(block, PLANES).toLocalIterator():
+        at = r["block"] << BLOCK_BITS
+        empty.slots[r["slice"], at:at + (1 << BLOCK_BITS)] = np.frombuffer(r["plane"], kind)
+    return empty
 
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text",
@@ -170,7 +212,7 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
                 hit, size, letter = np.zeros(len(model.languages)), 0, False
                 for grams, some in all_trigrams(text):
                     masks = model.lookup(grams)
-                    hit += [np.count_nonzero(masks[i // 64] & np.uint64(1 << i % 64)) for i in range(len(hit))]
+                    hit += [np.count_nonzero(masks[i // 64] & model.mask(i)) for i in range(len(hit))]
                     size, letter = size + len(grams), letter or some
                 hits.append(hit)
                 sizes.append(size)

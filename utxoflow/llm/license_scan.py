@@ -3,10 +3,15 @@
 The driver builds one automaton over the words of all templates and phrases
 (bounded by the templates, not by the corpus) and ships it to the workers.
 Each text is streamed through it once, giving matching statistics: at every
-word the longest suffix that occurs in some template.  Right-maximal matches of
-``min_match`` or more words are then chained, per template, in increasing order
-of text and template positions with bounded gaps; a chain that covers at least
-``coverage`` of a template's words is a span with that template's label.
+word the longest suffix that occurs in some template.  A text with a match of
+``min_match`` or more words is gone through again for the matches of every
+template: the longest one's suffix states hold the templates that share only its
+end, and at each place where the text leaves a template (or the template ends)
+that template's match is taken - also when it lies inside another template's.
+The matches are then chained, per template, in increasing order of text and
+template positions with bounded gaps; a chain that covers at least ``coverage`` of
+a template's words (all of them in templates of up to ``short`` words) is a span
+with that template's label.
 
 Phrases are short word sequences found wherever their words stand
 consecutively: a phrase ends at a word when its state is the matched state or a
@@ -73,8 +78,33 @@ TEMPLATES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+     "software to the public domain worldwide. This software is distributed without any warranty."),
+    ("cc0-1.0", "CC0 1.0 Universal"),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+     "transmit the Software, and to prepare derivative works of the Software"),
+    ("agpl-3.0", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+     "version 3 of the License, or (at your option) any later version."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+     "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+     "including commercial applications, and to alter it and redistribute it freely"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+     "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("isc", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("mit-text", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+     "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+     "THE SOFTWARE."),
 ]
 
+# Identifiers that follow ``SPDX-License-Identifier:`` in files.
+SPDX = ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0",
+        "ISC", "Zlib", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense", "0BSD")
+TEMPLATES += [(f"spdx-{name.lower()}", f"SPDX-License-Identifier: {name}") for name in SPDX]
+
 #: Bytes of a text to word bytes: ASCII capitals in lower case, separators as blanks.
 WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
                    for b in range(256))
@@ -92,6 +122,8 @@ class Automaton:
         self.labels = [label for label, _ in templates]
         sequences = [self._ids(text) for _, text in templates]
         self.lengths = [len(x) for x in sequences]
+        self.sequences = sequences
+        self.known: dict[int, list[tuple[int, int, int]]] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.longest = [-1], [0]
         for ids in [*sequences, *map(self._ids, phrases)]:
@@ -181,34 +213,62 @@ class Automaton:
             matches.append((len(words), length, state))
         return places, matches
 
-    def chains(self, matches: list[tuple[int, int, int]], gap: int, coverage: float) -> list[tuple[int, int, str, float]]:
+    def held(self, state: int) -> list[tuple[int, int, int]]:
+        """(template, end in it, words) of all places that share a suffix with the
+        state's longest string, each with the longest such suffix."""
+        if state not in self.known:
+            found: dict[tuple[int, int], int] = {}
+            at = state
+            while at > 0:
+                for place in self.ends[at]:
+                    found.setdefault(place, self.longest[at])
+                at = self.link[at]
+            self.known[state] = [(t, to, n) for (t, to), n in found.items()]
+        return self.known[state]
+
+    def template_matches(self, words: list[bytes], min_match: int) -> list[tuple[int, int, int, int]]:
+        """(end, words, template, end in it) of every match of ``min_match`` or
+        more words that neither its template nor the text continues alike."""
+        ids = [*map(self.vocabulary.get, words), None]
+        out, state, length = [], 0, 0
+        for at, word in enumerate(ids[:-1]):
+            while state and word not in self.next[state]:
+                state = self.link[state]
+                length = self.longest[state]
+            state = self.next[state].get(word, 0)
+            length = length + 1 if state else 0
+            if length >= min_match:
+                for t, to, n in self.held(state):
+                    ended = to == self.lengths[t] or self.sequences[t][to] != ids[at + 1]
+                    if ended and min(n, length) >= min_match:
+                        out.append((at + 1, min(n, length), t, to))
+        return out
+
+    def chains(self, matches: list[tuple[int, int, int, int]], gap: int, coverage: float, short: int = 0) -> list[tuple[int, int, str, float]]:
         """Spans (first word, last word, label, covered share): matches of a
         template in increasing order of both positions, neighbours at most
         ``gap`` words apart in the text.  A chain keeps one open end per
         template position, so work is matches times places in the templates."""
         open_: dict[int, dict[int, tuple[int, int, int]]] = {}  # template -> template end -> (covered, start, text end)
         best: dict[int, list[tuple[int, int, int]]] = {}
-        for end, length, state in matches:
-            for t, to in self.ends[state]:
-                start, come = end - length, to - length
-                if come < 0:
-                    continue
-                ends = open_.setdefault(t, {})
-                got = (length, start, end)
-                for other in [e for e, x in ends.items() if start - x[2] > gap]:
-                    del ends[other]
-                for other, (covered, first, stop) in ends.items():
-                    over = max(0, stop - start, other - come)  # words of this match that the chain has already
-                    if other < to and stop < end and over < length and covered + length - over > got[0]:
-                        got = (covered + length - over, first, end)
-                if to not in ends or got[0] >= ends[to][0]:
-                    ends[to] = got
-                if got[0] >= coverage * self.lengths[t]:
-                    spans = best.setdefault(t, [])
-                    if spans and spans[-1][1] == got[1]:
-                        spans[-1] = max(spans[-1], got)
-                    else:
-                        spans.append(got)
+        for end, length, t, to in matches:
+            start, come = end - length, to - length
+            ends = open_.setdefault(t, {})
+            got = (length, start, end)
+            for other in [e for e, x in ends.items() if start - x[2] > gap]:
+                del ends[other]
+            for other, (covered, first, stop) in ends.items():
+                over = max(0, stop - start, other - come)  # words of this match that the chain has already
+                if other < to and stop < end and over < length and covered + length - over > got[0]:
+                    got = (covered + length - over, first, end)
+            if to not in ends or got[0] >= ends[to][0]:
+                ends[to] = got
+            if got[0] >= (1 if self.lengths[t] <= short else coverage) * self.lengths[t]:
+                spans = best.setdefault(t, [])
+                if spans and spans[-1][1] == got[1]:
+                    spans[-1] = max(spans[-1], got)
+                else:
+                    spans.append(got)
         return sorted((first, end - 1, self.labels[t], min(1.0, covered / self.lengths[t]))
                       for t, spans in best.items() for covered, first, end in spans)
 
@@ -218,7 +278,7 @@ SCAN = ("doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_w
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates=None, phrases=None,
-         min_match: int = 4, gap: int = 12, coverage: float = 0.75, phrase_score: float = 0.5) -> DataFrame:
+         min_match: int = 4, gap: int = 12, coverage: float = 0.75, short: int = 8, phrase_score: float = 0.5) -> DataFrame:
     """Per row: words, phrase places and labels, all labels, the best covered
     share (a phrase alone counts ``phrase_score``), and the template spans as
     ``label:first word:last word`` joined by commas."""
@@ -231,7 +291,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tem
             for text in batch.column(1):
                 words = words_of(text_bytes(text))
                 places, matches = machine.scan(words, min_match)
-                spans = machine.chains(matches, gap, coverage) if matches else []
+                spans = machine.chains(machine.template_matches(words, min_match), gap, coverage, short) if matches else []
                 base = sorted({label for _, _, label in places})
                 rows.append((len(words), len(places), min((p[0] for p in places), default=None),
                              max((p[0] for p in places), default=None), ",".join(base),

@@ -2,8 +2,10 @@
 
 Several sequence lengths are permitted.  A document longer than the largest is
 cut into pieces of that length and a rest; no token is dropped.  Pieces are
-dealt to shards of about ``shard_rows`` (by a hash that includes the row, so no
-id can fill a shard) and each shard is packed by one task, longest piece first:
+dealt to shards of about ``shard_rows`` by a hash of id, text, piece and the number
+of the copy (rows equal in id and text are counted and told apart by number), so
+no id and no repeated row can fill a shard, and the bins do not depend on how the
+table's rows lie in files.  Each shard is packed by one task, longest piece first:
 a piece goes to the open bin it leaves the least room in; if none has room, a
 bin of the permitted length with the least expected cost per token is opened,
 the expectation being how much of the room the pieces still to come can fill.
@@ -86,6 +88,23 @@ def pack(lengths: list[int], capacities: list[int], costs: list[float]) -> list[
     return [(capacities[k], b) for k, b in best]
 
 
+#: Copies that one row numbers, so that a third of all rows is numbered by many tasks.
+COPIES = 4096
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``: 0, 1, ... among equal rows.  Equal rows are counted
+    (map-side first), the counts cut into stretches and these dealt out before
+    they become rows again."""
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    stretch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES).cast("bigint")))
+    dealt = counted.withColumn("stretch", stretch).repartition(*names, "stretch")
+    first = F.col("stretch") * COPIES
+    copies = F.sequence(first, F.least(F.col("n"), first + COPIES) - 1)
+    return dealt.withColumn("copy", F.explode(copies)).drop("n", "stretch")
+
+
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length_col: str | None = None,
                    capacities=CAPACITIES, costs=None, overhead: float = 16, shard_rows: int = 2048) -> DataFrame:
     """One row per piece: doc_id, piece, piece_start and n_tokens in the
@@ -95,15 +114,17 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     largest = sizes[-1]
     n = F.greatest(F.coalesce(F.col(length_col).cast("bigint"), F.lit(0)), F.lit(0)) if length_col else F.size(words_of(F.col(text_col)))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), n.cast("bigint").alias("total"),
-                       F.monotonically_increasing_id().alias("row"))
+                       F.xxhash64(F.col(text_col).cast("string")).alias("key"))
+    rows = numbered_copies(rows)
     count = F.greatest(F.ceil(F.col("total") / largest), F.lit(1)).cast("int")
-    pieces = rows.select("doc_id", "total", "row", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece"))
+    pieces = rows.select("doc_id", "total", "key", "copy", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece"))
     pieces = staged(pieces.withColumn("piece_start", F.col("piece").cast("bigint") * largest)
                     .withColumn("n_tokens", F.least(F.col("total") - F.col("piece_start"), F.lit(largest))).drop("total"), "pieces")
     shards = max(1, -(-pieces.filter("n_tokens > 0").count() // shard_rows))
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_tokens", "doc_id", "piece", "row"], ascending=[False, True, True, True], ignore_index=True)
+        group = group.sort_values(["n_tokens", "doc_id", "piece", "key", "copy"], ascending=[False, True, True, True, True],
+                                  ignore_index=True)
         lengths = group["n_tokens"].tolist()
         shard, parts = int(group["shard"].iloc[0]), []
         for k, (capacity, places) in enumerate(pack(lengths, sizes, price)):
@@ -113,7 +134,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         out = group.loc[at, ["doc_id", "piece", "piece_start", "n_tokens"]].reset_index(drop=True)
         return out.assign(doc_id=out["doc_id"].astype("Int64"), bin_id=bin_id, bin_capacity=capacity, bin_used=used, bin_offset=offset)
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("doc_id", "key", "piece", "copy"), F.lit(shards)).alias("shard")
     full = pieces.filter("n_tokens > 0").select("*", shard).groupBy("shard").applyInPandas(packed, PACKED)
     none = [F.lit(None).cast(t).alias(c) for c, t in (("bin_id", "bigint"), ("bin_capacity", "int"), ("bin_used", "int"), ("bin_offset", "int"))]
     return full.unionByName(pieces.filter("n_tokens <= 0").select("doc_id", "piece", "piece_start", "n_tokens", *none))

@@ -23,13 +23,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) == 2
-    return langid.predict(docs, langid.learn(docs.filter(~held)), held_out=held)
+    out = langid.predict(docs, langid.learn(docs.filter(~held)), held_out=held)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_assign", "n_access", "n_hex", "n_random",
-                      F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans")
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans",
+                      "n_random")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

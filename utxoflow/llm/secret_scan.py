@@ -12,7 +12,8 @@ readable parts do not hide a key, each stretch of unreadable parts between
 separators, and each such part, is tested likewise when the run as a whole is no
 secret; the span is the stretch's or part's then.  A run with fewer than 16
 characters from its first to its last unreadable part (and in numbers outside)
-is none, and so is a run of readable parts only: numbers, known digests (hex of a
+is none, and so is a run of bases (ACGT), a digest in base64 behind its name
+(``sha256-...``) and a run of readable parts only: numbers, known digests (hex of a
 digest's length), UUIDs, parts of up to three characters, and words with up to
 four digits after them; a word has at least ``ratio`` characters per token
 itself, or is short with at most two tokens.
@@ -42,6 +43,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.IGNORECASE | re.ASCII)
+#: A digest in base64 behind its name, as lock files and integrity attributes have it.
+NAMED = re.compile(r"(?<![A-Za-z0-9])sha(1|224|256|384|512)[-_=:]([A-Za-z0-9+/_-]+={0,2})\Z", re.IGNORECASE | re.ASCII)
+NAMED_BYTES = {"1": 20, "224": 28, "256": 32, "384": 48, "512": 64}
+#: A sequence of bases.
+BASES = re.compile(r"(?:[ACGTUN]+|[acgtun]+)\Z")
 PART = re.compile(r"(?<![A-Za-z0-9])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+", re.IGNORECASE | re.ASCII)
 WORD = re.compile(r"([A-Za-z]+)[0-9]{0,4}\Z")
 #: The key words of ``assign``, to pass over texts without any.
@@ -78,6 +84,11 @@ def is_word(letters: str, encoding, ratio: float) -> bool:
     return n <= 2 and len(letters) < 16 or len(letters) >= ratio * n
 
 
+def is_named_digest(run: str) -> bool:
+    named = NAMED.search(run)
+    return named is not None and len(named[2].rstrip("=")) == -(-8 * NAMED_BYTES[named[1]] // 6)
+
+
 def is_readable(part: str, encoding, ratio: float) -> bool:
     if len(part) <= 3 or part.isdigit() or "-" in part or DIGEST.match(part):  # only a UUID holds a dash
         return True
@@ -107,7 +118,7 @@ def random_spans(text: str, encoding, ratio: float) -> list[Span]:
     found: list[Span] = []
     for m in RUN.finditer(text):
         run = m[0].strip("+/_=-")
-        if len(run) < 16 or not LETTER.search(run):
+        if len(run) < 16 or not LETTER.search(run) or BASES.match(run) or is_named_digest(text[max(0, m.start() - 7):m.end()]):
             continue
         groups = stretches(run, encoding, ratio)
         if not groups:
