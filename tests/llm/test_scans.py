@@ -260,7 +260,9 @@ def test_bpe_ids_and_round_trip(reference_encoding):
 def test_bpe_memory_generations(reference_encoding, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 20)
     machine = bpe.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "COUNTED", 20)
     for text in odd_texts()[:60] * 2:
+        assert machine.count_batch([text, None, text]) == [len(reference_encoding.encode_ordinary(text)), 0, len(reference_encoding.encode_ordinary(text))]
         assert machine.encode_batch([text, None]) == [reference_encoding.encode_ordinary(text), []]
 
 

@@ -40,6 +40,8 @@ from utxoflow.session import pickle_by_value
 
 #: Distinct matches of a generation; a worker remembers this and the one before.
 REMEMBERED = 300_000
+#: Distinct matches whose number of ids is remembered where only numbers are asked for.
+COUNTED = 100_000
 
 
 def byte_characters() -> list[str]:
@@ -89,6 +91,7 @@ class ByteBPE:
         self.bytes_of = {r: bytes(self.byte_of[c] for c in self.name_of[r]) for r in self.name_of}
         self.split = regex.compile(pattern).findall
         self.known = Remembered({})
+        self.sizes: dict[str, int] = {}
 
     def to_chars(self, raw: bytes) -> str:
         return raw.decode("latin-1").translate(self.latin)
@@ -106,6 +109,16 @@ class ByteBPE:
             entry += (ids, " ".join(map(str, ids)), self.decode(ids), len(ids))
         return found
 
+    def count_batch(self, texts: list[str | None]) -> list[int]:
+        """Number of ids of every text; ids are not kept."""
+        if len(self.sizes) > COUNTED:
+            self.sizes = {}
+        pieces = [self.split(t) if t else [] for t in texts]
+        new = list({p for found in pieces for p in found if p not in self.sizes})
+        raw = [self.to_chars(p.encode()) for p in new]
+        self.sizes.update(zip(new, (len(x.ids) for x in self.model.encode_batch(raw, add_special_tokens=False))))
+        return [sum(map(self.sizes.__getitem__, found)) for found in pieces]
+
     def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
         return [list(chain.from_iterable(map(itemgetter(0), pieces))) for pieces in self.matches(texts)]
 
@@ -189,10 +202,10 @@ def count_tokens(docs: DataFrame, text_col: str = "text", name: str = "n_tokens"
 
     @F.pandas_udf("bigint")
     def count(texts: pd.Series) -> pd.Series:
-        bpe = load(*where)
-        size = itemgetter(3)
-        with no_cycles():
-            return pd.Series([sum(map(size, x)) for x in bpe.matches(texts.tolist())], dtype="int64")
+        bpe, held = load(*where), texts.tolist()
+        with no_cycles():  # a few texts at a time, as the matches of many would fill the worker
+            counts = [bpe.count_batch(held[at:at + 64]) for at in range(0, len(held), 64)]
+        return pd.Series([n for part in counts for n in part], dtype="int64")
 
     return docs.withColumn(name, count(F.col(text_col)))
 
