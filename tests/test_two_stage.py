@@ -18,7 +18,8 @@ from utxoflow.options import DEFAULT
 from utxoflow.plans.fixtures import FXB_OPTIONS, fx_b
 from utxoflow.plans.stream_queries import FILES, stream_batches, stream_fixture, transaction_batches
 from utxoflow.schema import TRANSACTION
-from utxoflow.sinks.versions import read_live
+from utxoflow.session import checkpoint_dir
+from utxoflow.sinks.versions import file_names, read_live
 from utxoflow.streaming.stream import drain, start_activity_query, start_split_query
 from utxoflow.streaming.two_stage import NONE, PENDING, UNSPENT, apply_updates, read_entries
 
@@ -78,6 +79,7 @@ def test_adversarial_updates_match_the_model(spark):
     got = {(r.arrival_ms, r.seq, r.pos): (Decimal(str(r.balance)), r.utxo_count)
            for r in read_live(spark, f"{run}/out/balance_updates").collect()}
     assert got == {k: (v[0], v[1]) for k, v in model.items()}
+    assert not [n for n in file_names(spark, checkpoint_dir(spark)) if "scratch" in n]  # a stream leaves no pieces behind
 
 
 def test_late_rows_are_kept_and_flagged_with_the_engines_watermark(spark):

@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
     ap.add_argument("--initial-state", help="ledger_state folder of a batch run to continue from")
+    ap.add_argument("--no-dedupe", action="store_true", help="every transaction is known to come once")
     ap.add_argument("--split", action="store_true", help="stream: the ledger in two stages, for hot addresses")
     for f in dataclasses.fields(DEFAULT):
         if isinstance(f.default, bool):
@@ -49,12 +50,13 @@ def main(argv: list[str] | None = None) -> None:
     src = {"path": a.path} if a.source != "kafka" else {"servers": a.servers, "topic": a.topic}
     tx, rejected = read_with_quarantine(spark, a.source, streaming=a.mode == "stream", **src)
     if a.mode == "batch":
-        for name, path in batch_job(tx, a.out, opts, rejected).items():
+        for name, path in batch_job(tx, a.out, opts, rejected, dedupe=not a.no_dedupe).items():
             print(name, path)
     else:
         if not a.checkpoint:
             ap.error("stream needs --checkpoint")
-        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, initial_state=a.initial_state, rejected=rejected, split=a.split):
+        for q in stream_job(spark, tx, a.out, a.checkpoint, opts, initial_state=a.initial_state, rejected=rejected, split=a.split,
+                            dedupe=not a.no_dedupe):
             print("started", q.id)
         spark.streams.awaitAnyTermination()
 

@@ -76,14 +76,16 @@ def publish_job(events: DataFrame, write) -> None:
 def stream_job(spark: SparkSession, tx: DataFrame, out: str, checkpoint: str,
                opts: LedgerOptions = DEFAULT, trigger_ms: int | None = None,
                initial_state: str | None = None, rejected: DataFrame | None = None, topics=None, topic_log: str | None = None,
-               split: bool = False):
+               split: bool = False, dedupe: bool = True):
     """Q-tx and Q-addr on one streaming source, and the quarantine query when
     the source has ``rejected`` records; returns the queries.
     ``initial_state``: the ``ledger_state`` table of a ``batch_job``
     (used on the first start; later starts resume from the checkpoint).
     ``topic_log``: a folder that names the deliveries that count, for consumers
     that read every record exactly once (``sinks.topics``).  ``split``: the ledger
-    in two stages, for addresses too hot for one task."""
+    in two stages, for addresses too hot for one task.  Re-delivered transactions
+    count once (``dedupe``), as in ``batch_job``."""
+    opts = opts.with_(dedupe_stream=dedupe)
     trigger = {"processingTime": f"{int(trigger_ms)} milliseconds"} if trigger_ms else None
     init = read_live(spark, initial_state) if initial_state else None
     of_tx = of_addr = topics

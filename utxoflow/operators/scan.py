@@ -107,20 +107,26 @@ def global_prefix_max(df: DataFrame, value: str, order: list[str], name: str,
                       partitions: int, exclusive: bool = True) -> DataFrame:
     """Running max of ``value`` over the *whole* frame in ``order``.
 
-    An unpartitioned window would move everything to one task.  Instead the
-    rows are range-partitioned by the order into ``partitions`` pieces of equal
-    size (bursts on one leading value are cut by the columns after it) and
-    written with their piece; the running max is taken inside each piece, and
-    the piece maxima (one row per piece) are prefix-scanned and broadcast back."""
-    rows = df.repartitionByRange(int(partitions), *order)
-    ranged = staged(rows.withColumn("_rp", F.spark_partition_id()), "arrival")
-    end = -1 if exclusive else Window.currentRow
-    local = ranged.withColumn(
-        "_lmax", F.max(value).over(Window.partitionBy("_rp").orderBy(*order)
-                                   .rowsBetween(Window.unboundedPreceding, end)))
+    An unpartitioned window would move everything to one task.  Instead ``order``
+    and ``value`` alone are range-partitioned by the order into ``partitions``
+    pieces of equal size (bursts on one leading value are cut by the columns after
+    it) and written with their piece; the running max is taken inside each
+    piece, the piece maxima (one row per piece) are prefix-scanned, and the
+    result is joined to the rows by their place in the order.  Whole rows are
+    dealt once and written never.  Rows at one place get what the first got."""
+    pieces = df.select(*order, value).repartitionByRange(int(partitions), *order)
+    ranged = staged(pieces.withColumn("_rp", F.spark_partition_id()), "arrival")
+    within = Window.partitionBy("_rp").orderBy(*order)
+    place = F.struct(*order)
+    local = ranged.withColumns({
+        "_lmax": F.max(value).over(within.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)),
+        "_again": F.lag(place).over(within).eqNullSafe(place)})
     per_range = ranged.groupBy("_rp").agg(F.max(value).alias("_rmax"))
     before = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_range.select("_rp", F.max("_rmax").over(before).alias("_pmax"))
-    return (local.join(F.broadcast(prefix), on="_rp", how="left")  # at most ``partitions`` rows
-                 .withColumn(name, F.greatest("_pmax", "_lmax"))
-                 .drop("_rp", "_lmax", "_pmax"))
+    first = local.filter(~F.col("_again")).join(F.broadcast(prefix), on="_rp", how="left")  # at most ``partitions`` rows
+    found = first.select(*[F.col(c).alias(f"_o_{c}") for c in order], F.greatest("_pmax", "_lmax").alias(name))
+    same = F.lit(True)
+    for c in order:
+        same = same & df[c].eqNullSafe(found[f"_o_{c}"])
+    return df.join(found, same, "left").drop(*[f"_o_{c}" for c in order])

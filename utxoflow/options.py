@@ -31,7 +31,7 @@ class LedgerOptions:
     # are spread over (fixed in the checkpoint at the first start).
     outpoint_slots: int = 64
     # Drop re-delivered transactions (same tx_id) in streams (the ledger
-    # assumes each output is delivered once); late ones are kept.
+    # assumes each output is delivered once); late ones are kept.  The jobs set it.
     dedupe_stream: bool = False
     # Interval of the streaming triggers (the reference's checkpoint interval).
     trigger_ms: int = 10_000

@@ -341,6 +341,8 @@ SELECT CAST(page_id % 100 AS VARCHAR) AS height, CAST(page_id % 100 AS VARCHAR)
        CAST(arg_max(length(to_json({'height': page_id % 100, 'page_id': page_id, 'url': url, 'html': html})),
                     page_id) AS INTEGER) AS n_chars
 FROM pages WHERE page_id % 7 <> 3 AND page_id % 11 <> 5 GROUP BY 1"""
+    q["archive_packed"] = """
+SELECT * FROM (""" + q["archive_blocks"] + """) WHERE CAST(height AS INTEGER) BETWEEN 10 AND 89"""
     q["archive_rejected"] = """
 SELECT page_id AS offset, CASE WHEN page_id % 11 = 5 THEN 'bad_json' ELSE 'missing_height' END AS reason
 FROM pages WHERE page_id % 11 = 5 OR page_id % 7 = 3"""
@@ -348,6 +350,10 @@ FROM pages WHERE page_id % 11 = 5 OR page_id % 7 = 3"""
 SELECT metric_type, tx_id, timestamp, ingest_time, source, input_count, output_count, total_input,
        total_output, fee_estimate, FALSE AS is_late
 FROM fxb_metrics WHERE CAST(tx_id AS BIGINT) % 97 <> 0"""
+    q["source_blocks"] = _with(FXB) + """
+SELECT metric_type, tx_id, timestamp, ingest_time, source, input_count, output_count, total_input,
+       total_output, fee_estimate, FALSE AS is_late
+FROM fxb_metrics"""
     q["quarantine"] = """
 SELECT event_id AS offset, 'malformed_json' AS reason FROM events WHERE event_id % 97 = 0"""
     q["stream_balances"] = q["balance_updates"]

@@ -14,11 +14,12 @@ from utxoflow.operators import activity, alerts, ledger, reaimed, transactions,
 from utxoflow.operators.watermark import with_arrival_watermark
 from utxoflow.plans import dashboard
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_HOT_OPTIONS, FXB_OPTIONS, fx_b_labeled, table
-from utxoflow.plans.tables import analytic_tables, fx_a_table, fx_b_table
+from utxoflow.plans.tables import analytic_tables, balances_by_address, fx_a_table, fx_b_table
 from utxoflow.plans.batch import run_batch
 from utxoflow.schema import MONEY
 from utxoflow.session import checkpoint_dir
-from utxoflow.sinks import archive_blocks, read_archive, write_archive, write_quarantine
+from utxoflow.sinks import (archive_blocks, merge_packed, read_archive, read_packed_archive, write_archive, write_packed_archive,
+                            write_quarantine)
 from utxoflow.sinks.versions import read_live
 from utxoflow.sources import parse_transactions, read_with_quarantine
 
@@ -52,11 +53,6 @@ def _led_b(spark, sf, variant=None):
     return ledger.ledger(_upd_plain(spark, sf, variant), FXB_OPTIONS)
 
 
-def _table(spark, sf, name):
-    """An analytic table written by the batch pipeline (S5 scan)."""
-    return spark.read.parquet(analytic_tables(spark, sf)[name])
-
-
 def _panel(spark, sf, panel, name, span_ms):
     """A panel over the last ``span_ms`` of a table: partitions before it are
     pruned by literal bounds."""
@@ -209,15 +205,15 @@ def tx_volume_last_day(spark, sf):
 
 
 def top_addresses(spark, sf):
-    return dashboard.top_addresses(_table(spark, sf, "balance_updates"), 10)
+    return dashboard.top_addresses(balances_by_address(spark, sf), 10)
 
 
 def balance_distribution(spark, sf):
-    return dashboard.balance_distribution(_table(spark, sf, "balance_updates"), 30)
+    return dashboard.balance_distribution(balances_by_address(spark, sf), 30)
 
 
 def balance_histogram(spark, sf):
-    return dashboard.balance_histogram(_table(spark, sf, "balance_updates"), 30)
+    return dashboard.balance_histogram(balances_by_address(spark, sf), 30)
 
 
 def alert_rates(spark, sf):
@@ -229,7 +225,7 @@ def alert_rates_last_day(spark, sf):
 
 
 def balance_updates_final(spark, sf):
-    return dashboard.balance_updates_final(_table(spark, sf, "balance_updates")).select(
+    return dashboard.balance_updates_final(balances_by_address(spark, sf)).select(
         "address", "timestamp_ms", "source", "balance", "utxo_count")
 
 
@@ -343,6 +339,19 @@ def table_rerun(spark, sf):
             .unionByName(rows("metrics", "tx_id", "timestamp_ms")))
 
 
+def archive_packed(spark, sf):
+    """K10 packed: three writes by record, the parts merged, then a range of
+    heights read."""
+    blocks = _blocks(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/packed-{uuid.uuid4().hex}"
+    third = max(1, -(-blocks.agg(F.max("offset")).first()[0] // 3))
+    for k in range(3):
+        part = blocks.filter((F.col("offset") > k * third - (k == 0)) & (F.col("offset") <= (k + 1) * third))
+        write_packed_archive(archive_blocks(part)[0], path)
+    merge_packed(spark, path, fanout=2)
+    return read_packed_archive(spark, path, 10, 89).select("height", "object_key", "offset", F.length("raw").alias("n_chars"))
+
+
 def parse_transactions_q(spark, sf):
     tx, _bad = parse_transactions(_raw_json_b(spark, sf))
     return transactions.tx_metrics(tx)
@@ -433,6 +442,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_quarantine": job_quarantine,
     "archive_incremental": archive_incremental,
     "table_rerun": table_rerun,
+    "archive_packed": archive_packed,
 }
 
 

@@ -15,12 +15,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utxoflow.operators.transactions import tx_metrics
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_HOT_OPTIONS, FXB_OPTIONS
 from utxoflow.plans.tables import fx_a_table, fx_b_table, materialized
-from utxoflow.session import checkpoint_dir
-from utxoflow.sinks import compact_table, merge_latest, read_latest
+from utxoflow.session import checkpoint_dir, staged
+from utxoflow.sinks import compact_table, merge_latest, read_latest, write_packed_archive
 from utxoflow.sinks.topics import TopicLog
 from utxoflow.sinks.versions import hadoop_path, read_live
+from utxoflow.sources import read_with_quarantine
 from utxoflow.streaming.stream import (drain, read_alert_rates, read_state_pending, read_state_utxos,
                                          read_transaction_files, read_volume,
                                          start_activity_query, start_addr_query, start_split_query, start_tx_query,
@@ -125,9 +127,9 @@ def stream_dedupe_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tx_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = stream_fixture(spark, sf_dir, files=FILES)
     q = start_volume_query(transaction_batches(spark, run), f"{run}/out", f"{run}/ckpt",
-                           trigger=TRIGGER)
+                           trigger=TRIGGER, opts=FXB_STREAM)
     drain(q)
-    return read_volume(spark, f"{run}/out")
+    return read_volume(spark, f"{run}/out", f"{run}/ckpt")
 
 
 def stream_tx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +268,37 @@ def latest_balance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, path, as_of_batch=1)
 
 
+def block_archive(tx: DataFrame, size: int = 50) -> DataFrame:
+    """Transactions as blocks of ``size`` offsets: height, key, offset, raw JSON."""
+    body = F.to_json(F.struct(
+        "tx_id", "timestamp",
+        F.transform("inputs", lambda x: x.withField("value", x["value"].cast("string"))).alias("inputs"),
+        F.transform("outputs", lambda y: y.withField("value", y["value"].cast("string"))).alias("outputs"), "source", "ingest_time"))
+    height = F.floor(F.col("seq") / size).cast("long")
+    packed = tx.groupBy(height.alias("h")).agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", body.alias("body")))),
+                                                           lambda x: x["body"]).alias("transactions"))  # at most ``size`` a block
+    raw = F.to_json(F.struct(F.col("h").alias("height"), "transactions"))
+    return packed.select(F.col("h").cast("string").alias("height"), F.concat(F.col("h").cast("string"), F.lit(".json")).alias("object_key"),
+                         F.col("h").alias("offset"), raw.alias("raw"))
+
+
+def source_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block archive as a stream source.  Half of the blocks, a run; the
+    other half, a run that goes on from the offset of the first."""
+    def build(folder: str) -> None:
+        archive = staged(block_archive(fx_b_table(spark, sf_dir)), "blocks")
+        middle = (archive.agg(F.max("offset")).first()[0] or 0) // 2
+        for part in (F.col("offset") <= middle, F.col("offset") > middle):
+            write_packed_archive(archive.filter(part), f"{folder}/archive")
+            tx, _ = read_with_quarantine(spark, "blocks", streaming=True, path=f"{folder}/archive")
+            query = tx.writeStream.format("parquet").option("path", f"{folder}/tx").option("checkpointLocation", f"{folder}/ckpt")
+            drain(query.trigger(**TRIGGER).start())
+
+    return tx_metrics(spark.read.parquet(f"{materialized(spark, ('source-blocks', sf_dir), build)}/tx"))
+
+
 STREAM_QUERIES = {
+    "source_blocks": source_blocks,
     "stream_balances_hot": stream_balances_hot,
     "stream_balances_split_double": stream_balances_split_double,
     "stream_pending_split": stream_pending_split,

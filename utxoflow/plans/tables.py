@@ -25,7 +25,7 @@ from utxoflow.options import LedgerOptions
 from utxoflow.plans.fixtures import FXA_OPTIONS, FXB_OPTIONS, HOT_VARIANTS, ROW_VARIANTS, fx_a, fx_b, fx_b_variant
 from utxoflow.plans.batch import run_batch
 from utxoflow.session import checkpoint_dir
-from utxoflow.sinks import write_table
+from utxoflow.sinks import write_bucketed, write_table
 
 _LOCK = threading.RLock()
 _PATHS: dict[tuple, str] = {}
@@ -65,6 +65,19 @@ def drop_tables(spark: SparkSession) -> None:
         del _PATHS[key]
 
 
+def balances_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``balance_updates`` table bucketed by address, written once."""
+    name = f"balances_{uuid.uuid5(uuid.NAMESPACE_URL, spark.sparkContext.applicationId + sf_dir).hex}"
+
+    def build(path: str) -> None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        write_bucketed(spark.read.parquet(analytic_tables(spark, sf_dir)["balance_updates"]).drop("event_date"), name, path, buckets,
+                       ("address", "timestamp_ms"))
+
+    materialized(spark, ("balances-by-address", sf_dir), build)
+    return spark.table(name)
+
+
 def fx_a_table(spark: SparkSession, sf_dir: str, opts: LedgerOptions = FXA_OPTIONS) -> DataFrame:
     path = materialized(spark, ("fxa", sf_dir),
                          lambda p: fx_a(spark, sf_dir, opts).write.parquet(p))

@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,10 +68,28 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 
+_SCRATCH = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged inside (by this thread) are removed at the end: for the
+    micro-batches of a stream, which would leave them for ever."""
+    before, root = getattr(_SCRATCH, "root", None), f"{checkpoint_dir(spark).rstrip('/')}/utxoflow-scratch-{uuid.uuid4().hex}"
+    _SCRATCH.root = root
+    try:
+        yield
+    finally:
+        _SCRATCH.root = before
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage
     is cut, and readers still prune columns (unlike a checkpoint)."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/utxoflow-{name}-{uuid.uuid4().hex}"
+    root = getattr(_SCRATCH, "root", None) or checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/utxoflow-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from utxoflow.sinks.topics import occurrence
-from utxoflow.sinks.versions import VersionedTable, read_live
+from utxoflow.sinks.versions import Part, VersionedTable, read_live
 
 # ---------------------------------------------------------------- Kafka (K1-K3)
 
@@ -233,6 +233,60 @@ def read_archive(spark, path: str) -> DataFrame:
         .json(path).select("height", "object_key", "offset", "raw")
 
 
+def write_packed_archive(archive: DataFrame, path: str) -> None:
+    """K10 with many heights to a file: a write adds a part sorted by height, whose
+    file and row-group statistics are the index from heights to places; it
+    replaces no other file.  ``merge_packed`` keeps the parts few, so the number of
+    files follows the bytes, not the heights or the writes."""
+    table = VersionedTable(archive.sparkSession, path)
+    number = F.col("height").try_cast("decimal(38,0)").cast("long")
+    rows = archive.select("height", "object_key", "offset", "raw", number.alias("height_number"))
+    folder = table.new_folder()
+    rows.repartitionByRange("height_number", "height").sortWithinPartitions("height_number", "height").write.parquet(f"{table.path}/{folder}")
+    step = max((p.last for p in table.parts() if p.last is not None), default=-1) + 1
+    table.commit(lambda parts: parts + [Part(folder, step, step)], rows.schema)
+
+
+def _last_write(rows: DataFrame) -> DataFrame:
+    """The record with the largest offset of every height."""
+    rest = [c for c in rows.columns if c != "height"]
+    return (rows.groupBy("height").agg(F.max_by(F.struct(*rest), "offset").alias("w"))
+                .select("height", *[F.col(f"w.{c}").alias(c) for c in rest]))
+
+
+def merge_packed(spark: SparkSession, path: str, fanout: int = 8, keep: int = 2) -> int:
+    """Merge parts of a packed archive by size; of a height the last write stays."""
+    def merge(rows: DataFrame, folder: str) -> None:
+        _last_write(rows).repartitionByRange("height_number", "height").sortWithinPartitions("height_number", "height").write.parquet(folder)
+
+    table = VersionedTable(spark, path)
+    merges = table.compact(merge, fanout, leave=0)
+    table.vacuum(keep)
+    return merges
+
+
+def read_packed_archive(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """height, object_key, offset and raw of every archived block, or of those
+    with ``lo <= height <= hi``: the bounds reach the scan, which opens the row
+    groups that overlap them."""
+    rows = read_live(spark, path)
+    if lo is not None:
+        rows = rows.filter(F.col("height_number") >= int(lo))
+    if hi is not None:
+        rows = rows.filter(F.col("height_number") <= int(hi))
+    return _last_write(rows).select("height", "object_key", "offset", "raw")
+
+
+# ------------------------------------------- Address tables
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, sort_cols: tuple[str, ...] = ("address",)) -> None:
+    """A table bucketed by address and sorted inside the buckets, so that whatever
+    groups by address reads it without an exchange (``spark.table(name)``)."""
+    (df.repartition(int(buckets), "address").write.mode("overwrite").bucketBy(int(buckets), "address").sortBy(*sort_cols)
+       .option("path", path).saveAsTable(name))
+
+
 def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Records that no table took, with their reason; per micro-batch a folder
     of its own, as in ``write_table``."""

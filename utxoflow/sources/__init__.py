@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utxoflow.functions import money
 from utxoflow.operators.transactions import normalize
 from utxoflow.schema import RAW_TRANSACTION, TRANSACTION
+from utxoflow.sources.blocks import block_transactions, read_blocks
 
 
 def read_kafka_text(spark: SparkSession, servers: str, topic: str, streaming: bool = True,
@@ -89,13 +92,24 @@ def parse_transactions(raw: DataFrame, value_col: str = "value",
 
 
 def split_canonical(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Canonical rows, and those without a ``tx_id`` (reason ``missing_id``),
-    which no rule of the ledger could tell apart."""
+    """Canonical rows, and those without a ``tx_id`` (reason ``missing_id``: no rule
+    of the ledger could tell them apart) or without a time (``bad_timestamp``)."""
     whole = F.to_json(F.struct(*[F.col(c) for c in tx.columns]))
     arrival = F.col("arrival_ms") if "arrival_ms" in tx.columns else F.lit(None).cast("long")
-    bad = tx.filter(F.col("tx_id").isNull()).select(whole.alias("raw"), arrival.alias("arrival_ms"),
-                                                    F.lit(None).cast("long").alias("offset"), F.lit("missing_id").alias("reason"))
-    return tx.filter(F.col("tx_id").isNotNull()), bad
+    reason = F.when(F.col("tx_id").isNull(), "missing_id").when(F.col("timestamp").isNull(), "bad_timestamp")
+    bad = tx.filter(reason.isNotNull()).select(whole.alias("raw"), arrival.alias("arrival_ms"),
+                                               F.lit(None).cast("long").alias("offset"), reason.alias("reason"))
+    return tx.filter(reason.isNull()), bad
+
+
+#: Sources of other kinds: ``make(spark, streaming, **options)`` returns the canonical frame and the rejected records.
+REGISTERED: dict[str, Callable[..., tuple[DataFrame, DataFrame]]] = {}
+
+
+def register_source(kind: str, make: Callable[..., tuple[DataFrame, DataFrame]]) -> None:
+    """Add a kind of source; the jobs and ``read_with_quarantine`` take it like the
+    built-in ones."""
+    REGISTERED[kind.strip().lower()] = make
 
 
 def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame, DataFrame]:
@@ -103,9 +117,12 @@ def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFr
     could not be taken, with their reason.
 
     kinds: ``parquet`` / ``table`` (canonical already), ``json`` (files of raw
-    JSON lines, batch or ``streaming=True``), ``kafka``.  Unknown kinds raise."""
+    JSON lines, batch or ``streaming=True``), ``kafka``, ``blocks`` (a packed block
+    archive), and what ``register_source`` added.  Unknown kinds raise."""
     kind = kind.strip().lower()
     streaming = bool(opts.pop("streaming", False))
+    if kind in REGISTERED:
+        return REGISTERED[kind](spark, streaming, **opts)
     if kind == "table":
         return split_canonical(spark.table(opts["name"]))
     if kind in ("parquet", "json"):
@@ -121,6 +138,13 @@ def read_with_quarantine(spark: SparkSession, kind: str, **opts) -> tuple[DataFr
     raise ValueError(f"Unsupported source kind={kind}")
 
 
+def _blocks(spark: SparkSession, streaming: bool, path: str, **options) -> tuple[DataFrame, DataFrame]:
+    return parse_transactions(block_transactions(read_blocks(spark, path, streaming, **options)))
+
+
+register_source("blocks", _blocks)
+
+
 def read_transactions(spark: SparkSession, kind: str, **opts) -> DataFrame:
     """The canonical frame of ``read_with_quarantine`` alone (callers that write
     tables use both, so that nothing is lost)."""

@@ -6,8 +6,8 @@
   ``transformWithStateInPandas(LedgerProcessor)`` -> ``foreachBatch`` that
   splits balance records and alerts (P10) into their tables and raises the
   late alerts of the micro-batch.
-* **Q-volume**: transactions per minute kept as a streaming aggregation
-  (one state row per minute; update mode; late rows are still counted).
+* **Q-volume**: transactions per minute as a windowed aggregation whose state holds
+  the open windows only; late rows are still counted (``volume``).
 
 Sources are any streaming canonical frame (Kafka via ``read_transactions``,
 or files).  Checkpoints live in the cluster's shared checkpoint folder.
@@ -16,8 +16,10 @@ or files).  Checkpoints live in the cluster's shared checkpoint folder.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 from contextlib import contextmanager
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,11 +32,13 @@ from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_watermark
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.schema import TRANSACTION
+from utxoflow.session import scratch
 from utxoflow.sinks import (PLACE, alerts_topic, archive_blocks, balance_topic, tx_records, write_archive, write_latest_changes,
                             write_quarantine, write_table)
 from utxoflow.sinks.versions import VersionedTable, read_live
 from utxoflow.streaming.processor import OUTPUT_SCHEMA, ActivityProcessor, LedgerProcessor
 from utxoflow.streaming.two_stage import balances_of, change_stream
+from utxoflow.streaming.volume import open_windows, volume_stream
 
 UPDATE_INPUT = ["address", "tx_id", "timestamp", "kind", "pos", "prev_tx_id",
                 "prev_output_index", "output_index", "source", "arrival_ms", "seq"]
@@ -126,6 +130,27 @@ def _publish(topics, name: str, frame: DataFrame, batch_id: int) -> None:
         topics(name, frame, batch_id)
 
 
+def together(*writes: Callable[[], None]) -> None:
+    """Run independent writes of a micro-batch as jobs side by side.  The rows they
+    share must be there already (cached whole, or written): two jobs may not both
+    run a state step.  The first error is raised when all have ended."""
+    failed: list[BaseException] = []
+
+    def run(write: Callable[[], None]) -> None:
+        try:
+            write()
+        except BaseException as e:  # noqa: BLE001 - raised below, in the batch's thread
+            failed.append(e)
+
+    threads = [InheritableThread(target=run, args=(w,)) for w in writes]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if failed:
+        raise failed[0]
+
+
 def _addr_writer(out_path: str, opts: LedgerOptions, topics=None):
     gran = opts.table_partition
 
@@ -140,10 +165,10 @@ def _addr_writer(out_path: str, opts: LedgerOptions, topics=None):
                                .withColumn("watermark_ms", F.lit(mark).cast("long")), keep=("seq", "pos"))
             records = alerts.unionByName(late)
             alerts = records.drop("seq", "pos")
-            write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id, granularity=gran)
-            write_table(alerts, f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
-            write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
-            write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id)
+            together(lambda: write_table(balances, f"{out_path}/balance_updates", batch_id=batch_id, granularity=gran),
+                     lambda: write_table(alerts, f"{out_path}/alerts", batch_id=batch_id, granularity=gran),
+                     lambda: write_latest_changes(balances, f"{out_path}/latest_changes", batch_id),
+                     lambda: write_alert_counts(alerts, f"{out_path}/alert_counts", batch_id))
             _publish(topics, "metrics", balance_topic(balance_values(balances)), batch_id)
             _publish(topics, "alerts", alerts_topic(records), batch_id)
         finally:
@@ -160,12 +185,13 @@ def _split_writer(out_path: str, opts: LedgerOptions, topics=None):
             if batch.isEmpty():
                 return
             path = f"{out_path}/balance_updates"
-            rows = balances_of(batch, opts)
-            write_table(rows, path, batch_id=batch_id, granularity=gran)
+            with scratch(batch.sparkSession):  # the pieces of hot addresses
+                rows = balances_of(batch, opts)
+                write_table(rows, path, batch_id=batch_id, granularity=gran)
             balances = batch.sparkSession.read.schema(rows.schema).parquet(f"{path}/batch_id={int(batch_id)}")
             late = late_alerts(balances.withColumnRenamed("timestamp_ms", "timestamp"), keep=PLACE)
-            write_table(late.drop(*PLACE), f"{out_path}/alerts", batch_id=batch_id, granularity=gran)
-            write_latest_changes(balances, f"{out_path}/latest_changes", batch_id)
+            together(lambda: write_table(late.drop(*PLACE), f"{out_path}/alerts", batch_id=batch_id, granularity=gran),
+                     lambda: write_latest_changes(balances, f"{out_path}/latest_changes", batch_id))
             _publish(topics, "metrics", balance_topic(balance_values(balances)), batch_id)
             _publish(topics, "alerts", alerts_topic(late), batch_id)
         finally:
@@ -206,9 +232,9 @@ def _tx_writer(out_path: str, opts: LedgerOptions, topics=None):
             mark = batch_watermark(batch, batch_id, f"{out_path}/watermark_tx", opts, "timestamp")
             stamped = batch.withColumn("watermark_ms", F.lit(mark).cast("long"))
             metrics, alerts = tx_metrics(stamped), tx_alerts(stamped, opts)
-            write_table(tx_rows(stamped), f"{out_path}/transactions", batch_id=batch_id, granularity=gran)
-            write_table(metric_rows(metrics), f"{out_path}/metrics", batch_id=batch_id, granularity=gran)
-            write_table(alerts, f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran)
+            together(lambda: write_table(tx_rows(stamped), f"{out_path}/transactions", batch_id=batch_id, granularity=gran),
+                     lambda: write_table(metric_rows(metrics), f"{out_path}/metrics", batch_id=batch_id, granularity=gran),
+                     lambda: write_table(alerts, f"{out_path}/alerts_tx", batch_id=batch_id, granularity=gran))
             _publish(topics, "metrics", tx_records(tx_metrics(stamped, keep=("seq",))), batch_id)
             _publish(topics, "alerts", alerts_topic(tx_alerts(stamped, opts, keep=("seq",))), batch_id)
         finally:
@@ -218,9 +244,9 @@ def _tx_writer(out_path: str, opts: LedgerOptions, topics=None):
 
 def _volume_writer(out_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(f"{out_path}/tx_volume"))
+        rows = batch.groupBy("minute").agg(F.sum("txs").alias("txs"))
+        rows.write.mode("overwrite").parquet(f"{out_path}/tx_volume/batch_id={int(batch_id)}")
+        VersionedTable(batch.sparkSession, f"{out_path}/tx_volume").add_batch(batch_id, rows.schema)
     return write
 
 
@@ -339,19 +365,23 @@ def default_trigger(opts: LedgerOptions) -> dict:
     return {"processingTime": f"{int(opts.trigger_ms)} milliseconds"}
 
 
-def start_volume_query(tx: DataFrame, out_path: str, checkpoint: str,
-                       trigger: dict | None = None, partitions: int = 0) -> StreamingQuery:
-    counts = (tx.groupBy(ms_to_minute("timestamp").alias("minute"))
-                .agg(F.count(F.lit(1)).alias("txs")))
-    w = counts.writeStream.outputMode("update").foreachBatch(_volume_writer(out_path)).trigger(**(trigger or default_trigger(DEFAULT)))
+def start_volume_query(tx: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None, partitions: int = 0,
+                       opts: LedgerOptions = DEFAULT) -> StreamingQuery:
+    """D3 in streaming form."""
+    use_rocksdb(tx.sparkSession)
+    w = volume_stream(tx, opts).writeStream.outputMode("append").foreachBatch(_volume_writer(out_path))
+    w = w.trigger(**(trigger or default_trigger(opts)))
     with _partitions(tx.sparkSession, partitions):
         return w.option("checkpointLocation", f"{checkpoint}/q_volume").start()
 
 
-def read_volume(spark: SparkSession, out_path: str) -> DataFrame:
-    """Latest count per minute across the update-mode batches."""
-    return (spark.read.parquet(f"{out_path}/tx_volume")
-                 .groupBy("minute").agg(F.max_by("txs", "batch_id").alias("txs")))
+def read_volume(spark: SparkSession, out_path: str, checkpoint: str) -> DataFrame:
+    """Transactions per minute: closed windows and corrections from the table, open
+    windows from the query's state.  For a query that runs, the state is that of
+    its last commit."""
+    closed = read_live(spark, f"{out_path}/tx_volume").select("minute", "txs")
+    rows = closed.unionByName(open_windows(spark, f"{checkpoint}/q_volume"))
+    return rows.groupBy("minute").agg(F.sum("txs").alias("txs"))
 
 
 def read_state_utxos(spark: SparkSession, checkpoint: str) -> DataFrame:
