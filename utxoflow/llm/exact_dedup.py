@@ -172,7 +172,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
                          F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_chars"))
-    records = staged(source.mapInArrow(_collapse(int(window_mb * 2**20), window_rows), RECORD), "exact-records")
+    kept = shared_path(spark, "exact-records")
+    source.mapInArrow(_collapse(int(window_mb * 2**20), window_rows), RECORD).write.option("compression", "zstd").parquet(kept)
+    records = spark.read.schema(RECORD).parquet(kept)
     open_, done, level = records.select("rec", "h", "content"), None, 0
     while True:
         path = shared_path(spark, f"grace-{level}")
