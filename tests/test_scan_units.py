@@ -77,6 +77,17 @@ def test_hot_key_pieces_hold_equal_numbers_of_rows(spark):
         assert [r["n"] for r in rows] == list(range(1, 20_001))
 
 
+def test_pieces_follow_the_partitions_not_the_rows(spark):
+    """Small pieces wanted of many rows: their number stays a few per partition, sums exact."""
+    from utxoflow.operators.scan import MIN_PIECES, prefix_scan, with_buckets
+
+    df = spark.range(0, 5000).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.lit(1).alias("v"))
+    b, hot = with_buckets(df, "k", ["t"], DEFAULT.with_(hot_key_rows=1000, rows_per_bucket=5))
+    assert hot and 30 <= b.select("_bkt").distinct().count() <= MIN_PIECES
+    out = prefix_scan(b, "k", ["t"], hot, sums={"n": F.col("v").cast("long")})
+    assert out.filter(F.col("n") == F.col("t") + 1).count() == 5000
+
+
 def test_window_counts_brute_force():
     import utxoflow.operators.activity as act
 
