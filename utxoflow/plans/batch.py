@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from utxoflow.operators.activity import state_alerts
 from utxoflow.operators.alerts import tx_alerts
-from utxoflow.operators.ledger import balance_rows, latest_balances, ledger
+from utxoflow.operators.ledger import OUTPOINT, balance_rows, latest_balances, ledger, with_outpoints
 from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.operators.watermark import with_arrival_watermark
@@ -46,7 +46,7 @@ def run_batch(tx: DataFrame, opts: LedgerOptions = DEFAULT, materialize: bool =
     upd = address_updates(wtx)
     led = ledger(upd, opts)
     if materialize:
-        led = staged(led, "ledger")
+        led = with_outpoints(staged(led.drop(*OUTPOINT), "ledger"))
     at = ("seq", "pos")
     of_tx = tx_alerts(wtx, opts, keep=("seq",)).withColumn("pos", F.lit(-1))
     alerts = of_tx.unionByName(state_alerts(led, opts, keep=at))
