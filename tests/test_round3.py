@@ -3,13 +3,17 @@ job's shared frames, the files of a delivery batch."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from utxoflow.operators.activity import activity_counts, structuring_alerts
 from utxoflow.operators.ledger import ledger
+from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.options import DEFAULT
-from utxoflow.session import staged
+from utxoflow.session import checkpoint_dir, staged
+from utxoflow.sinks import dealt, write_table
 
 OPTS = DEFAULT.with_(structuring_window_ms=40, velocity_window_ms=20, structuring_count=2, velocity_count=3, structuring_ceiling=5.0)
 
@@ -38,6 +42,17 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
+def test_json_text_is_made_after_rows_are_dealt_and_sorted(spark):
+    tx = staged(transactions(spark), "t")
+    for frame, make in ((tx, tx_rows), (tx_metrics(tx), metric_rows)):
+        out, part = dealt(frame, "timestamp", ("timestamp", "tx_id"), "day", make)
+        text = plan(out)
+        assert text.rindex("_json") < text.index("Sort [") < text.index("Exchange")
+        path = f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}"
+        write_table(frame, path, time_col="timestamp", sort_cols=("timestamp", "tx_id"), rows=make)
+        assert rows(spark.read.parquet(path).drop(part).select(*make(frame).columns)) == rows(make(frame))
+
+
 def test_ledger_without_hot_address_moves_once(spark):
     upd = address_updates(staged(transactions(spark), "t"))
     led = ledger(upd, OPTS)

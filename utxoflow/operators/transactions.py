@@ -113,9 +113,10 @@ def _json_items(arr: str, fields: list[str]) -> Column:
         (as_double(x[f]) if f == "value" else x[f]).alias(f) for f in fields])))
 
 
-def tx_rows(tx: DataFrame) -> DataFrame:
+def tx_rows(tx: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row of the ``transactions`` table (totals unrounded floats in
-    the reference; exact decimals here, so rounded and unrounded coincide)."""
+    the reference; exact decimals here, so rounded and unrounded coincide);
+    ``keep``: columns of the transaction to have beside it."""
     return tx.select(
         "tx_id",
         F.col("timestamp").alias("timestamp_ms"),
@@ -127,13 +128,14 @@ def tx_rows(tx: DataFrame) -> DataFrame:
         as_double(array_sum("outputs")).alias("total_output"),
         _json_items("inputs", ["address", "value", "prev_tx_id", "prev_output_index"]).alias("inputs_json"),
         _json_items("outputs", ["address", "value", "output_index"]).alias("outputs_json"),
-        _is_late(tx).cast("int").alias("is_late"),
+        _is_late(tx).cast("int").alias("is_late"), *keep,
     )
 
 
-def metric_rows(metrics: DataFrame) -> DataFrame:
-    """Envelope (metric_type, timestamp_ms, source, tx_id, address, payload_json)."""
-    cols = metrics.columns
+def metric_rows(metrics: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Envelope (metric_type, timestamp_ms, source, tx_id, address, payload_json);
+    ``keep``: columns to have beside it, not in the payload."""
+    cols = [c for c in metrics.columns if c not in keep]
     payload = F.to_json(F.struct(*[F.col(c) for c in cols]))
     return metrics.select(
         F.col("metric_type"),
@@ -141,7 +143,7 @@ def metric_rows(metrics: DataFrame) -> DataFrame:
         F.coalesce(F.col("source"), F.lit("unknown")).alias("source"),
         F.coalesce(F.col("tx_id") if "tx_id" in cols else F.lit(None).cast("string"), F.lit("")).alias("tx_id"),
         F.coalesce(F.col("address") if "address" in cols else F.lit(None).cast("string"), F.lit("")).alias("address"),
-        payload.alias("payload_json"),
+        payload.alias("payload_json"), *keep,
     )
 
 

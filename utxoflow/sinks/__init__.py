@@ -4,6 +4,8 @@ driver."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,7 +72,7 @@ def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = "tx_i
 
 def write_table(df: DataFrame, path: str, batch_id: int | None = None,
                 time_col: str = "timestamp_ms", sort_cols: tuple[str, ...] = (),
-                granularity: str = "day") -> None:
+                granularity: str = "day", rows: Callable | None = None) -> None:
     """K4-K8: Parquet table partitioned by ``event_date`` (or ``event_month``
     with ``granularity="month"``).
 
@@ -78,7 +80,22 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
     ``batch_id=N`` and overwrites it as a whole: a replayed batch replaces
     exactly its own rows, and readers see ``batch_id`` as a partition column;
     the folder is then named live (``versions``).  Without it the rows are
-    appended; ``replace_table`` is the form that replaces an earlier run's."""
+    appended; ``replace_table`` is the form that replaces an earlier run's.
+
+    ``rows(frame, keep)`` makes the table's rows of ``df``'s (``time_col`` and
+    ``sort_cols`` are ``df``'s) after these were dealt and sorted, so that JSON
+    text is written and neither moved nor sorted."""
+    out, part = dealt(df, time_col, sort_cols, granularity, rows)
+    writer = out.write.option("compression", "zstd").partitionBy(part)
+    if batch_id is None:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+        VersionedTable(df.sparkSession, path).add_batch(batch_id, out.schema)
+
+
+def dealt(df: DataFrame, time_col: str, sort_cols: tuple[str, ...], granularity: str, rows: Callable | None) -> tuple[DataFrame, str]:
+    """The frame that ``write_table`` writes, and its partition column."""
     day = F.to_date(F.timestamp_millis(F.col(time_col)))
     part = "event_month" if granularity == "month" else "event_date"
     out = df.withColumn(part, F.trunc(day, "month") if granularity == "month" else day)
@@ -86,15 +103,11 @@ def write_table(df: DataFrame, path: str, batch_id: int | None = None,
     # right-sized files (no tasks x days file explosion) and splits a skewed
     # day over several tasks instead of one writer.
     out = out.hint("rebalance", part).sortWithinPartitions(part, *sort_cols)
-    if batch_id is None:
-        out.write.mode("append").partitionBy(part).parquet(path)
-    else:
-        out.write.mode("overwrite").partitionBy(part).parquet(f"{path}/batch_id={int(batch_id)}")
-        VersionedTable(df.sparkSession, path).add_batch(batch_id, out.schema)
+    return (out if rows is None else rows(out, (part,))), part
 
 
 def replace_table(df: DataFrame, path: str, time_col: str | None = "timestamp_ms", sort_cols: tuple[str, ...] = (),
-                  granularity: str = "day") -> str:
+                  granularity: str = "day", rows: Callable | None = None) -> str:
     """Make ``df`` the whole table (a batch run's output): written beside the
     live version and put in its place at once, so a rerun, also one after a
     failed run, leaves one run's rows.  Tables without ``time_col`` are not
@@ -106,10 +119,11 @@ def replace_table(df: DataFrame, path: str, time_col: str | None = "timestamp_ms
         if time_col is None:
             df.write.parquet(folder)
         else:
-            write_table(df, folder, time_col=time_col, sort_cols=sort_cols, granularity=granularity)
+            write_table(df, folder, time_col=time_col, sort_cols=sort_cols, granularity=granularity, rows=rows)
 
     part = "event_month" if granularity == "month" else "event_date"
-    schema = df.schema if time_col is None else T.StructType([*df.schema.fields, T.StructField(part, T.DateType())])
+    fields = (rows(df, ()) if rows is not None else df).schema.fields
+    schema = df.schema if time_col is None else T.StructType([*fields, T.StructField(part, T.DateType())])
     table.replace(write, schema)
     table.vacuum()
     return written[0]
@@ -284,7 +298,7 @@ def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, sort_cols:
     """A table bucketed by address and sorted inside the buckets, so that whatever
     groups by address reads it without an exchange (``spark.table(name)``)."""
     (df.repartition(int(buckets), "address").write.mode("overwrite").bucketBy(int(buckets), "address").sortBy(*sort_cols)
-       .option("path", path).saveAsTable(name))
+       .option("path", path).option("compression", "zstd").saveAsTable(name))
 
 
 def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
