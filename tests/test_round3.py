@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from utxoflow import jobs
 from utxoflow.operators.activity import activity_counts, structuring_alerts
-from utxoflow.operators.ledger import ledger
+from utxoflow.operators.ledger import ledger, ledger_state
 from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.options import DEFAULT
@@ -63,3 +64,21 @@ def test_ledger_without_hot_address_moves_once(spark):
     assert rows(led.select(*upd.columns)) == rows(upd)  # the outpoints are the update's
     found = rows(activity_counts(led, OPTS))
     assert found == rows(activity_counts(staged(led, "led"), OPTS)) == rows(activity_counts(hot, OPTS)) and found
+
+
+def test_final_state_reads_written_summaries(spark):
+    upd = address_updates(staged(transactions(spark), "t"))
+    led = staged(ledger(upd, OPTS), "led")
+    state = ledger_state(upd, OPTS, led)
+    assert "Generate" not in plan(state)  # the updates are summarised once, not once per part
+    assert {r["part"] for r in state.select("part").distinct().collect()} == {"totals", "utxo", "pending", "recent"}
+
+
+def test_batch_job_dedupes_once(spark, monkeypatch):
+    given = []
+    run = jobs.run_batch
+    monkeypatch.setattr(jobs, "run_batch", lambda tx, *a, **k: given.append(tx) or run(tx, *a, **k))
+    tx = transactions(spark)
+    twice = tx.unionByName(tx.filter("seq % 4 = 0").withColumn("arrival_ms", F.col("arrival_ms") + 1))
+    jobs.batch_job(twice, f"{checkpoint_dir(spark)}/job-{uuid.uuid4().hex}", OPTS)
+    assert "Aggregate" not in plan(given[0]) and rows(given[0]) == rows(tx)

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from utxoflow.operators.ledger import balance_records, balance_rows, ledger_state
-from utxoflow.operators.transactions import dedupe_transactions, normalize, tx_metrics
+from utxoflow.operators.transactions import dedupe_transactions, metric_rows, normalize, tx_metrics, tx_rows
 from utxoflow.options import DEFAULT, LedgerOptions
 from utxoflow.plans.batch import run_batch
+from utxoflow.session import staged
 from utxoflow.sinks import alerts_topic, compact_table, encode_kafka, merge_latest, metrics_topic, replace_table
 from utxoflow.sinks.topics import TopicLog, kafka_record
 from utxoflow.sinks.versions import file_names, read_live
@@ -26,16 +27,17 @@ def batch_job(tx: DataFrame, out: str, opts: LedgerOptions = DEFAULT, rejected:
     Every table of ``out`` is replaced by this run's rows (``replace_table``), so
     a rerun leaves one run's rows; read them with ``read_live(spark, out + "/" +
     name)``.  Returns the folders this run wrote."""
-    res = run_batch(dedupe_transactions(tx) if dedupe else tx, opts, materialize=True)
+    # Read three times for the watermark (sampled, dealt, joined): deduplicated once.
+    res = run_batch(staged(dedupe_transactions(tx), "deduped") if dedupe else tx, opts, materialize=True)
     gran = opts.table_partition
 
-    def table(name: str, rows: DataFrame, *sort_cols: str) -> None:
-        paths[name] = replace_table(rows, f"{out}/{name}", time_col="timestamp_ms" if sort_cols else None, sort_cols=sort_cols,
-                                    granularity=gran)
+    def table(name: str, frame: DataFrame, *sort_cols: str, time_col: str = "timestamp_ms", rows=None) -> None:
+        paths[name] = replace_table(frame, f"{out}/{name}", time_col=time_col if sort_cols else None, sort_cols=sort_cols,
+                                    granularity=gran, rows=rows)
 
     paths: dict[str, str] = {}
-    table("transactions", res.transaction_rows, "timestamp_ms", "tx_id")
-    table("metrics", res.metric_rows, "timestamp_ms", "metric_type", "tx_id")
+    table("transactions", res.transactions, "timestamp", "tx_id", time_col="timestamp", rows=tx_rows)
+    table("metrics", res.metrics, "timestamp", "metric_type", "tx_id", time_col="timestamp", rows=metric_rows)
     table("alerts", res.alerts, "timestamp_ms", "alert_id")
     table("balance_updates", balance_rows(res.ledger), "address", "timestamp_ms")
     table("latest_balances", res.latest)
