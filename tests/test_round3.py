@@ -7,14 +7,18 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tests.conftest import SF001
 from utxoflow import jobs
 from utxoflow.operators.activity import activity_counts, structuring_alerts
 from utxoflow.operators.ledger import ledger, ledger_state
 from utxoflow.operators.transactions import metric_rows, tx_metrics, tx_rows
 from utxoflow.operators.updates import address_updates
 from utxoflow.options import DEFAULT
+from utxoflow.plans.fixtures import FXA_OPTIONS
+from utxoflow.plans.stream_queries import TRIGGER, delivery_files, stream_batches, stream_fixture, transaction_batches
 from utxoflow.session import checkpoint_dir, staged
 from utxoflow.sinks import dealt, write_table
+from utxoflow.streaming.stream import drain, start_tx_query
 
 OPTS = DEFAULT.with_(structuring_window_ms=40, velocity_window_ms=20, structuring_count=2, velocity_count=3, structuring_ceiling=5.0)
 
@@ -82,3 +86,13 @@ def test_batch_job_dedupes_once(spark, monkeypatch):
     twice = tx.unionByName(tx.filter("seq % 4 = 0").withColumn("arrival_ms", F.col("arrival_ms") + 1))
     jobs.batch_job(twice, f"{checkpoint_dir(spark)}/job-{uuid.uuid4().hex}", OPTS)
     assert "Aggregate" not in plan(given[0]) and rows(given[0]) == rows(tx)
+
+
+def test_files_of_a_batch_follow_the_tasks(spark):
+    tx = stream_batches(transactions(spark), 2)
+    assert delivery_files(spark) >= spark.sparkContext.defaultParallelism
+    run = stream_fixture(spark, SF001, 2, tx=tx, files=6)
+    drain(start_tx_query(transaction_batches(spark, run), f"{run}/out", f"{run}/ckpt", FXA_OPTIONS, trigger=TRIGGER))
+    got = spark.read.parquet(f"{run}/out/transactions")
+    assert got.select("batch_id").distinct().count() == 2 and got.count() == 60
+    assert rows(got.select("batch_id", "tx_id")) == rows(tx.select(F.col("_b").alias("batch_id"), "tx_id"))
