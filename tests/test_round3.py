@@ -60,11 +60,11 @@ def test_json_text_is_made_after_rows_are_dealt_and_sorted(spark):
 
 def test_ledger_without_hot_address_moves_once(spark):
     upd = address_updates(staged(transactions(spark), "t"))
-    led = ledger(upd, OPTS)
+    led = ledger(upd, OPTS, once=True)
     assert plan(structuring_alerts(activity_counts(led, OPTS), OPTS)).count("Exchange") == 1
-    hot = ledger(upd, OPTS.with_(hot_key_rows=10, rows_per_bucket=4))
+    hot = ledger(upd, OPTS.with_(hot_key_rows=10, rows_per_bucket=4), once=True)
     names = [c for c in upd.columns] + ["balance", "utxo_count", "max_ts"]
-    assert rows(led.select(*names)) == rows(hot.select(*names))
+    assert rows(led.select(*names)) == rows(hot.select(*names)) == rows(ledger(upd, OPTS).select(*names))
     assert rows(led.select(*upd.columns)) == rows(upd)  # the outpoints are the update's
     found = rows(activity_counts(led, OPTS))
     assert found == rows(activity_counts(staged(led, "led"), OPTS)) == rows(activity_counts(hot, OPTS)) and found

@@ -44,7 +44,7 @@ def run_batch(tx: DataFrame, opts: LedgerOptions = DEFAULT, materialize: bool =
         wtx = staged(wtx, "transactions")
     metrics = tx_metrics(wtx)
     upd = address_updates(wtx)
-    led = ledger(upd, opts)
+    led = ledger(upd, opts, once=True)
     if materialize:
         led = with_outpoints(staged(led.drop(*OUTPOINT), "ledger"))
     at = ("seq", "pos")

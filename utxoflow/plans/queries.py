@@ -49,8 +49,8 @@ def _upd_plain(spark, sf, variant=None):
     return updates.address_updates(fx_b_table(spark, sf, variant))
 
 
-def _led_b(spark, sf, variant=None):
-    return ledger.ledger(_upd_plain(spark, sf, variant), FXB_OPTIONS)
+def _led_b(spark, sf, variant=None, once=False):
+    return ledger.ledger(_upd_plain(spark, sf, variant), FXB_OPTIONS, once)
 
 
 def _panel(spark, sf, panel, name, span_ms):
@@ -167,11 +167,11 @@ def latest_balance(spark, sf):
 
 
 def alerts_velocity(spark, sf):
-    return activity.velocity_alerts(activity.activity_counts(_led_b(spark, sf), FXB_OPTIONS), FXB_OPTIONS)
+    return activity.velocity_alerts(activity.activity_counts(_led_b(spark, sf, once=True), FXB_OPTIONS), FXB_OPTIONS)
 
 
 def alerts_structuring(spark, sf):
-    return activity.structuring_alerts(activity.activity_counts(_led_b(spark, sf), FXB_OPTIONS), FXB_OPTIONS)
+    return activity.structuring_alerts(activity.activity_counts(_led_b(spark, sf, once=True), FXB_OPTIONS), FXB_OPTIONS)
 
 
 def alerts_late(spark, sf):
