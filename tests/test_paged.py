@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from test_slots import State, rows
@@ -16,7 +17,7 @@ from utxoflow.sinks.versions import file_names
 from utxoflow.streaming.paged import BUCKET, PAGE, PackedMap, Pages, line_start
 from utxoflow.streaming.processor import LedgerProcessor
 from utxoflow.streaming.stream import drain, read_state_pending, read_state_utxos, start_addr_query, start_split_query
-from utxoflow.streaming.two_stage import OffsetProcessor, OutpointProcessor, read_entries
+from utxoflow.streaming.two_stage import OffsetProcessor, OutpointProcessor, read_entries, unpack
 from utxoflow.plans.stream_queries import FILES, stream_fixture, transaction_batches
 
 
@@ -108,7 +109,9 @@ def test_outpoints_of_a_slot_are_read_and_written_by_pages():
     spent = rows([(f"a{i % 7}", "input", f"t{i}", 0) for i in range(n)])
     out = pd.concat(list(p.handleInputRows((0,), iter([spent]), Times())))
     assert p.entries.calls - before <= 2 * 32 and p.size.get()[0] == 0 and not p.entries
-    assert np.sum(out[out["what"] == "sum"]["units"].astype(int)) == -n
+    assert np.sum(out[out["packed"].isna()]["units"].astype(int)) == -n
+    (updates,) = unpack([pa.RecordBatch.from_pandas(out[out["packed"].notna()])])  # all of them in one row
+    assert updates.num_rows == n and set(updates.column("units").to_pylist()) == {"-1"}
 
 
 def test_state_partitions_follow_the_cores_not_the_shuffles(spark):
